@@ -34,10 +34,23 @@ def finish(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(F.round(c, DIGITS)).alias(f.name)
+            c = round6(c).alias(f.name)
         cols.append(c)
     return df.select(*cols)
 
 
+def round6(c):
+    """Round to 6 dp with plain IEEE arithmetic, identical in both engines:
+    floor(x * 1e6 + 0.5 + 1e-9 * |x * 1e6|) / 1e6 (NaN -> NULL; huge or
+    infinite values kept)."""
+    y = c * F.lit(1e6)
+    # The relative nudge (1e-9) makes values that are exact ties in real
+    # arithmetic round up whatever order the engine summed them in.
+    scaled = F.floor((y + F.lit(0.5)) + F.lit(1e-9) * F.abs(y)).cast("double") / F.lit(1e6)
+    return (F.when(F.isnan(c), F.lit(None).cast("double"))
+            .when(F.abs(c) >= F.lit(1e12), c)
+            .otherwise(scaled))
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_from_events(load(spark, sf_dir, "events"))

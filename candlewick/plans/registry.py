@@ -1,6 +1,6 @@
 """Import every query module so its ``register`` calls run."""
 
-from candlewick.plans import q_candles, q_latency, q_messages, q_prices  # noqa: F401
+from candlewick.plans import q_candles, q_latency, q_messages, q_prices, q_series  # noqa: F401
 from candlewick.plans.common import ORACLES, QUERIES
 
 

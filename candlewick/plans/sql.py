@@ -16,7 +16,9 @@ TICKS = """
 
 
 def r6(expr: str) -> str:
-    return f"round(CASE WHEN isnan(({expr})::DOUBLE) THEN NULL ELSE ({expr})::DOUBLE END, {R})"
+    x = f"(({expr})::DOUBLE)"
+    return (f"(CASE WHEN isnan({x}) THEN NULL WHEN abs({x}) >= 1e12 THEN {x} "
+            f"ELSE floor(({x} * 1e6 + 0.5) + 1e-9 * abs({x} * 1e6)) / 1e6 END)")
 
 
 def candles_sql(width_us: int, source: str = "t", order: str = "bts", time_us: str = "bts") -> str:

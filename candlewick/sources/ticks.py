@@ -27,7 +27,7 @@ def ticks_from_events(events: DataFrame) -> DataFrame:
     """Fixture T: one trade per event row.
 
     Columns: event_id, symbol, price, binance_timestamp, received_timestamp,
-    stored_timestamp (µs), event_time (timestamp_ntz), partition, offset.
+    stored_timestamp (µs), event_time (timestamp_ntz), partition, offset, user_id.
     """
     bts = epoch_micros("ts")
     eid = F.col("event_id")
@@ -43,6 +43,7 @@ def ticks_from_events(events: DataFrame) -> DataFrame:
         F.col("ts").alias("event_time"),
         (F.length("event_type") % F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
         eid.alias("offset"),
+        F.col("user_id"),
     )
 
 
