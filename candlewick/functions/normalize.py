@@ -17,6 +17,29 @@ from candlewick.schemas import ALERT_SCHEMA, PRICE_SCHEMA
 _MAP = "map<string,string>"
 
 
+def _envelope_parts(value: Column):
+    top = F.from_json(value, _MAP)
+    data = F.from_json(top["data"], _MAP)
+    has_s = F.map_contains_key(data, "s")
+    trade_time = data["T"].try_cast("bigint")
+    price = data["p"].try_cast("double")
+    error = (F.when(top.isNull(), F.lit("json_decode"))
+             .when(~F.map_contains_key(top, "data"), F.lit("ignored"))
+             .when(data.isNull(), F.lit("processing"))
+             .when(has_s & data["s"].isNull(), F.lit("processing"))
+             .when(price.isNull(), F.lit("processing"))
+             .when(trade_time.isNull(), F.lit("processing"))
+             .when(F.length(trade_time.cast("string")) != MICROS_DIGITS, F.lit("processing")))
+    symbol = F.lower(F.when(has_s, data["s"]).otherwise(F.lit(UNKNOWN_SYMBOL)))
+    return error, symbol, price, trade_time
+
+
+def envelope_error(value: Column) -> Column:
+    """Error class of a raw feed envelope: NULL (good), 'json_decode',
+    'processing', or 'ignored' for a message without a ``data`` key."""
+    return _envelope_parts(value)[0]
+
+
 def classify_envelopes(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse feed envelopes and attach ``error_type`` (NULL for good rows).
 
@@ -24,29 +47,17 @@ def classify_envelopes(raw: DataFrame, value_col: str = "value") -> DataFrame:
     handler ignores them. Good rows carry symbol (lower-cased, default
     'unknown'), price (double) and binance_timestamp (µs).
     """
-    top = F.from_json(F.col(value_col), _MAP)
-    parsed = raw.withColumn("_top", top).withColumn(
-        "_data", F.from_json(F.col("_top")["data"], _MAP))
-    has_data = F.map_contains_key("_top", "data")
-    d = F.col("_data")
-    has_s = F.map_contains_key(d, "s")
-    price = F.expr("try_cast(_data['p'] AS double)")
-    trade_time = F.expr("try_cast(_data['T'] AS bigint)")
-    error = (F.when(F.col("_top").isNull(), F.lit("json_decode"))
-             .when(d.isNull(), F.lit("processing"))
-             .when(has_s & d["s"].isNull(), F.lit("processing"))
-             .when(price.isNull(), F.lit("processing"))
-             .when(trade_time.isNull(), F.lit("processing"))
-             .when(F.length(trade_time.cast("string")) != MICROS_DIGITS, F.lit("processing")))
-    symbol = F.lower(F.when(has_s, d["s"]).otherwise(F.lit(UNKNOWN_SYMBOL)))
-    out = parsed.where(F.col("_top").isNull() | has_data).select(
+    error, symbol, price, trade_time = _envelope_parts(F.col(value_col))
+    parsed = raw.select(*[c for c in raw.columns if c != value_col], error.alias("error_type"),
+                        symbol.alias("_s"), price.alias("_p"), trade_time.alias("_t"))
+    ok = F.col("error_type").isNull()
+    return parsed.where(F.coalesce(F.col("error_type"), F.lit("")) != "ignored").select(
         *[c for c in raw.columns if c != value_col],
-        F.when(error.isNull(), symbol).alias("symbol"),
-        F.when(error.isNull(), price).alias("price"),
-        F.when(error.isNull(), trade_time).alias("binance_timestamp"),
-        error.alias("error_type"),
+        F.when(ok, F.col("_s")).alias("symbol"),
+        F.when(ok, F.col("_p")).alias("price"),
+        F.when(ok, F.col("_t")).alias("binance_timestamp"),
+        "error_type",
     )
-    return out
 
 
 def good(df: DataFrame) -> DataFrame:
@@ -82,29 +93,28 @@ def decode_price_records(records: DataFrame) -> DataFrame:
     )
 
 
-def classify_price_records(records: DataFrame) -> DataFrame:
-    """Prices-consumer validation of Kafka records; adds ``error_type``.
+def price_record_error(key: Column, value: Column) -> Column:
+    """Prices-consumer validation: 'invalid_message' for an empty/absent key or
+    a value that is not a JSON object, 'missing_timestamp' for an absent or
+    zero binance_timestamp, NULL for a valid record."""
+    k = key.cast("string")
+    obj = F.from_json(value.cast("string"), _MAP)
+    bts = obj["binance_timestamp"].try_cast("bigint")
+    return (F.when((F.coalesce(k, F.lit("")) == "") | obj.isNull(), F.lit("invalid_message"))
+            .when(F.coalesce(bts, F.lit(0)) == 0, F.lit("missing_timestamp")))
 
-    invalid_message: empty/absent key or a value that is not a JSON object;
-    missing_timestamp: binance_timestamp absent or 0.
-    """
-    key = F.col("key").cast("string")
+
+def classify_price_records(records: DataFrame) -> DataFrame:
+    """Prices-consumer validation of Kafka records; adds ``error_type``."""
     obj = F.from_json(F.col("value").cast("string"), _MAP)
-    with_obj = records.withColumn("_obj", obj)
-    bts = F.expr("try_cast(_obj['binance_timestamp'] AS bigint)")
-    rts = F.expr("try_cast(_obj['received_timestamp'] AS bigint)")
-    price = F.expr("try_cast(_obj['price'] AS double)")
-    error = (F.when((F.coalesce(key, F.lit("")) == "") | F.col("_obj").isNull(),
-                    F.lit("invalid_message"))
-             .when(F.coalesce(bts, F.lit(0)) == 0, F.lit("missing_timestamp")))
     keep = [c for c in records.columns if c not in ("key", "value")]
-    return with_obj.select(
+    return records.select(
         *keep,
-        key.alias("symbol"),
-        price.alias("price"),
-        bts.alias("binance_timestamp"),
-        rts.alias("received_timestamp"),
-        error.alias("error_type"),
+        F.col("key").cast("string").alias("symbol"),
+        obj["price"].try_cast("double").alias("price"),
+        obj["binance_timestamp"].try_cast("bigint").alias("binance_timestamp"),
+        obj["received_timestamp"].try_cast("bigint").alias("received_timestamp"),
+        price_record_error(F.col("key"), F.col("value")).alias("error_type"),
     )
 
 

@@ -11,71 +11,86 @@ Plan shape (independent of the number of specs):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from candlewick.operators.series import Grid, _div, asof, quantile_from_buckets, range_rate
+from candlewick.operators.series import Grid, _div, asof, bucket_quantile, range_rate
 from candlewick.plans.catalog import ALL_SPECS, FAMILY_SOURCES, GAUGE_SOURCES, Spec
 
-SPEC_SCHEMA = T.StructType([
+MAX_SLOTS = 3
+PLAN_SCHEMA = T.StructType([
     T.StructField("name", T.StringType(), False),
     T.StructField("kind", T.StringType(), False),
-    T.StructField("spec_family", T.StringType(), False),
-    T.StructField("matchers", T.ArrayType(T.StructType([
-        T.StructField("key", T.StringType()), T.StructField("op", T.StringType()),
-        T.StructField("value", T.StringType())])), False),
     T.StructField("q", T.DoubleType(), True),
     T.StructField("by", T.StringType(), True),
-])
-MAP_SCHEMA = T.StructType([
-    T.StructField("cat_family", T.StringType(), False),
     T.StructField("source", T.StringType(), False),
-    T.StructField("extra", T.MapType(T.StringType(), T.StringType()), False),
+    T.StructField("src_part", T.StringType(), False),
+    T.StructField("src_kind", T.StringType(), False),
+    *[f for i in range(MAX_SLOTS) for f in (
+        T.StructField(f"m{i}_key", T.StringType(), True),
+        T.StructField(f"m{i}_op", T.StringType(), True),
+        T.StructField(f"m{i}_value", T.StringType(), True))],
 ])
+_PARTS = {"rate_sum": ("",), "rate": ("",), "rate_mean": ("sum", "count"), "hist_q": ("bucket",),
+          "gauge_sum": ("",), "gauge": ("",)}
 
 
-def spec_frame(spark: SparkSession, specs: list[Spec] = ALL_SPECS) -> DataFrame:
-    rows = [(s.name, s.kind, s.family, [list(m) for m in s.matchers], s.q, s.by) for s in specs]
-    return spark.createDataFrame(rows, SPEC_SCHEMA)
-
-
-def mapping_frame(spark: SparkSession, mapping=FAMILY_SOURCES) -> DataFrame:
-    return spark.createDataFrame([(c, s, dict(e)) for c, s, e in mapping], MAP_SCHEMA)
-
-
-def relabel(points: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Source series -> catalogue families (a source may feed several)."""
-    j = points.join(F.broadcast(mapping), points["family"] == mapping["source"])
-    return j.select(F.col("cat_family").alias("family"), "part",
-                    F.map_concat("labels", "extra").alias("labels"), "le", "t", "value", "src_kind")
+def spec_plan(specs: list[Spec] = ALL_SPECS, mapping=FAMILY_SOURCES) -> list[tuple]:
+    """Resolve the fixed catalogue against the fixed family mapping.
 
-
-def _matches(matchers, labels):
-    def one(m):
-        v = F.coalesce(F.element_at(labels, m["key"]), F.lit(""))
-        return F.when(m["op"] == "=", v == m["value"]).otherwise(v != m["value"])
-    return F.forall(matchers, one)
-
-
-def evaluate(spark: SparkSession, samples: DataFrame, grid: Grid, range_s: int, lookback_s: int,
-             specs: list[Spec] = ALL_SPECS, mapping=FAMILY_SOURCES) -> DataFrame:
-    """All specs over ``samples`` -> (metric, by_value, t, value)."""
+    One row per (spec, source family, part). Matchers on labels that the
+    mapping injects are decided here, once; the rest stay as at most
+    ``MAX_SLOTS`` (key, op, value) checks on the source labels.
+    """
+    rows = []
+    for sp in specs:
+        for cat_family, source, extra in mapping:
+            if cat_family != sp.family:
+                continue
+            extra = dict(extra)
+            keep, ok = [], True
+            for key, op, val in sp.matchers:
+                if key in extra:
+                    ok &= (extra[key] == val) if op == "=" else (extra[key] != val)
+                else:
+                    keep.append((key, op, val))
+            if not ok:
+                continue
+            if len(keep) > MAX_SLOTS:
+                raise ValueError(f"{sp.name}: more than {MAX_SLOTS} label matchers")
+            slots = [x for m in keep for x in m] + [None] * (3 * (MAX_SLOTS - len(keep)))
+            kind = "gauge" if sp.kind.startswith("gauge") else "rate"
+            for part in _PARTS[sp.kind]:
+                rows.append((sp.name, sp.kind, sp.q, sp.by, source, part, kind, *slots))
+    return rows
+
+
+def plan_frame(spark: SparkSession, specs: list[Spec] = ALL_SPECS, mapping=FAMILY_SOURCES) -> DataFrame:
+    return spark.createDataFrame(spec_plan(specs, mapping), PLAN_SCHEMA)
+
+
+def _slot_ok(i: int) -> Column:
+    key, op, val = F.col(f"m{i}_key"), F.col(f"m{i}_op"), F.col(f"m{i}_value")
+    v = F.coalesce(F.element_at(F.col("labels"), key), F.lit(""))
+    return key.isNull() | F.when(op == "=", v == val).otherwise(v != val)
+
+
+def evaluate(spark: SparkSession, counters: DataFrame, gauges: DataFrame, grid: Grid, range_s: int,
+             lookback_s: int, specs: list[Spec] = ALL_SPECS, mapping=FAMILY_SOURCES) -> DataFrame:
+    """All specs over counter and gauge samples -> (metric, by_value, t, value)."""
+    plan = plan_frame(spark, specs, mapping)
     fam = F.col("family")
-    needed = {src for _, src, _ in mapping}
-    samples = samples.where(fam.isin(sorted(needed)))
-    rates = range_rate(samples.where(~fam.isin(sorted(GAUGE_SOURCES))), range_s, grid)
-    gauge_pts = asof(samples.where(fam.isin(sorted(GAUGE_SOURCES))), lookback_s, grid)
+    needed = sorted({r[4] for r in spec_plan(specs, mapping)})
+    rates = range_rate(counters.where(fam.isin(needed)), range_s, grid)
+    gauge_pts = asof(gauges.where(fam.isin(needed)), lookback_s, grid)
     cols = ["family", "part", "labels", "le", "t", "value"]
-    pts = rates.select(*cols, F.lit("rate").alias("src_kind")).unionByName(
-        gauge_pts.select(*cols, F.lit("gauge").alias("src_kind")))
-    k = relabel(pts, mapping_frame(spark, mapping))
-    sp = spec_frame(spark, specs)
-    kind, part, src = sp["kind"], k["part"], k["src_kind"]
-    fits = (F.when(kind.isin("rate_sum", "rate"), (src == "rate") & (part == ""))
-            .when(kind == "rate_mean", (src == "rate") & part.isin("sum", "count"))
-            .when(kind == "hist_q", (src == "rate") & (part == "bucket"))
-            .otherwise(src == "gauge"))
-    cond = (k["family"] == sp["spec_family"]) & fits & _matches(sp["matchers"], k["labels"])
-    j = k.join(F.broadcast(sp), cond)
+    pts = rates.select(*cols, F.lit("rate").alias("kind_of")).unionByName(
+        gauge_pts.select(*cols, F.lit("gauge").alias("kind_of")))
+    # Equi-join on (family, part, kind) against the small fixed plan table.
+    cond = ((pts["family"] == plan["source"]) & (pts["part"] == plan["src_part"])
+            & (pts["kind_of"] == plan["src_kind"]))
+    j = pts.join(F.broadcast(plan), cond)
+    for i in range(MAX_SLOTS):
+        j = j.where(_slot_ok(i))
     by_value = F.when(F.col("by").isNotNull(),
                       F.coalesce(F.element_at("labels", F.col("by")), F.lit(""))).otherwise(F.lit(""))
     j = j.select("name", "kind", "q", by_value.alias("by_value"), "t", "le", "part", "value")
@@ -84,15 +99,15 @@ def evaluate(spark: SparkSession, samples: DataFrame, grid: Grid, range_s: int,
         F.sum("value").alias("v"),
         F.sum(F.when(F.col("part") == "sum", F.col("value"))).alias("s"),
         F.sum(F.when(F.col("part") == "count", F.col("value"))).alias("c"))
-    lvl2 = lvl1.groupBy(*keys).agg(
-        F.sum("v").alias("v"), F.sum("s").alias("s"), F.sum("c").alias("c"),
-        F.collect_list(F.when(F.col("kind") == "hist_q", F.struct("le", F.col("v").alias("r")))).alias("b"))
+    hist = bucket_quantile(lvl1.where(F.col("kind") == "hist_q").select(*keys, "le", F.col("v").alias("r")),
+                           keys, "q")
+    flat = lvl1.where(F.col("kind") != "hist_q").groupBy(*keys).agg(
+        F.sum("v").alias("v"), F.sum("s").alias("s"), F.sum("c").alias("c"))
     s, c = F.col("s"), F.col("c")
-    value = (F.when(F.col("kind") == "rate_mean",
-                    F.when(s.isNotNull() & c.isNotNull(), _div(s, c)))
-             .when(F.col("kind") == "hist_q", quantile_from_buckets(F.col("q"), F.col("b")))
+    value = (F.when(F.col("kind") == "rate_mean", F.when(s.isNotNull() & c.isNotNull(), _div(s, c)))
              .otherwise(F.col("v")))
-    out = lvl2.select(F.col("name").alias("metric"), "by_value", "t", value.alias("value"))
+    out = flat.select(F.col("name").alias("metric"), "by_value", "t", value.alias("value")).unionByName(
+        hist.select(F.col("name").alias("metric"), "by_value", "t", "value"))
     return out.where(F.col("value").isNotNull())
 
 

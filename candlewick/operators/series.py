@@ -169,44 +169,52 @@ def rate_mean(rates: DataFrame, keys=("t",)) -> DataFrame:
         *keys, _div(F.col("_n"), F.col("_d")).alias("value"))
 
 
-def quantile_from_buckets(q: Column | float, bucket_array: Column) -> Column:
-    """histogram_quantile over an array<struct<le double, r double>> of
-    cumulative bucket values (any order). Buckets are sorted by le and made
-    monotonic; NaN when there is no +Inf bucket, fewer than two buckets or
-    no observations; the largest finite bound when the rank falls in +Inf;
-    else linear interpolation inside the bucket (from 0 for the first)."""
-    q = F.lit(q) if not isinstance(q, Column) else q
-    arr = F.array_sort(bucket_array, lambda a, b: F.when(a["le"] < b["le"], -1)
-                       .when(a["le"] > b["le"], 1).otherwise(0))
-    les = F.transform(arr, lambda x: x["le"])
-    raw = F.transform(arr, lambda x: x["r"])
-    mono = F.transform(raw, lambda x, i: F.array_max(F.slice(raw, 1, i + 1)))
-    n = F.size(arr)
-    total = F.element_at(mono, -1)
-    rank = q * total
-    idx = F.array_position(F.transform(mono, lambda x: x >= rank), True)
-    le_b = F.element_at(les, F.greatest(idx, F.lit(1)).cast("int"))
-    r_b = F.element_at(mono, F.greatest(idx, F.lit(1)).cast("int"))
-    prev_i = F.greatest(idx - 1, F.lit(1)).cast("int")
-    lo = F.when(idx > 1, F.element_at(les, prev_i)).otherwise(F.lit(0.0))
-    r_lo = F.when(idx > 1, F.element_at(mono, prev_i)).otherwise(F.lit(0.0))
-    last_finite = F.element_at(les, F.greatest(n - 1, F.lit(1)).cast("int"))
-    interp = lo + (le_b - lo) * _div(rank - r_lo, r_b - r_lo)
-    return (F.when(q < 0, F.lit(-INF)).when(q > 1, F.lit(INF))
-            .when(n < 2, F.lit(NAN))
-            .when(F.element_at(les, -1) != F.lit(INF), F.lit(NAN))
-            .when((total == 0) | F.isnan(total), F.lit(NAN))
-            .when(idx == n, last_finite)
-            .when((idx == 1) & (le_b <= 0), le_b)
-            .otherwise(interp))
+def bucket_quantile(per_le: DataFrame, keys, q: Column | float | str = "q", r: str = "r") -> DataFrame:
+    """histogram_quantile over cumulative bucket values ``per_le(keys.., le, r)``.
+
+    Buckets of one key are few (the histogram's bounds), so the work is two
+    window passes over tiny partitions and a group-by on the same keys (no
+    further shuffle). Buckets are made monotonic; NaN when there is no +Inf
+    bucket, fewer than two buckets or no observations; the largest finite
+    bound when the rank falls in +Inf; else linear interpolation inside the
+    bucket (from 0 for the first).
+    """
+    keys = list(keys)
+    qc = F.col(q) if isinstance(q, str) else (q if isinstance(q, Column) else F.lit(float(q)))
+    w = Window.partitionBy(*keys).orderBy("le")
+    whole = Window.partitionBy(*keys)
+    b = (per_le.withColumn("_q", qc)
+         .withColumn("rm", F.max(r).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+         .withColumn("idx", F.row_number().over(w))
+         .withColumn("lo", F.coalesce(F.lag("le").over(w), F.lit(0.0)))
+         .withColumn("nb", F.count(F.lit(1)).over(whole))
+         .withColumn("top", F.max("le").over(whole))
+         .withColumn("max_finite", F.max(F.when(F.col("le") != F.lit(INF), F.col("le"))).over(whole)))
+    b = b.withColumn("r_lo", F.coalesce(F.lag("rm").over(w), F.lit(0.0)))
+    b = b.withColumn("total", F.max(F.when(F.col("le") == F.lit(INF), F.col("rm"))).over(whole))
+    cand = F.when(F.col("rm") >= F.col("_q") * F.col("total"), F.col("idx"))
+    g = b.groupBy(*keys).agg(
+        F.first("_q").alias("_q"), F.first("nb").alias("nb"), F.first("top").alias("top"),
+        F.first("max_finite").alias("max_finite"), F.first("total").alias("total"),
+        F.min(cand).alias("pick"), F.min_by("le", cand).alias("le_b"), F.min_by("rm", cand).alias("r_b"),
+        F.min_by("lo", cand).alias("lo"), F.min_by("r_lo", cand).alias("r_lo"))
+    qq, total, pick = F.col("_q"), F.col("total"), F.col("pick")
+    lo, le_b = F.col("lo"), F.col("le_b")
+    interp = lo + (le_b - lo) * _div(qq * total - F.col("r_lo"), F.col("r_b") - F.col("r_lo"))
+    value = (F.when(qq < 0, F.lit(-INF)).when(qq > 1, F.lit(INF))
+             .when(F.col("nb") < 2, F.lit(NAN))
+             .when(F.col("top") != F.lit(INF), F.lit(NAN))
+             .when(total.isNull() | (total == 0) | F.isnan(total), F.lit(NAN))
+             .when(pick == F.col("nb"), F.col("max_finite"))
+             .when((pick == 1) & (le_b <= 0), le_b)
+             .otherwise(interp))
+    return g.select(*keys, value.alias("value"))
 
 
 def histogram_quantile(q: float, bucket_rates: DataFrame, keys=("t",)) -> DataFrame:
-    """``histogram_quantile(q, sum by (le) (rate(x_bucket)))`` per key.
-    Buckets per key are few (bounded by the histogram's bounds)."""
+    """``histogram_quantile(q, sum by (le) (rate(x_bucket)))`` per key."""
     per_le = bucket_rates.groupBy(*keys, "le").agg(F.sum("value").alias("r"))
-    g = per_le.groupBy(*keys).agg(F.collect_list(F.struct("le", "r")).alias("_b"))
-    return g.select(*keys, quantile_from_buckets(q, F.col("_b")).alias("value"))
+    return bucket_quantile(per_le, keys, float(q))
 
 
 def default_on_grid(points: DataFrame, grid: Grid, default: float = 0.0, spark=None) -> DataFrame:

@@ -16,7 +16,7 @@ from candlewick.plans import sql_series as Q
 from candlewick.plans.catalog import CATALOG, PANELS
 from candlewick.plans.common import finish, register
 from candlewick.plans.q_candles import _ALERTS_1H, alerts_1h
-from candlewick.sources.samples import source_samples
+from candlewick.sources.samples import source_samples, source_series
 from candlewick.sources.tables import load
 
 GRID = SE.Grid(FIXTURE_ORIGIN, FIXTURE_STEP, 1, FIXTURE_SCRAPES)
@@ -215,8 +215,8 @@ CATALOG_SQL = HEAD + "," + Q.catalog_ctes()
 
 def catalog_long(spark, sf_dir, specs=None):
     from candlewick.plans.catalog import ALL_SPECS
-    return evaluate(spark, samples(spark, sf_dir), GRID, FIXTURE_RANGE, FIXTURE_LOOKBACK,
-                    specs=specs or ALL_SPECS)
+    c, g = source_series(load(spark, sf_dir, "events"), alerts_1h(spark, sf_dir))
+    return evaluate(spark, c, g, GRID, FIXTURE_RANGE, FIXTURE_LOOKBACK, specs=specs or ALL_SPECS)
 
 
 _CAT_NAMES = ", ".join(f"'{s.name}'" for s in CATALOG)
@@ -235,3 +235,61 @@ def catalog_metrics(spark, sf_dir):
 def metric_coverage(spark, sf_dir):
     c = catalog_long(spark, sf_dir, CATALOG)
     return c.agg(F.count_distinct("metric").alias("metrics"), F.count_distinct("t").alias("timestamps"))
+
+
+PANEL_SQL_PARTS = []
+for _p in PANELS:
+    if _p.op == "ref":
+        PANEL_SQL_PARTS.append(
+            f"SELECT '{_p.panel}' AS panel, '{_p.legend}' AS series, t, value FROM catalog "
+            f"WHERE metric = '{_p.terms[0]}'")
+    elif _p.op == "by":
+        PANEL_SQL_PARTS.append(
+            f"SELECT '{_p.panel}' AS panel, by_value AS series, t, value FROM catalog "
+            f"WHERE metric = '{_p.terms[0]}'")
+    elif _p.op in ("or0", "sum_or0"):
+        terms = " + ".join(
+            f"coalesce((SELECT sum(value) FROM catalog c WHERE c.metric = '{m}' AND c.t = g.t), 0.0)"
+            for m in _p.terms)
+        PANEL_SQL_PARTS.append(f"SELECT '{_p.panel}' AS panel, '{_p.legend}' AS series, g.t, {terms} AS value "
+                               f"FROM {_GRID_SQL}")
+    elif _p.op == "ratio":
+        a, b = _p.terms
+        PANEL_SQL_PARTS.append(
+            f"SELECT '{_p.panel}' AS panel, '{_p.legend}' AS series, x.t, x.value / y.value AS value "
+            f"FROM catalog x JOIN catalog y ON x.t = y.t WHERE x.metric = '{a}' AND y.metric = '{b}'")
+PANELS_SQL = CATALOG_SQL + ", panels AS (\n    " + "\n    UNION ALL ".join(PANEL_SQL_PARTS) + ")"
+
+
+def panels(spark, sf_dir):
+    return panel_series(spark, catalog_long(spark, sf_dir), GRID, PANELS)
+
+
+@register("panel_series", PANELS_SQL + f"""
+  SELECT panel, series, {_t()} AS t, {S.r6('value')} AS value FROM panels""")
+def q_panel_series(spark, sf_dir):
+    return finish(panels(spark, sf_dir).select("panel", "series", ts_col(), "value"))
+
+
+@register("panel_summary", PANELS_SQL + f"""
+  SELECT panel, series, {S.r6('avg(value)')} AS mean, {S.r6('quantile_disc(value, 0.5)')} AS median,
+         {S.r6('stddev_pop(value)')} AS std_dev, {S.r6('min(value)')} AS "min", {S.r6('max(value)')} AS "max",
+         {S.r6('arg_max(value, t)')} AS "last"
+  FROM panels WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY panel, series""")
+def q_panel_summary(spark, sf_dir):
+    return finish(series_summary(panels(spark, sf_dir), keys=("panel", "series")))
+
+
+@register("metrics_wide", CATALOG_SQL + f""",
+  longv AS (SELECT metric, {_t()} AS "timestamp", {S.r6('value')} AS value FROM catalog
+            WHERE metric IN ({_CAT_NAMES}))
+  SELECT * FROM (PIVOT longv ON metric USING first(value) GROUP BY "timestamp")""")
+def q_metrics_wide(spark, sf_dir):
+    from candlewick.operators.export import wide
+    from candlewick.session import checkpoint_root
+    checkpoint_root(spark)
+    # The pivot needs the metric names that have data before it runs: cut the
+    # lineage once (reliable checkpoint in the shared folder) instead of
+    # evaluating the catalogue twice.
+    c = finish(catalog_long(spark, sf_dir, CATALOG).select("metric", ts_col(), "value")).checkpoint(eager=True)
+    return wide(c)

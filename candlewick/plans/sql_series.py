@@ -81,7 +81,7 @@ s_feed AS (SELECT * FROM (
            WHEN value IS NULL OR ts IS NULL THEN 'processing' END AS error_type
     FROM events) WHERE error_type IS NOT NULL AND error_type <> 'ignored' AND k BETWEEN 1 AND {K}),
 s_cons AS (SELECT * FROM (
-    SELECT {_kexpr('sts')} AS k,
+    SELECT {_kexpr('bts')} AS k,
       CASE WHEN event_id % 71 = 0 OR symbol IS NULL OR symbol = '' THEN 'invalid_message'
            WHEN event_id % 67 = 0 OR bts IS NULL THEN 'missing_timestamp' END AS error_type
     FROM s_t) WHERE error_type IS NOT NULL AND k BETWEEN 1 AND {K}),

@@ -1,31 +1,40 @@
 """Metric samples derived from the driver tables (FIXTURES.md part 2: S R C G).
 
 A scrape k (1..K) happens at t_k = origin + k*step and sees every event with
-time <= t_k. Counters are cumulative counts/sums of the events seen; gauges
-are the last observed value. Every series is scraped at every k (counters
-start at zero), except that the scrapes k % 50 in 1..6 are missing for
-series of symbol/name ``view`` and the counters of ``click`` restart from
-zero at every k divisible by 100.
-
-Work is one aggregation of the events per (series, k) - the events are read
-once and collapse to at most series x K rows - and one running sum per series
-over the scrape grid (K rows per series).
+trade time <= t_k. Counters are cumulative, gauges the last observed value.
+A counter series exists from the first scrape on (zeros before its first
+event); a labelled error counter exists once it has been incremented.
+Scrapes k % 50 in 1..6 are missing for series of symbol/name ``view`` and
+the counters of ``click`` restart from zero at every k divisible by 100.
+
+Work: the events are read once and collapse in ONE aggregation per
+(symbol, k) that yields every counter increment and gauge observation; a
+second, tiny aggregation does the same for alerts. The scrape grid is then
+filled per series by a window (running sum + ``lead``) and an explode that
+repeats each value until the next observation - no grid join, no distinct.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from candlewick.config import (FIXTURE_BOUNDS, FIXTURE_ORIGIN, FIXTURE_SCRAPES,
-                               FIXTURE_STEP)
+from candlewick.config import FIXTURE_BOUNDS, FIXTURE_ORIGIN, FIXTURE_SCRAPES, FIXTURE_STEP
 from candlewick.functions import latency as L
 from candlewick.functions import normalize as N
 from candlewick.operators.series import series_key
-from candlewick.sources.ticks import consumer_records, epoch_micros, trade_envelopes
+from candlewick.sources.ticks import (consumer_key, consumer_value, envelope_json, epoch_micros,
+                                      ticks_from_events)
 
 INF = float("inf")
 RESET_SYMBOL = "click"
 GAP_SYMBOL = "view"
+FEED_ERRORS = ("json_decode", "processing")
+CONSUMER_ERRORS = ("invalid_message", "missing_timestamp")
+# Families whose series exist only once they were incremented (labelled errors).
+ON_FIRST_USE = ("feed_errors_total", "consumer_rejects_total", "time_request_errors_total")
+GAUGE_FAMILIES = ("memory_working_set_bytes", "clock_skew_seconds", "api_round_trip_seconds",
+                  "partition_lag")
+SERIES_COLS = ("family", "part", "series", "le")
 
 
 def scrape_of(micros: Column, origin: int = FIXTURE_ORIGIN, step: int = FIXTURE_STEP) -> Column:
@@ -33,165 +42,181 @@ def scrape_of(micros: Column, origin: int = FIXTURE_ORIGIN, step: int = FIXTURE_
     return F.ceil((micros - F.lit(origin * 1_000_000)) / F.lit(float(step) * 1_000_000)).cast("long")
 
 
-def _hist_parts(family: str, v: Column, v_us: Column, labels: Column):
-    """Increment entries of one histogram observed on value ``v`` (seconds);
-    the sum is accumulated exactly in integer µs (``v_us``)."""
-    out = []
-    for b in list(FIXTURE_BOUNDS) + [INF]:
-        cnt = F.count_if(v <= F.lit(b)) if b != INF else F.count(v)
-        out.append((family, "bucket", labels, float(b), cnt, 1.0))
+def _lab(**kv) -> Column:
+    if not kv:
+        return F.create_map().cast("map<string,string>")
+    return F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), v)]).cast("map<string,string>")
+
+
+def _hist(family: str, v: Column, v_us: Column, labels: Column):
+    """Increments of one histogram on ``v`` (seconds): cumulative buckets,
+    the sum kept exactly in integer µs (scale 1e6), and the count."""
+    out = [(family, "bucket", labels, float(b), F.count_if(v <= F.lit(b)), 1.0) for b in FIXTURE_BOUNDS]
+    out.append((family, "bucket", labels, INF, F.count(v), 1.0))
     out.append((family, "sum", labels, None, F.coalesce(F.sum(v_us), F.lit(0)), 1e6))
     out.append((family, "count", labels, None, F.count(v), 1.0))
     return out
 
 
-def _long(wide: DataFrame, entries) -> DataFrame:
-    """Unpivot aggregated columns to (family, part, labels, le, k, inc, scale)."""
-    structs = [F.struct(F.lit(f).alias("family"), F.lit(p).alias("part"), lab.alias("labels"),
-                        F.lit(le).cast("double").alias("le"), F.col(f"_v{i}").cast("long").alias("inc"),
-                        F.lit(float(sc)).alias("scale"))
-               for i, (f, p, lab, le, _, sc) in enumerate(entries)]
-    return wide.select("k", F.inline(F.array(*structs)))
-
-
-def _aggregate(df: DataFrame, keys, entries) -> DataFrame:
-    aggs = [e[4].alias(f"_v{i}") for i, e in enumerate(entries)]
-    return df.groupBy(*keys, "k").agg(*aggs)
-
-
-def tick_increments(ticks: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
-    """Per (symbol, k) increments of the tick counter, three latency
-    histograms and the per-container resource counters.
-
-    Increments are integers (counts, µs, cents) with a per-family ``scale``
-    so that running sums are exact and a counter never dips by rounding."""
-    t = ticks.withColumn("k", scrape_of(F.col("binance_timestamp"))).where(
-        F.col("k").between(1, max_k))
-    rts = F.col("received_timestamp")
-    e2e_us = F.col("stored_timestamp") - F.col("binance_timestamp")
-    net_us = rts - F.col("binance_timestamp")
-    sys_us = F.when(F.coalesce(rts, F.lit(0)) != 0, F.col("stored_timestamp") - rts)
-    t = t.select("symbol", "k", "user_id",
-                 F.round(F.col("price") * F.lit(100.0)).cast("long").alias("cents"),
-                 e2e_us.alias("e2e_us"), net_us.alias("net_us"), sys_us.alias("sys_us"),
-                 (e2e_us / F.lit(1e6)).alias("e2e"), (net_us / F.lit(1e6)).alias("net"),
-                 (sys_us / F.lit(1e6)).alias("sys"))
-    sym = F.create_map(F.lit("symbol"), F.col("symbol"))
-    name = F.create_map(F.lit("name"), F.col("symbol"))
+def _counter_entries():
+    """(family, part, labels, le, aggregate, scale): every counter increment
+    per (symbol, k). Increments are integers (counts, µs, cents) so running
+    sums are exact and a counter never dips by rounding."""
+    sym = _lab(symbol=F.col("symbol"))
+    name = _lab(name=F.col("symbol"))
     n = F.count(F.lit(1))
-    entries = [("ticks_total", "", sym, None, n, 1.0)]
-    entries += _hist_parts("e2e_latency_seconds", F.col("e2e"), F.col("e2e_us"), sym)
-    entries += _hist_parts("network_latency_seconds", F.col("net"), F.col("net_us"), sym)
-    entries += _hist_parts("system_latency_seconds", F.col("sys"), F.col("sys_us"), sym)
-    entries += [
+    e = [("ticks_total", "", sym, None, n, 1.0)]
+    e += _hist("e2e_latency_seconds", F.col("e2e"), F.col("e2e_us"), sym)
+    e += _hist("network_latency_seconds", F.col("net"), F.col("net_us"), sym)
+    e += _hist("system_latency_seconds", F.col("sys"), F.col("sys_us"), sym)
+    e += [
         ("cpu_seconds_total", "", name, None, F.coalesce(F.sum("cents"), F.lit(0)), 100000.0),
         ("network_receive_bytes_total", "", name, None, F.coalesce(F.sum("user_id"), F.lit(0)), 1.0),
         ("network_transmit_bytes_total", "", name, None, n, 1.0),
         ("fs_reads_bytes_total", "", name, None, F.coalesce(F.sum("cents"), F.lit(0)), 100.0),
         ("fs_writes_bytes_total", "", name, None, n * F.lit(512), 1.0),
     ]
-    wide = _aggregate(t, ["symbol"], entries)
-    return _long(wide, entries)
-
-
-def count_increments(df: DataFrame, family: str, micros: Column, label_cols,
-                     max_k: int = FIXTURE_SCRAPES) -> DataFrame:
-    """Per (labels, k) event counts as counter increments (scale 1)."""
-    t = df.withColumn("k", scrape_of(micros)).where(F.col("k").between(1, max_k))
-    labels = F.create_map(*[x for c in label_cols for x in (F.lit(c), F.col(c).cast("string"))])
-    labels = labels.cast("map<string,string>")
-    return t.groupBy(*label_cols, "k").agg(F.count(F.lit(1)).alias("inc")).select(
-        F.lit(family).alias("family"), F.lit("").alias("part"), labels.alias("labels"),
-        F.lit(None).cast("double").alias("le"), "k", "inc", F.lit(1.0).alias("scale"))
-
-
-def counters(increments: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
-    """Cumulative counter samples on the full scrape grid, with the planted
-    resets and gaps. Output: family, part, labels, series, le, ts, value."""
-    inc = increments.withColumn("series", series_key(F.col("labels")))
-    keys = ["family", "part", "series", "le"]
-    ids = inc.select(*keys, "labels", "scale").dropDuplicates(keys)
-    grid = ids.select("*", F.explode(F.sequence(F.lit(1), F.lit(max_k))).alias("k"))
-    per_k = inc.groupBy(*keys, "k").agg(F.sum("inc").alias("inc"))
-    # ``le`` is NULL outside histogram buckets: join null-safely.
-    on = [grid[c].eqNullSafe(per_k[c]) for c in keys + ["k"]]
-    j = grid.join(per_k, on, "left").select(grid["*"], per_k["inc"])
+    e += [("feed_errors_total", "", _lab(error_type=F.lit(c)), None,
+           F.count_if(F.col("feed_error") == c), 1.0) for c in FEED_ERRORS]
+    e += [("consumer_rejects_total", "", _lab(error_type=F.lit(c)), None,
+           F.count_if(F.col("consumer_error") == c), 1.0) for c in CONSUMER_ERRORS]
+    e += [("time_request_errors_total", "", _lab(), None, F.count_if(F.col("event_id") % 40 >= 38), 1.0)]
+    return e
+
+
+def _gauge_entries():
+    """(family, labels, aggregate value, observation time, mode): 'last' keeps
+    the latest observation, 'sum' adds observations of the same scrape."""
+    last_t = F.max("binance_timestamp")
+    return [
+        ("memory_working_set_bytes", _lab(name=F.col("symbol")),
+         F.max_by("user_id", "binance_timestamp").cast("double"), last_t, "last"),
+        ("clock_skew_seconds", _lab(), F.max_by("skew", "binance_timestamp"), last_t, "last"),
+        ("api_round_trip_seconds", _lab(), F.max_by("rtt", "binance_timestamp"), last_t, "last"),
+        ("partition_lag", _lab(partition=F.col("partition").cast("string")),
+         F.count(F.lit(1)).cast("double"), last_t, "sum"),
+    ]
+
+
+def scrape_rows(events: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
+    """Events -> per-event columns every series needs (one projection)."""
+    t = ticks_from_events(events)
+    t = t.withColumn("k", scrape_of(F.col("binance_timestamp"))).where(F.col("k").between(1, max_k))
+    bts, rts, sts = F.col("binance_timestamp"), F.col("received_timestamp"), F.col("stored_timestamp")
+    before = bts / F.lit(1000.0)
+    after = before + F.lit(5) + F.col("event_id") % 40
+    server = F.floor(before) + (F.col("event_id") * 31) % 20
+    return t.select(
+        "symbol", "k", "event_id", "user_id", "partition", "binance_timestamp",
+        F.round(F.col("price") * F.lit(100.0)).cast("long").alias("cents"),
+        (sts - bts).alias("e2e_us"), (rts - bts).alias("net_us"),
+        F.when(F.coalesce(rts, F.lit(0)) != 0, sts - rts).alias("sys_us"),
+        L.e2e_latency(sts, bts).alias("e2e"), L.network_latency(rts, bts).alias("net"),
+        L.system_latency(sts, rts).alias("sys"),
+        L.clock_skew(before, after, server).alias("skew"), L.round_trip(before, after).alias("rtt"),
+        N.envelope_error(envelope_json()).alias("feed_error"),
+        N.price_record_error(consumer_key(), consumer_value()).alias("consumer_error"),
+    )
+
+
+def increments(events: DataFrame, alerts_df: DataFrame | None = None,
+               max_k: int = FIXTURE_SCRAPES) -> tuple[DataFrame, DataFrame]:
+    """One aggregation per (symbol, k) -> (counter increments, gauge observations),
+    both long: family, part, labels, le, k, inc/value, ..."""
+    rows = scrape_rows(events, max_k)
+    ce, ge = _counter_entries(), _gauge_entries()
+    aggs = [a.alias(f"_c{i}") for i, (*_, a, _s) in enumerate(ce)]
+    aggs += [x for i, (_, _, v, ot, _) in enumerate(ge) for x in (v.alias(f"_g{i}"), ot.alias(f"_o{i}"))]
+    wide = rows.groupBy("symbol", "partition", "k").agg(*aggs)
+    cstructs = [F.struct(F.lit(f).alias("family"), F.lit(p).alias("part"), lab.alias("labels"),
+                         F.lit(le).cast("double").alias("le"), F.col(f"_c{i}").cast("long").alias("inc"),
+                         F.lit(float(sc)).alias("scale"))
+                for i, (f, p, lab, le, _, sc) in enumerate(ce)]
+    counters_inc = wide.select("k", F.inline(F.array(*cstructs)))
+    if alerts_df is not None:
+        a = alerts_df.withColumn("k", scrape_of(epoch_micros("window_end"))).where(
+            F.col("k").between(1, max_k))
+        a = a.groupBy("alert_type", "symbol", "k").agg(F.count(F.lit(1)).alias("inc")).select(
+            "k", F.lit("alerts_total").alias("family"), F.lit("").alias("part"),
+            _lab(alert_type=F.col("alert_type"), symbol=F.col("symbol")).alias("labels"),
+            F.lit(None).cast("double").alias("le"), "inc", F.lit(1.0).alias("scale"))
+        counters_inc = counters_inc.unionByName(a)
+    gstructs = [F.struct(F.lit(f).alias("family"), lab.alias("labels"), F.col(f"_g{i}").alias("value"),
+                         F.col(f"_o{i}").alias("obs"), F.lit(mode).alias("mode"))
+                for i, (f, lab, _, _, mode) in enumerate(ge)]
+    gauge_obs = wide.select("k", F.inline(F.array(*gstructs)))
+    return counters_inc, gauge_obs
+
+
+def _who() -> Column:
+    return F.coalesce(F.col("labels")["symbol"], F.col("labels")["name"])
+
+
+def _not_gap(k: Column) -> Column:
+    who = _who()
+    return who.isNull() | (who != GAP_SYMBOL) | ~(k % 50).between(1, 6)
+
+
+def _ts(k: Column) -> Column:
+    return (F.lit(FIXTURE_ORIGIN) + k * F.lit(FIXTURE_STEP)).alias("ts")
+
+
+def counters(inc: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
+    """Cumulative counter samples on the scrape grid with the planted resets
+    and gaps. Output: family, part, labels, series, le, ts, value."""
+    keys = list(SERIES_COLS)
+    inc = inc.withColumn("series", series_key(F.col("labels")))
+    per_k = inc.groupBy(*keys, "k").agg(F.sum("inc").alias("inc"), F.first("scale").alias("scale"))
     w = Window.partitionBy(*keys).orderBy("k")
-    cum = F.sum(F.coalesce(F.col("inc"), F.lit(0))).over(w)
-    j = j.withColumn("cum", cum)
-    who = F.coalesce(F.col("labels")["symbol"], F.col("labels")["name"])
+    whole = Window.partitionBy(*keys)
+    x = (per_k.withColumn("cum", F.sum("inc").over(w))
+         .withColumn("nk", F.lead("k").over(w))
+         .withColumn("k0", F.min("k").over(whole))
+         .withColumn("used", F.max("inc").over(whole)))
+    x = x.where(~F.col("family").isin(*ON_FIRST_USE) | (F.col("used") > 0))
+    lo = F.when(F.col("k") == F.col("k0"), F.lit(1)).otherwise(F.col("k"))
+    hi = F.coalesce(F.col("nk") - 1, F.lit(max_k))
+    e = x.select(*keys, "k", "cum", "scale", F.explode(F.sequence(lo, hi)).alias("kk"))
+    e = e.select(*keys, "scale", F.col("kk").alias("k"),
+                 F.when(F.col("kk") < F.col("k"), F.lit(0)).otherwise(F.col("cum")).alias("cum"))
+    e = e.withColumn("labels", F.when(F.col("series") == "", F.create_map().cast("map<string,string>"))
+                     .otherwise(F.str_to_map("series", F.lit(","), F.lit("="))))
     base = F.max(F.when(F.col("k") % 100 == 0, F.col("cum"))).over(w)
-    exact = F.when(who == RESET_SYMBOL, F.col("cum") - F.coalesce(base, F.lit(0))).otherwise(F.col("cum"))
-    j = j.withColumn("value", exact.cast("double") / F.col("scale"))
-    j = j.where(~((who == GAP_SYMBOL) & (F.col("k") % 50).between(1, 6)) | who.isNull())
-    return j.select("family", "part", "labels", "series", "le",
-                    (F.lit(FIXTURE_ORIGIN) + F.col("k") * F.lit(FIXTURE_STEP)).alias("ts"), "value")
+    exact = F.when(_who() == RESET_SYMBOL, F.col("cum") - F.coalesce(base, F.lit(0))).otherwise(F.col("cum"))
+    e = e.withColumn("value", exact.cast("double") / F.col("scale")).where(_not_gap(F.col("k")))
+    return e.select("family", "part", "labels", "series", "le", _ts(F.col("k")), "value")
 
 
 def gauges(obs: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
     """Gauge samples: at each scrape the last value observed at or before it
-    (no sample before the first observation). ``obs``: family, labels, k,
-    value with one row per (series, k)."""
-    o = obs.withColumn("series", series_key(F.col("labels")))
+    (none before the first observation), with the planted gaps."""
+    obs = obs.withColumn("series", series_key(F.col("labels")))
     keys = ["family", "series"]
-    ids = o.select(*keys, "labels").dropDuplicates(keys)
-    grid = ids.select("*", F.explode(F.sequence(F.lit(1), F.lit(max_k))).alias("k"))
-    j = grid.join(o.select(*keys, "k", "value"), keys + ["k"], "left")
-    w = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    j = j.withColumn("value", F.last("value", ignorenulls=True).over(w)).where(F.col("value").isNotNull())
-    who = F.coalesce(F.col("labels")["symbol"], F.col("labels")["name"])
-    j = j.where(~((who == GAP_SYMBOL) & (F.col("k") % 50).between(1, 6)) | who.isNull())
-    return j.select("family", F.lit("").alias("part"), "labels", "series",
-                    F.lit(None).cast("double").alias("le"),
-                    (F.lit(FIXTURE_ORIGIN) + F.col("k") * F.lit(FIXTURE_STEP)).alias("ts"), "value")
-
-
-def gauge_observations(ticks: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
-    """Last-seen gauge values per (series, k): container memory (user id of the
-    last event), clock skew / round trip of the last probe, and the messages
-    a partition received during the scrape interval (its consumer lag when
-    the consumer commits once per scrape)."""
-    t = ticks.withColumn("k", scrape_of(F.col("binance_timestamp"))).where(
-        F.col("k").between(1, max_k))
-    mem = t.groupBy("symbol", "k").agg(F.max_by("user_id", "binance_timestamp").cast("double").alias("value"))
-    mem = mem.select(F.lit("memory_working_set_bytes").alias("family"),
-                     F.create_map(F.lit("name"), F.col("symbol")).alias("labels"), "k", "value")
-    before = F.col("binance_timestamp") / F.lit(1000.0)
-    probes = t.select("k", "binance_timestamp",
-                      L.clock_skew(before, before + F.lit(5) + F.col("event_id") % 40,
-                                   F.floor(before) + (F.col("event_id") * 31) % 20).alias("skew"),
-                      L.round_trip(before, before + F.lit(5) + F.col("event_id") % 40).alias("rtt"))
-    last = probes.groupBy("k").agg(F.max_by("skew", "binance_timestamp").alias("skew"),
-                                   F.max_by("rtt", "binance_timestamp").alias("rtt"))
-    empty = F.create_map().cast("map<string,string>")
-    clock = last.select("k", F.inline(F.array(
-        F.struct(F.lit("clock_skew_seconds").alias("family"), empty.alias("labels"), F.col("skew").alias("value")),
-        F.struct(F.lit("api_round_trip_seconds").alias("family"), empty.alias("labels"), F.col("rtt").alias("value")),
-    ))).select("family", "labels", "k", "value")
-    lag = t.groupBy("partition", "k").agg(F.count(F.lit(1)).cast("double").alias("value"))
-    lag = lag.select(F.lit("partition_lag").alias("family"),
-                     F.create_map(F.lit("partition"), F.col("partition").cast("string")).alias("labels"),
-                     "k", "value")
-    return mem.unionByName(clock).unionByName(lag)
+    per_k = obs.groupBy(*keys, "k").agg(
+        F.max_by("value", "obs").alias("last"), F.sum("value").alias("total"),
+        F.max((F.col("mode") == "sum").cast("int")).alias("additive"))
+    per_k = per_k.select(*keys, "k", F.when(F.col("additive") == 1, F.col("total"))
+                         .otherwise(F.col("last")).alias("value")).where(F.col("value").isNotNull())
+    w = Window.partitionBy(*keys).orderBy("k")
+    x = per_k.withColumn("nk", F.lead("k").over(w))
+    hi = F.coalesce(F.col("nk") - 1, F.lit(max_k))
+    e = x.select(*keys, "value", F.explode(F.sequence(F.col("k"), hi)).alias("k"))
+    e = e.withColumn("labels", F.when(F.col("series") == "", F.create_map().cast("map<string,string>"))
+                     .otherwise(F.str_to_map("series", F.lit(","), F.lit("="))))
+    e = e.where(_not_gap(F.col("k")))
+    return e.select("family", F.lit("").alias("part"), "labels", "series",
+                    F.lit(None).cast("double").alias("le"), _ts(F.col("k")), F.col("value").cast("double"))
+
+
+def source_series(events: DataFrame, alerts_df: DataFrame | None = None,
+                  max_k: int = FIXTURE_SCRAPES) -> tuple[DataFrame, DataFrame]:
+    """(counter samples, gauge samples) derived from the events (+ alerts)."""
+    inc, obs = increments(events, alerts_df, max_k)
+    return counters(inc, max_k), gauges(obs, max_k)
 
 
 def source_samples(spark, events: DataFrame, alerts_df: DataFrame | None = None,
                    max_k: int = FIXTURE_SCRAPES) -> DataFrame:
-    """All derived series (S + R + error/alert counters + gauges), long form:
-    family, part, labels, series, le, ts (epoch s), value."""
-    from candlewick.sources.ticks import ticks_from_events
-    t = ticks_from_events(events)
-    inc = tick_increments(t, max_k)
-    feed = N.rejects(N.classify_envelopes(trade_envelopes(t)))
-    inc = inc.unionByName(count_increments(feed, "feed_errors_total",
-                                           epoch_micros("event_time"), ["error_type"], max_k))
-    cons = N.rejects(N.classify_price_records(consumer_records(t)))
-    inc = inc.unionByName(count_increments(cons, "consumer_rejects_total",
-                                           F.col("stored_timestamp"), ["error_type"], max_k))
-    probe_fail = t.where(F.col("event_id") % 40 >= 38)
-    inc = inc.unionByName(count_increments(probe_fail, "time_request_errors_total",
-                                           F.col("binance_timestamp"), [], max_k))
-    if alerts_df is not None:
-        inc = inc.unionByName(count_increments(alerts_df, "alerts_total", epoch_micros("window_end"),
-                                               ["alert_type", "symbol"], max_k))
-    return counters(inc, max_k).unionByName(gauges(gauge_observations(t, max_k), max_k))
+    """All derived series, long form: family, part, labels, series, le, ts, value."""
+    c, g = source_series(events, alerts_df, max_k)
+    return c.unionByName(g)

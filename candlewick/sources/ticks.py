@@ -80,22 +80,29 @@ def price_records(ticks: DataFrame, topic: str = "prices") -> DataFrame:
     )
 
 
-def consumer_records(ticks: DataFrame) -> DataFrame:
-    """Fixture M: price records with planted consumer-side faults.
+def consumer_key(ticks_eid: str = "event_id") -> Column:
+    """Fixture M key: the symbol, NULL when event_id % 71 = 0."""
+    return F.when(F.col(ticks_eid) % 71 == 0, F.lit(None).cast("string")).otherwise(F.col("symbol"))
 
-    key NULL when event_id % 71 = 0; binance_timestamp 0 when % 67 = 0;
-    received_timestamp 0 when % 61 = 0. ``stored_timestamp`` is carried as the
-    time the consumer finished the write.
-    """
+
+def consumer_value() -> Column:
+    """Fixture M value: price JSON with binance_timestamp 0 when event_id % 67 = 0
+    and received_timestamp 0 when event_id % 61 = 0."""
     eid = F.col("event_id")
-    key = F.when(eid % 71 == 0, F.lit(None).cast("string")).otherwise(F.col("symbol"))
     bts = F.when(eid % 67 == 0, F.lit(0).cast("long")).otherwise(F.col("binance_timestamp"))
     rts = F.when(eid % 61 == 0, F.lit(0).cast("long")).otherwise(F.col("received_timestamp"))
-    value = F.to_json(F.struct(F.col("price"), bts.alias("binance_timestamp"),
-                               rts.alias("received_timestamp")))
+    return F.to_json(F.struct(F.col("price"), bts.alias("binance_timestamp"),
+                              rts.alias("received_timestamp")))
+
+
+def consumer_records(ticks: DataFrame) -> DataFrame:
+    """Fixture M: price records with planted consumer-side faults.
+
+    ``stored_timestamp`` is carried as the time the consumer finished the write.
+    """
     return ticks.select(
-        key.cast("binary").alias("key"),
-        value.cast("binary").alias("value"),
+        consumer_key().cast("binary").alias("key"),
+        consumer_value().cast("binary").alias("value"),
         F.lit("prices").alias("topic"),
         F.col("partition").cast("int").alias("partition"),
         F.col("offset").cast("long").alias("offset"),
@@ -103,8 +110,8 @@ def consumer_records(ticks: DataFrame) -> DataFrame:
     )
 
 
-def trade_envelopes(ticks: DataFrame) -> DataFrame:
-    """Fixture E: raw feed envelopes with planted faults (first match wins).
+def envelope_json() -> Column:
+    """Fixture E: raw feed envelope text with planted faults (first match wins).
 
     %97 bad JSON; %89 trade time in ms; %83 no price; %79 no ``data`` key;
     %73 no symbol; else a well-formed combined-stream envelope.
@@ -120,10 +127,14 @@ def trade_envelopes(ticks: DataFrame) -> DataFrame:
         return F.to_json(F.struct(stream.alias("stream"),
                                   F.struct(*[c.alias(k) for k, c in data.items()]).alias("data")))
 
-    value = (F.when(eid % 97 == 0, F.lit("{bad"))
-             .when(eid % 89 == 0, env(s=s, p=p, T=F.floor(t / 1000)))
-             .when(eid % 83 == 0, env(s=s, T=t))
-             .when(eid % 79 == 0, F.to_json(F.struct(stream.alias("stream"))))
-             .when(eid % 73 == 0, env(p=p, T=t))
-             .otherwise(env(s=s, p=p, T=t)))
-    return ticks.select(eid.alias("event_id"), F.col("event_time"), value.alias("value"))
+    return (F.when(eid % 97 == 0, F.lit("{bad"))
+            .when(eid % 89 == 0, env(s=s, p=p, T=F.floor(t / 1000)))
+            .when(eid % 83 == 0, env(s=s, T=t))
+            .when(eid % 79 == 0, F.to_json(F.struct(stream.alias("stream"))))
+            .when(eid % 73 == 0, env(p=p, T=t))
+            .otherwise(env(s=s, p=p, T=t)))
+
+
+def trade_envelopes(ticks: DataFrame) -> DataFrame:
+    """Fixture E as rows: event_id, event_time, value (envelope text)."""
+    return ticks.select(F.col("event_id"), F.col("event_time"), envelope_json().alias("value"))
