@@ -17,9 +17,28 @@ from candlewick.schemas import ALERT_SCHEMA, PRICE_SCHEMA
 _MAP = "map<string,string>"
 
 
-def _envelope_parts(value: Column):
-    top = F.from_json(value, _MAP)
-    data = F.from_json(top["data"], _MAP)
+def _fence(*fields: Column) -> Column:
+    """Emit derived fields through a one-row generator.
+
+    A filter on generator output is never pushed below the generator, so
+    later filters on these fields (good / rejects) cannot inline - and so
+    re-evaluate - the JSON parsing they are derived from."""
+    return F.inline(F.array(F.struct(*fields)))
+
+
+def with_envelope_maps(df: DataFrame, value: Column, prefix: str = "_env") -> DataFrame:
+    """Parse envelope text once into two map columns (``<prefix>_top``,
+    ``<prefix>_data``). Each parse is its own projection, so Catalyst keeps it
+    materialised instead of re-parsing it for every field that reads it."""
+    df = df.withColumn(f"{prefix}_top", F.from_json(value, _MAP))
+    return df.withColumn(f"{prefix}_data", F.from_json(F.col(f"{prefix}_top")["data"], _MAP))
+
+
+def envelope_fields(top: Column, data: Column):
+    """(error, symbol, price, trade_time) from parsed envelope maps.
+
+    error: NULL (good), 'json_decode', 'processing', or 'ignored' for a
+    message without a ``data`` key."""
     has_s = F.map_contains_key(data, "s")
     trade_time = data["T"].try_cast("bigint")
     price = data["p"].try_cast("double")
@@ -34,12 +53,6 @@ def _envelope_parts(value: Column):
     return error, symbol, price, trade_time
 
 
-def envelope_error(value: Column) -> Column:
-    """Error class of a raw feed envelope: NULL (good), 'json_decode',
-    'processing', or 'ignored' for a message without a ``data`` key."""
-    return _envelope_parts(value)[0]
-
-
 def classify_envelopes(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse feed envelopes and attach ``error_type`` (NULL for good rows).
 
@@ -47,12 +60,14 @@ def classify_envelopes(raw: DataFrame, value_col: str = "value") -> DataFrame:
     handler ignores them. Good rows carry symbol (lower-cased, default
     'unknown'), price (double) and binance_timestamp (µs).
     """
-    error, symbol, price, trade_time = _envelope_parts(F.col(value_col))
-    parsed = raw.select(*[c for c in raw.columns if c != value_col], error.alias("error_type"),
-                        symbol.alias("_s"), price.alias("_p"), trade_time.alias("_t"))
+    keep = [c for c in raw.columns if c != value_col]
+    parsed = with_envelope_maps(raw, F.col(value_col))
+    error, symbol, price, trade_time = envelope_fields(F.col("_env_top"), F.col("_env_data"))
+    parsed = parsed.select(*keep, _fence(error.alias("error_type"), symbol.alias("_s"), price.alias("_p"),
+                                         trade_time.alias("_t")))
     ok = F.col("error_type").isNull()
     return parsed.where(F.coalesce(F.col("error_type"), F.lit("")) != "ignored").select(
-        *[c for c in raw.columns if c != value_col],
+        *keep,
         F.when(ok, F.col("_s")).alias("symbol"),
         F.when(ok, F.col("_p")).alias("price"),
         F.when(ok, F.col("_t")).alias("binance_timestamp"),
@@ -93,29 +108,34 @@ def decode_price_records(records: DataFrame) -> DataFrame:
     )
 
 
-def price_record_error(key: Column, value: Column) -> Column:
-    """Prices-consumer validation: 'invalid_message' for an empty/absent key or
-    a value that is not a JSON object, 'missing_timestamp' for an absent or
-    zero binance_timestamp, NULL for a valid record."""
+def price_record_error(key: Column, obj: Column) -> Column:
+    """Prices-consumer validation from the key and the value parsed as a map
+    (``from_json(value, 'map<string,string>')``): 'invalid_message' for an
+    empty/absent key or a value that is not a JSON object, 'missing_timestamp'
+    for an absent or zero binance_timestamp, NULL for a valid record."""
     k = key.cast("string")
-    obj = F.from_json(value.cast("string"), _MAP)
     bts = obj["binance_timestamp"].try_cast("bigint")
     return (F.when((F.coalesce(k, F.lit("")) == "") | obj.isNull(), F.lit("invalid_message"))
             .when(F.coalesce(bts, F.lit(0)) == 0, F.lit("missing_timestamp")))
 
 
+def with_value_map(df: DataFrame, value: Column, name: str = "_obj") -> DataFrame:
+    """Parse a JSON value once into a map column (kept as its own projection)."""
+    return df.withColumn(name, F.from_json(value.cast("string"), _MAP))
+
+
 def classify_price_records(records: DataFrame) -> DataFrame:
     """Prices-consumer validation of Kafka records; adds ``error_type``."""
-    obj = F.from_json(F.col("value").cast("string"), _MAP)
     keep = [c for c in records.columns if c not in ("key", "value")]
-    return records.select(
-        *keep,
+    parsed = with_value_map(records, F.col("value"))
+    obj = F.col("_obj")
+    return parsed.select(*keep, _fence(
         F.col("key").cast("string").alias("symbol"),
         obj["price"].try_cast("double").alias("price"),
         obj["binance_timestamp"].try_cast("bigint").alias("binance_timestamp"),
         obj["received_timestamp"].try_cast("bigint").alias("received_timestamp"),
-        price_record_error(F.col("key"), F.col("value")).alias("error_type"),
-    )
+        price_record_error(F.col("key"), obj).alias("error_type"),
+    ))
 
 
 def classify_alert_records(records: DataFrame) -> DataFrame:

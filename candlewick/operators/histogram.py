@@ -27,7 +27,7 @@ def histogram(df: DataFrame, value: str, bounds, keys=("symbol",)) -> DataFrame:
 
 
 def quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), keys=("symbol",),
-              accuracy: int = 1_000_000) -> DataFrame:
+              accuracy: int = 10_000) -> DataFrame:
     """Per-key quantiles: the smallest value whose cumulative share reaches q.
 
     Uses Spark's mergeable quantile summary (``percentile_approx``): memory
@@ -41,7 +41,7 @@ def quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), keys=("symbol",),
 
 
 def series_summary(df: DataFrame, value: str = "value", time: str = "t", keys=("series",),
-                   accuracy: int = 1_000_000) -> DataFrame:
+                   accuracy: int = 10_000) -> DataFrame:
     """Legend reducers over each series: mean, median, population stdDev,
     min, max and the last value in time. NaN points are left out."""
     v = F.col(value)

@@ -106,6 +106,10 @@ def scrape_rows(events: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
     before = bts / F.lit(1000.0)
     after = before + F.lit(5) + F.col("event_id") % 40
     server = F.floor(before) + (F.col("event_id") * 31) % 20
+    # Each message is built and parsed once, in its own projection.
+    t = N.with_envelope_maps(t.withColumn("_env", envelope_json()), F.col("_env"))
+    t = N.with_value_map(t.withColumn("_cval", consumer_value()), F.col("_cval"))
+    feed_error = N.envelope_fields(F.col("_env_top"), F.col("_env_data"))[0]
     return t.select(
         "symbol", "k", "event_id", "user_id", "partition", "binance_timestamp",
         F.round(F.col("price") * F.lit(100.0)).cast("long").alias("cents"),
@@ -114,8 +118,8 @@ def scrape_rows(events: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
         L.e2e_latency(sts, bts).alias("e2e"), L.network_latency(rts, bts).alias("net"),
         L.system_latency(sts, rts).alias("sys"),
         L.clock_skew(before, after, server).alias("skew"), L.round_trip(before, after).alias("rtt"),
-        N.envelope_error(envelope_json()).alias("feed_error"),
-        N.price_record_error(consumer_key(), consumer_value()).alias("consumer_error"),
+        feed_error.alias("feed_error"),
+        N.price_record_error(consumer_key(), F.col("_obj")).alias("consumer_error"),
     )
 
 
