@@ -89,3 +89,23 @@ def start_alert_log_job(records: DataFrame, checkpoint: str, table: str, n: int
     if name:
         w = w.queryName(name)
     return _trigger(w, available_now, processing_time).start()
+
+
+def write_ticks(records: DataFrame, *, sink: str = "files", path: str | None = None, topic: str = "prices",
+                bootstrap: str | None = None, checkpoint: str | None = None, available_now: bool = False):
+    """Price sink (A4): records keyed by symbol. For Kafka the key picks the
+    topic partition; for files the rows are hash-partitioned by key so that a
+    symbol's messages stay together, as on the topic. Batch or streaming."""
+    if sink == "files":
+        records = records.repartition("key")
+    if records.isStreaming:
+        w = records.writeStream.option("checkpointLocation", checkpoint)
+        w = _trigger(w, available_now, "0 seconds")
+        if sink == "kafka":
+            return (w.format("kafka").option("kafka.bootstrap.servers", bootstrap or "localhost:9092")
+                    .option("topic", topic).start())
+        return w.format("parquet").start(path)
+    if sink == "kafka":
+        return (records.select("key", "value").write.format("kafka")
+                .option("kafka.bootstrap.servers", bootstrap or "localhost:9092").option("topic", topic).save())
+    return records.write.mode("append").parquet(path)

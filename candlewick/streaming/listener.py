@@ -66,3 +66,33 @@ def progress_metrics(progress: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("batches"),
         F.try_divide(F.sum("input_rows").cast("double"), F.sum("batch_seconds")).alias("rows_per_sec"))
     return h.join(totals, "query_id")
+
+
+def progress_samples(progress: DataFrame) -> DataFrame:
+    """Progress rows -> cumulative metric samples in the long form the
+    catalogue evaluates (family, part, labels, le, ts, value): the batch
+    duration histogram and the input/output/batch counters (D16)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("query_id").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    ts = F.unix_timestamp("ts").cast("double")
+    lab = F.create_map(F.lit("query"), F.col("query_id"))
+    out = F.when(F.col("output_rows") >= 0, F.col("output_rows")).otherwise(F.lit(0))
+    base = progress.select("query_id", "batch_id", ts.alias("ts"), lab.alias("labels"),
+                           F.sum("input_rows").over(w).cast("double").alias("input_rows"),
+                           F.sum(out).over(w).cast("double").alias("output_rows"),
+                           F.count(F.lit(1)).over(w).cast("double").alias("batches"),
+                           F.sum("batch_seconds").over(w).alias("dur_sum"),
+                           *[F.sum((F.col("batch_seconds") <= F.lit(b)).cast("int")).over(w).cast("double")
+                             .alias(f"le_{i}") for i, b in enumerate(BOUNDS_BATCH_DURATION)])
+    entries = [("spark_input_rows_total", "", None, "input_rows"),
+               ("spark_output_rows_total", "", None, "output_rows"),
+               ("spark_batches_completed_total", "", None, "batches"),
+               ("spark_batch_duration_seconds", "sum", None, "dur_sum"),
+               ("spark_batch_duration_seconds", "count", None, "batches"),
+               ("spark_batch_duration_seconds", "bucket", float("inf"), "batches")]
+    entries += [("spark_batch_duration_seconds", "bucket", float(b), f"le_{i}")
+                for i, b in enumerate(BOUNDS_BATCH_DURATION)]
+    structs = [F.struct(F.lit(f).alias("family"), F.lit(p).alias("part"), F.lit(le).cast("double").alias("le"),
+                        F.col(c).alias("value")) for f, p, le, c in entries]
+    return base.select("labels", "ts", F.inline(F.array(*structs))).select(
+        "family", "part", "labels", "le", "ts", "value")

@@ -140,3 +140,25 @@ def test_sinks_are_idempotent_per_batch(spark, scratch):
     g(spark.createDataFrame(rows[2:], schema), 1)
     kept = sorted(r.symbol for r in read_latest_version(spark, log).collect())
     assert kept == ["s2", "s3", "s4"]
+
+
+def test_alert_json_and_progress_samples(spark):
+    from candlewick.operators.alerts import alert_messages
+    from candlewick.streaming.listener import progress_frame, progress_samples
+    df = spark.createDataFrame(
+        [("btc", dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 1, 0, 1), 100.0, 102.0, 0.02, "SELL")],
+        "symbol string, window_start timestamp, window_end timestamp, open_price double, close_price double, "
+        "percent_change double, alert_type string")
+    r = alert_messages(df).first()
+    assert r.key == "btc"
+    assert json.loads(r.value) == {"symbol": "btc", "window_start": "2024-01-01T00:00:00.000Z",
+                                   "window_end": "2024-01-01T00:01:00.000Z", "open_price": 100.0,
+                                   "close_price": 102.0, "percent_change": 0.02, "alert_type": "SELL"}
+    prog = progress_frame(spark, [("q", 0, "2024-01-01T00:00:00Z", 0.3, 10, 1),
+                                  ("q", 1, "2024-01-01T00:00:05Z", 2.5, 5, -1)])
+    s = {(x.family, x.part, x.le, x.ts): x.value for x in progress_samples(prog).collect()}
+    t1 = 1704067205.0
+    assert s[("spark_input_rows_total", "", None, t1)] == 15.0
+    assert s[("spark_output_rows_total", "", None, t1)] == 1.0
+    assert s[("spark_batch_duration_seconds", "bucket", 0.5, t1)] == 1.0
+    assert s[("spark_batch_duration_seconds", "bucket", 5.0, t1)] == 2.0
