@@ -29,11 +29,29 @@ def ts_col(c="t"):
 
 
 def samples(spark, sf_dir):
+    """Samples derived afresh from the events (used to time the derivation)."""
     return source_samples(spark, load(spark, sf_dir, "events"), alerts_1h(spark, sf_dir))
 
 
+def stored(spark, sf_dir):
+    """(counters, gauges) from the sample store of this input snapshot."""
+    from candlewick.sources.store import materialised
+
+    def build():
+        c, g = source_series(load(spark, sf_dir, "events"), alerts_1h(spark, sf_dir))
+        return {"counters": c, "gauges": g}
+    parts = materialised(spark, "samples", [f"{sf_dir.rstrip('/')}/events.parquet"], build)
+    cols = ["family", "part", "labels", "series", "le", "ts", "value"]
+    return parts["counters"].select(*cols), parts["gauges"].select(*cols)
+
+
+def stored_samples(spark, sf_dir):
+    c, g = stored(spark, sf_dir)
+    return c.unionByName(g)
+
+
 def rates_of(spark, sf_dir, family):
-    s = samples(spark, sf_dir).where(F.col("family") == family)
+    s = stored(spark, sf_dir)[0].where(F.col("family") == family)
     return SE.range_rate(s, FIXTURE_RANGE, GRID)
 
 
@@ -86,7 +104,7 @@ ASOF = HEAD + "," + Q.asof_ctes()
 
 
 def gauges_of(spark, sf_dir, family):
-    s = samples(spark, sf_dir).where(F.col("family") == family)
+    s = stored(spark, sf_dir)[1].where(F.col("family") == family)
     return SE.asof(s, FIXTURE_LOOKBACK, GRID)
 
 
@@ -130,7 +148,7 @@ def samples_in_range(spark, sf_dir):
   FROM samples WHERE coalesce(error_type, '') = 'missing_timestamp' OR
                      (family = 'alerts_total' AND coalesce(alert_type, '') = 'SELL' AND coalesce(symbol, '') <> 'view')""")
 def label_match(spark, sf_dir):
-    s = samples(spark, sf_dir)
+    s = stored_samples(spark, sf_dir)
     a = SE.match(s, error_type="missing_timestamp")
     b = SE.match(s.where(F.col("family") == "alerts_total"), alert_type="SELL", symbol=("!=", "view"))
     return finish(_flat(a.unionByName(b)))
@@ -154,7 +172,7 @@ def alerts_buy_sell_rate(spark, sf_dir):
   SELECT {_t('coalesce(n.t, s.t)')} AS t, {S.r6('n.value')} AS network_avg, {S.r6('s.value')} AS system_avg
   FROM n FULL OUTER JOIN s ON n.t = s.t""")
 def latency_breakdown(spark, sf_dir):
-    s = samples(spark, sf_dir).where(F.col("family").isin("network_latency_seconds", "system_latency_seconds")
+    s = stored(spark, sf_dir)[0].where(F.col("family").isin("network_latency_seconds", "system_latency_seconds")
                                      & (F.col("part") != "bucket"))
     r = SE.range_rate(s, FIXTURE_RANGE, GRID)
     m = SE.rate_mean(r, keys=("t", "family"))
@@ -186,7 +204,7 @@ def error_rate_default0(spark, sf_dir):
   SELECT {_t('a.t')} AS t, {S.r6('a.value + b.value')} AS errors_per_sec
   FROM ({_or0_sql('consumer_rejects_total')}) a JOIN ({_or0_sql('feed_errors_total')}) b ON a.t = b.t""")
 def error_rate_total(spark, sf_dir):
-    r = samples(spark, sf_dir).where(F.col("family").isin("consumer_rejects_total", "feed_errors_total"))
+    r = stored(spark, sf_dir)[0].where(F.col("family").isin("consumer_rejects_total", "feed_errors_total"))
     per = SE.range_rate(r, FIXTURE_RANGE, GRID).groupBy("t", "family").agg(F.sum("value").alias("v"))
     g = SE.default_on_grid(
         per.groupBy("t").agg(F.sum("v").alias("value")), GRID, 0.0, spark)
@@ -215,7 +233,7 @@ CATALOG_SQL = HEAD + "," + Q.catalog_ctes()
 
 def catalog_long(spark, sf_dir, specs=None):
     from candlewick.plans.catalog import ALL_SPECS
-    c, g = source_series(load(spark, sf_dir, "events"), alerts_1h(spark, sf_dir))
+    c, g = stored(spark, sf_dir)
     return evaluate(spark, c, g, GRID, FIXTURE_RANGE, FIXTURE_LOOKBACK, specs=specs or ALL_SPECS)
 
 
