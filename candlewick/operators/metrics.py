@@ -1,12 +1,12 @@
 """Catalogue evaluation: every spec from one shared rate pass and one as-of pass.
 
 Plan shape (independent of the number of specs):
-  samples -> Exchange(series) -> Window(lag) -> Generate(grid points)
-          -> HashAggregate(series, t)            [same partitioning, no shuffle]
-  (+ the same for gauges with lead)
-  -> BroadcastHashJoin(source -> catalogue family)   [fixed mapping table]
-  -> BroadcastHashJoin(family = spec.family AND matchers)   [fixed spec table]
-  -> HashAggregate(spec, t, le) -> HashAggregate(spec, t) -> per-kind value
+  counter samples -> Exchange(series) -> Window(lag) -> Generate(grid points)
+                  -> HashAggregate(series, t)        [same partitioning, no shuffle]
+  gauge samples   -> Exchange(series) -> Window(lead) -> Generate(grid points)
+  -> BroadcastHashJoin on (family, part, kind) with the fixed plan table
+     (catalogue x family mapping, resolved once in Python)
+  -> HashAggregate(spec, t, le) -> value per kind (quantiles: windows over le)
 """
 
 from __future__ import annotations
@@ -101,8 +101,8 @@ def evaluate(spark: SparkSession, counters: DataFrame, gauges: DataFrame, grid:
         F.sum(F.when(F.col("part") == "count", F.col("value"))).alias("c"))
     hist = bucket_quantile(lvl1.where(F.col("kind") == "hist_q").select(*keys, "le", F.col("v").alias("r")),
                            keys, "q")
-    flat = lvl1.where(F.col("kind") != "hist_q").groupBy(*keys).agg(
-        F.sum("v").alias("v"), F.sum("s").alias("s"), F.sum("c").alias("c"))
+    # Outside histograms ``le`` is NULL, so lvl1 already has one row per key.
+    flat = lvl1.where(F.col("kind") != "hist_q")
     s, c = F.col("s"), F.col("c")
     value = (F.when(F.col("kind") == "rate_mean", F.when(s.isNotNull() & c.isNotNull(), _div(s, c)))
              .otherwise(F.col("v")))

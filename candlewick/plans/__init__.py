@@ -1,5 +1,4 @@
-"""Registered queries (Spark) and their DuckDB oracle statements."""
+"""Registered queries (Spark) and their DuckDB oracle statements.
 
-from candlewick.plans.registry import ORACLES, QUERIES, entry_query
-
-__all__ = ["QUERIES", "ORACLES", "entry_query"]
+Import ``candlewick.plans.registry`` for QUERIES / ORACLES / entry_query.
+"""
