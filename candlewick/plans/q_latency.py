@@ -127,7 +127,7 @@ def q_consumer_lag(spark, sf_dir):
     return _lag(spark, sf_dir)
 
 
-@register("consumer_lag_total", f"""SELECT sum(end_offset - coalesce(committed_offset, -1)) AS lag
+@register("consumer_lag_total", f"""SELECT CAST(sum(end_offset - coalesce(committed_offset, -1)) AS BIGINT) AS lag
   FROM ({_LAG_SQL})""")
 def q_consumer_lag_total(spark, sf_dir):
     return total_lag(_lag(spark, sf_dir))

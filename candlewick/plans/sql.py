@@ -10,7 +10,7 @@ TICKS = """
   SELECT event_id, event_type AS symbol, value AS price, epoch_us(ts) AS bts,
          epoch_us(ts) + 1000 + (event_id * 7919) % 400000 AS rts,
          epoch_us(ts) + 1000 + (event_id * 7919) % 400000 + 500 + (event_id * 104729) % 60000 AS sts,
-         ts AS event_time, length(event_type) % 3 AS part, event_id AS offs
+         ts AS event_time, CAST(length(event_type) % 3 AS INTEGER) AS part, event_id AS offs
   FROM events
 """
 

@@ -14,8 +14,20 @@ _RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Target ~128 MB post-shuffle partitions; AQE coalesces small ones.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> SparkSession:
+    """Keep streaming state (open windows per symbol) in RocksDB instead of the
+    JVM heap - for feeds with many symbols. Applies to queries started
+    afterwards; an existing checkpoint keeps the provider it was created with."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    return spark
+
 
 def get_session(master: str | None = None, app: str = "candlewick",
                 shuffle_partitions: int | None = None, **conf) -> SparkSession:
