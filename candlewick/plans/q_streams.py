@@ -83,3 +83,26 @@ def streamed_alert_log(spark, sf_dir):
     return finish(t.select("symbol", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                            F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                            "open_price", "close_price", "percent_change", "alert_type"))
+
+
+REPLAY_FILES = 4
+
+
+@register("streamed_progress", f"""SELECT CAST(count(*) AS BIGINT) AS input_rows,
+  CAST({REPLAY_FILES} AS BIGINT) AS batches_with_data FROM events""")
+def streamed_progress(spark, sf_dir):
+    """Micro-batch progress of a replay (one file per trigger) turned into
+    counters (D16, I7): rows read and batches that carried data. Progress
+    rows are per batch, so what reaches the driver is bounded by the batch
+    count, not by the data."""
+    from candlewick.streaming.listener import progress_frame
+    root = _run_dir(spark, "progress")
+    recs = price_records(ticks(spark, sf_dir))
+    recs.repartitionByRange(REPLAY_FILES, "offset").write.parquet(f"{root}/prices")
+    src = read_topic(spark, "prices", source="files", path=f"{root}/prices", files_per_trigger=1)
+    q = start_alert_job(src, f"{root}/ckpt", sink="files", path=f"{root}/alerts", window="1 hour",
+                        available_now=True)
+    q.awaitTermination()
+    prog = progress_frame(spark, q.recentProgress)
+    return prog.agg(F.sum("input_rows").cast("long").alias("input_rows"),
+                    F.count_if(F.col("input_rows") > 0).cast("long").alias("batches_with_data"))
