@@ -140,14 +140,9 @@ def classify_price_records(records: DataFrame) -> DataFrame:
 
 def classify_alert_records(records: DataFrame) -> DataFrame:
     """Alerts-consumer validation: key non-empty and value a JSON object."""
+    keep = [c for c in records.columns if c not in ("key", "value")]
+    parsed = with_value_map(records, F.col("value"))
     key = F.col("key").cast("string")
-    obj = F.from_json(F.col("value").cast("string"), _MAP)
+    error = F.when((F.coalesce(key, F.lit("")) == "") | F.col("_obj").isNull(), F.lit("invalid_message"))
     alert = F.from_json(F.col("value").cast("string"), ALERT_SCHEMA)
-    error = F.when((F.coalesce(key, F.lit("")) == "") | obj.isNull(), F.lit("invalid_message"))
-    keep = [c for c in records.columns if c not in ("key", "value")]
-    return records.select(*keep, key.alias("key"), alert.alias("alert"), error.alias("error_type"))
-
-
-def symbol_of(c: Column) -> Column:
-    """Lower-case symbol with the feed default."""
-    return F.lower(F.coalesce(c, F.lit(UNKNOWN_SYMBOL)))
+    return parsed.select(*keep, _fence(key.alias("key"), alert.alias("alert"), error.alias("error_type")))

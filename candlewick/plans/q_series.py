@@ -251,8 +251,8 @@ def catalog_metrics(spark, sf_dir):
   SELECT count(DISTINCT metric) AS metrics, count(DISTINCT t) AS timestamps FROM catalog
   WHERE metric IN ({_CAT_NAMES})""")
 def metric_coverage(spark, sf_dir):
-    c = catalog_long(spark, sf_dir, CATALOG)
-    return c.agg(F.count_distinct("metric").alias("metrics"), F.count_distinct("t").alias("timestamps"))
+    from candlewick.operators.counts import coverage
+    return coverage(catalog_long(spark, sf_dir, CATALOG), metric="metric", ts="t")
 
 
 PANEL_SQL_PARTS = []

@@ -3,7 +3,7 @@
 import csv
 import glob
 
-from candlewick.operators.export import export_metadata, metadata_dict, wide, write_metrics_csv
+from candlewick.operators.export import export_metadata, metadata_dict, wide, write_metadata, write_metrics_csv
 
 
 def test_wide_csv_and_metadata(spark, scratch):
@@ -27,6 +27,11 @@ def test_wide_csv_and_metadata(spark, scratch):
     assert meta["columns"] == ["a_metric", "b_metric"]
     assert meta["metrics_exported"] == ["a_metric", "b_metric", "c_metric"]
     assert meta["num_timestamps"] == 2
+    m = export_metadata(spark, w, "exp1", "2024-01-01T00:00:00", "2024-01-01T00:02:00", "5s", ["a_metric"])
+    write_metadata(m, f"{scratch}/meta")
+    import json
+    files = glob.glob(f"{scratch}/meta/part-*.json")
+    assert len(files) == 1 and json.loads(open(files[0]).read())["experiment_name"] == "exp1"
 
 
 def test_duplicate_series_rejected(spark, scratch):

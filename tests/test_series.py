@@ -115,3 +115,10 @@ def test_no_range_join_in_plan(spark):
     plan = SE.range_rate(frame(spark, series), 60, SE.Grid(0, 5, 0, 100))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_ratio_one_to_one(spark):
+    num = spark.createDataFrame([(1, 2.0), (2, 0.0), (3, 1.0)], "t long, value double")
+    den = spark.createDataFrame([(1, 4.0), (2, 0.0), (4, 1.0)], "t long, value double")
+    got = {r.t: r.value for r in SE.ratio(num, den).collect()}
+    assert set(got) == {1, 2} and got[1] == 0.5 and math.isnan(got[2])
