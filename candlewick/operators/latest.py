@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick.functions.symbols import symbol_list
+from candlewick.session import BROADCAST_ROW_LIMIT, bounded_broadcast
 
 PRICE_FIELDS = ("price", "binance_timestamp", "received_timestamp")
 
@@ -25,15 +26,19 @@ def latest_price(ticks: DataFrame, by: str = "offset", fields=PRICE_FIELDS,
 def configured_symbols(spark: SparkSession, pairs: str) -> DataFrame:
     """A configuration string of pairs -> (pos, symbol), first position kept.
 
-    The list comes from configuration, so its size is bounded by it."""
+    The list comes from configuration: at most ``pairs.count(',') + 1`` rows."""
     one = spark.range(1).select(F.posexplode(symbol_list(F.lit(pairs))).alias("pos", "symbol"))
-    return one.groupBy("symbol").agg(F.min("pos").alias("pos"))
+    out = one.groupBy("symbol").agg(F.min("pos").alias("pos"))
+    out.max_rows = pairs.count(",") + 1
+    return out
 
 
 def current_prices(latest: DataFrame, symbols: DataFrame) -> DataFrame:
     """Configured symbols joined to their latest price, in configuration order;
     symbols without a price are left out. The configured list is broadcast
-    (its size is that of the configuration), the price table is not moved."""
-    return (latest.join(F.broadcast(symbols), "symbol", "inner")
+    when its configured size is within the broadcast limit; the price table
+    is never moved for it."""
+    rows = getattr(symbols, "max_rows", BROADCAST_ROW_LIMIT + 1)
+    return (latest.join(bounded_broadcast(symbols, rows), "symbol", "inner")
             .select("pos", "symbol", *[c for c in latest.columns if c != "symbol"])
             .orderBy("pos"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from candlewick.operators.series import Grid, _div, asof, bucket_quantile, range_rate
 from candlewick.plans.catalog import ALL_SPECS, FAMILY_SOURCES, GAUGE_SOURCES, Spec
+from candlewick.session import bounded_broadcast
 
 MAX_SLOTS = 3
 PLAN_SCHEMA = T.StructType([
@@ -77,9 +78,10 @@ def _slot_ok(i: int) -> Column:
 def evaluate(spark: SparkSession, counters: DataFrame, gauges: DataFrame, grid: Grid, range_s: int,
              lookback_s: int, specs: list[Spec] = ALL_SPECS, mapping=FAMILY_SOURCES) -> DataFrame:
     """All specs over counter and gauge samples -> (metric, by_value, t, value)."""
-    plan = plan_frame(spark, specs, mapping)
+    plan_rows = spec_plan(specs, mapping)
+    plan = spark.createDataFrame(plan_rows, PLAN_SCHEMA)
     fam = F.col("family")
-    needed = sorted({r[4] for r in spec_plan(specs, mapping)})
+    needed = sorted({r[4] for r in plan_rows})
     rates = range_rate(counters.where(fam.isin(needed)), range_s, grid)
     gauge_pts = asof(gauges.where(fam.isin(needed)), lookback_s, grid)
     cols = ["family", "part", "labels", "le", "t", "value"]
@@ -88,7 +90,7 @@ def evaluate(spark: SparkSession, counters: DataFrame, gauges: DataFrame, grid:
     # Equi-join on (family, part, kind) against the small fixed plan table.
     cond = ((pts["family"] == plan["source"]) & (pts["part"] == plan["src_part"])
             & (pts["kind_of"] == plan["src_kind"]))
-    j = pts.join(F.broadcast(plan), cond)
+    j = pts.join(bounded_broadcast(plan, len(plan_rows)), cond)
     for i in range(MAX_SLOTS):
         j = j.where(_slot_ok(i))
     by_value = F.when(F.col("by").isNotNull(),
@@ -126,7 +128,8 @@ def panel_series(spark: SparkSession, metrics: DataFrame, grid: Grid, panels) ->
     count as 0); ``ratio`` needs both terms; ``by`` lines are one per label value.
     """
     pf = panel_frame(spark, panels)
-    m = metrics.join(F.broadcast(pf), metrics["metric"] == pf["term"])
+    n_terms = sum(len(p.terms) for p in panels)
+    m = metrics.join(bounded_broadcast(pf, n_terms), metrics["metric"] == pf["term"])
     series = F.when(F.col("op") == "by", F.col("by_value")).otherwise(F.col("legend"))
     m = m.select("panel", series.alias("series"), "op", "pos", "t", "value")
     # Grid points for lines that default to 0: generated per line, not joined.

@@ -72,3 +72,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
+
+
+BROADCAST_ROW_LIMIT = 100_000
+
+
+def bounded_broadcast(df, rows: int, limit: int = BROADCAST_ROW_LIMIT):
+    """Broadcast ``df`` only when its row count - known on the driver from
+    configuration, not from the data - is within ``limit``; otherwise leave
+    the join strategy to Spark (sort-merge / AQE)."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if rows <= limit else df
