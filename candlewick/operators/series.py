@@ -17,6 +17,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SERIES_KEYS = ("family", "part", "series", "le")
+
+
+def series_id(*cols: str) -> Column:
+    """One string key for a series. Windows partition on it rather than on the
+    separate columns: Spark normalises floating keys (``le``) in a window's
+    partitioning but not in a later aggregate's distribution, which would cost
+    an extra shuffle; hash partitioning on this single key satisfies both."""
+    return F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
 NAN = float("nan")
 INF = float("inf")
 
@@ -98,15 +106,16 @@ def range_rate(samples: DataFrame, range_s: int, grid: Grid, is_rate: bool = Tru
     least two samples in the range for a point. Reset correction counts a
     drop only when the previous sample is inside the same range.
     """
-    s = with_series(samples).select(*SERIES_KEYS, F.col("ts").cast("double").alias("ts"),
+    s = with_series(samples).select(series_id(*SERIES_KEYS).alias("_sk"), *SERIES_KEYS,
+                                    F.col("ts").cast("double").alias("ts"),
                                     F.col("value").cast("double").alias("v"))
-    w = Window.partitionBy(*SERIES_KEYS).orderBy("ts")
+    w = Window.partitionBy("_sk").orderBy("ts")
     s = s.withColumn("pv", F.lag("v").over(w)).withColumn("pts", F.lag("ts").over(w))
     pts = _grid_points(F.col("ts"), range_s, grid)
     e = s.select("*", F.explode(pts).alias("j")).withColumn("t", grid.t(F.col("j")).cast("double"))
     lower = F.col("t") - F.lit(float(range_s))
     reset = F.when((F.col("pts") > lower) & (F.col("v") < F.col("pv")), F.col("pv")).otherwise(F.lit(0.0))
-    g = e.groupBy(*SERIES_KEYS, "t").agg(
+    g = e.groupBy("_sk", *SERIES_KEYS, "t").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("ts").alias("t0"), F.max("ts").alias("t1"),
         F.min_by("v", "ts").alias("v0"), F.max_by("v", "ts").alias("v1"),
@@ -136,8 +145,8 @@ def asof(samples: DataFrame, lookback_s: int, grid: Grid) -> DataFrame:
     the grid points before the next sample of its series; each (series, t)
     then has exactly one row and no aggregation is needed.
     """
-    s = with_series(samples)
-    w = Window.partitionBy(*SERIES_KEYS).orderBy("ts")
+    s = with_series(samples).withColumn("_sk", series_id(*SERIES_KEYS))
+    w = Window.partitionBy("_sk").orderBy("ts")
     s = s.withColumn("nts", F.lead("ts").over(w))
     pts = _grid_points(F.col("ts").cast("double"), lookback_s, grid,
                        upto=F.col("nts").cast("double"))
@@ -181,9 +190,9 @@ def bucket_quantile(per_le: DataFrame, keys, q: Column | float | str = "q", r: s
     """
     keys = list(keys)
     qc = F.col(q) if isinstance(q, str) else (q if isinstance(q, Column) else F.lit(float(q)))
-    w = Window.partitionBy(*keys).orderBy("le")
-    whole = Window.partitionBy(*keys)
-    b = (per_le.withColumn("_q", qc)
+    w = Window.partitionBy("_qk").orderBy("le")
+    whole = Window.partitionBy("_qk")
+    b = (per_le.withColumn("_qk", series_id(*keys)).withColumn("_q", qc)
          .withColumn("rm", F.max(r).over(w.rowsBetween(Window.unboundedPreceding, 0)))
          .withColumn("idx", F.row_number().over(w))
          .withColumn("lo", F.coalesce(F.lag("le").over(w), F.lit(0.0)))
@@ -193,7 +202,7 @@ def bucket_quantile(per_le: DataFrame, keys, q: Column | float | str = "q", r: s
     b = b.withColumn("r_lo", F.coalesce(F.lag("rm").over(w), F.lit(0.0)))
     b = b.withColumn("total", F.max(F.when(F.col("le") == F.lit(INF), F.col("rm"))).over(whole))
     cand = F.when(F.col("rm") >= F.col("_q") * F.col("total"), F.col("idx"))
-    g = b.groupBy(*keys).agg(
+    g = b.groupBy("_qk", *keys).agg(
         F.first("_q").alias("_q"), F.first("nb").alias("nb"), F.first("top").alias("top"),
         F.first("max_finite").alias("max_finite"), F.first("total").alias("total"),
         F.min(cand).alias("pick"), F.min_by("le", cand).alias("le_b"), F.min_by("rm", cand).alias("r_b"),

@@ -50,8 +50,11 @@ def stored_samples(spark, sf_dir):
     return c.unionByName(g)
 
 
-def rates_of(spark, sf_dir, family):
+def rates_of(spark, sf_dir, family, parts=None):
+    """Rates of one family (optionally some parts); filters apply to the scan."""
     s = stored(spark, sf_dir)[0].where(F.col("family") == family)
+    if parts is not None:
+        s = s.where(F.col("part").isin(*parts))
     return SE.range_rate(s, FIXTURE_RANGE, GRID)
 
 
@@ -82,7 +85,7 @@ _MEAN_SQL = """
 @register("rate_mean", RATES + f"""
   SELECT {_t()} AS t, {S.r6('value')} AS mean_seconds FROM ({_MEAN_SQL.format(fam='e2e_latency_seconds')})""")
 def rate_mean(spark, sf_dir):
-    m = SE.rate_mean(rates_of(spark, sf_dir, "e2e_latency_seconds").where(F.col("part") != "bucket"))
+    m = SE.rate_mean(rates_of(spark, sf_dir, "e2e_latency_seconds", parts=("sum", "count")))
     return finish(m.select(ts_col(), F.col("value").alias("mean_seconds")))
 
 
@@ -90,7 +93,7 @@ for _q in (0.5, 0.95, 0.99):
     _n = f"hist_p{int(round(_q * 100))}"
 
     def _fn(spark, sf_dir, _q=_q):
-        b = rates_of(spark, sf_dir, "e2e_latency_seconds").where(F.col("part") == "bucket")
+        b = rates_of(spark, sf_dir, "e2e_latency_seconds", parts=("bucket",))
         h = SE.histogram_quantile(_q, b)
         return finish(h.select(ts_col(), F.col("value").alias("quantile_seconds")))
     register(_n, RATES + f""",
