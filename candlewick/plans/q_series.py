@@ -16,7 +16,7 @@ from candlewick.plans import sql_series as Q
 from candlewick.plans.catalog import CATALOG, PANELS
 from candlewick.plans.common import finish, register
 from candlewick.plans.q_candles import _ALERTS_1H, alerts_1h
-from candlewick.sources.samples import source_samples, source_series
+from candlewick.sources.samples import source_samples
 from candlewick.sources.tables import load
 
 GRID = SE.Grid(FIXTURE_ORIGIN, FIXTURE_STEP, 1, FIXTURE_SCRAPES)
@@ -30,19 +30,18 @@ def ts_col(c="t"):
 
 def samples(spark, sf_dir):
     """Samples derived afresh from the events (used to time the derivation)."""
-    return source_samples(spark, load(spark, sf_dir, "events"), alerts_1h(spark, sf_dir))
+    return source_samples(spark, load(spark, sf_dir, "events"), alerts_1h(spark, sf_dir)).drop("kind")
 
 
 def stored(spark, sf_dir):
     """(counters, gauges) from the sample store of this input snapshot."""
+    from candlewick.sources.samples import split
     from candlewick.sources.store import materialised
 
     def build():
-        c, g = source_series(load(spark, sf_dir, "events"), alerts_1h(spark, sf_dir))
-        return {"counters": c, "gauges": g}
+        return {"samples": samples(spark, sf_dir)}
     parts = materialised(spark, "samples", [f"{sf_dir.rstrip('/')}/events.parquet"], build)
-    cols = ["family", "part", "labels", "series", "le", "ts", "value"]
-    return parts["counters"].select(*cols), parts["gauges"].select(*cols)
+    return split(parts["samples"])
 
 
 def stored_samples(spark, sf_dir):

@@ -124,32 +124,38 @@ def scrape_rows(events: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
 
 
 def increments(events: DataFrame, alerts_df: DataFrame | None = None,
-               max_k: int = FIXTURE_SCRAPES) -> tuple[DataFrame, DataFrame]:
-    """One aggregation per (symbol, k) -> (counter increments, gauge observations),
-    both long: family, part, labels, le, k, inc/value, ..."""
+               max_k: int = FIXTURE_SCRAPES) -> DataFrame:
+    """One aggregation per (symbol, k) -> counter increments and gauge
+    observations in one long frame (``kind`` 'c' / 'g'): a single ``inline``
+    over the aggregated row, never split into branches, so the events are
+    scanned and aggregated once."""
     rows = scrape_rows(events, max_k)
     ce, ge = _counter_entries(), _gauge_entries()
-    aggs = [a.alias(f"_c{i}") for i, (*_, a, _s) in enumerate(ce)]
+    aggs = [e[4].alias(f"_c{i}") for i, e in enumerate(ce)]
     aggs += [x for i, (_, _, v, ot, _) in enumerate(ge) for x in (v.alias(f"_g{i}"), ot.alias(f"_o{i}"))]
     wide = rows.groupBy("symbol", "partition", "k").agg(*aggs)
-    cstructs = [F.struct(F.lit(f).alias("family"), F.lit(p).alias("part"), lab.alias("labels"),
-                         F.lit(le).cast("double").alias("le"), F.col(f"_c{i}").cast("long").alias("inc"),
-                         F.lit(float(sc)).alias("scale"))
-                for i, (f, p, lab, le, _, sc) in enumerate(ce)]
-    counters_inc = wide.select("k", F.inline(F.array(*cstructs)))
+    none_l, none_d = F.lit(None).cast("long"), F.lit(None).cast("double")
+    structs = [F.struct(F.lit("c").alias("kind"), F.lit(f).alias("family"), F.lit(p).alias("part"),
+                        lab.alias("labels"), F.lit(le).cast("double").alias("le"),
+                        F.col(f"_c{i}").cast("long").alias("inc"), F.lit(float(sc)).alias("scale"),
+                        none_d.alias("value"), none_l.alias("obs"), F.lit(None).cast("string").alias("mode"))
+               for i, (f, p, lab, le, _, sc) in enumerate(ce)]
+    structs += [F.struct(F.lit("g").alias("kind"), F.lit(f).alias("family"), F.lit("").alias("part"),
+                         lab.alias("labels"), none_d.alias("le"), none_l.alias("inc"), none_d.alias("scale"),
+                         F.col(f"_g{i}").cast("double").alias("value"), F.col(f"_o{i}").alias("obs"),
+                         F.lit(mode).alias("mode"))
+                for i, (f, lab, _, _, mode) in enumerate(ge)]
+    long = wide.select("k", F.inline(F.array(*structs)))
     if alerts_df is not None:
         a = alerts_df.withColumn("k", scrape_of(epoch_micros("window_end"))).where(
             F.col("k").between(1, max_k))
         a = a.groupBy("alert_type", "symbol", "k").agg(F.count(F.lit(1)).alias("inc")).select(
-            "k", F.lit("alerts_total").alias("family"), F.lit("").alias("part"),
+            "k", F.lit("c").alias("kind"), F.lit("alerts_total").alias("family"), F.lit("").alias("part"),
             _lab(alert_type=F.col("alert_type"), symbol=F.col("symbol")).alias("labels"),
-            F.lit(None).cast("double").alias("le"), "inc", F.lit(1.0).alias("scale"))
-        counters_inc = counters_inc.unionByName(a)
-    gstructs = [F.struct(F.lit(f).alias("family"), lab.alias("labels"), F.col(f"_g{i}").alias("value"),
-                         F.col(f"_o{i}").alias("obs"), F.lit(mode).alias("mode"))
-                for i, (f, lab, _, _, mode) in enumerate(ge)]
-    gauge_obs = wide.select("k", F.inline(F.array(*gstructs)))
-    return counters_inc, gauge_obs
+            none_d.alias("le"), "inc", F.lit(1.0).alias("scale"), none_d.alias("value"), none_l.alias("obs"),
+            F.lit(None).cast("string").alias("mode"))
+        long = long.unionByName(a)
+    return long
 
 
 def _who() -> Column:
@@ -161,66 +167,67 @@ def _not_gap(k: Column) -> Column:
     return who.isNull() | (who != GAP_SYMBOL) | ~(k % 50).between(1, 6)
 
 
-def _ts(k: Column) -> Column:
-    return (F.lit(FIXTURE_ORIGIN) + k * F.lit(FIXTURE_STEP)).alias("ts")
-
-
-def counters(inc: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
-    """Cumulative counter samples on the scrape grid with the planted resets
-    and gaps. Output: family, part, labels, series, le, ts, value."""
-    keys = list(SERIES_COLS)
-    inc = inc.withColumn("series", series_key(F.col("labels")))
-    per_k = inc.groupBy(*keys, "k").agg(F.sum("inc").alias("inc"), F.first("scale").alias("scale"))
-    w = Window.partitionBy(*keys).orderBy("k")
-    whole = Window.partitionBy(*keys)
+def fill_grid(long: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
+    """Counter increments + gauge observations (``increments``) -> samples on
+    the scrape grid.
+
+    Counters: running sum from the first scrape (zeros before the first
+    event), restarts for ``click``. Gauges: the last observation repeated
+    until the next one. Both: the planted gaps of ``view``. One repartition
+    by series, then an aggregate per (series, k) and two windows that all
+    reuse it; each series row is repeated until the series' next row by an
+    explode, so no grid is joined.
+    Output: kind ('c' counter / 'g' gauge), family, part, labels, series, le, ts, value.
+    """
+    from candlewick.operators.series import series_id
+    keys = ["kind", "family", "part", "series", "le"]
+    u = long.withColumn("additive", F.coalesce((F.col("mode") == "sum").cast("int"), F.lit(0)))
+    u = u.withColumn("series", series_key(F.col("labels")))
+    u = u.withColumn("_sk", series_id(*keys)).repartition("_sk")
+    per_k = u.groupBy("_sk", *keys, "k").agg(
+        F.sum("inc").alias("inc"), F.first("scale").alias("scale"),
+        F.max_by("value", "obs").alias("last"), F.sum("value").alias("total"),
+        F.max("additive").alias("additive"))
+    is_c = F.col("kind") == "c"
+    gval = F.when(F.col("additive") == 1, F.col("total")).otherwise(F.col("last"))
+    per_k = per_k.withColumn("gval", gval).where(is_c | F.col("gval").isNotNull())
+    w = Window.partitionBy("_sk").orderBy("k")
+    whole = Window.partitionBy("_sk")
     x = (per_k.withColumn("cum", F.sum("inc").over(w))
          .withColumn("nk", F.lead("k").over(w))
          .withColumn("k0", F.min("k").over(whole))
          .withColumn("used", F.max("inc").over(whole)))
-    x = x.where(~F.col("family").isin(*ON_FIRST_USE) | (F.col("used") > 0))
-    lo = F.when(F.col("k") == F.col("k0"), F.lit(1)).otherwise(F.col("k"))
+    x = x.where(~(is_c & F.col("family").isin(*ON_FIRST_USE)) | (F.col("used") > 0))
+    lo = F.when(is_c & (F.col("k") == F.col("k0")), F.lit(1)).otherwise(F.col("k"))
     hi = F.coalesce(F.col("nk") - 1, F.lit(max_k))
-    e = x.select(*keys, "k", "cum", "scale", F.explode(F.sequence(lo, hi)).alias("kk"))
-    e = e.select(*keys, "scale", F.col("kk").alias("k"),
+    e = x.select("_sk", *keys, "k", "cum", "scale", "gval", F.explode(F.sequence(lo, hi)).alias("kk"))
+    e = e.select("_sk", *keys, "scale", "gval", F.col("kk").alias("k"),
                  F.when(F.col("kk") < F.col("k"), F.lit(0)).otherwise(F.col("cum")).alias("cum"))
     e = e.withColumn("labels", F.when(F.col("series") == "", F.create_map().cast("map<string,string>"))
                      .otherwise(F.str_to_map("series", F.lit(","), F.lit("="))))
     base = F.max(F.when(F.col("k") % 100 == 0, F.col("cum"))).over(w)
     exact = F.when(_who() == RESET_SYMBOL, F.col("cum") - F.coalesce(base, F.lit(0))).otherwise(F.col("cum"))
-    e = e.withColumn("value", exact.cast("double") / F.col("scale")).where(_not_gap(F.col("k")))
-    return e.select("family", "part", "labels", "series", "le", _ts(F.col("k")), "value")
+    value = F.when(is_c, exact.cast("double") / F.col("scale")).otherwise(F.col("gval"))
+    e = e.withColumn("value", value).where(_not_gap(F.col("k")))
+    ts = (F.lit(FIXTURE_ORIGIN) + F.col("k") * F.lit(FIXTURE_STEP)).alias("ts")
+    return e.select("kind", "family", "part", "labels", "series", "le", ts, "value")
 
 
-def gauges(obs: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
-    """Gauge samples: at each scrape the last value observed at or before it
-    (none before the first observation), with the planted gaps."""
-    obs = obs.withColumn("series", series_key(F.col("labels")))
-    keys = ["family", "series"]
-    per_k = obs.groupBy(*keys, "k").agg(
-        F.max_by("value", "obs").alias("last"), F.sum("value").alias("total"),
-        F.max((F.col("mode") == "sum").cast("int")).alias("additive"))
-    per_k = per_k.select(*keys, "k", F.when(F.col("additive") == 1, F.col("total"))
-                         .otherwise(F.col("last")).alias("value")).where(F.col("value").isNotNull())
-    w = Window.partitionBy(*keys).orderBy("k")
-    x = per_k.withColumn("nk", F.lead("k").over(w))
-    hi = F.coalesce(F.col("nk") - 1, F.lit(max_k))
-    e = x.select(*keys, "value", F.explode(F.sequence(F.col("k"), hi)).alias("k"))
-    e = e.withColumn("labels", F.when(F.col("series") == "", F.create_map().cast("map<string,string>"))
-                     .otherwise(F.str_to_map("series", F.lit(","), F.lit("="))))
-    e = e.where(_not_gap(F.col("k")))
-    return e.select("family", F.lit("").alias("part"), "labels", "series",
-                    F.lit(None).cast("double").alias("le"), _ts(F.col("k")), F.col("value").cast("double"))
+def source_samples(spark, events: DataFrame, alerts_df: DataFrame | None = None,
+                   max_k: int = FIXTURE_SCRAPES) -> DataFrame:
+    """All derived series, long form: kind, family, part, labels, series, le, ts, value."""
+    return fill_grid(increments(events, alerts_df, max_k), max_k)
+
+
+def split(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(counter samples, gauge samples) by family, so a family-partitioned
+    store is pruned rather than filtered."""
+    gf = F.col("family").isin(*GAUGE_FAMILIES)
+    cols = ["family", "part", "labels", "series", "le", "ts", "value"]
+    return samples.where(~gf).select(*cols), samples.where(gf).select(*cols)
 
 
 def source_series(events: DataFrame, alerts_df: DataFrame | None = None,
                   max_k: int = FIXTURE_SCRAPES) -> tuple[DataFrame, DataFrame]:
     """(counter samples, gauge samples) derived from the events (+ alerts)."""
-    inc, obs = increments(events, alerts_df, max_k)
-    return counters(inc, max_k), gauges(obs, max_k)
-
-
-def source_samples(spark, events: DataFrame, alerts_df: DataFrame | None = None,
-                   max_k: int = FIXTURE_SCRAPES) -> DataFrame:
-    """All derived series, long form: family, part, labels, series, le, ts, value."""
-    c, g = source_series(events, alerts_df, max_k)
-    return c.unionByName(g)
+    return split(source_samples(None, events, alerts_df, max_k))
