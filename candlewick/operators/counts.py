@@ -31,11 +31,14 @@ def consumer_lag(records: DataFrame, committed_before, time_col: str = "event_ti
     (end + 1 when nothing was committed, offsets start at 0) and the number
     of messages not yet consumed."""
     t = F.col(time_col)
-    consumed = t < committed_before
-    agg = records.groupBy(partition_col).agg(
+    # The cut-off (often a scalar subquery) is compared once per row.
+    flagged = records.select(partition_col, offset_col,
+                             F.coalesce(t < committed_before, F.lit(False)).alias("_consumed"))
+    consumed = F.col("_consumed")
+    agg = flagged.groupBy(partition_col).agg(
         F.max(offset_col).alias("end_offset"),
         F.max(F.when(consumed, F.col(offset_col))).alias("committed_offset"),
-        F.count_if(~consumed | t.isNull()).alias("pending"),
+        F.count_if(~consumed).alias("pending"),
     )
     return agg.withColumn(
         "lag", F.col("end_offset") - F.coalesce(F.col("committed_offset"), F.lit(-1)))
