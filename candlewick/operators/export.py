@@ -7,30 +7,37 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+def single_series(long_df: DataFrame, metric: str = "metric", time: str = "t") -> None:
+    """Each catalogue entry must evaluate to one series: at most one value per
+    (metric, timestamp). Raises otherwise (one aggregate, stops at the first hit)."""
+    dup = long_df.groupBy(metric, time).count().where(F.col("count") > 1)
+    if dup.limit(1).count() > 0:
+        raise ValueError("a metric has several series at one timestamp")
+
+
 def wide(long_df: DataFrame, metric: str = "metric", time: str = "t", value: str = "value") -> DataFrame:
     """Long (metric, t, value) -> one row per timestamp, one column per metric
-    that has data, columns sorted (an N-way full outer merge as one shuffle).
-
-    A metric with more than one value at a timestamp is an error (each
-    catalogue entry must evaluate to a single series)."""
-    dup = long_df.groupBy(metric, time).count().where(F.col("count") > 1)
+    that has data, columns sorted (an N-way full outer merge as one shuffle)."""
     out = long_df.groupBy(time).pivot(metric).agg(F.first(value))
     cols = sorted(c for c in out.columns if c != time)
-    res = out.select(F.col(time).alias("timestamp"), *[F.col(f"`{c}`") for c in cols])
-    res._duplicates = dup  # checked by write_metrics_csv before writing
-    return res
+    return out.select(F.col(time).alias("timestamp"), *[F.col(f"`{c}`") for c in cols])
 
 
 def write_metrics_csv(wide_df: DataFrame, path: str) -> None:
     """CSV with a header, rows in time order, empty string for a missing value."""
-    dup = getattr(wide_df, "_duplicates", None)
-    if dup is not None and dup.limit(1).count() > 0:
-        raise ValueError("a metric has several series at one timestamp")
     (wide_df.orderBy("timestamp").write.mode("overwrite")
      .option("header", True).option("nullValue", "").option("emptyValue", "")
      .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss").csv(path))
 
 
+def export_metrics(long_df: DataFrame, path: str) -> DataFrame:
+    """Check single series, pivot wide, write the CSV; returns the wide frame."""
+    single_series(long_df)
+    w = wide(long_df)
+    write_metrics_csv(w, path)
+    return w
+
+
 def export_metadata(spark: SparkSession, wide_df: DataFrame, name: str, start: str, end: str,
                     step: str, metrics: list[str]) -> DataFrame:
     """One-row run description: experiment name, range, duration, step, the

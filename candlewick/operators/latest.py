@@ -26,19 +26,21 @@ def latest_price(ticks: DataFrame, by: str = "offset", fields=PRICE_FIELDS,
 def configured_symbols(spark: SparkSession, pairs: str) -> DataFrame:
     """A configuration string of pairs -> (pos, symbol), first position kept.
 
-    The list comes from configuration: at most ``pairs.count(',') + 1`` rows."""
+    The list comes from configuration: at most ``max_configured(pairs)`` rows."""
     one = spark.range(1).select(F.posexplode(symbol_list(F.lit(pairs))).alias("pos", "symbol"))
-    out = one.groupBy("symbol").agg(F.min("pos").alias("pos"))
-    out.max_rows = pairs.count(",") + 1
-    return out
+    return one.groupBy("symbol").agg(F.min("pos").alias("pos"))
 
 
-def current_prices(latest: DataFrame, symbols: DataFrame) -> DataFrame:
+def max_configured(pairs: str) -> int:
+    return pairs.count(",") + 1
+
+
+def current_prices(latest: DataFrame, symbols: DataFrame, max_symbols: int | None = None) -> DataFrame:
     """Configured symbols joined to their latest price, in configuration order;
     symbols without a price are left out. The configured list is broadcast
-    when its configured size is within the broadcast limit; the price table
-    is never moved for it."""
-    rows = getattr(symbols, "max_rows", BROADCAST_ROW_LIMIT + 1)
+    when its size bound (``max_symbols``, known from the configuration) is
+    within the broadcast limit; the price table is never moved for it."""
+    rows = BROADCAST_ROW_LIMIT + 1 if max_symbols is None else max_symbols
     return (latest.join(bounded_broadcast(symbols, rows), "symbol", "inner")
             .select("pos", "symbol", *[c for c in latest.columns if c != "symbol"])
             .orderBy("pos"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import normalize as N
 from candlewick.functions import present as P
-from candlewick.operators.latest import configured_symbols, current_prices, latest_price
+from candlewick.operators.latest import configured_symbols, current_prices, latest_price, max_configured
 from candlewick.plans import sql as S
 from candlewick.plans.common import finish, register
 from candlewick.plans.q_candles import T_CTE, _ALERTS_1H, alerts_1h
@@ -45,7 +45,8 @@ def q_latest_by_event_time(spark, sf_dir):
 
 
 def board(spark, sf_dir):
-    return current_prices(latest(spark, sf_dir), configured_symbols(spark, BOARD_PAIRS))
+    return current_prices(latest(spark, sf_dir), configured_symbols(spark, BOARD_PAIRS),
+                          max_configured(BOARD_PAIRS))
 
 
 @register("current_prices_ordered", LATEST_SQL + f"""

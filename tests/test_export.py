@@ -3,7 +3,7 @@
 import csv
 import glob
 
-from candlewick.operators.export import export_metadata, metadata_dict, wide, write_metadata, write_metrics_csv
+from candlewick.operators.export import export_metadata, export_metrics, metadata_dict, wide, write_metadata, write_metrics_csv
 
 
 def test_wide_csv_and_metadata(spark, scratch):
@@ -38,4 +38,4 @@ def test_duplicate_series_rejected(spark, scratch):
     import pytest
     long = spark.createDataFrame([("m", 1, 1.0), ("m", 1, 2.0)], "metric string, t long, value double")
     with pytest.raises(ValueError):
-        write_metrics_csv(wide(long), f"{scratch}/dup")
+        export_metrics(long, f"{scratch}/dup")
