@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from candlewick.operators.series import Grid, _div, asof, bucket_quantile, range_rate
-from candlewick.plans.catalog import ALL_SPECS, FAMILY_SOURCES, GAUGE_SOURCES, Spec
+from candlewick.plans.catalog import ALL_SPECS, FAMILY_SOURCES, Spec
 from candlewick.session import bounded_broadcast
 
 MAX_SLOTS = 3

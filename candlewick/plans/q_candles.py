@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from candlewick.config import ALERT_THRESHOLD, MAX_ALERTS_SHOWN, MAX_ALERTS_STORED
 from candlewick.operators import alerts as A

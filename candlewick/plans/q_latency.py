@@ -13,8 +13,6 @@ from candlewick.plans import sql as S
 from candlewick.plans.common import finish, register, ticks
 from candlewick.plans.q_messages import MSG_CTE
 from candlewick.plans.q_prices import valid_prices
-from candlewick.sources.ticks import ticks_from_events
-from candlewick.sources.tables import load
 
 LAT_CTE = MSG_CTE + """, lat AS (
   SELECT offs, symbol,

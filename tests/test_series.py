@@ -3,7 +3,6 @@
 import math
 import random
 
-from pyspark.sql import functions as F
 
 from candlewick.operators import series as SE
 
