@@ -173,17 +173,22 @@ def fill_grid(long: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
 
     Counters: running sum from the first scrape (zeros before the first
     event), restarts for ``click``. Gauges: the last observation repeated
-    until the next one. Both: the planted gaps of ``view``. One repartition
-    by series, then an aggregate per (series, k) and two windows that all
-    reuse it; each series row is repeated until the series' next row by an
-    explode, so no grid is joined.
+    until the next one. Both: the planted gaps of ``view``. An aggregate per
+    (series, k), then two windows over one partitioning by series; each
+    series row is repeated until the series' next row by an
+    explode, so no grid is joined. A partial aggregate per (series, scrape)
+    runs before anything is co-located by series.
     Output: kind ('c' counter / 'g' gauge), family, part, labels, series, le, ts, value.
     """
     from candlewick.operators.series import series_id
     keys = ["kind", "family", "part", "series", "le"]
     u = long.withColumn("additive", F.coalesce((F.col("mode") == "sum").cast("int"), F.lit(0)))
     u = u.withColumn("series", series_key(F.col("labels")))
-    u = u.withColumn("_sk", series_id(*keys)).repartition("_sk")
+    # Combine map-side first: a series without a symbol label (clock gauges,
+    # error counters) gets one row per (symbol, scrape) and would otherwise
+    # gather them all in one task. After the aggregate, a series holds at most
+    # one row per scrape; only then is it co-located for the windows.
+    u = u.withColumn("_sk", series_id(*keys))
     per_k = u.groupBy("_sk", *keys, "k").agg(
         F.sum("inc").alias("inc"), F.first("scale").alias("scale"),
         F.max_by("value", "obs").alias("last"), F.sum("value").alias("total"),

@@ -48,3 +48,10 @@ def test_only_configuration_is_broadcast(static):
 def test_quantiles_use_bounded_sketch(static):
     p = plan_of(static, "latency_quantiles")
     assert "percentile_approx" in p and "ObjectHashAggregate" in p
+
+
+def test_series_are_combined_before_colocation(static):
+    """Samples are aggregated per (series, scrape) with a map-side combine
+    before any exchange that co-locates a whole series."""
+    p = plan_of(static, "samples_in_range")
+    assert "partial_max_by(value" in p and "partial_sum(inc" in p

@@ -189,3 +189,30 @@ def test_rocksdb_state_and_price_sink(spark, scratch):
             spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
         else:
             spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_histogram_same_in_stream_and_batch(spark, scratch):
+    """The consumer's latency histogram as a live aggregate equals the batch one."""
+    from candlewick.config import BOUNDS_E2E_LATENCY
+    from candlewick.functions import latency as L
+    from candlewick.functions import normalize as N
+    from candlewick.operators.histogram import histogram
+    from candlewick.sources.ticks import consumer_records, ticks_from_events
+    from tests.conftest import SF001
+    recs = consumer_records(ticks_from_events(spark.read.parquet(f"{SF001}/events.parquet")))
+    recs.repartition(3).write.parquet(f"{scratch}/m")
+
+    def lat(df):
+        ok = N.good(N.classify_price_records(df))
+        return histogram(ok.select("symbol", L.e2e_latency("stored_timestamp", "binance_timestamp").alias("e2e")),
+                         "e2e", BOUNDS_E2E_LATENCY)
+    name = f"hist_{uuid.uuid4().hex[:6]}"
+    src = spark.readStream.schema(spark.read.parquet(f"{scratch}/m").schema).option("maxFilesPerTrigger", 1) \
+        .parquet(f"{scratch}/m")
+    q = lat(src).writeStream.outputMode("complete").format("memory").queryName(name) \
+        .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
+    q.awaitTermination()
+    key = lambda r: (r.symbol, r.le, r.bucket_count, round(r.sum, 9), r["count"])
+    streamed = sorted(map(key, spark.table(name).collect()))
+    batch = sorted(map(key, lat(spark.read.parquet(f"{scratch}/m")).collect()))
+    assert streamed == batch and len(batch) == 5 * (len(BOUNDS_E2E_LATENCY) + 1)
