@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from candlewick.config import MICROS_DIGITS, UNKNOWN_SYMBOL
+from candlewick.config import UNKNOWN_SYMBOL
+from candlewick.functions.present import valid_micros
 from candlewick.schemas import ALERT_SCHEMA, PRICE_SCHEMA
 
 _MAP = "map<string,string>"
@@ -48,7 +49,7 @@ def envelope_fields(top: Column, data: Column):
              .when(has_s & data["s"].isNull(), F.lit("processing"))
              .when(price.isNull(), F.lit("processing"))
              .when(trade_time.isNull(), F.lit("processing"))
-             .when(F.length(trade_time.cast("string")) != MICROS_DIGITS, F.lit("processing")))
+             .when(~valid_micros(trade_time), F.lit("processing")))
     symbol = F.lower(F.when(has_s, data["s"]).otherwise(F.lit(UNKNOWN_SYMBOL)))
     return error, symbol, price, trade_time
 
@@ -146,3 +147,6 @@ def classify_alert_records(records: DataFrame) -> DataFrame:
     error = F.when((F.coalesce(key, F.lit("")) == "") | F.col("_obj").isNull(), F.lit("invalid_message"))
     alert = F.from_json(F.col("value").cast("string"), ALERT_SCHEMA)
     return parsed.select(*keep, _fence(key.alias("key"), alert.alias("alert"), error.alias("error_type")))
+
+
+decode_ticks = decode_price_records

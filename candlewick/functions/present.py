@@ -6,7 +6,7 @@ so that it is deterministic and stays inside generated code.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewick.config import ERROR_STATUS_STEPS
 
@@ -68,3 +68,33 @@ def status_of(v, steps=ERROR_STATUS_STEPS) -> Column:
 def metric_name(component, metric) -> Column:
     """Flattened catalogue name ``component_metric``."""
     return F.concat_ws("_", _c(component), _c(metric))
+
+
+def present_alerts(alert_df: DataFrame) -> DataFrame:
+    """Alert cards: upper-case symbol, signed change in percent with two
+    decimals, colour class by type, "$open -> $close"; missing fields read as
+    UNKNOWN / 0 as on the dashboard."""
+    chg = F.coalesce(F.col("percent_change"), F.lit(0.0)) * F.lit(100.0)
+    return alert_df.select(
+        F.upper(F.coalesce("symbol", F.lit("unknown"))).alias("symbol"),
+        F.coalesce("alert_type", F.lit("UNKNOWN")).alias("alert_type"),
+        alert_colour("alert_type").alias("colour"),
+        F.concat(signed_fixed2(chg), F.lit("%")).alias("change_text"),
+        F.concat(money(F.coalesce("open_price", F.lit(0.0))), F.lit(" -> "),
+                 money(F.coalesce("close_price", F.lit(0.0)))).alias("price_text"),
+        "window_start", "window_end",
+    )
+
+
+def present_prices(board: DataFrame) -> DataFrame:
+    """Price cards from the ordered board: label, "$price" and the last trade
+    time to the millisecond (UTC)."""
+    return board.select(
+        "pos", F.upper("symbol").alias("label"), money("price").alias("price_text"),
+        F.concat(F.lit("Last trade time (UTC): "), trade_time_text("binance_timestamp")).alias("caption"))
+
+
+def valid_micros(trade_time) -> Column:
+    """A trade time must be written with exactly 16 digits (epoch µs)."""
+    from candlewick.config import MICROS_DIGITS
+    return F.length(_c(trade_time).cast("string")) == MICROS_DIGITS

@@ -66,3 +66,6 @@ def newest_alerts(alert_df: DataFrame, n: int = MAX_ALERTS_SHOWN,
 def alert_log(alert_df: DataFrame, n: int = MAX_ALERTS_STORED) -> DataFrame:
     """The bounded alert log: only the ``n`` most recent alerts are kept."""
     return newest_alerts(alert_df, n)
+
+
+recent_alerts = newest_alerts

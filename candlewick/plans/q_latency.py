@@ -13,6 +13,7 @@ from candlewick.plans import sql as S
 from candlewick.plans.common import finish, register, ticks
 from candlewick.plans.q_messages import MSG_CTE
 from candlewick.plans.q_prices import valid_prices
+from candlewick.sources.streams import since
 
 LAT_CTE = MSG_CTE + """, lat AS (
   SELECT offs, symbol,
@@ -140,13 +141,6 @@ def q_throughput(spark, sf_dir):
     return finish(throughput(ticks(spark, sf_dir)))
 
 
-def since(df, minutes: int, time_col: str = "event_time"):
-    """Rows a retention-bounded replay still holds: time >= max(time) - minutes.
-    The maximum is a scalar subquery (one tiny aggregate), not a join."""
-    top = df.select(F.max(time_col)).scalar()
-    return df.where(F.col(time_col) >= top - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
-
-
 for _name, _mins in (("replay_15m", 15), ("replay_1d", 1440)):
     def _q(spark, sf_dir, _mins=_mins):
         t = ticks(spark, sf_dir)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from candlewick.functions import normalize as N
 from candlewick.functions import present as P
@@ -75,10 +74,7 @@ def _signed2_sql(x: str) -> str:
            AS caption
   FROM {BOARD_SQL} JOIN latest l USING (symbol)""")
 def q_price_cards(spark, sf_dir):
-    b = board(spark, sf_dir)
-    return b.select("pos", F.upper("symbol").alias("label"), P.money("price").alias("price_text"),
-                    F.concat(F.lit("Last trade time (UTC): "),
-                             P.trade_time_text("binance_timestamp")).alias("caption"))
+    return P.present_prices(board(spark, sf_dir))
 
 
 @register("alert_cards", T_CTE + f"""
@@ -90,14 +86,4 @@ def q_price_cards(spark, sf_dir):
          window_start, window_end
   FROM ({_ALERTS_1H})""")
 def q_alert_cards(spark, sf_dir):
-    a = alerts_1h(spark, sf_dir)
-    return a.select(
-        F.upper(F.coalesce("symbol", F.lit("unknown"))).alias("symbol"),
-        F.coalesce("alert_type", F.lit("UNKNOWN")).alias("alert_type"),
-        P.alert_colour("alert_type").alias("colour"),
-        F.concat(P.signed_fixed2(F.coalesce("percent_change", F.lit(0.0)) * F.lit(100.0)),
-                 F.lit("%")).alias("change_text"),
-        F.concat(P.money(F.coalesce("open_price", F.lit(0.0))), F.lit(" -> "),
-                 P.money(F.coalesce("close_price", F.lit(0.0)))).alias("price_text"),
-        "window_start", "window_end",
-    )
+    return P.present_alerts(alerts_1h(spark, sf_dir))

@@ -7,7 +7,7 @@ offset, timestamp, timestampType), one file per micro-batch if asked.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick.schemas import KAFKA_SCHEMA
 
@@ -44,3 +44,11 @@ def read_ticks_stream(spark: SparkSession, **kw) -> DataFrame:
 def read_alerts_stream(spark: SparkSession, **kw) -> DataFrame:
     """The alerts topic (alert records keyed by symbol)."""
     return read_topic(spark, kw.pop("topic", "alerts"), **kw)
+
+
+def since(df: DataFrame, minutes: int, time_col: str = "event_time") -> DataFrame:
+    """Rows a retention-bounded replay still holds: time >= max(time) - minutes
+    (the topic keeps 15 minutes). The maximum is a scalar subquery (one tiny
+    aggregate reading one column), not a join."""
+    top = df.select(F.max(time_col)).scalar()
+    return df.where(F.col(time_col) >= top - F.expr(f"INTERVAL {int(minutes)} MINUTES"))

@@ -109,3 +109,10 @@ def write_ticks(records: DataFrame, *, sink: str = "files", path: str | None = N
         return (records.select("key", "value").write.format("kafka")
                 .option("kafka.bootstrap.servers", bootstrap or "localhost:9092").option("topic", topic).save())
     return records.write.mode("append").parquet(path)
+
+
+def write_alerts(alert_df: DataFrame, *, sink: str = "files", path: str | None = None, topic: str = "alerts",
+                 bootstrap: str | None = None, checkpoint: str | None = None, available_now: bool = False):
+    """Alert sink (A5): key = symbol, value = alert JSON; append. Batch or stream."""
+    return write_ticks(alert_messages(alert_df), sink=sink, path=path, topic=topic, bootstrap=bootstrap,
+                       checkpoint=checkpoint, available_now=available_now)

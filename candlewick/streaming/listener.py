@@ -96,3 +96,6 @@ def progress_samples(progress: DataFrame) -> DataFrame:
                         F.col(c).alias("value")) for f, p, le, c in entries]
     return base.select("labels", "ts", F.inline(F.array(*structs))).select(
         "family", "part", "labels", "le", "ts", "value")
+
+
+progress_to_samples = progress_samples
