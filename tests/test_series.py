@@ -121,3 +121,25 @@ def test_ratio_one_to_one(spark):
     den = spark.createDataFrame([(1, 4.0), (2, 0.0), (4, 1.0)], "t long, value double")
     got = {r.t: r.value for r in SE.ratio(num, den).collect()}
     assert set(got) == {1, 2} and got[1] == 0.5 and math.isnan(got[2])
+
+
+def test_rate_invariant_to_row_order_and_partitioning(spark):
+    from pyspark.sql import functions as F
+    rnd = random.Random(3)
+    series = {n: [(float(1000 + 5 * i), float(i * rnd.randint(1, 3))) for i in range(200)] for n in "xyz"}
+    grid = SE.Grid(0, 5, 200, 400)
+    base = frame(spark, series)
+    a = sorted((r.labels["s"], r.t, r.value) for r in SE.range_rate(base, 60, grid).collect())
+    shuffled = base.repartition(11).orderBy(F.rand(5))
+    b = sorted((r.labels["s"], r.t, r.value) for r in SE.range_rate(shuffled, 60, grid).collect())
+    assert a == b
+
+
+def test_since_keeps_the_retention_horizon(spark):
+    import datetime as dt
+    from candlewick.sources.streams import since
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(i, t0 + dt.timedelta(minutes=i)) for i in range(60)],
+                               "id long, event_time timestamp_ntz")
+    kept = sorted(r.id for r in since(df, 15).collect())
+    assert kept == list(range(44, 60))   # max is minute 59; minute 44 is exactly 15 minutes before
