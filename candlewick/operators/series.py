@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SERIES_KEYS = ("family", "part", "series", "le")
+NAN = float("nan")
+INF = float("inf")
 
 
 def series_id(*cols: str) -> Column:
@@ -25,8 +27,6 @@ def series_id(*cols: str) -> Column:
     partitioning but not in a later aggregate's distribution, which would cost
     an extra shuffle; hash partitioning on this single key satisfies both."""
     return F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-NAN = float("nan")
-INF = float("inf")
 
 
 @dataclass(frozen=True)
