@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from candlewick.config import BOUNDS_E2E_LATENCY
 from candlewick.functions import latency as L
 from candlewick.operators.counts import consumer_lag, throughput, total_lag
-from candlewick.operators.histogram import histogram, quantiles
+from candlewick.operators.histogram import histogram
 from candlewick.plans import sql as S
 from candlewick.plans.common import finish, register, ticks
 from candlewick.plans.q_messages import MSG_CTE
@@ -61,7 +61,23 @@ def latency_summary(spark, sf_dir):
          {S.r6('quantile_disc(e2e_seconds, 0.99)')} AS p99
   FROM lat GROUP BY symbol""")
 def latency_quantiles(spark, sf_dir):
-    return finish(quantiles(latency_table(spark, sf_dir), "e2e_seconds"))
+    """Exact per-symbol quantiles at any scale (``exact_quantiles``); the
+    bounded sketch (``quantiles``) stays available for approximate use."""
+    from candlewick.operators.quantiles import exact_quantiles
+    return finish(exact_quantiles(latency_table(spark, sf_dir), "e2e_seconds"))
+
+
+@register("latency_quantiles_bracketed", LAT_CTE + f"""
+  SELECT symbol, {S.r6('quantile_disc(e2e_seconds, 0.5)')} AS p50,
+         {S.r6('quantile_disc(e2e_seconds, 0.95)')} AS p95,
+         {S.r6('quantile_disc(e2e_seconds, 0.99)')} AS p99
+  FROM lat GROUP BY symbol""")
+def latency_quantiles_bracketed(spark, sf_dir):
+    """Exact at any scale: bracketing rounds, then a window over at most
+    ``limit`` candidates per (symbol, q). The limit is set low here so that the
+    refinement rounds run on the test tables too."""
+    from candlewick.operators.quantiles import exact_quantiles
+    return finish(exact_quantiles(latency_table(spark, sf_dir), "e2e_seconds", limit=500))
 
 
 @register("latency_share", LAT_CTE + f"""

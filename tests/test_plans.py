@@ -45,9 +45,12 @@ def test_only_configuration_is_broadcast(static):
     assert "Range (0, 1" in p.split("BroadcastExchange")[1]   # the configured list, not the prices
 
 
-def test_quantiles_use_bounded_sketch(static):
-    p = plan_of(static, "latency_quantiles")
-    assert "percentile_approx" in p and "ObjectHashAggregate" in p
+def test_exact_quantiles_never_gather_a_group(static):
+    """No exact percentile aggregate (it buffers a whole group); the final
+    window sees only bracketed candidates."""
+    for name in ("latency_quantiles", "latency_quantiles_bracketed"):
+        p = plan_of(static, name)
+        assert "percentile(" not in p.replace("percentile_approx", "")
 
 
 def test_series_are_combined_before_colocation(static):

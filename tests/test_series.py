@@ -1,6 +1,8 @@
 """Rate, quantile and as-of operators against an independent plain-Python evaluator."""
 
 import math
+
+import pytest
 import random
 
 
@@ -143,3 +145,27 @@ def test_since_keeps_the_retention_horizon(spark):
                                "id long, event_time timestamp_ntz")
     kept = sorted(r.id for r in since(df, 15).collect())
     assert kept == list(range(44, 60))   # max is minute 59; minute 44 is exactly 15 minutes before
+
+
+def _disc(vals, q):
+    s = sorted(vals)
+    return s[max(1, math.ceil(q * len(s))) - 1]
+
+
+@pytest.mark.parametrize("limit", [10_000, 40])
+def test_exact_quantiles_against_brute_force(spark, limit):
+    from candlewick.operators.quantiles import exact_quantiles
+    rnd = random.Random(11)
+    rows = []
+    for k, n in (("hot", 3000), ("cold", 50), ("dup", 600), ("one", 1)):
+        for _ in range(n):
+            if k == "dup":
+                v = 7.0 if rnd.random() < 0.8 else rnd.random()      # a heavy duplicate run
+            else:
+                v = rnd.random() * 100
+            rows.append((k, v))
+    df = spark.createDataFrame(rows, "symbol string, v double")
+    got = {r.symbol: (r.p50, r.p95, r.p99) for r in exact_quantiles(df, "v", limit=limit, accuracy=200).collect()}
+    for k in ("hot", "cold", "dup", "one"):
+        vals = [v for s, v in rows if s == k]
+        assert got[k] == tuple(_disc(vals, q) for q in (0.5, 0.95, 0.99)), k
