@@ -28,6 +28,11 @@ _CLOSED = S.alerts_sql(S.candles_sql(S.HOUR_US), 0.0025) + \
     " AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 SECOND"
 
 
+def _state_partitions(spark) -> int:
+    """State partitions for a replay: the cluster's default parallelism."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _run_dir(spark, what: str) -> str:
     return f"{checkpoint_root(spark)}/replay-{what}-{uuid.uuid4().hex[:12]}"
 
@@ -38,7 +43,7 @@ def replay_alerts(spark, sf_dir, window="1 hour"):
     price_records(ticks(spark, sf_dir)).write.parquet(f"{root}/prices")
     src = read_topic(spark, "prices", source="files", path=f"{root}/prices")
     q = start_alert_job(src, f"{root}/ckpt", sink="files", path=f"{root}/alerts",
-                        window=window, available_now=True)
+                        window=window, available_now=True, state_partitions=_state_partitions(spark))
     q.awaitTermination()
     return root
 
@@ -101,7 +106,7 @@ def streamed_progress(spark, sf_dir):
     recs.repartitionByRange(REPLAY_FILES, "offset").write.parquet(f"{root}/prices")
     src = read_topic(spark, "prices", source="files", path=f"{root}/prices", files_per_trigger=1)
     q = start_alert_job(src, f"{root}/ckpt", sink="files", path=f"{root}/alerts", window="1 hour",
-                        available_now=True)
+                        available_now=True, state_partitions=_state_partitions(spark))
     q.awaitTermination()
     prog = progress_frame(spark, q.recentProgress)
     return prog.agg(F.sum("input_rows").cast("long").alias("input_rows"),

@@ -40,6 +40,23 @@ def alert_stream(records: DataFrame, window: str = CANDLE_WINDOW, threshold: flo
     return alerts(candles(ticks, window), threshold, with_timestamp=True)
 
 
+def _start(writer, spark, state_partitions: int | None, *args):
+    """Start a query with ``state_partitions`` state/shuffle partitions.
+
+    Streaming fixes the number of state partitions at a query's first start
+    (it is kept in the checkpoint), so the setting is applied only while the
+    query starts and the session's own value is restored afterwards."""
+    if not state_partitions:
+        return writer.start(*args)
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return writer.start(*args)
+    finally:
+        spark.conf.set(key, old)
+
+
 def _trigger(writer, available_now: bool, processing_time: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
 
@@ -47,20 +64,24 @@ def _trigger(writer, available_now: bool, processing_time: str):
 def start_alert_job(records: DataFrame, checkpoint: str, *, sink: str = "files", path: str | None = None,
                     topic: str = "alerts", bootstrap: str | None = None, window: str = CANDLE_WINDOW,
                     threshold: float = ALERT_THRESHOLD, available_now: bool = False,
-                    processing_time: str = "0 seconds", name: str | None = None) -> StreamingQuery:
-    """Start the alert query; the sink receives key = symbol, value = alert JSON."""
+                    processing_time: str = "0 seconds", name: str | None = None,
+                    state_partitions: int | None = None) -> StreamingQuery:
+    """Start the alert query; the sink receives key = symbol, value = alert JSON.
+    ``state_partitions`` fixes the state store partitions (the modelled job
+    used the topic's partition count)."""
+    spark = records.sparkSession
     out = alert_messages(alert_stream(records, window, threshold))
     w = out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     w = _trigger(w, available_now, processing_time)
     if sink == "kafka":
-        return (w.format("kafka").option("kafka.bootstrap.servers", bootstrap or "localhost:9092")
-                .option("topic", topic).start())
+        w = w.format("kafka").option("kafka.bootstrap.servers", bootstrap or "localhost:9092").option("topic", topic)
+        return _start(w, spark, state_partitions)
     if sink == "files":
-        return w.format("parquet").start(path)
+        return _start(w.format("parquet"), spark, state_partitions, path)
     if sink == "memory":
-        return w.format("memory").start()
+        return _start(w.format("memory"), spark, state_partitions)
     raise ValueError(f"unknown sink {sink!r}")
 
 
