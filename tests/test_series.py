@@ -169,3 +169,10 @@ def test_exact_quantiles_against_brute_force(spark, limit):
     for k in ("hot", "cold", "dup", "one"):
         vals = [v for s, v in rows if s == k]
         assert got[k] == tuple(_disc(vals, q) for q in (0.5, 0.95, 0.99)), k
+
+
+def test_sketch_quantiles_exact_for_small_groups(spark):
+    from candlewick.operators.histogram import quantiles
+    rows = [("a", float(i)) for i in range(1, 101)]
+    r = quantiles(spark.createDataFrame(rows, "symbol string, v double"), "v").first()
+    assert (r.p50, r.p95, r.p99) == (50.0, 95.0, 99.0)
