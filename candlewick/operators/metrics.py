@@ -65,10 +65,6 @@ def spec_plan(specs: list[Spec] = ALL_SPECS, mapping=FAMILY_SOURCES) -> list[tup
     return rows
 
 
-def plan_frame(spark: SparkSession, specs: list[Spec] = ALL_SPECS, mapping=FAMILY_SOURCES) -> DataFrame:
-    return spark.createDataFrame(spec_plan(specs, mapping), PLAN_SCHEMA)
-
-
 def _slot_ok(i: int) -> Column:
     key, op, val = F.col(f"m{i}_key"), F.col(f"m{i}_op"), F.col(f"m{i}_value")
     v = F.coalesce(F.element_at(F.col("labels"), key), F.lit(""))
