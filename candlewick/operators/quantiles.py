@@ -14,6 +14,9 @@ smallest value whose cumulative count reaches q * n), found by bracketing:
   finish    once every (key, q) has at most ``limit`` candidates, a window
             ``row_number`` over those candidates picks rank r - below
 
+When refinement is needed the (key, value) columns are checkpointed once, so
+the rounds do not re-run the pipeline that produced the values.
+
 Each round shrinks the candidates by a factor of about G/2 (G = grid points),
 so 100 TB needs two or three rounds. The driver only loops over rounds and
 reads per-round maxima; the bracket table has one row per (key, q).
@@ -55,12 +58,19 @@ def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), keys=("symb
     margin = 2.0 / accuracy
     in_bracket = (F.col("_x") > F.col("_lo")) & (F.col("_x") <= F.col("_hi")) & F.col("_ans").isNull()
     n_groups = None
+    narrowed = False
     for _ in range(max_rounds):
         top = state.agg(F.max(F.when(F.col("_ans").isNull(), F.col("_m"))).alias("m"),
                         F.count(F.lit(1)).alias("g")).first()
         n_groups = top["g"]
         if top["m"] is None or top["m"] <= limit:
             break
+        if not narrowed:
+            # Refinement reads the values two more times per round: write the
+            # two columns it needs once (reliable checkpoint in the shared
+            # folder) instead of re-running whatever produced them each time.
+            base = base.checkpoint(eager=True)
+            narrowed = True
         cand = base.join(bounded_broadcast(state, n_groups), keys).where(in_bracket)
         sketch = cand.groupBy(*keys, "_qi").agg(F.percentile_approx("_x", grid, accuracy).alias("_g"))
         want = (F.col("_r") - F.col("_below")).cast("double") / F.col("_m")
