@@ -40,6 +40,14 @@ class Grid:
     def t(self, j: Column) -> Column:
         return F.lit(self.origin) + j * F.lit(self.step)
 
+    @property
+    def start(self) -> int:
+        return self.origin + self.first * self.step
+
+    @property
+    def end(self) -> int:
+        return self.origin + self.last * self.step
+
 
 def series_key(labels: Column) -> Column:
     """Canonical text of a label set (maps cannot be grouped on)."""
@@ -106,6 +114,10 @@ def range_rate(samples: DataFrame, range_s: int, grid: Grid, is_rate: bool = Tru
     least two samples in the range for a point. Reset correction counts a
     drop only when the previous sample is inside the same range.
     """
+    # Only samples some grid point can see: (start - range, end]. A drop is a
+    # reset only when its predecessor is in the same range, so samples before
+    # the first range never matter. The filter reaches the scan.
+    samples = scan_samples(samples, grid.start, grid.end, range_s)
     s = with_series(samples).select(series_id(*SERIES_KEYS).alias("_sk"), *SERIES_KEYS,
                                     F.col("ts").cast("double").alias("ts"),
                                     F.col("value").cast("double").alias("v"))
@@ -145,6 +157,9 @@ def asof(samples: DataFrame, lookback_s: int, grid: Grid) -> DataFrame:
     the grid points before the next sample of its series; each (series, t)
     then has exactly one row and no aggregation is needed.
     """
+    # Only samples some grid point can see: (start - lookback, end]; a sample
+    # whose successor lies beyond ``end`` still serves at most up to ``end``.
+    samples = scan_samples(samples, grid.start, grid.end, lookback_s)
     s = with_series(samples).withColumn("_sk", series_id(*SERIES_KEYS))
     w = Window.partitionBy("_sk").orderBy("ts")
     s = s.withColumn("nts", F.lead("ts").over(w))
