@@ -42,6 +42,13 @@ def scrape_of(micros: Column, origin: int = FIXTURE_ORIGIN, step: int = FIXTURE_
     return F.ceil((micros - F.lit(origin * 1_000_000)) / F.lit(float(step) * 1_000_000)).cast("long")
 
 
+def _ntz(epoch_s: int) -> str:
+    """A timestamp_ntz literal for an epoch second (UTC wall time)."""
+    import datetime as dt
+    wall = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=epoch_s)
+    return f"timestamp_ntz'{wall:%Y-%m-%d %H:%M:%S}'"
+
+
 def _lab(**kv) -> Column:
     if not kv:
         return F.create_map().cast("map<string,string>")
@@ -100,6 +107,11 @@ def _gauge_entries():
 
 def scrape_rows(events: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
     """Events -> per-event columns every series needs (one projection)."""
+    # k in 1..K  <=>  origin < ts <= origin + K*step: stated on ``ts`` so the
+    # range reaches the parquet reader.
+    lo = _ntz(FIXTURE_ORIGIN)
+    hi = _ntz(FIXTURE_ORIGIN + max_k * FIXTURE_STEP)
+    events = events.where((F.col("ts") > F.expr(lo)) & (F.col("ts") <= F.expr(hi)))
     t = ticks_from_events(events)
     t = t.withColumn("k", scrape_of(F.col("binance_timestamp"))).where(F.col("k").between(1, max_k))
     bts, rts, sts = F.col("binance_timestamp"), F.col("received_timestamp"), F.col("stored_timestamp")

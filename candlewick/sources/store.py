@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.session import checkpoint_root
 
-STORE_VERSION = "samples-v5"
+STORE_VERSION = "samples-v6"
 
 
 def _fs(spark: SparkSession, path: str):
