@@ -43,11 +43,20 @@ def read_latest_version(spark: SparkSession, root: str, before: int | None = Non
     return spark.read.parquet(f"{root}/v={vs[-1]}")
 
 
-def _commit(spark: SparkSession, df: DataFrame, root: str, batch_id: int) -> None:
+KEEP_VERSIONS = 5
+
+
+def _commit(spark: SparkSession, df: DataFrame, root: str, batch_id: int, keep: int = KEEP_VERSIONS) -> None:
+    """Write version ``batch_id``, mark it committed, then drop versions older
+    than the newest ``keep`` (readers always take the newest committed one, so
+    a long-running stream does not accumulate one folder per batch)."""
     path = f"{root}/v={batch_id}"
     df.write.mode("overwrite").parquet(path)
     fs, _, jvm = _fs(spark, path)
     fs.create(jvm.org.apache.hadoop.fs.Path(path, _MARK), True).close()
+    for v in committed_versions(spark, root)[:-keep]:
+        if v < batch_id:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/v={v}"), True)
 
 
 def upsert_latest(root: str, key: str = "symbol", order: str = "offset",

@@ -216,3 +216,14 @@ def test_histogram_same_in_stream_and_batch(spark, scratch):
     streamed = sorted(map(key, spark.table(name).collect()))
     batch = sorted(map(key, lat(spark.read.parquet(f"{scratch}/m")).collect()))
     assert streamed == batch and len(batch) == 5 * (len(BOUNDS_E2E_LATENCY) + 1)
+
+
+def test_sink_versions_are_pruned(spark, scratch):
+    from candlewick.streaming.sinks import KEEP_VERSIONS, committed_versions
+    table = f"{scratch}/latest"
+    f = upsert_latest(table)
+    schema = "symbol string, price double, binance_timestamp long, received_timestamp long, offset long"
+    for b in range(KEEP_VERSIONS + 3):
+        f(spark.createDataFrame([("a", float(b), b, b, b)], schema), b)
+    assert committed_versions(spark, table) == list(range(3, KEEP_VERSIONS + 3))
+    assert read_latest_version(spark, table).first().price == float(KEEP_VERSIONS + 2)
