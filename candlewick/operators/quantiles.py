@@ -33,6 +33,27 @@ from candlewick.session import bounded_broadcast
 GRID_POINTS = 1000
 
 
+def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Null-safe equi-join on ``keys`` (a NULL key is a group like any other)."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
+
+
+def _left_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
+
+
 def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), keys=("symbol",),
                     limit: int = 100_000, accuracy: int = 10_000, max_rounds: int = 10) -> DataFrame:
     """Per-key exact quantiles (the same definition as ``quantiles``) with
@@ -71,23 +92,23 @@ def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), keys=("symb
             # folder) instead of re-running whatever produced them each time.
             base = base.checkpoint(eager=True)
             narrowed = True
-        cand = base.join(bounded_broadcast(state, n_groups), keys).where(in_bracket)
+        cand = _join_on_keys(base, bounded_broadcast(state, n_groups), keys).where(in_bracket)
         sketch = cand.groupBy(*keys, "_qi").agg(F.percentile_approx("_x", grid, accuracy).alias("_g"))
         want = (F.col("_r") - F.col("_below")).cast("double") / F.col("_m")
         lo_i = F.floor((want - F.lit(margin)) * F.lit(GRID_POINTS)) - F.lit(1)
         hi_i = F.ceil((want + F.lit(margin)) * F.lit(GRID_POINTS)) + F.lit(1)
-        prop = state.join(sketch, keys + ["_qi"], "left").select(
+        prop = _left_on_keys(state, sketch, keys + ["_qi"]).select(
             *cols,
             F.when(lo_i >= 0, F.element_at("_g", (lo_i + 1).cast("int"))).alias("_lo2"),
             F.when(hi_i <= GRID_POINTS, F.element_at("_g", (hi_i + 1).cast("int"))).alias("_hi2"))
         prop = (prop.withColumn("_lo2", F.greatest("_lo", F.coalesce("_lo2", "_lo")))
                 .withColumn("_hi2", F.least("_hi", F.coalesce("_hi2", "_hi"))))
-        chk = base.join(bounded_broadcast(prop, n_groups), keys).where(in_bracket)
+        chk = _join_on_keys(base, bounded_broadcast(prop, n_groups), keys).where(in_bracket)
         x = F.col("_x")
         c = chk.groupBy(*keys, "_qi").agg(
             F.count_if(x < F.col("_lo2")).alias("_lt_lo"), F.count_if(x <= F.col("_lo2")).alias("_le_lo"),
             F.count_if(x < F.col("_hi2")).alias("_lt_hi"), F.count_if(x <= F.col("_hi2")).alias("_le_hi"))
-        nxt = prop.join(c, keys + ["_qi"], "left").fillna(0, ["_lt_lo", "_le_lo", "_lt_hi", "_le_hi"])
+        nxt = _left_on_keys(prop, c, keys + ["_qi"]).fillna(0, ["_lt_lo", "_le_lo", "_lt_hi", "_le_hi"])
         want_r = F.col("_r") - F.col("_below")
         lo_ok = F.col("_le_lo") < want_r
         hi_ok = F.col("_le_hi") >= want_r
@@ -108,7 +129,7 @@ def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), keys=("symb
     else:
         raise RuntimeError("quantile brackets did not converge")
     st = bounded_broadcast(state, n_groups if n_groups is not None else math.inf)
-    cand = base.join(st, keys).where(in_bracket)
+    cand = _join_on_keys(base, st, keys).where(in_bracket)
     w = Window.partitionBy(*keys, "_qi").orderBy("_x")
     picked = cand.withColumn("_rn", F.row_number().over(w)).where(
         F.col("_rn") == F.col("_r") - F.col("_below")).select(*keys, "_qi", "_x")

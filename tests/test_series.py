@@ -176,3 +176,11 @@ def test_sketch_quantiles_exact_for_small_groups(spark):
     rows = [("a", float(i)) for i in range(1, 101)]
     r = quantiles(spark.createDataFrame(rows, "symbol string, v double"), "v").first()
     assert (r.p50, r.p95, r.p99) == (50.0, 95.0, 99.0)
+
+
+def test_exact_quantiles_null_key_is_a_group(spark):
+    from candlewick.operators.quantiles import exact_quantiles
+    rows = [(None, float(i)) for i in range(1, 101)] + [("a", float(i)) for i in range(1, 11)]
+    df = spark.createDataFrame(rows, "symbol string, v double")
+    got = {r.symbol: r.p50 for r in exact_quantiles(df, "v", qs=(0.5,), limit=20, accuracy=100).collect()}
+    assert got == {None: 50.0, "a": 5.0}
