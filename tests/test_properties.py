@@ -48,3 +48,55 @@ def test_exact_quantiles_match_brute_force(spark, rows, limit):
         vals = sorted(float(v) for kk, v in rows if kk == k)
         want = tuple(vals[max(1, math.ceil(q * len(vals))) - 1] for q in (0.5, 0.95, 0.99))
         assert got[k] == want
+
+
+def py_bucket_quantile(q, buckets):
+    """Plain-Python histogram quantile over (le, cumulative count) pairs."""
+    if q < 0:
+        return -math.inf
+    if q > 1:
+        return math.inf
+    b = sorted(buckets)
+    if len(b) < 2 or b[-1][0] != math.inf:
+        return math.nan
+    mono, top = [], -math.inf
+    for le, r in b:
+        top = max(top, r)
+        mono.append((le, top))
+    total = mono[-1][1]
+    if total == 0 or math.isnan(total):
+        return math.nan
+    rank = q * total
+    i = next(i for i, (_, r) in enumerate(mono) if r >= rank)
+    if i == len(mono) - 1:
+        return mono[-2][0]
+    le, r = mono[i]
+    if i == 0 and le <= 0:
+        return le
+    lo, r_lo = (mono[i - 1][0], mono[i - 1][1]) if i > 0 else (0.0, 0.0)
+    return lo + (le - lo) * ieee_div(rank - r_lo, r - r_lo)
+
+
+def ieee_div(a, b):
+    if b != 0:
+        return a / b
+    return math.nan if a == 0 else math.copysign(math.inf, a)
+
+
+bucket_sets = st.lists(
+    st.tuples(st.sampled_from([0.005, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0, math.inf]), st.integers(0, 50).map(float)),
+    min_size=1, max_size=8, unique_by=lambda x: x[0])
+
+
+@SETTINGS
+@given(st.lists(bucket_sets, min_size=1, max_size=6), st.sampled_from([0.0, 0.25, 0.5, 0.9, 0.99, 1.0]))
+def test_bucket_quantile_matches_python(spark, sets, q):
+    from candlewick.operators.series import bucket_quantile
+    rows = [(t, float(le), float(r)) for t, bs in enumerate(sets) for le, r in bs]
+    df = spark.createDataFrame(rows, "t long, le double, r double")
+    got = {r.t: r.value for r in bucket_quantile(df, ["t"], q).collect()}
+    for t, bs in enumerate(sets):
+        want = py_bucket_quantile(q, bs)
+        g = got[t]
+        assert (math.isnan(want) and math.isnan(g)) or math.isclose(g, want, rel_tol=1e-12, abs_tol=1e-12), \
+            (t, bs, q, g, want)
