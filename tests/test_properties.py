@@ -100,3 +100,44 @@ def test_bucket_quantile_matches_python(spark, sets, q):
         g = got[t]
         assert (math.isnan(want) and math.isnan(g)) or math.isclose(g, want, rel_tol=1e-12, abs_tol=1e-12), \
             (t, bs, q, g, want)
+
+
+series_st = st.lists(st.tuples(st.integers(0, 400), st.integers(0, 30)), min_size=1, max_size=40,
+                     unique_by=lambda x: x[0])
+
+
+def _frame(spark, pts):
+    rows = [("c", "", {"s": "a"}, None, float(ts), float(v)) for ts, v in pts]
+    return spark.createDataFrame(rows, "family string, part string, labels map<string,string>, le double, "
+                                       "ts double, value double")
+
+
+@SETTINGS
+@given(series_st, st.integers(10, 120))
+def test_range_rate_matches_python(spark, pts, rng):
+    from candlewick.operators.series import Grid, range_rate
+    from tests.test_series import py_rate
+    grid = Grid(0, 7, 0, 70)
+    got = {r.t: r.value for r in range_rate(_frame(spark, pts), rng, grid).collect()}
+    want = {}
+    for j in range(grid.first, grid.last + 1):
+        r = py_rate([(float(t), float(v)) for t, v in pts], j * 7, rng)
+        if r is not None:
+            want[j * 7] = r
+    assert set(got) == set(want)
+    assert all(math.isclose(got[t], want[t], rel_tol=1e-9, abs_tol=1e-12) for t in want)
+
+
+@SETTINGS
+@given(series_st, st.integers(5, 100))
+def test_asof_matches_python(spark, pts, lookback):
+    from candlewick.operators.series import Grid, asof
+    grid = Grid(0, 7, 0, 70)
+    got = {r.t: r.value for r in asof(_frame(spark, pts), lookback, grid).collect()}
+    want = {}
+    for j in range(grid.first, grid.last + 1):
+        t = j * 7
+        seen = [(ts, v) for ts, v in pts if t - lookback < ts <= t]
+        if seen:
+            want[t] = float(max(seen)[1])
+    assert got == want
