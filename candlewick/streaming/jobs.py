@@ -7,8 +7,8 @@ latest job  : price records -> consumer validation -> foreachBatch upsert of
 alert log   : alert records -> validation -> foreachBatch append + keep newest n
 
 Both branches are independent queries with their own checkpoints (I8). State
-partitions follow ``spark.sql.shuffle.partitions`` at first start; they are
-fixed by the checkpoint afterwards.
+partitions are set by ``state_partitions`` (else the session's shuffle
+partitions) at a query's first start and fixed by its checkpoint afterwards.
 """
 
 from __future__ import annotations

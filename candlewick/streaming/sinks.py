@@ -35,8 +35,8 @@ def committed_versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
-def read_latest_version(spark: SparkSession, root: str, before: int | None = None,
-                        schema: str | None = None) -> DataFrame | None:
+def read_latest_version(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+    """The newest committed version (older than ``before`` if given), or None."""
     vs = [v for v in committed_versions(spark, root) if before is None or v < before]
     if not vs:
         return None
