@@ -94,3 +94,13 @@ def test_e2e_is_network_plus_system(spark):
                         - L.network_latency("received_timestamp", "binance_timestamp")
                         - L.system_latency("stored_timestamp", "received_timestamp")) > 1e-9)
     assert bad.count() == 0
+
+
+def test_step_latency_and_clock_skew(spark):
+    from candlewick.functions import latency as L
+    df = spark.createDataFrame([(1_000_000, 1_250_000, 1000.0, 1010.0, 1002)],
+                               "start long, finish long, before double, after double, server long")
+    r = df.select(L.step_latency("finish", "start").alias("step"),
+                  L.clock_skew("before", "after", "server").alias("skew"),
+                  L.round_trip("before", "after").alias("rtt")).first()
+    assert r.step == 0.25 and r.skew == 0.003 and r.rtt == 0.01
