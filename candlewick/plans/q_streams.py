@@ -18,7 +18,7 @@ from candlewick.plans.common import finish, register, ticks
 from candlewick.plans.q_candles import T_CTE
 from candlewick.plans.q_prices import LATEST_SQL
 from candlewick.session import checkpoint_root
-from candlewick.sources.streams import read_topic
+from candlewick.sources.streams import read_topic, write_in_time_order
 from candlewick.sources.ticks import consumer_records, price_records
 from candlewick.streaming.jobs import (decode_alert_records, start_alert_job, start_alert_log_job,
                                        start_latest_price_job)
@@ -103,7 +103,7 @@ def streamed_progress(spark, sf_dir):
     from candlewick.streaming.listener import progress_frame
     root = _run_dir(spark, "progress")
     recs = price_records(ticks(spark, sf_dir))
-    recs.repartitionByRange(REPLAY_FILES, "offset").write.parquet(f"{root}/prices")
+    write_in_time_order(recs, f"{root}/prices", REPLAY_FILES)
     src = read_topic(spark, "prices", source="files", path=f"{root}/prices", files_per_trigger=1)
     q = start_alert_job(src, f"{root}/ckpt", sink="files", path=f"{root}/alerts", window="1 hour",
                         available_now=True, state_partitions=_state_partitions(spark))

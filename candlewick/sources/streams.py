@@ -52,3 +52,17 @@ def since(df: DataFrame, minutes: int, time_col: str = "event_time") -> DataFram
     aggregate reading one column), not a join."""
     top = df.select(F.max(time_col)).scalar()
     return df.where(F.col(time_col) >= top - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+
+
+def write_in_time_order(records: DataFrame, path: str, files: int, order_col: str = "offset") -> None:
+    """Write a replay tape as ``files`` files of consecutive ``order_col``
+    ranges, one after another: the file source replays files by modification
+    time (one per micro-batch with ``maxFilesPerTrigger=1``), so parallel
+    writes could replay later ranges first and make earlier rows late."""
+    lo, hi = records.agg(F.min(order_col), F.max(order_col)).first()
+    if lo is None:
+        return
+    width = (hi - lo) // files + 1
+    for i in range(files):
+        part = records.where((F.col(order_col) >= lo + i * width) & (F.col(order_col) < lo + (i + 1) * width))
+        part.coalesce(1).write.mode("append").parquet(path)
