@@ -111,3 +111,36 @@ def streamed_progress(spark, sf_dir):
     prog = progress_frame(spark, q.recentProgress)
     return prog.agg(F.sum("input_rows").cast("long").alias("input_rows"),
                     F.count_if(F.col("input_rows") > 0).cast("long").alias("batches_with_data"))
+
+
+_VALID_M = f"""WITH t AS ({S.TICKS}), m AS (
+  SELECT symbol, bts, sts FROM t
+  WHERE NOT (event_id % 71 = 0 OR symbol IS NULL OR symbol = '') AND NOT (event_id % 67 = 0 OR bts IS NULL))"""
+
+
+@register("streamed_tick_counts", _VALID_M + f"""
+  SELECT symbol, make_timestamp((bts // 3600000000 + 1) * 3600000000) AS scrape_end,
+         count(*) AS messages, {S.r6('sum(sts - bts) / 1e6')} AS e2e_sum_seconds
+  FROM m GROUP BY 1, 2
+  HAVING make_timestamp((bts // 3600000000 + 1) * 3600000000)
+         <= (SELECT make_timestamp(max(bts)) FROM m) - INTERVAL 1 SECOND""")
+def streamed_tick_counts(spark, sf_dir):
+    """The live metrics job over the consumer tape (one file per micro-batch):
+    messages and summed end-to-end latency per symbol and closed scrape hour."""
+    from candlewick.sources.ticks import consumer_records
+    from candlewick.streaming.metrics import start_metrics_job
+    root = _run_dir(spark, "metrics")
+    write_in_time_order(consumer_records(ticks(spark, sf_dir)), f"{root}/prices", REPLAY_FILES)
+    schema = spark.read.parquet(f"{root}/prices").schema
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/prices")
+    q = start_metrics_job(src, f"{root}/ckpt", f"{root}/inc", 3600, available_now=True)
+    q.awaitTermination()
+    inc = spark.read.parquet(f"{root}/inc").where(F.col("family").isin("ticks_total", "e2e_latency_seconds"))
+    sym = F.col("labels")["symbol"]
+    g = inc.groupBy(sym.alias("symbol"), "k").agg(
+        F.sum(F.when(F.col("family") == "ticks_total", F.col("inc"))).alias("messages"),
+        F.sum(F.when(F.col("part") == "sum", F.col("inc"))).alias("_us"))
+    from candlewick.config import FIXTURE_ORIGIN
+    end = F.timestamp_seconds(F.lit(FIXTURE_ORIGIN) + F.col("k") * F.lit(3600)).cast("timestamp_ntz")
+    return finish(g.select("symbol", end.alias("scrape_end"), F.col("messages").cast("long").alias("messages"),
+                           (F.col("_us") / F.lit(1e6)).alias("e2e_sum_seconds")))
