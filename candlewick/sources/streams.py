@@ -56,13 +56,20 @@ def since(df: DataFrame, minutes: int, time_col: str = "event_time") -> DataFram
 
 def write_in_time_order(records: DataFrame, path: str, files: int, order_col: str = "offset") -> None:
     """Write a replay tape as ``files`` files of consecutive ``order_col``
-    ranges, one after another: the file source replays files by modification
-    time (one per micro-batch with ``maxFilesPerTrigger=1``), so parallel
-    writes could replay later ranges first and make earlier rows late."""
-    lo, hi = records.agg(F.min(order_col), F.max(order_col)).first()
-    if lo is None:
-        return
-    width = (hi - lo) // files + 1
-    for i in range(files):
-        part = records.where((F.col(order_col) >= lo + i * width) & (F.col(order_col) < lo + (i + 1) * width))
-        part.coalesce(1).write.mode("append").parquet(path)
+    ranges whose modification times follow that order.
+
+    The file source replays files by modification time (one per micro-batch
+    with ``maxFilesPerTrigger=1``); parallel writes finish in any order and
+    would make earlier rows late. One range-partitioned write (partition ids,
+    and so file names, follow the ranges), then the files' times are set in
+    name order - a single pass over the data plus one metadata call per file."""
+    spark = records.sparkSession
+    records.repartitionByRange(files, order_col).write.mode("append").parquet(path)
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted((st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith("part-")),
+                   key=lambda p: p.getName())
+    base = max(st.getModificationTime() for st in fs.listStatus(root)) + 1000
+    for i, p in enumerate(parts):
+        fs.setTimes(p, base + 1000 * i, -1)
