@@ -24,6 +24,8 @@ from candlewick.streaming.jobs import (decode_alert_records, start_alert_job, st
                                        start_latest_price_job)
 from candlewick.streaming.sinks import read_latest_version
 
+REPLAY_FILES = 4
+
 _CLOSED = S.alerts_sql(S.candles_sql(S.HOUR_US), 0.0025) + \
     " AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 SECOND"
 
@@ -38,10 +40,12 @@ def _run_dir(spark, what: str) -> str:
 
 
 def replay_alerts(spark, sf_dir, window="1 hour"):
-    """Replay the price tape through the alert job; returns the alerts topic folder."""
+    """Replay the price tape through the alert job, one file (a quarter of the
+    tape, in time order) per micro-batch, so windows carry state across
+    batches and the watermark advances; returns the alerts topic folder."""
     root = _run_dir(spark, "alerts")
-    price_records(ticks(spark, sf_dir)).write.parquet(f"{root}/prices")
-    src = read_topic(spark, "prices", source="files", path=f"{root}/prices")
+    write_in_time_order(price_records(ticks(spark, sf_dir)), f"{root}/prices", REPLAY_FILES)
+    src = read_topic(spark, "prices", source="files", path=f"{root}/prices", files_per_trigger=1)
     q = start_alert_job(src, f"{root}/ckpt", sink="files", path=f"{root}/alerts",
                         window=window, available_now=True, state_partitions=_state_partitions(spark))
     q.awaitTermination()
@@ -90,8 +94,6 @@ def streamed_alert_log(spark, sf_dir):
                            "open_price", "close_price", "percent_change", "alert_type"))
 
 
-REPLAY_FILES = 4
-
 
 @register("streamed_progress", f"""SELECT CAST(count(*) AS BIGINT) AS input_rows,
   CAST({REPLAY_FILES} AS BIGINT) AS batches_with_data FROM events""")
