@@ -94,7 +94,7 @@ def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), keys=("symb
             narrowed = True
         cand = _join_on_keys(base, bounded_broadcast(state, n_groups), keys).where(in_bracket)
         sketch = cand.groupBy(*keys, "_qi").agg(F.percentile_approx("_x", grid, accuracy).alias("_g"))
-        want = (F.col("_r") - F.col("_below")).cast("double") / F.col("_m")
+        want = F.try_divide((F.col("_r") - F.col("_below")).cast("double"), F.col("_m").cast("double"))
         lo_i = F.floor((want - F.lit(margin)) * F.lit(GRID_POINTS)) - F.lit(1)
         hi_i = F.ceil((want + F.lit(margin)) * F.lit(GRID_POINTS)) + F.lit(1)
         prop = _left_on_keys(state, sketch, keys + ["_qi"]).select(
