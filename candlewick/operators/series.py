@@ -132,7 +132,7 @@ def range_rate(samples: DataFrame, range_s: int, grid: Grid, is_rate: bool = Tru
         F.min("ts").alias("t0"), F.max("ts").alias("t1"),
         F.min_by("v", "ts").alias("v0"), F.max_by("v", "ts").alias("v1"),
         F.sum(reset).alias("resets"),
-    ).where(F.col("n") >= 2)
+    ).where((F.col("n") >= 2) & (F.col("t1") > F.col("t0")))   # two distinct sample times
     inc = F.col("v1") - F.col("v0") + F.col("resets")
     si = F.col("t1") - F.col("t0")
     av = si / (F.col("n") - F.lit(1))
