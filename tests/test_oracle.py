@@ -24,12 +24,16 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
+    from tools.type_audit import SPARK_TO_DUCK
     df = E.queries()[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
-    dcols = [d[0] for d in cur.description]
+    rel = duck.sql(E.oracle_sql()[name])
+    want_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    got_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                 for f in df.schema.fields}
+    assert got_types == want_types
     c1, r1 = canon(df.columns, rows)
-    c2, r2 = canon(dcols, cur.fetchall())
+    c2, r2 = canon(rel.columns, rel.fetchall())
     assert c1 == c2
     assert r1 == r2
 
