@@ -96,10 +96,11 @@ def streamed_alert_log(spark, sf_dir):
 
 
 @register("streamed_progress", f"""SELECT CAST(count(*) AS BIGINT) AS input_rows,
-  CAST({REPLAY_FILES} AS BIGINT) AS batches_with_data FROM events""")
+  CAST({REPLAY_FILES} AS BIGINT) AS batches_with_data, CAST(0 AS BIGINT) AS dropped_rows FROM events""")
 def streamed_progress(spark, sf_dir):
     """Micro-batch progress of a replay (one file per trigger) turned into
-    counters (D16, I7): rows read and batches that carried data. Progress
+    counters (D16, I6, I7): rows read, batches that carried data, and rows
+    dropped by the watermark (none: the tape is replayed in time order). Progress
     rows are per batch, so what reaches the driver is bounded by the batch
     count, not by the data."""
     from candlewick.streaming.listener import progress_frame
@@ -112,7 +113,8 @@ def streamed_progress(spark, sf_dir):
     q.awaitTermination()
     prog = progress_frame(spark, q.recentProgress)
     return prog.agg(F.sum("input_rows").cast("long").alias("input_rows"),
-                    F.count_if(F.col("input_rows") > 0).cast("long").alias("batches_with_data"))
+                    F.count_if(F.col("input_rows") > 0).cast("long").alias("batches_with_data"),
+                    F.sum("dropped_rows").cast("long").alias("dropped_rows"))
 
 
 _VALID_M = f"""WITH t AS ({S.TICKS}), m AS (

@@ -13,7 +13,7 @@ from candlewick.config import BOUNDS_BATCH_DURATION
 from candlewick.operators.histogram import histogram
 
 PROGRESS_SCHEMA = ("query_id string, batch_id long, ts timestamp, batch_seconds double, "
-                   "input_rows long, output_rows long")
+                   "input_rows long, output_rows long, dropped_rows long")
 
 
 class ProgressListener(StreamingQueryListener):
@@ -28,8 +28,9 @@ class ProgressListener(StreamingQueryListener):
         try:
             p = event.progress
             out = p.sink.numOutputRows if p.sink is not None else -1
+            dropped = sum(int(getattr(o, "numRowsDroppedByWatermark", 0) or 0) for o in (p.stateOperators or []))
             self.progress.append((str(p.id), int(p.batchId), p.timestamp, p.batchDuration / 1000.0,
-                                  int(p.numInputRows), int(out)))
+                                  int(p.numInputRows), int(out), dropped))
         except Exception:  # noqa: BLE001 - a listener must never break the query
             self.errors.append(("listener_error", ""))
 
@@ -47,12 +48,13 @@ def progress_frame(spark: SparkSession, rows) -> DataFrame:
     for r in rows:
         if isinstance(r, dict):
             out = (r.get("sink") or {}).get("numOutputRows", -1)
+            dropped = sum(int(o.get("numRowsDroppedByWatermark", 0) or 0) for o in r.get("stateOperators") or [])
             norm.append((r["id"], r["batchId"], r["timestamp"], r["batchDuration"] / 1000.0,
-                         r["numInputRows"], out))
+                         r["numInputRows"], out, dropped))
         else:
-            norm.append(r)
+            norm.append(tuple(r) + ((0,) if len(r) == 6 else ()))
     df = spark.createDataFrame(norm, "query_id string, batch_id long, ts string, batch_seconds double, "
-                                     "input_rows long, output_rows long")
+                                     "input_rows long, output_rows long, dropped_rows long")
     return df.withColumn("ts", F.to_timestamp("ts"))
 
 
@@ -64,6 +66,7 @@ def progress_metrics(progress: DataFrame) -> DataFrame:
         F.sum("input_rows").alias("input_rows"),
         F.sum(F.when(F.col("output_rows") >= 0, F.col("output_rows"))).alias("output_rows"),
         F.count(F.lit(1)).alias("batches"),
+        F.sum("dropped_rows").alias("dropped_rows"),
         F.try_divide(F.sum("input_rows").cast("double"), F.sum("batch_seconds")).alias("rows_per_sec"))
     return h.join(totals, "query_id")
 
