@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from candlewick.operators.series import Grid, _div, asof, bucket_quantile, range_rate
+from candlewick.operators.series import Grid, _div, asof, bucket_quantile, range_rate, series_key
 from candlewick.plans.catalog import ALL_SPECS, FAMILY_SOURCES, Spec
 from candlewick.session import bounded_broadcast
 
@@ -89,8 +89,12 @@ def evaluate(spark: SparkSession, counters: DataFrame, gauges: DataFrame, grid:
     j = pts.join(bounded_broadcast(plan, len(plan_rows)), cond)
     for i in range(MAX_SLOTS):
         j = j.where(_slot_ok(i))
-    by_value = F.when(F.col("by").isNotNull(),
-                      F.coalesce(F.element_at("labels", F.col("by")), F.lit(""))).otherwise(F.lit(""))
+    # ``sum by (label)`` keeps one line per label value; a bare gauge selector
+    # keeps every series apart (so an export can refuse several series per
+    # metric); every other kind sums to a single line.
+    by_value = (F.when(F.col("by").isNotNull(), F.coalesce(F.element_at("labels", F.col("by")), F.lit("")))
+                .when(F.col("kind") == "gauge", series_key(F.col("labels")))
+                .otherwise(F.lit("")))
     j = j.select("name", "kind", "q", by_value.alias("by_value"), "t", "le", "part", "value")
     keys = ["name", "kind", "q", "by_value", "t"]
     lvl1 = j.groupBy(*keys, "le").agg(

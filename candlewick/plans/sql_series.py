@@ -201,6 +201,13 @@ def quantile_ctes(src: str, keys: str, name: str = "hq") -> str:
   FROM {name}_all a LEFT JOIN {name}_pick p USING ({keys}))"""
 
 
+# Canonical 'k=v,...' text of a sample's own labels, keys in sorted order.
+SERIES_TEXT = "concat_ws(',', " + ", ".join(
+    f"CASE WHEN {col} IS NOT NULL THEN '{key}=' || {col} END"
+    for key, col in sorted([("alert_type", "alert_type"), ("error_type", "error_type"), ("name", "name"),
+                            ("partition", "pno"), ("symbol", "symbol")])) + ")"
+
+
 def _matcher_sql(matchers) -> str:
     out = []
     for key, op, val in matchers:
@@ -225,7 +232,12 @@ def catalog_ctes(specs=ALL_SPECS) -> str:
             fit = "src_kind = 'rate' AND part = 'bucket'"
         else:
             fit = "src_kind = 'gauge'"
-        by = f"coalesce({sp.by}, '')" if sp.by else "''"
+        if sp.by:
+            by = f"coalesce({sp.by}, '')"
+        elif sp.kind == "gauge":
+            by = SERIES_TEXT
+        else:
+            by = "''"
         q = repr(sp.q) if sp.q is not None else "NULL"
         parts.append(
             f"SELECT '{sp.name}' AS metric, '{sp.kind}' AS kind, CAST({q} AS DOUBLE) AS q, {by} AS by_value, "

@@ -184,3 +184,23 @@ def test_exact_quantiles_null_key_is_a_group(spark):
     df = spark.createDataFrame(rows, "symbol string, v double")
     got = {r.symbol: r.p50 for r in exact_quantiles(df, "v", qs=(0.5,), limit=20, accuracy=100).collect()}
     assert got == {None: 50.0, "a": 5.0}
+
+
+def test_bare_gauge_keeps_series_apart_and_export_refuses_it(spark):
+    from candlewick.operators.export import single_series
+    from candlewick.operators.metrics import evaluate
+    from candlewick.plans.catalog import Spec
+    rows = [("g", "", {"name": n}, None, float(ts), v) for n, v in (("a", 1.0), ("b", 2.0)) for ts in (10, 20)]
+    gauges = spark.createDataFrame(rows, "family string, part string, labels map<string,string>, le double, "
+                                         "ts double, value double")
+    counters = gauges.limit(0)
+    specs = [Spec("c", "bare", "gauge", "fam"), Spec("c", "total", "gauge_sum", "fam")]
+    out = evaluate(spark, counters, gauges, SE.Grid(0, 10, 1, 2), 60, 30, specs=specs,
+                   mapping=[("fam", "g", ())])
+    got = sorted((r.metric, r.by_value, r.t, r.value) for r in out.collect())
+    assert got == [("c_bare", "name=a", 10, 1.0), ("c_bare", "name=a", 20, 1.0),
+                   ("c_bare", "name=b", 10, 2.0), ("c_bare", "name=b", 20, 2.0),
+                   ("c_total", "", 10, 3.0), ("c_total", "", 20, 3.0)]
+    with pytest.raises(ValueError):
+        single_series(out.where("metric = 'c_bare'"))
+    single_series(out.where("metric = 'c_total'"))
