@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.llm import simhash
+from candlewick.llm import packing, simhash
 from candlewick.llm.registry import load, query
 
 
@@ -14,3 +14,9 @@ def op8(spark, sf_dir):
     found = simhash.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         "component_id")
+
+
+@query("op7_best_fit")
+def op7(spark, sf_dir):
+    """``documents`` packed into 2,048-token sequences by best-fit decreasing."""
+    return packing.pack(load(spark, sf_dir, "documents").select("doc_id", "text"))
