@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.llm import packing, simhash
+from candlewick.llm import decontam, packing, simhash
 from candlewick.llm.registry import load, query
 
 
@@ -20,3 +20,13 @@ def op8(spark, sf_dir):
 def op7(spark, sf_dir):
     """``documents`` packed into 2,048-token sequences by best-fit decreasing."""
     return packing.pack(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op1_decontaminate")
+def op1(spark, sf_dir):
+    """Benchmark passages in ``documents``."""
+    found = decontam.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        decontam.items_digest(F.col("items")).alias("items_sha256"), "contaminated",
+        F.col("longest").cast("long").alias("longest_match"), "longest_item")
