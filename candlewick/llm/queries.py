@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontam, packing, simhash
+from candlewick.llm import decontam, packing, simhash, substrings
 from candlewick.llm.registry import load, query
 
 
@@ -30,3 +30,10 @@ def op1(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         decontam.items_digest(F.col("items")).alias("items_sha256"), "contaminated",
         F.col("longest").cast("long").alias("longest_match"), "longest_item")
+
+
+@query("op10_substrings")
+def op10(spark, sf_dir):
+    """``documents`` without the words of repeated 35-word windows."""
+    found = substrings.remove_repeats(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
