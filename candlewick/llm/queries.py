@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontam, packing, simhash, substrings
+from candlewick.llm import decontam, packing, quality, simhash, substrings, toxicity
 from candlewick.llm.registry import load, query
 
 
@@ -37,3 +37,15 @@ def op10(spark, sf_dir):
     """``documents`` without the words of repeated 35-word windows."""
     found = substrings.remove_repeats(load(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op6_neighbour_vote")
+def op6(spark, sf_dir):
+    """Quality of every document by nearest-neighbour voting."""
+    return quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op3_factorization")
+def op3(spark, sf_dir):
+    """Toxicity of every document by a factorization machine."""
+    return toxicity.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
