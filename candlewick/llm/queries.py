@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.llm import decontam, packing, quality, simhash, substrings, toxicity
+from candlewick.llm import (decontam, packing, preferences, quality, sharding, simhash, substrings,
+                            toxicity)
 from candlewick.llm.registry import load, query
 
 
@@ -49,3 +50,91 @@ def op6(spark, sf_dir):
 def op3(spark, sf_dir):
     """Toxicity of every document by a factorization machine."""
     return toxicity.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+#: Checksums are folded byte by byte over a 256-entry table made from the polynomial.
+OP5_SQL = """
+WITH RECURSIVE steps(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key,
+             coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sums AS (SELECT r, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(0, CAST(strlen(text) AS BIGINT)),
+      lambda i: CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT))),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32 FROM d, crc),
+draws AS (SELECT r, s, -ln((CAST('0x' || md5(key || ':' || s)[1:13] AS BIGINT) + 0.5) / 4503599627370496.0) AS x
+          FROM d, range(25) t(s)),
+best AS (SELECT r, arg_min(s, x) FILTER (s < 24) AS shard, arg_min(s, x) AS grown_shard FROM draws GROUP BY r)
+SELECT doc_id, CAST(strlen(text) + 8 AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law,
+       CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(key), text_crc32, strlen(text)) - 1 AS slot,
+       CAST(grown_shard AS INTEGER) AS grown_shard
+FROM d JOIN sums USING (r) JOIN best USING (r)
+"""
+
+
+@query("op5_rendezvous", OP5_SQL)
+def op5(spark, sf_dir):
+    """``documents`` in 24 shards by rendezvous hashing of doc_id."""
+    placed = sharding.assign(load(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
+                         "grown_shard")
+
+
+OP2_SQL = """
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS turns,
+             sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS said FROM t GROUP BY conv_id),
+r AS (SELECT *, list_transform(turns, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)) AS texts,
+             list_max(list_filter(range(1, CAST(len(turns) AS BIGINT) + 1), lambda i: turns[i].role = 'assistant')) AS last
+      FROM c),
+g AS (SELECT sha256(texts[1]) AS opening, sha256(array_to_string(texts, '')) AS digest, said, last,
+             min(conv_id) AS conv_id FROM r GROUP BY ALL),
+n AS (SELECT *, row_number() OVER (PARTITION BY opening ORDER BY digest) - 1 AS rank FROM g),
+p AS (SELECT opening[1:16] || ':' || (rank // 2) AS pair_id, arg_max(conv_id, said * 1000000000 - rank) AS chosen_id,
+             arg_min(conv_id, said * 1000000000 - rank) AS rejected_id
+      FROM n GROUP BY opening, rank // 2 HAVING count(*) = 2),
+w AS (SELECT *, (CAST('0x' || digest[1:8] AS BIGINT) * greatest(1, count(*) OVER () // 1000)) >> 32 AS ring
+      FROM g WHERE last IS NOT NULL),
+s AS (SELECT conv_id, coalesce(lead(conv_id) OVER o, first_value(conv_id) OVER o) AS other
+      FROM w WINDOW o AS (PARTITION BY ring ORDER BY digest)),
+b AS (SELECT pair_id, chosen_id, rejected_id, x.turns AS c_turns, y.turns AS r_turns
+      FROM p JOIN r x ON x.conv_id = chosen_id JOIN r y ON y.conv_id = rejected_id
+      UNION ALL
+      SELECT 'swap:' || s.conv_id, s.conv_id, other, x.turns[1:x.last],
+             list_append(x.turns[1:x.last - 1], y.turns[y.last])
+      FROM s JOIN r x ON x.conv_id = s.conv_id JOIN r y ON y.conv_id = other
+      WHERE x.turns[x.last].text <> y.turns[y.last].text),
+k AS (SELECT *, coalesce(list_min(list_filter(range(1, CAST(least(len(c_turns), len(r_turns)) AS BIGINT) + 1),
+                           lambda i: c_turns[i] <> r_turns[i])) - 1, least(len(c_turns), len(r_turns))) AS k FROM b),
+u AS (SELECT pair_id, 'c' AS side, unnest(c_turns[k + 1:]) AS x, generate_subscripts(c_turns[k + 1:], 1) AS i FROM k
+      UNION ALL
+      SELECT pair_id, 'r', unnest(r_turns[k + 1:]), generate_subscripts(r_turns[k + 1:], 1) FROM k),
+v AS (SELECT *, sum(length(x.role) + length(x.text) + 13) OVER (PARTITION BY pair_id, side ORDER BY i) AS upto FROM u),
+m AS (SELECT pair_id, side, string_agg((upto - length(x.text) - 8) || '-' || upto, ',' ORDER BY i) AS mask
+      FROM v WHERE x.role = 'assistant' GROUP BY ALL)
+SELECT k.pair_id, chosen_id, rejected_id, CAST(k AS INTEGER) AS prompt_turns,
+  array_to_string(list_transform(c_turns[1:k], lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS prompt,
+  array_to_string(list_transform(c_turns[k + 1:], lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS chosen_completion,
+  coalesce(mc.mask, '') AS chosen_mask,
+  array_to_string(list_transform(r_turns[k + 1:], lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS rejected_completion,
+  coalesce(mr.mask, '') AS rejected_mask
+FROM k LEFT JOIN m mc ON mc.pair_id = k.pair_id AND mc.side = 'c'
+       LEFT JOIN m mr ON mr.pair_id = k.pair_id AND mr.side = 'r'
+"""
+
+
+def _mask_text(column: str):
+    return F.array_join(F.transform(column, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+
+
+@query("op2_preferences", OP2_SQL)
+def op2(spark, sf_dir):
+    """Preference pairs of ``conversations`` that share their first turn."""
+    return preferences.preference_pairs(load(spark, sf_dir, "conversations")) \
+        .withColumn("chosen_mask", _mask_text("chosen_mask")) \
+        .withColumn("rejected_mask", _mask_text("rejected_mask"))
