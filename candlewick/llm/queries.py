@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.llm import (decontam, packing, preferences, quality, sharding, simhash, substrings,
+from candlewick.llm import (archives, decontam, packing, preferences, quality, sharding, simhash, substrings,
                             toxicity)
 from candlewick.llm.registry import load, query
 
@@ -138,3 +138,14 @@ def op2(spark, sf_dir):
     return preferences.preference_pairs(load(spark, sf_dir, "conversations")) \
         .withColumn("chosen_mask", _mask_text("chosen_mask")) \
         .withColumn("rejected_mask", _mask_text("rejected_mask"))
+
+
+@query("op9_archives")
+def op9(spark, sf_dir):
+    """``pages`` through legacy archives into WARC files and back."""
+    pages = load(spark, sf_dir, "pages")
+    back = archives.archive_pages(pages, archives.shared_folder(spark))
+    kind = pages.schema["page_id"].dataType
+    return back.select(F.col("source").cast(kind).alias("page_id"), F.col("size").alias("payload_bytes"),
+                       F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),
+                       F.col("refers_source").cast(kind).alias("refers_to"))
