@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from candlewick.llm import (archives, decontam, packing, preferences, quality, sharding, simhash, substrings,
-                            toxicity)
+                            toxicity, vectors)
 from candlewick.llm.registry import load, query
 
 
@@ -149,3 +149,9 @@ def op9(spark, sf_dir):
     return back.select(F.col("source").cast(kind).alias("page_id"), F.col("size").alias("payload_bytes"),
                        F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),
                        F.col("refers_source").cast(kind).alias("refers_to"))
+
+
+@query("op4_pruned_graph")
+def op4(spark, sf_dir):
+    """Links and components of all ``embeddings`` at cosine 0.9."""
+    return vectors.near_duplicates(load(spark, sf_dir, "embeddings"))
