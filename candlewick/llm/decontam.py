@@ -302,12 +302,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    names = docs.columns
-    flat = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)],
-                       F.col("text").alias("text"))
-    found = contamination(flat, benchmark, keep=tuple(f"c{k}" for k in range(len(names))), **params)
-    return found.where("not contaminated").select(
-        *[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
+    rest = [c for c in docs.columns if c != "text"]
+    names = tuple(f"c{k}" for k in range(len(rest)))
+    flat = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, names)], "text")
+    found = contamination(flat, benchmark, keep=names, **params).where("not contaminated")
+    back = dict(zip(rest, names)) | {"text": "text"}
+    return found.select(*[F.col(back[c]).alias(c) for c in docs.columns])
 
 
 def items_digest(items) -> F.Column:

@@ -176,5 +176,8 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, *
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **params) -> DataFrame:
     """The documents that are not rejected, with all their columns."""
-    scored = score(docs, fit(docs, labels, **params), keep=tuple(docs.columns))
-    return scored.where(F.col("score") >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = [f"k{i}" for i in range(len(docs.columns))]
+    flat = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)], "text")
+    scored = score(flat, fit(docs, labels, **params), keep=tuple(names))
+    return scored.where(F.col("score") >= threshold).select(
+        *[F.col(n).alias(c) for c, n in zip(docs.columns, names)])

@@ -269,22 +269,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, **params) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, **params) -> DataFrame:
     """The documents, one of each component: the one with the smallest doc_id.
-    Rows that repeat that doc_id are copies and leave one row. Documents
-    without a doc_id are kept unless a member of their component has one."""
-    found = near_duplicates(docs.select("doc_id", "text"), **params)
-    keep = (found.where("doc_id = component_id").select(F.col("doc_id").alias("keep_id"))
-            .distinct())
-    kept = docs.join(keep, F.col("doc_id") == F.col("keep_id"), "left_semi").dropDuplicates(["doc_id"])
-    lone = found.where("component_id is null").select(F.col("fp").alias("keep_fp")).distinct()
+    Rows that repeat that doc_id are copies and leave one row. Of a component in
+    which no document has an id, the smallest text stays."""
+    found = near_duplicates(docs.select("doc_id", "text"), shingle, **params)
+    keep = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")) \
+        .select(F.col("doc_id").alias("__keep"), F.col("n").alias("__rows")).checkpoint()
+    kept = docs.join(keep, docs["doc_id"] == keep["__keep"], "left_semi")
+    if not keep.where(F.col("__rows") > 1).isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
+    lone = found.where("component_id is null").select(F.col("fp").alias("__fp")).distinct()
     if lone.isEmpty():
         return kept
-    cols = docs.columns
     without = docs.where("doc_id is null").dropDuplicates(["text"])
-    marked = fingerprint(without.select(F.col("text").alias("doc_id"), "text"),
-                         params.get("shingle", SHINGLE_WORDS))
-    texts = (marked.join(lone, F.col("fp") == F.col("keep_fp"), "left_semi")
-             .groupBy("fp").agg(F.min("doc_id").alias("keep_text")))
-    return kept.unionByName(without.join(texts, F.col("text").eqNullSafe(F.col("keep_text")),
-                                         "left_semi").select(cols))
+    marked = fingerprint(without.select(F.col("text").alias("doc_id"), "text"), shingle)
+    texts = (marked.join(lone, F.col("fp") == F.col("__fp"), "left_semi")
+             .groupBy("fp").agg(F.min("doc_id").alias("__text")))
+    return kept.unionByName(without.join(texts, without["text"].eqNullSafe(texts["__text"]), "left_semi"))

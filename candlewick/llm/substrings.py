@@ -290,3 +290,21 @@ def remove_repeats(docs: DataFrame, keep: tuple = ("doc_id",), **params) -> Data
     out = joined.mapInArrow(run, schema + "n_words long, n_removed long, kept_text string")
     return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(keep)],
                       "n_words", "n_removed", "kept_text")
+
+
+def drop_repeats(docs: DataFrame, **params) -> DataFrame:
+    """``docs`` with its columns, the repeated passages taken out of the text; a
+    document without any keeps its text as it is. A column ``n_chars`` is set to the
+    new length of the texts that changed."""
+    found = remove_repeats(docs, keep=tuple(docs.columns), **params)
+    cut = F.col("found_removed") > 0
+    out = found.toDF(*[f"k{i}" for i in range(len(docs.columns))], "found_words", "found_removed", "found_text")
+    made = []
+    for i, f in enumerate(docs.schema.fields):
+        c = F.col(f"k{i}")
+        if f.name == "text":
+            c = F.when(cut, F.col("found_text")).otherwise(c)
+        elif f.name == "n_chars":
+            c = F.when(cut, F.length("found_text").cast(f.dataType)).otherwise(c)
+        made.append(c.alias(f.name))
+    return out.select(*made)

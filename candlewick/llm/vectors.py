@@ -10,8 +10,9 @@
    is dropped when a kept neighbour is ``alpha`` times closer to it) to at most
    ``degree`` neighbours. The lists of one vector from all its shards are united.
 3. Each shard then searches the united graph for each of its vectors, all at once: a
-   greedy beam search from the shard's medoid, then the range is expanded: every
-   found vector within ``threshold - slack`` hands on its neighbours until none is new.
+   greedy beam search from the shard's medoid, then the range is expanded: the vector
+   itself and every one found within ``threshold - slack`` hand on their neighbours
+   until none is new.
    Found pairs are verified by their cosine in double precision. A pair is credited
    once, in the first shard that holds both; shards return link counts and a spanning
    set of links, never pairs.
@@ -38,12 +39,12 @@ from candlewick.session import checkpoint_root
 
 THRESHOLD = 0.9
 SHARD_ROWS = 2048
-OVERLAP = 3
+OVERLAP = 4
 SAMPLE_ROWS = 20_000
 MAX_CENTRES = 8192
-DEGREE = 24
-CANDIDATES = 48
-ALPHA = 1.2
+DEGREE = 32
+CANDIDATES = 64
+ALPHA = 1.5
 BEAM = 16
 SLACK = 0.1
 
@@ -101,7 +102,7 @@ def robust_prune(x: np.ndarray, candidates: int, degree: int, alpha: float) -> n
             out[i + go, used[go]] = near[go, p]
             used[go] += 1
             between = 2 - 2 * np.einsum("gkd,gd->gk", v[go], v[go, p])
-            alive[go] &= alpha * between > far[go]
+            alive[go] &= alpha * alpha * between > far[go]
             alive[rows[go], p] = False
     return out
 
@@ -122,8 +123,10 @@ def search_all(x: np.ndarray, lists: np.ndarray, threshold: float, beam: int, sl
     done = np.ones((n, beam), bool)
     ids[:, 0], sims[:, 0], done[:, 0] = start, f @ f[start], False
     seen[:, start] = True
-    near_q, near_v = [np.flatnonzero(sims[:, 0] >= threshold - slack)], []
-    near_v.append(np.full(len(near_q[0]), start))
+    every = np.arange(n)
+    from_start = np.flatnonzero((sims[:, 0] >= threshold - slack) & (every != start))
+    near_q, near_v = [from_start, every], [np.full(len(from_start), start), every]
+    seen[every, every] = True                          # its own lists are expanded too
     while True:                                        # greedy beam, all queries in step
         open_ = np.where(done, -3, sims)
         pick = open_.argmax(axis=1)
