@@ -14,8 +14,8 @@ same id), ISO timestamp, record type and SHA-1 base32 digests. Of the responses
 equal payloads of at least ``revisit_bytes`` bytes the one with the smallest source
 id stays a response, the others become revisits without a payload that name it.
 
-Files are written and read by Spark alone, in the folder it is given. Records are
-raw bytes in a string column (Spark neither checks nor changes them), written by the
+Files are written (gzipped, unless asked otherwise) and read by Spark alone, in the
+folder it is given. Records are raw bytes in a string column (Spark neither checks nor changes them), written by the
 text source with the record end as line separator; reading takes whole files of
 about ``file_bytes`` and splits them by declared length. Payloads are shuffled once,
 by digest; a group of copies that is too large for one task is split by the join.
@@ -30,6 +30,7 @@ records, and reads back as none.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 
@@ -221,10 +222,15 @@ def warc_text(records: DataFrame) -> DataFrame:
     return records.select(F.concat(head.cast("binary"), body).cast("string").alias("record"))
 
 
-def write_warc(records: DataFrame, path: str, records_per_file: int) -> None:
+def write_warc(records: DataFrame, path: str, records_per_file: int, codec: str = "gzip") -> None:
     """Write records (see ``with_revisits``) as WARC files below ``path``."""
     warc_text(records).write.mode("overwrite").option("lineSep", "\r\n\r\n") \
-        .option("maxRecordsPerFile", records_per_file).text(path)
+        .option("maxRecordsPerFile", records_per_file).option("compression", codec).text(path)
+
+
+def plain(data: bytes) -> bytes:
+    """The bytes of a file that may be gzipped, in one member or in several."""
+    return gzip.decompress(data) if data.startswith(b"\x1f\x8b") else data
 
 
 _READ = ("type string, id string, url string, date string, digest string, source string, "
@@ -240,7 +246,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for data in b.column(0).to_pylist():
                 rows = []
-                for h, payload in parse_warc(data):
+                for h, payload in parse_warc(plain(data)):
                     own = h["WARC-Payload-Digest"].removeprefix("sha1:")
                     if h["WARC-Type"] == "response" and digest(payload) != own:
                         raise ValueError(f"digest of {h['WARC-Record-ID']} does not fit its payload")
