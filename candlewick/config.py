@@ -38,11 +38,8 @@ RANGE_SECONDS = 60
 LOOKBACK_SECONDS = 300
 # --- end of fixed values ----------------------------------------------------
 
-# Test-scale sampling used over the driver tables: the 5 s : 60 s ratio kept
-# at one hour : twelve hours (see FIXTURES.md, part 2).
-FIXTURE_ORIGIN = 1704067200       # 2024-01-01 00:00:00 UTC
+# Sampling used over the driver tables: the 5 s : 60 s ratio kept at one hour :
+# twelve hours (see FIXTURES.md, part 2). The grid itself follows from the data.
 FIXTURE_STEP = 3600
 FIXTURE_RANGE = 43200
 FIXTURE_LOOKBACK = 216000         # 300 s scaled by 3600/5
-FIXTURE_SCRAPES = 720
-FIXTURE_BOUNDS = (0.025, 0.05, 0.1, 0.25, 0.5)   # + +Inf

@@ -47,7 +47,7 @@ def envelope_fields(top: Column, data: Column):
              .when(~F.map_contains_key(top, "data"), F.lit("ignored"))
              .when(data.isNull(), F.lit("processing"))
              .when(has_s & data["s"].isNull(), F.lit("processing"))
-             .when(price.isNull(), F.lit("processing"))
+             .when(price.isNull() | F.isnan(price) | (F.abs(price) == float("inf")), F.lit("processing"))
              .when(trade_time.isNull(), F.lit("processing"))
              .when(~valid_micros(trade_time), F.lit("processing")))
     symbol = F.lower(F.when(has_s, data["s"]).otherwise(F.lit(UNKNOWN_SYMBOL)))
@@ -148,5 +148,3 @@ def classify_alert_records(records: DataFrame) -> DataFrame:
     alert = F.from_json(F.col("value").cast("string"), ALERT_SCHEMA)
     return parsed.select(*keep, _fence(key.alias("key"), alert.alias("alert"), error.alias("error_type")))
 
-
-decode_ticks = decode_price_records

@@ -16,16 +16,25 @@ def _c(x):
 
 
 def plain_number(x) -> Column:
-    """Decimal text of a double with grouped thousands, at least one decimal
-    (``12.31`` -> ``12.31``, ``95000.0`` -> ``95,000.0``)."""
+    """Shortest decimal text of a double with grouped thousands: ``12.31``,
+    ``95,000.0``; from 1e16 up and below 1e-4 in exponent form (``1e+30``,
+    ``1.23e-11``)."""
     x = _c(x)
-    dec = F.regexp_replace(F.abs(x).cast("decimal(38,10)").cast("string"), "0+$", "")
-    int_part = F.substring_index(dec, ".", 1)
+    size = F.abs(x)
+    # 17 significant digits of a value in [1e-4, 1e16) need 16 + 21 places
+    dec = F.regexp_replace(F.when(size < 1e16, size).try_cast("decimal(38,21)").cast("string"), "0+$", "")
     frac = F.substring_index(dec, ".", -1)
-    frac = F.when(frac == "", F.lit("0")).otherwise(frac)
-    grouped = F.format_number(int_part.cast("decimal(38,0)"), 0)
-    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, grouped, F.lit("."), frac)
+    grouped = F.format_number(F.substring_index(dec, ".", 1).cast("decimal(38,0)"), 0)
+    plain = F.concat(grouped, F.lit("."), F.when(frac == "", F.lit("0")).otherwise(frac))
+    text = size.cast("string")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    exponent = F.concat(
+        F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", ""), F.lit("e"),
+        F.when(power < 0, F.lit("-")).otherwise(F.lit("+")),
+        F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(power).cast("string"))
+    body = (F.when(F.isnan(x), F.lit("nan")).when(size == float("inf"), F.lit("inf"))
+            .when((size >= 1e16) | ((size < 1e-4) & (size > 0)), exponent).otherwise(plain))
+    return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), body)
 
 
 def money(x) -> Column:
@@ -34,13 +43,23 @@ def money(x) -> Column:
 
 
 def signed_fixed2(x) -> Column:
-    """Signed text with two decimals (``+1.25``, ``-0.40``), rounding half away
-    from zero on the binary value."""
+    """Signed text with two decimals (``+1.25``, ``-0.40``): the exact binary value
+    rounded to the nearest cent, exact ties to even."""
     x = _c(x)
-    cents = F.floor(F.abs(x) * F.lit(100.0) + F.lit(0.5)).cast("long")
+    size = F.abs(x)
+    cents = size * F.lit(100.0)
+    # the error of that product, exactly: the halves of ``size`` have few bits
+    split = size * F.lit(134217729.0)
+    high = split - (split - size)
+    error = (high * F.lit(100.0) - cents) + (size - high) * F.lit(100.0)
+    near = F.rint(cents)
+    tie = F.abs(cents - near) == 0.5
+    whole = (F.when(tie & (error > 0), F.ceil(cents).cast("double"))
+             .when(tie & (error < 0), F.floor(cents).cast("double")).otherwise(near)).cast("decimal(38,0)")
     sign = F.when(x < 0, F.lit("-")).otherwise(F.lit("+"))
-    return F.concat(sign, (cents / 100).cast("long").cast("string"), F.lit("."),
-                    F.lpad((cents % 100).cast("string"), 2, "0"))
+    text = F.lpad(whole.cast("string"), F.greatest(F.length(whole.cast("string")), F.lit(3)), F.lit("0"))
+    return F.concat(sign, F.substring(text, F.lit(1), F.length(text) - 2), F.lit("."),
+                    F.substring(text, F.length(text) - 1, F.lit(2)))
 
 
 def alert_colour(alert_type) -> Column:

@@ -19,12 +19,12 @@ def alerts(candle_df: DataFrame, threshold: float = ALERT_THRESHOLD, *,
            with_timestamp: bool = False) -> DataFrame:
     """Keep windows whose |change| is strictly above ``threshold``.
 
-    A NULL change (zero or missing open) never alerts. ``alert_timestamp``
+    A NULL or NaN change (zero or missing open, no number) never alerts. ``alert_timestamp``
     (generation time, constant per micro-batch) is optional so batch results
     stay deterministic.
     """
     chg = F.col("percent_change")
-    out = candle_df.where(F.abs(chg) > F.lit(threshold)).withColumn("alert_type", alert_type(chg))
+    out = candle_df.where((F.abs(chg) > F.lit(threshold)) & ~F.isnan(chg)).withColumn("alert_type", alert_type(chg))
     cols = [F.col(c) for c in ALERT_COLUMNS]
     if with_timestamp:
         cols.append(F.current_timestamp().alias("alert_timestamp"))
@@ -64,8 +64,7 @@ def newest_alerts(alert_df: DataFrame, n: int = MAX_ALERTS_SHOWN,
 
 
 def alert_log(alert_df: DataFrame, n: int = MAX_ALERTS_STORED) -> DataFrame:
-    """The bounded alert log: only the ``n`` most recent alerts are kept."""
-    return newest_alerts(alert_df, n)
+    """The bounded alert log: only the ``n`` most recent alerts are kept. A window
+    that was delivered twice counts once."""
+    return newest_alerts(alert_df.dropDuplicates(["symbol", "window_start"]), n)
 
-
-recent_alerts = newest_alerts

@@ -6,6 +6,10 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from candlewick.session import checkpoint_root
+
+ISO = "yyyy-MM-dd'T'HH:mm:ss"
+
 
 def single_series(long_df: DataFrame, metric: str = "metric", time: str = "t") -> None:
     """Each catalogue entry must evaluate to one series: at most one value per
@@ -15,29 +19,44 @@ def single_series(long_df: DataFrame, metric: str = "metric", time: str = "t") -
         raise ValueError("a metric has several series at one timestamp")
 
 
-def wide(long_df: DataFrame, metric: str = "metric", time: str = "t", value: str = "value") -> DataFrame:
-    """Long (metric, t, value) -> one row per timestamp, one column per metric
-    that has data, columns sorted (an N-way full outer merge as one shuffle)."""
-    out = long_df.groupBy(time).pivot(metric).agg(F.first(value))
+def wide(long_df: DataFrame, metric: str = "metric", time: str = "t", value: str = "value",
+         metrics: list[str] | None = None) -> DataFrame:
+    """Long (metric, t, value) -> one row per timestamp, one column per metric,
+    columns sorted (an N-way full outer merge as one shuffle). With the metric
+    names given the input is evaluated once; without, a first pass finds those
+    that have data."""
+    out = long_df.groupBy(time).pivot(metric, metrics).agg(F.first(value))
     cols = sorted(c for c in out.columns if c != time)
     return out.select(F.col(time).alias("timestamp"), *[F.col(f"`{c}`") for c in cols])
 
 
 def write_metrics_csv(wide_df: DataFrame, path: str) -> None:
-    """CSV with a header, rows in time order, empty string for a missing value."""
-    (wide_df.orderBy("timestamp").write.mode("overwrite")
-     .option("header", True).option("nullValue", "").option("emptyValue", "")
-     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss").csv(path))
-
-
-def export_metrics(long_df: DataFrame, path: str) -> DataFrame:
-    """Check single series, pivot wide, write the CSV; returns the wide frame."""
-    single_series(long_df)
-    w = wide(long_df)
+    """CSV with a header, rows in time order, ISO timestamps, empty string for a
+    missing value. Epoch seconds become timestamps."""
+    kind = wide_df.schema["timestamp"].dataType.typeName()
+    time = F.col("timestamp") if kind.startswith("timestamp") else F.timestamp_seconds("timestamp")
+    (wide_df.withColumn("timestamp", time.cast("timestamp_ntz")).orderBy("timestamp")
+     .write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "")
+     .option("timestampNTZFormat", ISO).csv(path))
+
+
+def export_metrics(long_df: DataFrame, path: str, metrics: list[str] | None = None) -> DataFrame:
+    """Check single series, pivot wide, write the CSV; returns the wide frame. The
+    evaluated metrics are materialised once for the three passes."""
+    checkpoint_root(long_df.sparkSession)
+    once = long_df.checkpoint()
+    single_series(once)
+    w = wide(once, metrics=metrics)
     write_metrics_csv(w, path)
     return w
 
 
+def read_metrics_csv(spark: SparkSession, path: str, metrics: list[str]) -> DataFrame:
+    """An export read back: ISO timestamps and one double column per metric."""
+    schema = "timestamp timestamp_ntz, " + ", ".join(f"`{m}` double" for m in sorted(metrics))
+    return spark.read.option("header", True).option("timestampNTZFormat", ISO).schema(schema).csv(path)
+
+
 def export_metadata(spark: SparkSession, wide_df: DataFrame, name: str, start: str, end: str,
                     step: str, metrics: list[str]) -> DataFrame:
     """One-row run description: experiment name, range, duration, step, the

@@ -17,7 +17,6 @@ from candlewick.operators.series import Grid, _div, asof, bucket_quantile, range
 from candlewick.plans.catalog import ALL_SPECS, FAMILY_SOURCES, Spec
 from candlewick.session import bounded_broadcast
 
-MAX_SLOTS = 3
 PLAN_SCHEMA = T.StructType([
     T.StructField("name", T.StringType(), False),
     T.StructField("kind", T.StringType(), False),
@@ -26,10 +25,9 @@ PLAN_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), False),
     T.StructField("src_part", T.StringType(), False),
     T.StructField("src_kind", T.StringType(), False),
-    *[f for i in range(MAX_SLOTS) for f in (
-        T.StructField(f"m{i}_key", T.StringType(), True),
-        T.StructField(f"m{i}_op", T.StringType(), True),
-        T.StructField(f"m{i}_value", T.StringType(), True))],
+    T.StructField("matchers", T.ArrayType(T.StructType([
+        T.StructField("key", T.StringType()), T.StructField("op", T.StringType()),
+        T.StructField("value", T.StringType())])), False),
 ])
 _PARTS = {"rate_sum": ("",), "rate": ("",), "rate_mean": ("sum", "count"), "hist_q": ("bucket",),
           "gauge_sum": ("",), "gauge": ("",)}
@@ -39,8 +37,8 @@ def spec_plan(specs: list[Spec] = ALL_SPECS, mapping=FAMILY_SOURCES) -> list[tup
     """Resolve the fixed catalogue against the fixed family mapping.
 
     One row per (spec, source family, part). Matchers on labels that the
-    mapping injects are decided here, once; the rest stay as at most
-    ``MAX_SLOTS`` (key, op, value) checks on the source labels.
+    mapping injects are decided here, once; the rest stay as (key, op, value)
+    checks on the source labels.
     """
     rows = []
     for sp in specs:
@@ -56,19 +54,18 @@ def spec_plan(specs: list[Spec] = ALL_SPECS, mapping=FAMILY_SOURCES) -> list[tup
                     keep.append((key, op, val))
             if not ok:
                 continue
-            if len(keep) > MAX_SLOTS:
-                raise ValueError(f"{sp.name}: more than {MAX_SLOTS} label matchers")
-            slots = [x for m in keep for x in m] + [None] * (3 * (MAX_SLOTS - len(keep)))
             kind = "gauge" if sp.kind.startswith("gauge") else "rate"
             for part in _PARTS[sp.kind]:
-                rows.append((sp.name, sp.kind, sp.q, sp.by, source, part, kind, *slots))
+                rows.append((sp.name, sp.kind, sp.q, sp.by, source, part, kind, keep))
     return rows
 
 
-def _slot_ok(i: int) -> Column:
-    key, op, val = F.col(f"m{i}_key"), F.col(f"m{i}_op"), F.col(f"m{i}_value")
-    v = F.coalesce(F.element_at(F.col("labels"), key), F.lit(""))
-    return key.isNull() | F.when(op == "=", v == val).otherwise(v != val)
+def _matched() -> Column:
+    """Whether a sample's labels pass every matcher of its plan row."""
+    def one(m):
+        v = F.coalesce(F.element_at(F.col("labels"), m["key"]), F.lit(""))
+        return F.when(m["op"] == "=", v == m["value"]).otherwise(v != m["value"])
+    return F.forall("matchers", one)
 
 
 def evaluate(spark: SparkSession, counters: DataFrame, gauges: DataFrame, grid: Grid, range_s: int,
@@ -86,14 +83,12 @@ def evaluate(spark: SparkSession, counters: DataFrame, gauges: DataFrame, grid:
     # Equi-join on (family, part, kind) against the small fixed plan table.
     cond = ((pts["family"] == plan["source"]) & (pts["part"] == plan["src_part"])
             & (pts["kind_of"] == plan["src_kind"]))
-    j = pts.join(bounded_broadcast(plan, len(plan_rows)), cond)
-    for i in range(MAX_SLOTS):
-        j = j.where(_slot_ok(i))
-    # ``sum by (label)`` keeps one line per label value; a bare gauge selector
-    # keeps every series apart (so an export can refuse several series per
+    j = pts.join(bounded_broadcast(plan, len(plan_rows)), cond).where(_matched())
+    # ``sum by (label)`` keeps one line per label value; a bare selector (gauge or
+    # rate) keeps every series apart (so an export can refuse several series per
     # metric); every other kind sums to a single line.
     by_value = (F.when(F.col("by").isNotNull(), F.coalesce(F.element_at("labels", F.col("by")), F.lit("")))
-                .when(F.col("kind") == "gauge", series_key(F.col("labels")))
+                .when(F.col("kind").isin("gauge", "rate") & (F.size("labels") > 0), series_key(F.col("labels")))
                 .otherwise(F.lit("")))
     j = j.select("name", "kind", "q", by_value.alias("by_value"), "t", "le", "part", "value")
     keys = ["name", "kind", "q", "by_value", "t"]
@@ -130,7 +125,10 @@ def panel_series(spark: SparkSession, metrics: DataFrame, grid: Grid, panels) ->
     pf = panel_frame(spark, panels)
     n_terms = sum(len(p.terms) for p in panels)
     m = metrics.join(bounded_broadcast(pf, n_terms), metrics["metric"] == pf["term"])
-    series = F.when(F.col("op") == "by", F.col("by_value")).otherwise(F.col("legend"))
+    # several series of a bare selector stay lines of their own
+    several = (F.col("op") == "ref") & (F.col("by_value") != "")
+    series = (F.when(F.col("op") == "by", F.col("by_value"))
+              .when(several, F.concat_ws(" ", "legend", "by_value")).otherwise(F.col("legend")))
     m = m.select("panel", series.alias("series"), "op", "pos", "t", "value")
     # Grid points for lines that default to 0: generated per line, not joined.
     defaults = pf.where(F.col("op").isin("or0", "sum_or0")).select("panel", "legend", "op").distinct()

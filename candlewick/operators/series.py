@@ -49,15 +49,18 @@ class Grid:
         return self.origin + self.last * self.step
 
 
+_ENTRIES = "array<struct<key:string,value:string>>"
+
+
 def series_key(labels: Column) -> Column:
-    """Canonical text of a label set (maps cannot be grouped on)."""
-    entries = F.transform(F.map_entries(labels), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return F.array_join(F.array_sort(entries), ",")
+    """Canonical text of a label set (maps cannot be grouped on): its entries in
+    key order as JSON, so that any character and NULL survive."""
+    return F.coalesce(F.to_json(F.array_sort(F.map_entries(labels))), F.lit("[]"))
 
 
 def labels_of(key: Column) -> Column:
-    return F.when(key == "", F.create_map().cast("map<string,string>")).otherwise(
-        F.str_to_map(key, F.lit(","), F.lit("=")))
+    """The label map that ``series_key`` was made from."""
+    return F.map_from_entries(F.from_json(key, _ENTRIES))
 
 
 def with_series(samples: DataFrame) -> DataFrame:

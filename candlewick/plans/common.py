@@ -13,8 +13,6 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 
-DIGITS = 6
-
 
 def register(name: str, oracle: str | None = None):
     """Register a query builder under ``name`` with its DuckDB oracle."""
@@ -28,28 +26,28 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-def finish(df: DataFrame) -> DataFrame:
-    """Round double columns to 6 dp and map NaN to NULL (both engines do the same)."""
+def finish(df: DataFrame, computed: tuple = ()) -> DataFrame:
+    """Result columns of a query. Doubles that an engine may add up in any order
+    (``computed``: sums, means, rates) are rounded to 6 decimals; every other double
+    - prices, changes, counts, gauges - is returned as it is. NaN becomes NULL."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = round6(c).alias(f.name)
+            c = (round6(c) if f.name in computed else F.when(~F.isnan(c), c)).alias(f.name)
         cols.append(c)
     return df.select(*cols)
 
 
+#: Rounding switches between two multiples at 0.58578644 of the way, not at half:
+#: means and interpolated quantiles are often exact halves of the last decimal, and
+#: there the order of summation would decide.
+OFF_HALF = 0.08578644
+
+
 def round6(c):
-    """Round to 6 dp with plain IEEE arithmetic, identical in both engines:
-    floor(x * 1e6 + 0.5 + 1e-9 * |x * 1e6|) / 1e6 (NaN -> NULL; huge or
-    infinite values kept)."""
-    y = c * F.lit(1e6)
-    # The relative nudge (1e-9) makes values that are exact ties in real
-    # arithmetic round up whatever order the engine summed them in.
-    scaled = F.floor((y + F.lit(0.5)) + F.lit(1e-9) * F.abs(y)).cast("double") / F.lit(1e6)
-    return (F.when(F.isnan(c), F.lit(None).cast("double"))
-            .when(F.abs(c) >= F.lit(1e12), c)
-            .otherwise(scaled))
+    """The multiple of 1e-6 next to a double, within 0.6e-6 of it (NaN -> NULL)."""
+    return F.when(~F.isnan(c), F.rint(c * F.lit(1e6) - F.lit(OFF_HALF)) / F.lit(1e6))
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ for _name, _win, _us in (("candles_1m", "1 minute", S.MINUTE_US),
                          ("candles_1d", "1 day", S.DAY_US)):
     def _q(spark, sf_dir, _win=_win):
         return finish(_candles(spark, sf_dir, _win))
-    register(_name, T_CTE + S.rounded_candles(S.with_change(S.candles_sql(_us))))(_q)
+    register(_name, T_CTE + (S.with_change(S.candles_sql(_us))))(_q)
 
 
 ORDERS_CTE = """WITH o AS (
@@ -32,7 +32,7 @@ ORDERS_CTE = """WITH o AS (
   FROM orders)"""
 
 
-@register("candles_orders_1w", ORDERS_CTE + S.rounded_candles(S.with_change(
+@register("candles_orders_1w", ORDERS_CTE + (S.with_change(
     S.candles_sql(7 * S.DAY_US, source="o", order="tick_order"))))
 def candles_orders_1w(spark, sf_dir):
     """Day-grained tape with many equal times: ties broken by order key."""
@@ -47,9 +47,9 @@ def alerts_1h(spark, sf_dir, threshold=ALERT_THRESHOLD):
 _ALERTS_1H = S.alerts_sql(S.candles_sql(S.HOUR_US), ALERT_THRESHOLD)
 _ALERTS_1H_50 = S.alerts_sql(S.candles_sql(S.HOUR_US), 0.5)
 
-register("alerts_1h", T_CTE + S.rounded_alerts(_ALERTS_1H))(
+register("alerts_1h", T_CTE + (_ALERTS_1H))(
     lambda spark, sf_dir: finish(alerts_1h(spark, sf_dir)))
-register("alerts_1h_threshold_50pct", T_CTE + S.rounded_alerts(_ALERTS_1H_50))(
+register("alerts_1h_threshold_50pct", T_CTE + (_ALERTS_1H_50))(
     lambda spark, sf_dir: finish(alerts_1h(spark, sf_dir, 0.5)))
 
 
@@ -67,13 +67,13 @@ def alert_buy_sell(spark, sf_dir):
     return A.buy_sell_counts(alerts_1h(spark, sf_dir))
 
 
-@register("recent_alerts_20", T_CTE + S.rounded_alerts(
+@register("recent_alerts_20", T_CTE + (
     f"SELECT * FROM ({_ALERTS_1H}) ORDER BY window_end DESC, symbol LIMIT {MAX_ALERTS_SHOWN}"))
 def recent_alerts_20(spark, sf_dir):
     return finish(A.newest_alerts(alerts_1h(spark, sf_dir), MAX_ALERTS_SHOWN))
 
 
-@register("alert_log_200", T_CTE + S.rounded_alerts(
+@register("alert_log_200", T_CTE + (
     f"SELECT * FROM ({_ALERTS_1H}) ORDER BY window_end DESC, symbol LIMIT {MAX_ALERTS_STORED}"))
 def alert_log_200(spark, sf_dir):
     return finish(A.alert_log(alerts_1h(spark, sf_dir), MAX_ALERTS_STORED))

@@ -36,8 +36,8 @@ def latency_table(spark, sf_dir):
 
 
 @register("latency_rows", LAT_CTE + f"""
-  SELECT offs AS "offset", symbol, {S.r6('network_seconds')} AS network_seconds,
-         {S.r6('system_seconds')} AS system_seconds, {S.r6('e2e_seconds')} AS e2e_seconds FROM lat""")
+  SELECT offs AS "offset", symbol, network_seconds,
+         system_seconds, e2e_seconds FROM lat""")
 def latency_rows(spark, sf_dir):
     return finish(latency_table(spark, sf_dir))
 
@@ -45,20 +45,21 @@ def latency_rows(spark, sf_dir):
 @register("latency_summary", LAT_CTE + f"""
   SELECT symbol, count(*) AS messages, {S.r6('avg(e2e_seconds)')} AS avg_e2e,
          {S.r6('avg(network_seconds)')} AS avg_network, {S.r6('avg(system_seconds)')} AS avg_system,
-         {S.r6('min(e2e_seconds)')} AS min_e2e, {S.r6('max(e2e_seconds)')} AS max_e2e
+         min(e2e_seconds) AS min_e2e, max(e2e_seconds) AS max_e2e
   FROM lat GROUP BY symbol""")
 def latency_summary(spark, sf_dir):
     t = latency_table(spark, sf_dir)
     return finish(t.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("messages"), F.avg("e2e_seconds").alias("avg_e2e"),
         F.avg("network_seconds").alias("avg_network"), F.avg("system_seconds").alias("avg_system"),
-        F.min("e2e_seconds").alias("min_e2e"), F.max("e2e_seconds").alias("max_e2e")))
+        F.min("e2e_seconds").alias("min_e2e"), F.max("e2e_seconds").alias("max_e2e")),
+        computed=("avg_e2e", "avg_network", "avg_system"))
 
 
 @register("latency_quantiles", LAT_CTE + f"""
-  SELECT symbol, {S.r6('quantile_disc(e2e_seconds, 0.5)')} AS p50,
-         {S.r6('quantile_disc(e2e_seconds, 0.95)')} AS p95,
-         {S.r6('quantile_disc(e2e_seconds, 0.99)')} AS p99
+  SELECT symbol, quantile_disc(e2e_seconds, 0.5) AS p50,
+         quantile_disc(e2e_seconds, 0.95) AS p95,
+         quantile_disc(e2e_seconds, 0.99) AS p99
   FROM lat GROUP BY symbol""")
 def latency_quantiles(spark, sf_dir):
     """Exact per-symbol quantiles at any scale (``exact_quantiles``); the
@@ -68,9 +69,9 @@ def latency_quantiles(spark, sf_dir):
 
 
 @register("latency_quantiles_bracketed", LAT_CTE + f"""
-  SELECT symbol, {S.r6('quantile_disc(e2e_seconds, 0.5)')} AS p50,
-         {S.r6('quantile_disc(e2e_seconds, 0.95)')} AS p95,
-         {S.r6('quantile_disc(e2e_seconds, 0.99)')} AS p99
+  SELECT symbol, quantile_disc(e2e_seconds, 0.5) AS p50,
+         quantile_disc(e2e_seconds, 0.95) AS p95,
+         quantile_disc(e2e_seconds, 0.99) AS p99
   FROM lat GROUP BY symbol""")
 def latency_quantiles_bracketed(spark, sf_dir):
     """Exact at any scale: bracketing rounds, then a window over at most
@@ -89,7 +90,8 @@ def latency_share(spark, sf_dir):
     g = t.groupBy("symbol").agg(F.avg("system_seconds").alias("s"), F.avg("network_seconds").alias("n"),
                                 F.avg("e2e_seconds").alias("e"))
     return finish(g.select("symbol", F.try_divide("s", "e").alias("system_share"),
-                           F.try_divide("n", "e").alias("network_share")))
+                           F.try_divide("n", "e").alias("network_share")),
+                  computed=("system_share", "network_share"))
 
 
 _LES = ", ".join(f"({b!r})" for b in BOUNDS_E2E_LATENCY) + ", ('inf'::DOUBLE)"
@@ -100,7 +102,7 @@ _LES = ", ".join(f"({b!r})" for b in BOUNDS_E2E_LATENCY) + ", ('inf'::DOUBLE)"
          {S.r6('sum(e2e_seconds)')} AS "sum", count(e2e_seconds) AS "count"
   FROM lat, (VALUES {_LES}) b(le) GROUP BY symbol, b.le""")
 def latency_histogram(spark, sf_dir):
-    return finish(histogram(latency_table(spark, sf_dir), "e2e_seconds", BOUNDS_E2E_LATENCY))
+    return finish(histogram(latency_table(spark, sf_dir), "e2e_seconds", BOUNDS_E2E_LATENCY), computed=("sum",))
 
 
 @register("clock_skew", f"""WITH c AS (
@@ -108,8 +110,8 @@ def latency_histogram(spark, sf_dir):
          epoch_us(ts) / 1000.0 + 5 + event_id % 40 AS after_ms,
          floor(epoch_us(ts) / 1000.0) + (event_id * 31) % 20 AS server_ms
   FROM events)
-  SELECT event_id, {S.r6('(before_ms + (after_ms - before_ms) / 2.0 - server_ms) / 1000.0')} AS skew_seconds,
-         {S.r6('(after_ms - before_ms) / 1000.0')} AS round_trip_seconds
+  SELECT event_id, (before_ms + (after_ms - before_ms) / 2.0 - server_ms) / 1000.0 AS skew_seconds,
+         (after_ms - before_ms) / 1000.0 AS round_trip_seconds
   FROM c""")
 def clock_skew(spark, sf_dir):
     t = ticks(spark, sf_dir)
@@ -149,8 +151,8 @@ def q_consumer_lag_total(spark, sf_dir):
 
 
 @register("throughput", f"""WITH t AS ({S.TICKS})
-  SELECT symbol, count(*) AS messages, {S.r6('(max(bts) - min(bts)) / 1e6')} AS span_seconds,
-         {S.r6('CASE WHEN max(bts) = min(bts) THEN NULL ELSE count(*) / ((max(bts) - min(bts)) / 1e6) END')}
+  SELECT symbol, count(*) AS messages, (max(bts) - min(bts)) / 1e6 AS span_seconds,
+         CASE WHEN max(bts) = min(bts) THEN NULL ELSE count(*) / ((max(bts) - min(bts)) / 1e6) END
            AS msg_per_sec
   FROM t GROUP BY symbol""")
 def q_throughput(spark, sf_dir):
@@ -162,5 +164,5 @@ for _name, _mins in (("replay_15m", 15), ("replay_1d", 1440)):
         t = ticks(spark, sf_dir)
         return finish(since(t, _mins).select("event_id", "symbol", "price", "binance_timestamp"))
     register(_name, f"""WITH t AS ({S.TICKS})
-  SELECT event_id, symbol, {S.r6('price')} AS price, bts AS binance_timestamp FROM t
+  SELECT event_id, symbol, price, bts AS binance_timestamp FROM t
   WHERE event_time >= (SELECT max(ts) FROM events) - INTERVAL {_mins} MINUTE""")(_q)

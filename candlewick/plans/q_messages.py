@@ -40,7 +40,7 @@ def consumed(spark, sf_dir):
 
 
 @register("normalized_ticks", ENV_CTE + f"""
-  SELECT event_id, symbol, {S.r6('price')} AS price, bts AS binance_timestamp
+  SELECT event_id, symbol, price, bts AS binance_timestamp
   FROM e WHERE error_type IS NULL""")
 def normalized_ticks(spark, sf_dir):
     good = N.good(envelopes(spark, sf_dir))
@@ -67,7 +67,7 @@ def message_counts(spark, sf_dir):
 
 
 @register("consumer_valid", MSG_CTE + f"""
-  SELECT offs AS "offset", symbol, {S.r6('price')} AS price, bts AS binance_timestamp,
+  SELECT offs AS "offset", symbol, price, bts AS binance_timestamp,
          rts AS received_timestamp
   FROM m WHERE error_type IS NULL""")
 def consumer_valid(spark, sf_dir):
@@ -88,7 +88,7 @@ def consumer_counts(spark, sf_dir):
 
 
 @register("decoded_ticks", f"WITH t AS ({S.TICKS})" + f"""
-  SELECT symbol, {S.r6('price')} AS price, bts AS binance_timestamp, rts AS received_timestamp,
+  SELECT symbol, price, bts AS binance_timestamp, rts AS received_timestamp,
          make_timestamp(bts) AS event_time, part AS "partition", offs AS "offset"
   FROM t""")
 def decoded_ticks(spark, sf_dir):

@@ -30,13 +30,13 @@ def latest(spark, sf_dir, by="offset"):
 
 
 @register("latest_price", LATEST_SQL + f"""
-  SELECT symbol, {S.r6('price')} AS price, binance_timestamp, received_timestamp FROM latest""")
+  SELECT symbol, price, binance_timestamp, received_timestamp FROM latest""")
 def q_latest_price(spark, sf_dir):
     return finish(latest(spark, sf_dir))
 
 
 @register("latest_by_event_time", MSG_CTE + f"""
-  SELECT symbol, {S.r6('arg_max(price, bts)')} AS price, max(bts) AS binance_timestamp,
+  SELECT symbol, arg_max(price, bts) AS price, max(bts) AS binance_timestamp,
          arg_max(rts, bts) AS received_timestamp
   FROM m WHERE error_type IS NULL GROUP BY symbol""")
 def q_latest_by_event_time(spark, sf_dir):
@@ -49,23 +49,18 @@ def board(spark, sf_dir):
 
 
 @register("current_prices_ordered", LATEST_SQL + f"""
-  SELECT cfg.pos, l.symbol, {S.r6('l.price')} AS price, l.binance_timestamp, l.received_timestamp
+  SELECT cfg.pos, l.symbol, l.price, l.binance_timestamp, l.received_timestamp
   FROM {BOARD_SQL} JOIN latest l USING (symbol) ORDER BY cfg.pos""")
 def q_current_prices(spark, sf_dir):
     return finish(board(spark, sf_dir))
 
 
 def _money_sql(x: str) -> str:
-    dec = f"regexp_replace(CAST(CAST(abs({x}) AS DECIMAL(38,10)) AS VARCHAR), '0+$', '')"
-    frac = f"CASE WHEN split_part({dec}, '.', 2) = '' THEN '0' ELSE split_part({dec}, '.', 2) END"
-    grouped = f"format('{{:,}}', CAST(split_part({dec}, '.', 1) AS HUGEINT))"
-    return f"('$' || CASE WHEN {x} < 0 THEN '-' ELSE '' END || {grouped} || '.' || {frac})"
+    return f"('$' || format('{{:,}}', {x}))"
 
 
 def _signed2_sql(x: str) -> str:
-    cents = f"CAST(floor(abs({x}) * 100.0 + 0.5) AS BIGINT)"
-    return (f"(CASE WHEN {x} < 0 THEN '-' ELSE '+' END || CAST({cents} // 100 AS VARCHAR) || '.' || "
-            f"lpad(CAST({cents} % 100 AS VARCHAR), 2, '0'))")
+    return f"printf('%+.2f', {x})"
 
 
 @register("price_cards", LATEST_SQL + f"""

@@ -58,7 +58,7 @@ def _alert_rows(spark, root):
     return decode_alert_records(recs)
 
 
-@register("streamed_alerts", T_CTE + S.rounded_alerts(_CLOSED))
+@register("streamed_alerts", T_CTE + (_CLOSED))
 def streamed_alerts(spark, sf_dir):
     root = replay_alerts(spark, sf_dir)
     a = _alert_rows(spark, root)
@@ -68,7 +68,7 @@ def streamed_alerts(spark, sf_dir):
 
 
 @register("streamed_latest", LATEST_SQL + f"""
-  SELECT symbol, {S.r6('price')} AS price, binance_timestamp, received_timestamp FROM latest""")
+  SELECT symbol, price, binance_timestamp, received_timestamp FROM latest""")
 def streamed_latest(spark, sf_dir):
     root = _run_dir(spark, "latest")
     consumer_records(ticks(spark, sf_dir)).write.parquet(f"{root}/prices")
@@ -81,7 +81,7 @@ def streamed_latest(spark, sf_dir):
     return finish(t.select("symbol", "price", "binance_timestamp", "received_timestamp"))
 
 
-@register("streamed_alert_log", T_CTE + S.rounded_alerts(
+@register("streamed_alert_log", T_CTE + (
     f"SELECT * FROM ({_CLOSED}) ORDER BY window_end DESC, symbol LIMIT {MAX_ALERTS_STORED}"))
 def streamed_alert_log(spark, sf_dir):
     root = replay_alerts(spark, sf_dir)
@@ -124,7 +124,7 @@ _VALID_M = f"""WITH t AS ({S.TICKS}), m AS (
 
 @register("streamed_tick_counts", _VALID_M + f"""
   SELECT symbol, make_timestamp((bts // 3600000000 + 1) * 3600000000) AS scrape_end,
-         count(*) AS messages, {S.r6('sum(sts - bts) / 1e6')} AS e2e_sum_seconds
+         count(*) AS messages, sum(sts - bts) / 1e6 AS e2e_sum_seconds
   FROM m GROUP BY 1, 2
   HAVING make_timestamp((bts // 3600000000 + 1) * 3600000000)
          <= (SELECT make_timestamp(max(bts)) FROM m) - INTERVAL 1 SECOND""")
@@ -144,7 +144,6 @@ def streamed_tick_counts(spark, sf_dir):
     g = inc.groupBy(sym.alias("symbol"), "k").agg(
         F.sum(F.when(F.col("family") == "ticks_total", F.col("inc"))).alias("messages"),
         F.sum(F.when(F.col("part") == "sum", F.col("inc"))).alias("_us"))
-    from candlewick.config import FIXTURE_ORIGIN
-    end = F.timestamp_seconds(F.lit(FIXTURE_ORIGIN) + F.col("k") * F.lit(3600)).cast("timestamp_ntz")
+    end = F.timestamp_seconds(F.col("k") * F.lit(3600)).cast("timestamp_ntz")
     return finish(g.select("symbol", end.alias("scrape_end"), F.col("messages").cast("long").alias("messages"),
                            (F.col("_us") / F.lit(1e6)).alias("e2e_sum_seconds")))

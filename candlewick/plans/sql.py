@@ -4,8 +4,6 @@ They restate the fixture rules of FIXTURES.md directly on the driver
 tables, independently of the Spark code paths.
 """
 
-R = 6  # rounding digits, as in plans.common.finish
-
 TICKS = """
   SELECT event_id, event_type AS symbol, value AS price, epoch_us(ts) AS bts,
          epoch_us(ts) + 1000 + (event_id * 7919) % 400000 AS rts,
@@ -17,8 +15,7 @@ TICKS = """
 
 def r6(expr: str) -> str:
     x = f"(({expr})::DOUBLE)"
-    return (f"(CASE WHEN isnan({x}) THEN NULL WHEN abs({x}) >= 1e12 THEN {x} "
-            f"ELSE floor(({x} * 1e6 + 0.5) + 1e-9 * abs({x} * 1e6)) / 1e6 END)")
+    return f"(CASE WHEN NOT isnan({x}) THEN round_even({x} * 1e6 - 0.08578644, 0) / 1e6 END)"
 
 
 def candles_sql(width_us: int, source: str = "t", order: str = "bts", time_us: str = "bts") -> str:
@@ -50,21 +47,6 @@ def alerts_sql(candles: str, threshold: float) -> str:
 """
 
 
-def rounded_candles(inner: str) -> str:
-    return f"""
-  SELECT symbol, window_start, window_end, {r6('open_price')} AS open_price,
-         {r6('close_price')} AS close_price, {r6('percent_change')} AS percent_change
-  FROM ({inner})
-"""
-
-
-def rounded_alerts(inner: str) -> str:
-    return f"""
-  SELECT symbol, window_start, window_end, {r6('open_price')} AS open_price,
-         {r6('close_price')} AS close_price, {r6('percent_change')} AS percent_change, alert_type
-  FROM ({inner})
-"""
-
 MINUTE_US = 60 * 1_000_000
 HOUR_US = 3600 * 1_000_000
 DAY_US = 86400 * 1_000_000

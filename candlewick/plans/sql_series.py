@@ -7,19 +7,23 @@ lookup with a band join + arg_max, and quantiles with window functions.
 
 from __future__ import annotations
 
-from candlewick.config import (FIXTURE_BOUNDS, FIXTURE_LOOKBACK, FIXTURE_ORIGIN, FIXTURE_RANGE,
-                               FIXTURE_SCRAPES, FIXTURE_STEP)
+from candlewick.config import (BOUNDS_E2E_LATENCY, BOUNDS_NETWORK_LATENCY, BOUNDS_SYSTEM_LATENCY,
+                               FIXTURE_LOOKBACK, FIXTURE_RANGE, FIXTURE_STEP)
 from candlewick.plans import sql as S
 from candlewick.plans.catalog import ALL_SPECS, FAMILY_SOURCES, GAUGE_SOURCES
 
-O, STEP, K, R, LB = FIXTURE_ORIGIN, FIXTURE_STEP, FIXTURE_SCRAPES, FIXTURE_RANGE, FIXTURE_LOOKBACK
+STEP, R, LB = FIXTURE_STEP, FIXTURE_RANGE, FIXTURE_LOOKBACK
+# The scrape grid covers the events: its origin and its last scrape are in ``s_g``.
+O, K = "(SELECT o FROM s_g)", "(SELECT k FROM s_g)"
+SCRAPES = f"(SELECT unnest(range(1, {K} + 1)) AS k)"
+GRID_CTE = f"""s_g AS (SELECT o, z // {STEP * 1_000_000} + 1 - o // {STEP} AS k FROM (
+    SELECT ((min(epoch_us(ts)) - 1) // {STEP * 1_000_000}) * {STEP} AS o, max(epoch_us(ts)) AS z FROM events))"""
 LABELS = ("symbol", "name", "error_type", "alert_type", "pno")
 SER = ("family", "part", "le") + LABELS
-LES = ", ".join(f"({b!r})" for b in FIXTURE_BOUNDS) + ", ('inf'::DOUBLE)"
 
 
 def _kexpr(us: str) -> str:
-    return f"CAST(ceil(({us} - {O * 1_000_000}) / {float(STEP) * 1_000_000!r}) AS BIGINT)"
+    return f"CAST(ceil(({us} - {O} * 1000000) / {float(STEP) * 1_000_000!r}) AS BIGINT)"
 
 
 def _sel(family, part, le, inc, group, src="s_tk", scale=1.0, **labels):
@@ -31,11 +35,12 @@ def _sel(family, part, le, inc, group, src="s_tk", scale=1.0, **labels):
             f"FROM {src} GROUP BY {group}")
 
 
-def _hist(family, col):
+def _hist(family, col, bounds):
+    les = ", ".join(f"({b!r})" for b in bounds) + ", ('inf'::DOUBLE)"
     sym = dict(symbol="symbol", who="symbol")
     return [
         _sel(family, "bucket", "b.le", f"count({col}) FILTER (WHERE {col} <= b.le)", "symbol, k, b.le",
-             src=f"s_tk CROSS JOIN (VALUES {LES}) b(le)", **sym),
+             src=f"s_tk CROSS JOIN (VALUES {les}) b(le)", **sym),
         _sel(family, "sum", "NULL", f"coalesce(sum({col}_us), 0)", "symbol, k", scale=1e6, **sym),
         _sel(family, "count", "NULL", f"count({col})", "symbol, k", **sym),
     ]
@@ -44,8 +49,9 @@ def _hist(family, col):
 def samples_ctes(alerts_sql: str) -> str:
     """CTEs ending in ``samples(family, part, le, <labels>, who, ts, value)``."""
     incs = [_sel("ticks_total", "", "NULL", "count(*)", "symbol, k", symbol="symbol", who="symbol")]
-    incs += _hist("e2e_latency_seconds", "e2e") + _hist("network_latency_seconds", "net")
-    incs += _hist("system_latency_seconds", "sys")
+    incs += _hist("e2e_latency_seconds", "e2e", BOUNDS_E2E_LATENCY)
+    incs += _hist("network_latency_seconds", "net", BOUNDS_NETWORK_LATENCY)
+    incs += _hist("system_latency_seconds", "sys", BOUNDS_SYSTEM_LATENCY)
     nm = dict(name="symbol", who="symbol")
     incs += [
         _sel("cpu_seconds_total", "", "NULL", "coalesce(sum(cents), 0)", "symbol, k", scale=100000.0, **nm),
@@ -68,6 +74,7 @@ def samples_ctes(alerts_sql: str) -> str:
     gon = " AND ".join(f"o.{c} IS NOT DISTINCT FROM i.{c}" for c in ("family",) + LABELS)
     gpart = ", ".join(f"i.{c}" for c in ("family",) + LABELS)
     return f"""
+{GRID_CTE},
 s_t AS (SELECT t.*, e.user_id FROM ({S.TICKS}) t JOIN events e USING (event_id)),
 s_t2 AS (SELECT *, sts - bts AS e2e_us, rts - bts AS net_us, CASE WHEN rts <> 0 THEN sts - rts END AS sys_us,
            (sts - bts) / 1e6 AS e2e, (rts - bts) / 1e6 AS net,
@@ -94,7 +101,7 @@ s_ids AS (SELECT DISTINCT family, part, le, {', '.join(LABELS)}, who, scale FROM
 s_cum AS (
   SELECT i.*, g.k, sum(coalesce(x.inc, 0)) OVER (PARTITION BY {part_by} ORDER BY g.k
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
-  FROM s_ids i CROSS JOIN range(1, {K + 1}) g(k)
+  FROM s_ids i CROSS JOIN {SCRAPES} g
   LEFT JOIN s_inc x ON {on} AND x.k = g.k),
 s_ctr AS (
   SELECT *, CAST(CASE WHEN who = 'click' THEN cum - coalesce(max(CASE WHEN k % 100 = 0 THEN cum END)
@@ -119,7 +126,7 @@ s_gids AS (SELECT DISTINCT family, {', '.join(LABELS)}, who FROM s_gobs),
 s_gfill AS (
   SELECT i.*, g.k, last_value(o.value IGNORE NULLS) OVER (PARTITION BY {gpart} ORDER BY g.k
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
-  FROM s_gids i CROSS JOIN range(1, {K + 1}) g(k)
+  FROM s_gids i CROSS JOIN {SCRAPES} g
   LEFT JOIN s_gobs o ON {gon} AND o.k = g.k),
 samples AS (
   SELECT family, part, le, {', '.join(LABELS)}, who, {O} + k * {STEP} AS ts, value FROM s_ctr WHERE {gaps}
@@ -139,7 +146,7 @@ def rate_ctes(src: str = "samples", name: str = "rates") -> str:
          lag(value) OVER w AS pv, CAST(lag(ts) OVER w AS DOUBLE) AS pts
   FROM {src} WHERE family NOT IN ({gauge_list})
   WINDOW w AS (PARTITION BY family, part, le, {lab} ORDER BY ts)),
-{name}_grid AS (SELECT CAST({O} + j * {STEP} AS DOUBLE) AS t FROM range(1, {K + 1}) r(j)),
+{name}_grid AS (SELECT CAST({O} + k * {STEP} AS DOUBLE) AS t FROM {SCRAPES}),
 {name}_agg AS (
   SELECT family, part, le, {lab}, g.t, count(*) AS n, min(ts) AS t0, max(ts) AS t1,
          arg_min(value, ts) AS v0, arg_max(value, ts) AS v1,
@@ -164,7 +171,7 @@ def asof_ctes(src: str = "samples", name: str = "gpts") -> str:
     lab = ", ".join(LABELS)
     gauge_list = ", ".join(f"'{g}'" for g in sorted(GAUGE_SOURCES))
     return f"""
-{name}_grid AS (SELECT {O} + j * {STEP} AS t FROM range(1, {K + 1}) r(j)),
+{name}_grid AS (SELECT {O} + k * {STEP} AS t FROM {SCRAPES}),
 {name} AS (
   SELECT family, part, le, {lab}, g.t, arg_max(value, ts) AS value
   FROM {name}_grid g JOIN {src} s ON s.ts > g.t - {LB} AND s.ts <= g.t
@@ -201,11 +208,11 @@ def quantile_ctes(src: str, keys: str, name: str = "hq") -> str:
   FROM {name}_all a LEFT JOIN {name}_pick p USING ({keys}))"""
 
 
-# Canonical 'k=v,...' text of a sample's own labels, keys in sorted order.
-SERIES_TEXT = "concat_ws(',', " + ", ".join(
-    f"CASE WHEN {col} IS NOT NULL THEN '{key}=' || {col} END"
+# Canonical text of a sample's own labels: JSON entries, keys in sorted order.
+SERIES_TEXT = "'[' || concat_ws(',', " + ", ".join(
+    f"CASE WHEN {col} IS NOT NULL THEN '{{\"key\":\"{key}\",\"value\":\"' || {col} || '\"}}' END"
     for key, col in sorted([("alert_type", "alert_type"), ("error_type", "error_type"), ("name", "name"),
-                            ("partition", "pno"), ("symbol", "symbol")])) + ")"
+                            ("partition", "pno"), ("symbol", "symbol")])) + ") || ']'"
 
 
 def _matcher_sql(matchers) -> str:
@@ -234,8 +241,8 @@ def catalog_ctes(specs=ALL_SPECS) -> str:
             fit = "src_kind = 'gauge'"
         if sp.by:
             by = f"coalesce({sp.by}, '')"
-        elif sp.kind == "gauge":
-            by = SERIES_TEXT
+        elif sp.kind in ("gauge", "rate"):
+            by = f"coalesce(nullif({SERIES_TEXT}, '[]'), '')"
         else:
             by = "''"
         q = repr(sp.q) if sp.q is not None else "NULL"

@@ -18,10 +18,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from candlewick.config import FIXTURE_BOUNDS, FIXTURE_ORIGIN, FIXTURE_SCRAPES, FIXTURE_STEP
+from candlewick.config import (BOUNDS_E2E_LATENCY, BOUNDS_NETWORK_LATENCY, BOUNDS_SYSTEM_LATENCY,
+                               FIXTURE_STEP)
 from candlewick.functions import latency as L
 from candlewick.functions import normalize as N
-from candlewick.operators.series import series_key
+from candlewick.operators.series import Grid, series_key
 from candlewick.sources.ticks import (consumer_key, consumer_value, envelope_json, epoch_micros,
                                       ticks_from_events)
 
@@ -37,11 +38,23 @@ GAUGE_FAMILIES = ("memory_working_set_bytes", "clock_skew_seconds", "api_round_t
 SERIES_COLS = ("family", "part", "series", "le")
 
 
-def scrape_of(micros: Column, origin: int = FIXTURE_ORIGIN, step: int = FIXTURE_STEP) -> Column:
+def scrape_of(micros: Column, origin: int = 0, step: int = FIXTURE_STEP) -> Column:
     """First scrape index k whose time t_k is at or after the event."""
     return F.ceil((micros - F.lit(origin * 1_000_000)) / F.lit(float(step) * 1_000_000)).cast("long")
 
 
+def scrape_grid(events: DataFrame, step: int = FIXTURE_STEP) -> Grid:
+    """The scrapes 1..K that cover every event and every window that ends within
+    a step of the last one, from the smallest and the largest event time."""
+    us = epoch_micros("ts")
+    r = events.agg(F.min(us).alias("a"), F.max(us).alias("z")).first()
+    if r["a"] is None:
+        return Grid(0, step, 1, 1)
+    width = step * 1_000_000
+    first = -(-r["a"] // width)
+    return Grid((first - 1) * step, step, 1, r["z"] // width + 2 - first)
+
+
 def _ntz(epoch_s: int) -> str:
     """A timestamp_ntz literal for an epoch second (UTC wall time)."""
     import datetime as dt
@@ -55,10 +68,10 @@ def _lab(**kv) -> Column:
     return F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), v)]).cast("map<string,string>")
 
 
-def _hist(family: str, v: Column, v_us: Column, labels: Column):
+def _hist(family: str, v: Column, v_us: Column, labels: Column, bounds):
     """Increments of one histogram on ``v`` (seconds): cumulative buckets,
     the sum kept exactly in integer µs (scale 1e6), and the count."""
-    out = [(family, "bucket", labels, float(b), F.count_if(v <= F.lit(b)), 1.0) for b in FIXTURE_BOUNDS]
+    out = [(family, "bucket", labels, float(b), F.count_if(v <= F.lit(b)), 1.0) for b in bounds]
     out.append((family, "bucket", labels, INF, F.count(v), 1.0))
     out.append((family, "sum", labels, None, F.coalesce(F.sum(v_us), F.lit(0)), 1e6))
     out.append((family, "count", labels, None, F.count(v), 1.0))
@@ -73,9 +86,9 @@ def _counter_entries():
     name = _lab(name=F.col("symbol"))
     n = F.count(F.lit(1))
     e = [("ticks_total", "", sym, None, n, 1.0)]
-    e += _hist("e2e_latency_seconds", F.col("e2e"), F.col("e2e_us"), sym)
-    e += _hist("network_latency_seconds", F.col("net"), F.col("net_us"), sym)
-    e += _hist("system_latency_seconds", F.col("sys"), F.col("sys_us"), sym)
+    e += _hist("e2e_latency_seconds", F.col("e2e"), F.col("e2e_us"), sym, BOUNDS_E2E_LATENCY)
+    e += _hist("network_latency_seconds", F.col("net"), F.col("net_us"), sym, BOUNDS_NETWORK_LATENCY)
+    e += _hist("system_latency_seconds", F.col("sys"), F.col("sys_us"), sym, BOUNDS_SYSTEM_LATENCY)
     e += [
         ("cpu_seconds_total", "", name, None, F.coalesce(F.sum("cents"), F.lit(0)), 100000.0),
         ("network_receive_bytes_total", "", name, None, F.coalesce(F.sum("user_id"), F.lit(0)), 1.0),
@@ -105,15 +118,14 @@ def _gauge_entries():
     ]
 
 
-def scrape_rows(events: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
+def scrape_rows(events: DataFrame, grid: Grid) -> DataFrame:
     """Events -> per-event columns every series needs (one projection)."""
     # k in 1..K  <=>  origin < ts <= origin + K*step: stated on ``ts`` so the
     # range reaches the parquet reader.
-    lo = _ntz(FIXTURE_ORIGIN)
-    hi = _ntz(FIXTURE_ORIGIN + max_k * FIXTURE_STEP)
+    lo, hi = _ntz(grid.origin), _ntz(grid.end)
     events = events.where((F.col("ts") > F.expr(lo)) & (F.col("ts") <= F.expr(hi)))
     t = ticks_from_events(events)
-    t = t.withColumn("k", scrape_of(F.col("binance_timestamp"))).where(F.col("k").between(1, max_k))
+    t = t.withColumn("k", scrape_of(F.col("binance_timestamp"), grid.origin, grid.step))
     bts, rts, sts = F.col("binance_timestamp"), F.col("received_timestamp"), F.col("stored_timestamp")
     before = bts / F.lit(1000.0)
     after = before + F.lit(5) + F.col("event_id") % 40
@@ -135,13 +147,12 @@ def scrape_rows(events: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
     )
 
 
-def increments(events: DataFrame, alerts_df: DataFrame | None = None,
-               max_k: int = FIXTURE_SCRAPES) -> DataFrame:
+def increments(events: DataFrame, alerts_df: DataFrame | None, grid: Grid) -> DataFrame:
     """One aggregation per (symbol, k) -> counter increments and gauge
     observations in one long frame (``kind`` 'c' / 'g'): a single ``inline``
     over the aggregated row, never split into branches, so the events are
     scanned and aggregated once."""
-    rows = scrape_rows(events, max_k)
+    rows = scrape_rows(events, grid)
     ce, ge = _counter_entries(), _gauge_entries()
     aggs = [e[4].alias(f"_c{i}") for i, e in enumerate(ce)]
     aggs += [x for i, (_, _, v, ot, _) in enumerate(ge) for x in (v.alias(f"_g{i}"), ot.alias(f"_o{i}"))]
@@ -159,8 +170,8 @@ def increments(events: DataFrame, alerts_df: DataFrame | None = None,
                 for i, (f, lab, _, _, mode) in enumerate(ge)]
     long = wide.select("k", F.inline(F.array(*structs)))
     if alerts_df is not None:
-        a = alerts_df.withColumn("k", scrape_of(epoch_micros("window_end"))).where(
-            F.col("k").between(1, max_k))
+        a = alerts_df.withColumn("k", scrape_of(epoch_micros("window_end"), grid.origin, grid.step)) \
+            .where(F.col("k").between(grid.first, grid.last))
         a = a.groupBy("alert_type", "symbol", "k").agg(F.count(F.lit(1)).alias("inc")).select(
             "k", F.lit("c").alias("kind"), F.lit("alerts_total").alias("family"), F.lit("").alias("part"),
             _lab(alert_type=F.col("alert_type"), symbol=F.col("symbol")).alias("labels"),
@@ -179,7 +190,7 @@ def _not_gap(k: Column) -> Column:
     return who.isNull() | (who != GAP_SYMBOL) | ~(k % 50).between(1, 6)
 
 
-def fill_grid(long: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
+def fill_grid(long: DataFrame, grid: Grid) -> DataFrame:
     """Counter increments + gauge observations (``increments``) -> samples on
     the scrape grid.
 
@@ -192,7 +203,7 @@ def fill_grid(long: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
     runs before anything is co-located by series.
     Output: kind ('c' counter / 'g' gauge), family, part, labels, series, le, ts, value.
     """
-    from candlewick.operators.series import series_id
+    from candlewick.operators.series import labels_of, series_id
     keys = ["kind", "family", "part", "series", "le"]
     u = long.withColumn("additive", F.coalesce((F.col("mode") == "sum").cast("int"), F.lit(0)))
     u = u.withColumn("series", series_key(F.col("labels")))
@@ -216,24 +227,24 @@ def fill_grid(long: DataFrame, max_k: int = FIXTURE_SCRAPES) -> DataFrame:
          .withColumn("used", F.max("inc").over(whole)))
     x = x.where(~(is_c & F.col("family").isin(*ON_FIRST_USE)) | (F.col("used") > 0))
     lo = F.when(is_c & (F.col("k") == F.col("k0")), F.lit(1)).otherwise(F.col("k"))
-    hi = F.coalesce(F.col("nk") - 1, F.lit(max_k))
+    hi = F.coalesce(F.col("nk") - 1, F.lit(grid.last))
     e = x.select("_sk", *keys, "k", "cum", "scale", "gval", F.explode(F.sequence(lo, hi)).alias("kk"))
     e = e.select("_sk", *keys, "scale", "gval", F.col("kk").alias("k"),
                  F.when(F.col("kk") < F.col("k"), F.lit(0)).otherwise(F.col("cum")).alias("cum"))
-    e = e.withColumn("labels", F.when(F.col("series") == "", F.create_map().cast("map<string,string>"))
-                     .otherwise(F.str_to_map("series", F.lit(","), F.lit("="))))
+    e = e.withColumn("labels", labels_of(F.col("series")))
     base = F.max(F.when(F.col("k") % 100 == 0, F.col("cum"))).over(w)
     exact = F.when(_who() == RESET_SYMBOL, F.col("cum") - F.coalesce(base, F.lit(0))).otherwise(F.col("cum"))
     value = F.when(is_c, exact.cast("double") / F.col("scale")).otherwise(F.col("gval"))
     e = e.withColumn("value", value).where(_not_gap(F.col("k")))
-    ts = (F.lit(FIXTURE_ORIGIN) + F.col("k") * F.lit(FIXTURE_STEP)).alias("ts")
+    ts = grid.t(F.col("k")).alias("ts")
     return e.select("kind", "family", "part", "labels", "series", "le", ts, "value")
 
 
-def source_samples(spark, events: DataFrame, alerts_df: DataFrame | None = None,
-                   max_k: int = FIXTURE_SCRAPES) -> DataFrame:
+def source_samples(events: DataFrame, alerts_df: DataFrame | None = None,
+                   grid: Grid | None = None) -> DataFrame:
     """All derived series, long form: kind, family, part, labels, series, le, ts, value."""
-    return fill_grid(increments(events, alerts_df, max_k), max_k)
+    grid = grid or scrape_grid(events)
+    return fill_grid(increments(events, alerts_df, grid), grid)
 
 
 def split(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -244,7 +255,6 @@ def split(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     return samples.where(~gf).select(*cols), samples.where(gf).select(*cols)
 
 
-def source_series(events: DataFrame, alerts_df: DataFrame | None = None,
-                  max_k: int = FIXTURE_SCRAPES) -> tuple[DataFrame, DataFrame]:
+def source_series(events: DataFrame, alerts_df: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(counter samples, gauge samples) derived from the events (+ alerts)."""
-    return split(source_samples(None, events, alerts_df, max_k))
+    return split(source_samples(events, alerts_df))

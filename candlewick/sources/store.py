@@ -5,8 +5,8 @@ time-series database, instead of re-deriving them from the events each time.
 The store lives under the shared checkpoint folder, keyed by a fingerprint of
 the input files (path, length, modification time) and of the derivation code
 version, partitioned by series family so a query reads only the families it
-names (partition pruning). It is written to a temporary folder and renamed
-into place, so readers never see a partial store and a lost executor only
+names (partition pruning). A writer fills a folder of its own and then marks it
+as committed, so readers never see a partial store and a lost executor only
 costs a rerun of the write.
 """
 
@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.session import checkpoint_root
 
-STORE_VERSION = "samples-v6"
+STORE_VERSION = "samples-v7"
+_MARK = "_COMMITTED."
 
 
 def _fs(spark: SparkSession, path: str):
@@ -33,32 +34,38 @@ def fingerprint(spark: SparkSession, paths: list[str], extra: str = "") -> str:
     parts = [STORE_VERSION, extra]
     for path in paths:
         fs, p, _ = _fs(spark, path)
-        for st in sorted(fs.listStatus(p), key=lambda s: str(s.getPath())):
-            parts.append(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()}")
+        found, files = fs.listFiles(p, True), []
+        while found.hasNext():
+            st = found.next()
+            files.append(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()}")
+        parts += sorted(files)
     return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:20]
 
 
-def materialised(spark: SparkSession, name: str, inputs: list[str], build) -> dict[str, DataFrame]:
+def _committed(fs, p) -> str | None:
+    """Name of a finished attempt below the folder, the same one for every reader."""
+    if not fs.exists(p):
+        return None
+    names = sorted(st.getPath().getName() for st in fs.listStatus(p))
+    done = [n.removeprefix(_MARK) for n in names if n.startswith(_MARK)]
+    return done[0] if done else None
+
+
+def materialised(spark: SparkSession, name: str, inputs: list[str], build, extra: str = "") -> dict[str, DataFrame]:
     """Return {part: DataFrame} of a stored derivation, building it if absent.
 
     ``build()`` returns {part: DataFrame}; each part is written partitioned by
-    ``family``."""
-    root = checkpoint_root(spark)
-    final = f"{root}/store/{name}-{fingerprint(spark, inputs)}"
+    ``family``. ``extra`` names the settings that the derivation depends on. Two
+    writers at once each finish an attempt of their own; either one is whole."""
+    final = f"{checkpoint_root(spark)}/store/{name}-{fingerprint(spark, inputs, extra)}"
     fs, p, jvm = _fs(spark, final)
-    done = jvm.org.apache.hadoop.fs.Path(p, "_COMMITTED")
-    if not fs.exists(done):
-        tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
-        frames = build()
-        for part, df in frames.items():
-            df.write.mode("overwrite").partitionBy("family").parquet(f"{tmp}/{part}")
-        tfs, tp, _ = _fs(spark, tmp)
-        tfs.create(jvm.org.apache.hadoop.fs.Path(tp, "_COMMITTED"), True).close()
-        if not fs.exists(done):
-            fs.rename(tp, p)
-        if not fs.exists(done):
-            raise RuntimeError(f"could not commit {final}")
-        parts = list(frames)
-    else:
-        parts = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-    return {part: spark.read.parquet(f"{final}/{part}") for part in parts}
+    attempt = _committed(fs, p)
+    if attempt is None:
+        attempt = uuid.uuid4().hex[:12]
+        for part, df in build().items():
+            df.write.mode("overwrite").partitionBy("family").parquet(f"{final}/{attempt}/{part}")
+        fs.create(jvm.org.apache.hadoop.fs.Path(p, _MARK + attempt), True).close()
+        attempt = _committed(fs, p)
+    done = jvm.org.apache.hadoop.fs.Path(p, attempt)
+    parts = [st.getPath().getName() for st in fs.listStatus(done) if st.isDirectory()]
+    return {part: spark.read.parquet(f"{final}/{attempt}/{part}") for part in parts}

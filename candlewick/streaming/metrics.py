@@ -14,14 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from candlewick.config import FIXTURE_BOUNDS, FIXTURE_ORIGIN, WATERMARK_DELAY
+from candlewick.config import BOUNDS_E2E_LATENCY, WATERMARK_DELAY
 from candlewick.functions import normalize as N
 
 INF = float("inf")
 
 
-def tick_increments(records: DataFrame, step_seconds: int, origin: int = FIXTURE_ORIGIN,
-                    bounds=FIXTURE_BOUNDS, watermark: str = WATERMARK_DELAY,
+def tick_increments(records: DataFrame, step_seconds: int, origin: int = 0,
+                    bounds=BOUNDS_E2E_LATENCY, watermark: str = WATERMARK_DELAY,
                     stored_col: str = "stored_timestamp") -> DataFrame:
     """Valid price records -> increments per closed scrape interval.
 
@@ -60,7 +60,7 @@ def tick_increments(records: DataFrame, step_seconds: int, origin: int = FIXTURE
 
 
 def start_metrics_job(records: DataFrame, checkpoint: str, path: str, step_seconds: int, *,
-                      origin: int = FIXTURE_ORIGIN, available_now: bool = False,
+                      origin: int = 0, available_now: bool = False,
                       processing_time: str = "0 seconds") -> StreamingQuery:
     """Append closed scrape intervals' increments to a family-partitioned table."""
     inc = tick_increments(records, step_seconds, origin)
