@@ -18,13 +18,19 @@ from candlewick.plans.common import finish, register, ticks
 from candlewick.plans.q_candles import T_CTE
 from candlewick.plans.q_prices import LATEST_SQL
 from candlewick.session import checkpoint_root
-from candlewick.sources.streams import read_topic, write_in_time_order
+from candlewick.sources.streams import read_topic, replay_in_slices
 from candlewick.sources.ticks import consumer_records, price_records
 from candlewick.streaming.jobs import (decode_alert_records, start_alert_job, start_alert_log_job,
                                        start_latest_price_job)
 from candlewick.streaming.sinks import read_latest_version
 
-REPLAY_FILES = 4
+SLICE_ROWS = 5_000_000
+
+
+def _slices(df) -> int:
+    """Slices of a replay: of bounded size, and enough to carry state across them."""
+    return max(4, -(-df.count() // SLICE_ROWS))
+
 
 _CLOSED = S.alerts_sql(S.candles_sql(S.HOUR_US), 0.0025) + \
     " AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 SECOND"
@@ -39,19 +45,33 @@ def _run_dir(spark, what: str) -> str:
     return f"{checkpoint_root(spark)}/replay-{what}-{uuid.uuid4().hex[:12]}"
 
 
-def replay_alerts(spark, sf_dir, window="1 hour"):
-    """Replay the price tape through the alert job, one file (a quarter of the
-    tape, in time order) per micro-batch, so windows carry state across
-    batches and the watermark advances; returns the alerts topic folder."""
+def replay_alerts(spark, sf_dir, window="1 hour", late: float = 0.0):
+    """Replay the price tape through the alert job, slice by slice in time order;
+    between two slices the job stops and starts again from its checkpoint, so open
+    windows are carried over. ``late``: deliver that first share of the tape once
+    more at the end, behind the watermark. Returns the alerts topic folder."""
     root = _run_dir(spark, "alerts")
-    write_in_time_order(price_records(ticks(spark, sf_dir)), f"{root}/prices", REPLAY_FILES)
-    src = read_topic(spark, "prices", source="files", path=f"{root}/prices", files_per_trigger=1)
-    q = start_alert_job(src, f"{root}/ckpt", sink="files", path=f"{root}/alerts",
-                        window=window, available_now=True, state_partitions=_state_partitions(spark))
-    q.awaitTermination()
+    records = price_records(ticks(spark, sf_dir))
+
+    def run():
+        src = read_topic(spark, "prices", source="files", path=f"{root}/prices")
+        start_alert_job(src, f"{root}/ckpt", sink="files", path=f"{root}/alerts", window=window,
+                        available_now=True, state_partitions=_state_partitions(spark)).awaitTermination()
+
+    replay_in_slices(records, f"{root}/prices", run, _slices(records))
+    if late:
+        upto = records.approxQuantile("offset", [late], 0.001)[0]
+        records.where(F.col("offset") <= upto).write.mode("append").parquet(f"{root}/prices")
+        run()
     return root
 
 
+def _alert_columns(a):
+    return finish(a.select("symbol", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                           F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                           "open_price", "close_price", "percent_change", "alert_type"))
+
+
 def _alert_rows(spark, root):
     recs = spark.read.parquet(f"{root}/alerts").select(
         F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
@@ -60,58 +80,91 @@ def _alert_rows(spark, root):
 
 @register("streamed_alerts", T_CTE + (_CLOSED))
 def streamed_alerts(spark, sf_dir):
-    root = replay_alerts(spark, sf_dir)
-    a = _alert_rows(spark, root)
-    return finish(a.select("symbol", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                           F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                           "open_price", "close_price", "percent_change", "alert_type"))
+    """The replay with a restart after each slice."""
+    return _alert_columns(_alert_rows(spark, replay_alerts(spark, sf_dir)))
+
+
+@register("streamed_alerts_late", T_CTE + (_CLOSED))
+def streamed_alerts_late(spark, sf_dir):
+    """A third of the tape comes again after the end: it is behind the watermark,
+    so no window opens twice and the alerts stay the same (I6)."""
+    return _alert_columns(_alert_rows(spark, replay_alerts(spark, sf_dir, late=1 / 3)))
 
 
 @register("streamed_latest", LATEST_SQL + f"""
   SELECT symbol, price, binance_timestamp, received_timestamp FROM latest""")
 def streamed_latest(spark, sf_dir):
+    """Several batches, each merged into the table of the one before."""
     root = _run_dir(spark, "latest")
-    consumer_records(ticks(spark, sf_dir)).write.parquet(f"{root}/prices")
-    src = spark.readStream.schema(
-        "key binary, value binary, topic string, partition int, offset long, stored_timestamp long"
-    ).parquet(f"{root}/prices")
-    q = start_latest_price_job(src, f"{root}/ckpt", f"{root}/latest", available_now=True)
-    q.awaitTermination()
+    records = consumer_records(ticks(spark, sf_dir))
+
+    def run():
+        src = spark.readStream.schema(records.schema).parquet(f"{root}/prices")
+        start_latest_price_job(src, f"{root}/ckpt", f"{root}/latest", available_now=True).awaitTermination()
+
+    replay_in_slices(records, f"{root}/prices", run, _slices(records))
     t = read_latest_version(spark, f"{root}/latest")
     return finish(t.select("symbol", "price", "binance_timestamp", "received_timestamp"))
 
 
+@register("streamed_two_jobs", LATEST_SQL + f"""
+  SELECT 'alerts' AS job, CAST(count(*) AS BIGINT) AS results FROM (WITH t AS ({S.TICKS}) {_CLOSED})
+  UNION ALL SELECT 'latest', CAST(count(*) AS BIGINT) FROM latest""")
+def streamed_two_jobs(spark, sf_dir):
+    """Both branches at once, over feeds of their own with their own checkpoints (I8)."""
+    root = _run_dir(spark, "two")
+    price_records(ticks(spark, sf_dir)).write.parquet(f"{root}/prices")
+    consumed = consumer_records(ticks(spark, sf_dir))
+    consumed.write.parquet(f"{root}/consumed")
+    one = start_alert_job(read_topic(spark, "prices", source="files", path=f"{root}/prices"), f"{root}/ckpt-a",
+                          sink="files", path=f"{root}/alerts", window="1 hour", available_now=True,
+                          state_partitions=_state_partitions(spark))
+    two = start_latest_price_job(spark.readStream.schema(consumed.schema).parquet(f"{root}/consumed"),
+                                 f"{root}/ckpt-l", f"{root}/latest", available_now=True)
+    one.awaitTermination()
+    two.awaitTermination()
+    n = F.count(F.lit(1)).alias("results")
+    return _alert_rows(spark, root).agg(n).select(F.lit("alerts").alias("job"), "results").unionByName(
+        read_latest_version(spark, f"{root}/latest").agg(n).select(F.lit("latest").alias("job"), "results"))
+
+
 @register("streamed_alert_log", T_CTE + (
     f"SELECT * FROM ({_CLOSED}) ORDER BY window_end DESC, symbol LIMIT {MAX_ALERTS_STORED}"))
 def streamed_alert_log(spark, sf_dir):
     root = replay_alerts(spark, sf_dir)
-    src = spark.readStream.schema("key binary, value binary").parquet(f"{root}/alerts")
-    q = start_alert_log_job(src, f"{root}/log-ckpt", f"{root}/log", MAX_ALERTS_STORED, available_now=True)
-    q.awaitTermination()
-    t = read_latest_version(spark, f"{root}/log")
-    return finish(t.select("symbol", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                           F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                           "open_price", "close_price", "percent_change", "alert_type"))
-
-
-
-@register("streamed_progress", f"""SELECT CAST(count(*) AS BIGINT) AS input_rows,
-  CAST({REPLAY_FILES} AS BIGINT) AS batches_with_data, CAST(0 AS BIGINT) AS dropped_rows FROM events""")
+    # the whole topic is delivered twice: an alert that comes again is stored once
+    spark.read.schema("key binary, value binary").parquet(f"{root}/alerts").write.parquet(f"{root}/topic")
+    for _ in range(2):
+        src = spark.readStream.schema("key binary, value binary").parquet(f"{root}/topic")
+        start_alert_log_job(src, f"{root}/log-ckpt", f"{root}/log", MAX_ALERTS_STORED,
+                            available_now=True).awaitTermination()
+        spark.read.parquet(f"{root}/alerts").select("key", "value").write.mode("append").parquet(f"{root}/topic")
+    return _alert_columns(read_latest_version(spark, f"{root}/log"))
+
+
+@register("streamed_progress", """SELECT CAST(count(*) AS BIGINT) AS input_rows,
+  CAST(greatest(4, ceil(count(*) / 5000000.0)) AS BIGINT) AS batches_with_data, CAST(0 AS BIGINT) AS dropped_rows
+  FROM events""")
 def streamed_progress(spark, sf_dir):
-    """Micro-batch progress of a replay (one file per trigger) turned into
-    counters (D16, I6, I7): rows read, batches that carried data, and rows
-    dropped by the watermark (none: the tape is replayed in time order). Progress
-    rows are per batch, so what reaches the driver is bounded by the batch
-    count, not by the data."""
-    from candlewick.streaming.listener import progress_frame
+    """Micro-batch progress of a replay as the listener stored it (D16, I7): rows
+    read, batches that carried data, and rows dropped by the watermark (none: the
+    tape is replayed in time order)."""
+    from candlewick.streaming.listener import ProgressListener
     root = _run_dir(spark, "progress")
-    recs = price_records(ticks(spark, sf_dir))
-    write_in_time_order(recs, f"{root}/prices", REPLAY_FILES)
-    src = read_topic(spark, "prices", source="files", path=f"{root}/prices", files_per_trigger=1)
-    q = start_alert_job(src, f"{root}/ckpt", sink="files", path=f"{root}/alerts", window="1 hour",
-                        available_now=True, state_partitions=_state_partitions(spark))
-    q.awaitTermination()
-    prog = progress_frame(spark, q.recentProgress)
+    records = price_records(ticks(spark, sf_dir))
+    listener = ProgressListener(spark, f"{root}/progress", flush_rows=3)
+    spark.streams.addListener(listener)
+
+    def run():
+        src = read_topic(spark, "prices", source="files", path=f"{root}/prices")
+        start_alert_job(src, f"{root}/ckpt", sink="files", path=f"{root}/alerts", window="1 hour",
+                        available_now=True, state_partitions=_state_partitions(spark)).awaitTermination()
+
+    replay_in_slices(records, f"{root}/prices", run, _slices(records))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    spark.streams.removeListener(listener)
+    listener.flush()
+    prog = spark.read.parquet(f"{root}/progress")
     return prog.agg(F.sum("input_rows").cast("long").alias("input_rows"),
                     F.count_if(F.col("input_rows") > 0).cast("long").alias("batches_with_data"),
                     F.sum("dropped_rows").cast("long").alias("dropped_rows"))
@@ -129,16 +182,17 @@ _VALID_M = f"""WITH t AS ({S.TICKS}), m AS (
   HAVING make_timestamp((bts // 3600000000 + 1) * 3600000000)
          <= (SELECT make_timestamp(max(bts)) FROM m) - INTERVAL 1 SECOND""")
 def streamed_tick_counts(spark, sf_dir):
-    """The live metrics job over the consumer tape (one file per micro-batch):
+    """The live metrics job over the consumer tape (a slice per run):
     messages and summed end-to-end latency per symbol and closed scrape hour."""
-    from candlewick.sources.ticks import consumer_records
     from candlewick.streaming.metrics import start_metrics_job
     root = _run_dir(spark, "metrics")
-    write_in_time_order(consumer_records(ticks(spark, sf_dir)), f"{root}/prices", REPLAY_FILES)
-    schema = spark.read.parquet(f"{root}/prices").schema
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/prices")
-    q = start_metrics_job(src, f"{root}/ckpt", f"{root}/inc", 3600, available_now=True)
-    q.awaitTermination()
+    records = consumer_records(ticks(spark, sf_dir))
+
+    def run():
+        src = spark.readStream.schema(records.schema).parquet(f"{root}/prices")
+        start_metrics_job(src, f"{root}/ckpt", f"{root}/inc", 3600, available_now=True).awaitTermination()
+
+    replay_in_slices(records, f"{root}/prices", run, _slices(records))
     inc = spark.read.parquet(f"{root}/inc").where(F.col("family").isin("ticks_total", "e2e_latency_seconds"))
     sym = F.col("labels")["symbol"]
     g = inc.groupBy(sym.alias("symbol"), "k").agg(

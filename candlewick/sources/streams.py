@@ -73,3 +73,16 @@ def write_in_time_order(records: DataFrame, path: str, files: int, order_col: st
     base = max(st.getModificationTime() for st in fs.listStatus(root)) + 1000
     for i, p in enumerate(parts):
         fs.setTimes(p, base + 1000 * i, -1)
+
+
+def replay_in_slices(records: DataFrame, path: str, run, slices: int, order_col: str = "offset") -> None:
+    """Replay a tape in the order of ``order_col``, whatever file times a store
+    keeps: a slice of it is appended to ``path``, then ``run()`` processes what is
+    new (a query with ``availableNow``, restarted from its checkpoint)."""
+    cuts = records.approxQuantile(order_col, [k / slices for k in range(1, slices)], 0.001)
+    at = F.col(order_col)
+    edges = [None, *cuts, None]
+    for lo, hi in zip(edges, edges[1:]):
+        part = records if lo is None else records.where(at > lo)
+        (part if hi is None else part.where(at <= hi)).write.mode("append").parquet(path)
+        run()

@@ -1,7 +1,8 @@
 """Micro-batch progress -> metric samples.
 
-The listener keeps only the progress fields the metrics need (a few numbers
-per batch, bounded by the number of batches) and errors on termination.
+The listener keeps only the progress fields the metrics need and errors on
+termination. Given a table folder it appends every ``flush_rows`` batches to it
+and forgets them, so a query without end does not fill the driver.
 """
 
 from __future__ import annotations
@@ -17,9 +18,16 @@ PROGRESS_SCHEMA = ("query_id string, batch_id long, ts timestamp, batch_seconds
 
 
 class ProgressListener(StreamingQueryListener):
-    def __init__(self):
+    def __init__(self, spark: SparkSession | None = None, table: str | None = None, flush_rows: int = 1000):
         self.progress: list[tuple] = []
         self.errors: list[tuple[str, str]] = []
+        self._spark, self._table, self._flush_rows = spark, table, flush_rows
+
+    def flush(self) -> None:
+        """Append the batches seen since the last flush to the table."""
+        rows, self.progress = self.progress, []
+        if rows:
+            progress_frame(self._spark, rows).coalesce(1).write.mode("append").parquet(self._table)
 
     def onQueryStarted(self, event):
         pass
@@ -31,6 +39,8 @@ class ProgressListener(StreamingQueryListener):
             dropped = sum(int(getattr(o, "numRowsDroppedByWatermark", 0) or 0) for o in (p.stateOperators or []))
             self.progress.append((str(p.id), int(p.batchId), p.timestamp, p.batchDuration / 1000.0,
                                   int(p.numInputRows), int(out), dropped))
+            if self._table and len(self.progress) >= self._flush_rows:
+                self.flush()
         except Exception:  # noqa: BLE001 - a listener must never break the query
             self.errors.append(("listener_error", ""))
 
@@ -39,7 +49,7 @@ class ProgressListener(StreamingQueryListener):
 
     def onQueryTerminated(self, event):
         if event.exception:
-            self.errors.append(("query_terminated", str(event.exception)[:200]))
+            self.errors.append(("query_terminated", str(event.exception)))
 
 
 def progress_frame(spark: SparkSession, rows) -> DataFrame:
@@ -100,5 +110,3 @@ def progress_samples(progress: DataFrame) -> DataFrame:
     return base.select("labels", "ts", F.inline(F.array(*structs))).select(
         "family", "part", "labels", "le", "ts", "value")
 
-
-progress_to_samples = progress_samples

@@ -67,24 +67,27 @@ def upsert_latest(root: str, key: str = "symbol", order: str = "offset",
     each version stays as small as the key set."""
     def run(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        new = batch_df.select(key, *fields, F.col(order).alias("_o"), F.lit(batch_id).alias("_b"))
+        # scalar order: a hash aggregate with a map-side combine over the batch
+        new = batch_df.groupBy(key).agg(*[F.max_by(f, order).alias(f) for f in fields])
         prev = read_latest_version(spark, root, before=batch_id)
-        both = new if prev is None else prev.unionByName(new)
-        ordk = F.struct(F.col("_b"), F.col("_o"))
-        latest = both.groupBy(key).agg(*[F.max_by(f, ordk).alias(f) for f in fields],
-                                       F.max_by("_o", ordk).alias("_o"), F.max("_b").alias("_b"))
+        # a batch comes after all before it, so its keys replace theirs
+        latest = new if prev is None else new.unionByName(
+            prev.select(key, *fields).join(new, prev[key].eqNullSafe(new[key]), "left_anti"))
         _commit(spark, latest, root, batch_id)
     return run
 
 
 def append_trim(root: str, n: int = MAX_ALERTS_STORED, columns=ALERT_COLUMNS):
     """foreachBatch function: append alerts and keep only the newest ``n``
-    (arrival = batch, then window end, then symbol); a bounded top-n."""
+    (arrival = batch, then window end, then symbol); a bounded top-n. An alert
+    that is delivered again (same symbol and window) keeps its first arrival."""
     def run(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         new = batch_df.select(*columns, F.lit(batch_id).alias("_b"))
         prev = read_latest_version(spark, root, before=batch_id)
-        both = new if prev is None else prev.unionByName(new)
+        new = new.dropDuplicates(["symbol", "window_start"])
+        both = new if prev is None else prev.unionByName(
+            new.join(prev.select("symbol", "window_start"), ["symbol", "window_start"], "left_anti"))
         kept = both.orderBy(F.col("_b").desc(), F.col("window_end").desc(), F.col("symbol").asc()).limit(n)
         _commit(spark, kept, root, batch_id)
     return run
