@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -82,3 +83,20 @@ def metadata_dict(meta_df: DataFrame) -> dict:
     """The one metadata row as a plain dict (a single row by construction)."""
     row = meta_df.first()
     return json.loads(json.dumps(row.asDict(recursive=True), default=str))
+
+
+def run_export(spark: SparkSession, counters: DataFrame, gauges: DataFrame, start: str, end: str,
+               step_seconds: int, name: str, path: str, specs, range_s: int, lookback_s: int) -> DataFrame:
+    """Evaluate ``specs`` at start, start + step, ... up to end (ISO times, UTC), write
+    ``path``/metrics as CSV and ``path``/metadata as JSON; returns the wide frame."""
+    from candlewick.operators.metrics import evaluate, spec_plan
+    from candlewick.operators.series import Grid
+    first, last = (int(dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc).timestamp())
+                   for t in (start, end))
+    grid = Grid(first - step_seconds, step_seconds, 1, (last - first) // step_seconds + 1)
+    long = evaluate(spark, counters, gauges, grid, range_s, lookback_s, specs=specs)
+    names = sorted({r[0] for r in spec_plan(specs)})
+    out = export_metrics(long.select("metric", "t", "value"), f"{path}/metrics", names)
+    write_metadata(export_metadata(spark, out, name, start, end, f"{step_seconds}s", [s.name for s in specs]),
+                   f"{path}/metadata")
+    return out

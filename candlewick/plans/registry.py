@@ -1,6 +1,7 @@
 """Import every query module so its ``register`` calls run."""
 
-from candlewick.plans import q_candles, q_latency, q_messages, q_prices, q_series, q_streams  # noqa: F401
+from candlewick.plans import (q_candles, q_export, q_latency, q_messages, q_prices, q_series,  # noqa: F401
+                              q_streams)
 from candlewick.plans.common import ORACLES, QUERIES
 
 

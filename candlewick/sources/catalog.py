@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick.functions.present import metric_name
 from candlewick.functions.symbols import spot_symbols
-from candlewick.plans.catalog import CATALOG
+from candlewick.plans.catalog import CATALOG, Spec
 from candlewick.schemas import CATALOG_FILE_SCHEMA, SYMBOLS_FILE_SCHEMA
 
 
+KINDS = ("rate_sum", "rate", "rate_mean", "hist_q", "gauge_sum", "gauge")
+
+
 def load_catalog(spark: SparkSession, path: str) -> DataFrame:
     """A nested catalogue file (component -> metric -> {query, description,
     unit}) -> one row per metric with its flattened ``component_metric`` name.
@@ -25,6 +28,27 @@ def load_catalog(spark: SparkSession, path: str) -> DataFrame:
                        F.col("d.unit").alias("unit"))
 
 
+SPEC_FILE_SCHEMA = ("array<struct<component:string,metric:string,kind:string,family:string,"
+                    "matchers:array<struct<label:string,op:string,value:string>>,q:double,unit:string,by:string>>")
+
+
+def load_specs(spark: SparkSession, path: str) -> list[Spec]:
+    """User-defined metrics from a JSON file: a list of {component, metric, kind,
+    family, matchers: [{label, op, value}], q, unit, by}, ready for ``evaluate``.
+    The file is configuration: its entries come to the driver."""
+    doc = spark.read.text(path, wholetext=True).select(F.from_json("value", SPEC_FILE_SCHEMA).alias("s"))
+    out = []
+    for r in doc.select(F.inline("s")).collect():
+        if r["kind"] not in KINDS or r["family"] is None or (r["kind"] == "hist_q") != (r["q"] is not None):
+            raise ValueError(f"bad metric definition {r['component']}_{r['metric']}")
+        matchers = tuple((m["label"], m["op"], m["value"]) for m in r["matchers"] or ())
+        if any(op not in ("=", "!=") for _, op, _ in matchers):
+            raise ValueError(f"bad matcher in {r['component']}_{r['metric']}")
+        out.append(Spec(r["component"], r["metric"], r["kind"], r["family"], matchers, r["q"], r["unit"] or "",
+                        r["by"]))
+    return out
+
+
 def catalog_specs(spark: SparkSession) -> DataFrame:
     """The built-in typed specs as a table (name, component, metric, kind, family, unit)."""
     rows = [(s.name, s.component, s.metric, s.kind, s.family, s.unit) for s in CATALOG]
