@@ -46,16 +46,18 @@ def signed_fixed2(x) -> Column:
     """Signed text with two decimals (``+1.25``, ``-0.40``): the exact binary value
     rounded to the nearest cent, exact ties to even."""
     x = _c(x)
-    size = F.abs(x)
-    cents = size * F.lit(100.0)
-    # the error of that product, exactly: the halves of ``size`` have few bits
-    split = size * F.lit(134217729.0)
-    high = split - (split - size)
-    error = (high * F.lit(100.0) - cents) + (size - high) * F.lit(100.0)
+    units = F.floor(F.abs(x))
+    part = F.abs(x) - units.cast("double")               # exact
+    cents = part * F.lit(100.0)
+    # the error of that product, exactly: the halves of ``part`` have few bits
+    split = part * F.lit(134217729.0)
+    high = split - (split - part)
+    error = (high * F.lit(100.0) - cents) + (part - high) * F.lit(100.0)
     near = F.rint(cents)
     tie = F.abs(cents - near) == 0.5
     whole = (F.when(tie & (error > 0), F.ceil(cents).cast("double"))
-             .when(tie & (error < 0), F.floor(cents).cast("double")).otherwise(near)).cast("decimal(38,0)")
+             .when(tie & (error < 0), F.floor(cents).cast("double")).otherwise(near)).cast("long") \
+        + units.cast("decimal(20,0)") * 100
     sign = F.when(x < 0, F.lit("-")).otherwise(F.lit("+"))
     text = F.lpad(whole.cast("string"), F.greatest(F.length(whole.cast("string")), F.lit(3)), F.lit("0"))
     return F.concat(sign, F.substring(text, F.lit(1), F.length(text) - 2), F.lit("."),

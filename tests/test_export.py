@@ -3,7 +3,8 @@
 import csv
 import glob
 
-from candlewick.operators.export import export_metadata, export_metrics, metadata_dict, wide, write_metadata, write_metrics_csv
+from candlewick.operators.export import (export_metadata, export_metrics, metadata_dict, read_metrics_csv, wide,
+                                         write_metadata, write_metrics_csv)
 
 
 def test_wide_csv_and_metadata(spark, scratch):
@@ -20,7 +21,9 @@ def test_wide_csv_and_metadata(spark, scratch):
     header = rows[0]
     body = [r for r in rows if r != header]
     assert header == ["timestamp", "a_metric", "b_metric"]
-    assert body == [["5", "", "0.5"], ["10", "2.0", "1.5"]]
+    assert body == [["1970-01-01T00:00:05", "", "0.5"], ["1970-01-01T00:00:10", "2.0", "1.5"]]
+    back = read_metrics_csv(spark, f"{scratch}/csv", ["b_metric", "a_metric"]).orderBy("timestamp").collect()
+    assert [(r.timestamp.second, r.a_metric, r.b_metric) for r in back] == [(5, None, 0.5), (10, 2.0, 1.5)]
     meta = metadata_dict(export_metadata(spark, w, "exp1", "2024-01-01T00:00:00", "2024-01-01T00:02:00", "5s",
                                          ["a_metric", "b_metric", "c_metric"]))
     assert meta["duration_seconds"] == 120.0

@@ -56,5 +56,11 @@ def test_exact_quantiles_never_gather_a_group(static):
 def test_series_are_combined_before_colocation(static):
     """Samples are aggregated per (series, scrape) with a map-side combine
     before any exchange that co-locates a whole series."""
-    p = plan_of(static, "samples_in_range")
+    from candlewick.plans.q_series import samples
+    p = samples(static, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by(value" in p and "partial_sum(inc" in p
+
+
+def test_a_range_reaches_the_sample_scan(static):
+    p = plan_of(static, "samples_in_range")
+    assert "GreaterThan(ts" in p and "LessThanOrEqual(ts" in p

@@ -198,8 +198,8 @@ def test_bare_gauge_keeps_series_apart_and_export_refuses_it(spark):
     out = evaluate(spark, counters, gauges, SE.Grid(0, 10, 1, 2), 60, 30, specs=specs,
                    mapping=[("fam", "g", ())])
     got = sorted((r.metric, r.by_value, r.t, r.value) for r in out.collect())
-    assert got == [("c_bare", "name=a", 10, 1.0), ("c_bare", "name=a", 20, 1.0),
-                   ("c_bare", "name=b", 10, 2.0), ("c_bare", "name=b", 20, 2.0),
+    a, b = ('[{"key":"name","value":"%s"}]' % n for n in "ab")
+    assert got == [("c_bare", a, 10, 1.0), ("c_bare", a, 20, 1.0), ("c_bare", b, 10, 2.0), ("c_bare", b, 20, 2.0),
                    ("c_total", "", 10, 3.0), ("c_total", "", 20, 3.0)]
     with pytest.raises(ValueError):
         single_series(out.where("metric = 'c_bare'"))

@@ -232,6 +232,7 @@ def test_sink_versions_are_pruned(spark, scratch):
 def test_live_metric_increments_equal_batch(spark, scratch):
     """Streamed per-scrape increments, filled onto the grid, equal the same
     derivation in batch on every closed scrape interval."""
+    from candlewick.operators.series import Grid
     from candlewick.sources.samples import fill_grid
     from candlewick.sources.ticks import consumer_records, ticks_from_events
     from candlewick.streaming.metrics import start_metrics_job, tick_increments
@@ -243,15 +244,17 @@ def test_live_metric_increments_equal_batch(spark, scratch):
     write_in_time_order(recs, f"{scratch}/m", 4)
     schema = spark.read.parquet(f"{scratch}/m").schema
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/m")
-    q = start_metrics_job(src, f"{scratch}/ck", f"{scratch}/inc", 3600, available_now=True)
+    origin = BASE_US // 1_000_000
+    q = start_metrics_job(src, f"{scratch}/ck", f"{scratch}/inc", 3600, origin=origin, available_now=True)
     q.awaitTermination()
     dropped = sum(o.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for o in p["stateOperators"])
     assert dropped == 0
-    streamed = fill_grid(spark.read.parquet(f"{scratch}/inc"), 720)
-    batch = fill_grid(tick_increments(spark.read.parquet(f"{scratch}/m"), 3600), 720)
+    grid = Grid(origin, 3600, 1, 720)
+    streamed = fill_grid(spark.read.parquet(f"{scratch}/inc"), grid)
+    batch = fill_grid(tick_increments(spark.read.parquet(f"{scratch}/m"), 3600, origin), grid)
     last = spark.read.parquet(f"{scratch}/inc").agg(F.max("k")).first()[0]
     key = lambda r: (r.family, r.part, r.series, r.le, r.ts, r.value)
-    cut = 1704067200 + last * 3600
+    cut = origin + last * 3600
     s = sorted(map(key, streamed.where(F.col("ts") <= cut).collect()))
     b = sorted(map(key, batch.where(F.col("ts") <= cut).collect()))
     assert len(s) > 1000 and s == b
