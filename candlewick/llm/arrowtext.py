@@ -19,7 +19,7 @@ _U = np.uint64
 def tune(spark) -> None:
     """Arrow batches small enough for long documents (row and byte bound)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def text_buffer(col) -> tuple[np.ndarray, np.ndarray]:

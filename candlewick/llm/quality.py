@@ -43,8 +43,9 @@ def term_counts(buf, offs, buckets: int) -> np.ndarray:
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Unit rows of log-counts times idf (zero rows stay zero)."""
-    x = np.log1p(counts) * idf
+    """Unit rows of log-counts times idf (zero rows stay zero); works in place."""
+    x = np.log1p(counts, out=counts)
+    x *= idf
     norm = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
     return np.divide(x, norm, out=x, where=norm > 0)
 
@@ -123,24 +124,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
 
     def run(batches):
         for part, c in _per_slice(batches, 0, lambda a, o: term_counts(a, o, buckets)):
-            rows = [np.flatnonzero(r) for r in c]
+            rows = [np.flatnonzero(r).astype(np.int32) for r in c]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.list_(pa.int64())),
-                 pa.array([r[k] for r, k in zip(c, rows)], pa.list_(pa.float32())), part.column(1)],
+                [pa.array([k.tobytes() for k in rows], pa.binary()),
+                 pa.array([r[k].tobytes() for r, k in zip(c, rows)], pa.binary()), part.column(1)],
                 ["bucket", "count", "label"])
 
     sample = labelled_sample(docs, labels, label, sample_rows) \
-        .select("text", "label").mapInArrow(run, "bucket array<long>, count array<float>, label int")
+        .select("text", "label").mapInArrow(run, "bucket binary, count binary, label int")
     rows = sample.collect()                                    # at most sample_rows
     df, n = document_frequency(docs, buckets)
     idf = np.log((n + 1) / (df + 1)).astype(np.float32) + np.float32(0.1)
     x = np.zeros((len(rows), buckets), np.float32)
     for i, r in enumerate(rows):
-        x[i, r["bucket"]] = r["count"]
-    x = weighted(x, idf)
+        x[i, np.frombuffer(r["bucket"], np.int32)] = np.frombuffer(r["count"], np.float32)
     y = np.array([r["label"] for r in rows], np.float64)
+    del rows
+    x = weighted(x, idf)
     used = x.any(axis=1)
-    x, y = x[used], y[used]
+    if not used.all():
+        x, y = x[used], y[used]
     if not len(y):
         return Voter(None, None, y, neighbours, sharpen, idf)
     space = latent_space(x, dims)

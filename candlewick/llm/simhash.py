@@ -40,7 +40,7 @@ SEED = 42
 #: Most rows of either side in one comparison cell.
 CELL_ROWS = 20_000
 
-_SHINGLES_AT_ONCE = 1 << 18
+_SHINGLES_AT_ONCE = 1 << 16
 _BLOCKS = ((0, 22), (22, 21), (43, 21))
 _GOLAY = 0xAE3  # generator polynomial x^11+x^9+x^7+x^6+x^5+x+1
 _RADIUS = 3

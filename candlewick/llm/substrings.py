@@ -42,7 +42,7 @@ WINDOW = 35
 PREFIX = 12
 GROUP_ROWS = 50_000
 #: Bytes of suffix rows in one task, and most lengthened prefixes to broadcast.
-TASK_BYTES = 24 << 20
+TASK_BYTES = 8 << 20
 HOT_KEYS = 1 << 20
 _FP = 6  # bytes of a window's fingerprint
 
