@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _HASH_BYTES = 1 << 20
 
 _U = np.uint64

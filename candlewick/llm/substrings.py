@@ -41,8 +41,10 @@ from candlewick.session import checkpoint_root
 WINDOW = 35
 PREFIX = 12
 GROUP_ROWS = 50_000
-#: Bytes of suffix rows in one task, and most lengthened prefixes to broadcast.
+#: Bytes of suffix rows in memory at once and in a shuffle partition, and most
+#: lengthened prefixes to broadcast.
 TASK_BYTES = 8 << 20
+PARTITION_BYTES = 256 << 20
 HOT_KEYS = 1 << 20
 _FP = 6  # bytes of a window's fingerprint
 
@@ -170,40 +172,63 @@ def _subtree(g, lead, count, fp) -> np.ndarray:
     return out
 
 
-def _cold_repeats(rows: DataFrame, tasks: int, window: int) -> DataFrame:
-    """(doc_id, th, start, end) word spans from the subtrees of whole groups."""
+def _chunks(batches, limit: int):
+    """Tables of whole groups (rows come sorted by g) of about ``limit`` bytes."""
+    held, size = [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        size += b.nbytes
+        if size >= limit:
+            t = pa.Table.from_batches(held)
+            g = t.column("g").to_numpy()
+            cut = int(np.searchsorted(g, g[-1]))        # the last group may go on
+            if cut:
+                yield t.slice(0, cut)
+                held = [pa.concat_tables([t.slice(cut)]).combine_chunks().to_batches()[0]]
+                size = held[0].nbytes
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _spans(t: pa.Table, window: int) -> pa.Table:
+    """(doc_id, th, start, end) of the repeats in a table of whole groups."""
+    g = t.column("g").to_numpy().view(np.uint64)
+    first, lead = (t.column(c).to_numpy().astype(np.int64) for c in ("first", "lead"))
+    col = pa.concat_arrays(t.column("fps").chunks)
+    _, o, data = col.buffers()
+    to = np.frombuffer(o, np.int64 if pa.types.is_large_binary(col.type) else np.int32)
+    to = to[col.offset:col.offset + len(col) + 1]
+    fp = _unpack_fp(np.frombuffer(data, np.uint8)[to[0]:to[-1]])
+    count = np.diff(to).astype(np.int64) // _FP
+    rep = _subtree(g, lead, count, fp)
+    run_of = np.repeat(np.arange(len(g)), count)
+    # joined repeats inside a run: a span opens where a repeat has none before it
+    prev = np.concatenate(([False], rep[:-1])) & (np.diff(run_of, prepend=-1) == 0)
+    nxt = np.concatenate((rep[1:], [False])) & (np.diff(run_of, append=len(g)) == 0)
+    a, z = np.flatnonzero(rep & ~prev), np.flatnonzero(rep & ~nxt)
+    base = np.cumsum(count) - count
+    who = run_of[a]
+    start = first[who] + a - base[who]
+    end = first[who] + z - base[who] + window
+    at = pa.array(who)
+    return pa.table([t.column("doc_id").take(at), t.column("th").take(at),
+                     pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))],
+                    ["doc_id", "th", "start", "end"])
+
+
+def _cold_repeats(rows: DataFrame, partitions: int, window: int, task_bytes: int) -> DataFrame:
+    """(doc_id, th, start, end) word spans. A partition is sorted by gram (Spark's
+    sort spills), and subtrees are built of as many whole groups as fit in
+    ``task_bytes``, so memory does not depend on the size of a partition."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        t = pa.Table.from_batches(got).combine_chunks()
-        g = t.column("g").to_numpy().view(np.uint64)
-        first, lead = (t.column(c).to_numpy().astype(np.int64) for c in ("first", "lead"))
-        col = t.column("fps").combine_chunks()
-        col = col.chunk(0) if isinstance(col, pa.ChunkedArray) else col
-        wide = pa.types.is_large_binary(col.type)
-        _, o, data = col.buffers()
-        to = np.frombuffer(o, np.int64 if wide else np.int32)[col.offset:col.offset + len(col) + 1]
-        fp = _unpack_fp(np.frombuffer(data, np.uint8)[to[0]:to[-1]])
-        count = np.diff(to).astype(np.int64) // _FP
-        rep = _subtree(g, lead, count, fp)
-        run_of = np.repeat(np.arange(len(g)), count)
-        # joined repeats inside a run: a span opens where a repeat has none before it
-        prev = np.concatenate(([False], rep[:-1])) & (np.diff(run_of, prepend=-1) == 0)
-        nxt = np.concatenate((rep[1:], [False])) & (np.diff(run_of, append=len(g)) == 0)
-        a, z = np.flatnonzero(rep & ~prev), np.flatnonzero(rep & ~nxt)
-        base = np.cumsum(count) - count
-        who = run_of[a]
-        start = first[who] + a - base[who]
-        end = first[who] + z - base[who] + window
-        at = pa.array(who)
-        yield from pa.table([t.column("doc_id").take(at), t.column("th").take(at),
-                             pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))],
-                            ["doc_id", "th", "start", "end"]).combine_chunks().to_batches(100_000)
-
-    return rows.repartition(tasks, "g").mapInArrow(
+        for t in _chunks(batches, task_bytes):
+            yield from _spans(t, window).combine_chunks().to_batches(100_000)
+
+    return rows.repartition(partitions, "g").sortWithinPartitions("g").mapInArrow(
         run, f"doc_id {kind}, th long, start int, end int")
 
 
@@ -231,9 +256,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
     checkpoint_root(spark)
     keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").where("text <> ''")
     size = keyed.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size * 1.3) // task_bytes))
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size * 1.3) // PARTITION_BYTES))
     hot = _hot_grams(keyed.select("text"), window, prefix, group_rows)
-    spans = _cold_repeats(_rows(keyed, window, prefix, hot, False), tasks, window)
+    spans = _cold_repeats(_rows(keyed, window, prefix, hot, False), partitions, window, task_bytes)
     if len(hot):
         spans = spans.unionByName(_hot_repeats(_rows(keyed, window, prefix, hot, True), window))
     return spans.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
