@@ -40,28 +40,12 @@ def quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), keys=("symbol",),
                                for i, q in enumerate(qs)])
 
 
-def series_summary(df: DataFrame, value: str = "value", time: str = "t", keys=("series",),
-                   checkpoint: bool = True) -> DataFrame:
-    """Legend reducers over each series: mean, median (exact, lower median),
-    population stdDev, min, max and the last value in time. NaN points are
-    left out. The median comes from ``exact_quantiles``; both sides have one
-    row per series, so joining them is cheap."""
-    from candlewick.operators.quantiles import exact_quantiles
-    from candlewick.session import checkpoint_root
+def series_summary(df: DataFrame, value: str = "value", time: str = "t", keys=("series",)) -> DataFrame:
+    """Legend reducers over each series: mean, median, population stdDev, min, max
+    and the last value in time, in one aggregate. NaN points are left out. The exact
+    median holds one series' values, at most one per point of the grid."""
     v = F.col(value)
     clean = df.where(v.isNotNull() & ~F.isnan(v))
-    if checkpoint:
-        # The reducers and the exact median each read the series; materialise
-        # them once (reliable checkpoint in the shared folder) instead of
-        # re-evaluating the pipeline that produced them.
-        checkpoint_root(df.sparkSession)
-        clean = clean.checkpoint(eager=True)
-    red = clean.groupBy(*keys).agg(
-        F.avg(v).alias("mean"),
-        F.stddev_pop(v).alias("std_dev"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        F.max_by(v, time).alias("last"),
-    )
-    med = exact_quantiles(clean, value, qs=(0.5,), keys=keys).withColumnRenamed("p50", "median")
-    return red.join(med, list(keys)).select(*keys, "mean", "median", "std_dev", "min", "max", "last")
+    return clean.groupBy(*keys).agg(
+        F.avg(v).alias("mean"), F.percentile(v, F.lit(0.5)).alias("median"), F.stddev_pop(v).alias("std_dev"),
+        F.min(v).alias("min"), F.max(v).alias("max"), F.max_by(v, time).alias("last"))

@@ -107,8 +107,11 @@ FAMILY_SOURCES: list[tuple[str, str, tuple]] = [
     ("consumer_processing_latency_seconds", "e2e_latency_seconds", (("consumer", "alerts"),)),
     ("consumer_messages_processed_total", "ticks_total", (("consumer", "prices"),)),
     ("consumer_errors_total", "consumer_rejects_total", (("consumer", "prices"),)),
+    ("consumer_errors_total", "alert_rejects_total", (("consumer", "alerts"),)),
     ("kafka_consumergroup_lag", "partition_lag",
      (("consumergroup", "prices_consumer_group"), ("topic", "prices"))),
+    ("kafka_consumergroup_lag", "alert_lag",
+     (("consumergroup", "alerts_consumer_group"), ("topic", "alerts"))),
     ("consumer_alerts_stored_total", "alerts_total", (("consumer", "alerts"),)),
     ("spark_batch_duration_seconds", "e2e_latency_seconds", ()),
     ("spark_input_rows_total", "ticks_total", ()),
@@ -126,7 +129,7 @@ FAMILY_SOURCES: list[tuple[str, str, tuple]] = [
     ("binance_time_request_errors_total", "time_request_errors_total", ()),
 ]
 GAUGE_SOURCES = {"memory_working_set_bytes", "clock_skew_seconds", "api_round_trip_seconds",
-                 "partition_lag"}
+                 "partition_lag", "alert_lag"}
 
 
 @dataclass(frozen=True)

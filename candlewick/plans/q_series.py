@@ -301,7 +301,7 @@ def q_panel_series(spark, sf_dir):
 
 
 @register("panel_summary", PANELS_SQL + f"""
-  SELECT panel, series, {S.r6('avg(value)')} AS mean, {S.r6('quantile_disc(value, 0.5)')} AS median,
+  SELECT panel, series, {S.r6('avg(value)')} AS mean, {S.r6('median(value)')} AS median,
          {S.r6('stddev_pop(value)')} AS std_dev, {S.r6('min(value)')} AS "min", {S.r6('max(value)')} AS "max",
          {S.r6('arg_max(value, t)')} AS "last"
   FROM panels WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY panel, series""")

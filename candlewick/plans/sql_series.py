@@ -65,6 +65,8 @@ def samples_ctes(alerts_sql: str) -> str:
         _sel("time_request_errors_total", "", "NULL", "count(*)", "k", src="s_probe_fail"),
         _sel("alerts_total", "", "NULL", "count(*)", "alert_type, symbol, k", src="s_alerts",
              alert_type="alert_type", symbol="symbol", who="symbol"),
+        _sel("alert_rejects_total", "", "NULL", "count(*)", "error_type, k", error_type="error_type",
+             src="(SELECT k, 'invalid_message' AS error_type FROM s_alerts WHERE hr % 53 = 0)"),
     ]
     inc_sql = "\n    UNION ALL ".join(incs)
     on = " AND ".join(f"x.{c} IS NOT DISTINCT FROM i.{c}" for c in SER)
@@ -93,7 +95,8 @@ s_cons AS (SELECT * FROM (
            WHEN event_id % 67 = 0 OR bts IS NULL THEN 'missing_timestamp' END AS error_type
     FROM s_t) WHERE error_type IS NOT NULL AND k BETWEEN 1 AND {K}),
 s_probe_fail AS (SELECT * FROM s_tk WHERE event_id % 40 >= 38),
-s_alerts AS (SELECT * FROM (SELECT alert_type, symbol, {_kexpr('epoch_us(window_end)')} AS k
+s_alerts AS (SELECT * FROM (SELECT alert_type, symbol, {_kexpr('epoch_us(window_end)')} AS k,
+           epoch_us(window_end) // 3600000000 AS hr
     FROM ({alerts_sql})) WHERE k BETWEEN 1 AND {K}),
 s_inc AS (
     {inc_sql}),
@@ -121,7 +124,9 @@ s_gobs AS (
   UNION ALL SELECT 'api_round_trip_seconds', NULL, NULL, NULL, NULL, NULL, NULL, k, arg_max(rtt, bts)
     FROM s_probe GROUP BY k
   UNION ALL SELECT 'partition_lag', NULL, NULL, NULL, NULL, CAST(part AS VARCHAR), NULL, k,
-    CAST(count(*) AS DOUBLE) FROM s_tk GROUP BY part, k),
+    CAST(count(*) AS DOUBLE) FROM s_tk GROUP BY part, k
+  UNION ALL SELECT 'alert_lag', NULL, NULL, NULL, NULL, NULL, NULL, k, CAST(count(*) AS DOUBLE)
+    FROM s_alerts GROUP BY k),
 s_gids AS (SELECT DISTINCT family, {', '.join(LABELS)}, who FROM s_gobs),
 s_gfill AS (
   SELECT i.*, g.k, last_value(o.value IGNORE NULLS) OVER (PARTITION BY {gpart} ORDER BY g.k

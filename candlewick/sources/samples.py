@@ -32,9 +32,12 @@ GAP_SYMBOL = "view"
 FEED_ERRORS = ("json_decode", "processing")
 CONSUMER_ERRORS = ("invalid_message", "missing_timestamp")
 # Families whose series exist only once they were incremented (labelled errors).
-ON_FIRST_USE = ("feed_errors_total", "consumer_rejects_total", "time_request_errors_total")
+ON_FIRST_USE = ("feed_errors_total", "consumer_rejects_total", "time_request_errors_total",
+                "alert_rejects_total")
 GAUGE_FAMILIES = ("memory_working_set_bytes", "clock_skew_seconds", "api_round_trip_seconds",
-                  "partition_lag")
+                  "partition_lag", "alert_lag")
+# Alert records of windows that end at such an hour arrive without a key.
+BAD_ALERT_HOURS = 53
 SERIES_COLS = ("family", "part", "series", "le")
 
 
@@ -172,12 +175,21 @@ def increments(events: DataFrame, alerts_df: DataFrame | None, grid: Grid) -> Da
     if alerts_df is not None:
         a = alerts_df.withColumn("k", scrape_of(epoch_micros("window_end"), grid.origin, grid.step)) \
             .where(F.col("k").between(grid.first, grid.last))
-        a = a.groupBy("alert_type", "symbol", "k").agg(F.count(F.lit(1)).alias("inc")).select(
-            "k", F.lit("c").alias("kind"), F.lit("alerts_total").alias("family"), F.lit("").alias("part"),
-            _lab(alert_type=F.col("alert_type"), symbol=F.col("symbol")).alias("labels"),
-            none_d.alias("le"), "inc", F.lit(1.0).alias("scale"), none_d.alias("value"), none_l.alias("obs"),
-            F.lit(None).cast("string").alias("mode"))
-        long = long.unionByName(a)
+        hour = F.floor(epoch_micros("window_end") / F.lit(3600_000_000))
+        a = a.groupBy("alert_type", "symbol", "k").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(hour % BAD_ALERT_HOURS == 0).alias("bad"))
+
+        def counter(family, labels, inc):
+            return F.struct(F.lit("c").alias("kind"), F.lit(family).alias("family"), F.lit("").alias("part"),
+                            labels.alias("labels"), none_d.alias("le"), inc.alias("inc"), F.lit(1.0).alias("scale"),
+                            none_d.alias("value"), none_l.alias("obs"), F.lit(None).cast("string").alias("mode"))
+
+        lag = F.struct(F.lit("g").alias("kind"), F.lit("alert_lag").alias("family"), F.lit("").alias("part"),
+                       _lab().alias("labels"), none_d.alias("le"), none_l.alias("inc"), none_d.alias("scale"),
+                       F.col("n").cast("double").alias("value"), F.col("k").alias("obs"), F.lit("sum").alias("mode"))
+        long = long.unionByName(a.select("k", F.inline(F.array(
+            counter("alerts_total", _lab(alert_type=F.col("alert_type"), symbol=F.col("symbol")), F.col("n")),
+            counter("alert_rejects_total", _lab(error_type=F.lit("invalid_message")), F.col("bad")), lag))))
     return long
 
 

@@ -14,7 +14,7 @@ from candlewick.schemas import KAFKA_SCHEMA
 
 def read_topic(spark: SparkSession, topic: str, *, source: str = "kafka", path: str | None = None,
                bootstrap: str | None = None, starting: str = "latest", files_per_trigger: int | None = None,
-               **options) -> DataFrame:
+               group: str | None = None, **options) -> DataFrame:
     """Subscribe to one topic (``source="kafka"``) or replay Kafka-shaped
     parquet files under ``path`` (``source="files"``)."""
     if source == "kafka":
@@ -23,6 +23,8 @@ def read_topic(spark: SparkSession, topic: str, *, source: str = "kafka", path:
              .option("subscribe", topic)
              .option("startingOffsets", starting)
              .option("failOnDataLoss", "false"))
+        if group:
+            r = r.option("kafka.group.id", group)
         for k, v in options.items():
             r = r.option(k, v)
         return r.load()
