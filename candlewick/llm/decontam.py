@@ -191,8 +191,6 @@ def scan_slice(buf, offs, test: TestSet):
         interval = np.repeat(np.arange(len(ulo)), reps)
         seen = np.unique(doc * len(ulo) + interval)
         by = np.argsort(which, kind="stable")
-        per = np.bincount(which, minlength=len(ulo))
-        begin = np.cumsum(per) - per
         # items of each distinct window, then items of each (document, window)
         witem = np.unique(which[by] * len(test.end) + test.item[t[by]])
         wper = np.bincount(witem // len(test.end), minlength=len(ulo))
@@ -203,7 +201,6 @@ def scan_slice(buf, offs, test: TestSet):
             r = wper[w[i:i + step]]
             k = np.repeat(wbegin[w[i:i + step]], r) + np.arange(int(r.sum())) - np.repeat(np.cumsum(r) - r, r)
             hits.append(np.unique(np.repeat(d[i:i + step], r) * len(test.end) + witem[k] % len(test.end)))
-        del begin
         _longest(ids, doc_end, test, t, lo, hi, array, size, best)
     hit = np.cumsum(cover)[:-1] > 0
     pairs = np.unique(np.concatenate(hits)) if hits else _NONE

@@ -52,19 +52,22 @@ def op3(spark, sf_dir):
     return toxicity.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
-#: Checksums are folded byte by byte over a 256-entry table made from the polynomial.
-OP5_SQL = """
-WITH RECURSIVE steps(i, k, c) AS (
-  SELECT i, 0, i FROM range(256) t(i)
-  UNION ALL
-  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
-crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
-d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key,
+def _crc_table() -> list[int]:
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ 0xEDB88320 * (c & 1)
+        out.append(c)
+    return out
+
+
+#: Checksums are folded byte by byte over the table of the CRC-32 polynomial.
+OP5_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key,
              coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
 sums AS (SELECT r, xor(list_reduce(
-    list_prepend(4294967295, list_transform(range(0, CAST(strlen(text) AS BIGINT)),
-      lambda i: CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT))),
-    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32 FROM d, crc),
+    list_prepend(4294967295, list_transform(regexp_extract_all(h, '..'), lambda x: CAST('0x' || x AS BIGINT))),
+    lambda a, b: xor(a >> 8, {_crc_table()}[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32 FROM d),
 draws AS (SELECT r, s, -ln((CAST('0x' || md5(key || ':' || s)[1:13] AS BIGINT) + 0.5) / 4503599627370496.0) AS x
           FROM d, range(25) t(s)),
 best AS (SELECT r, arg_min(s, x) FILTER (s < 24) AS shard, arg_min(s, x) AS grown_shard FROM draws GROUP BY r)
