@@ -12,7 +12,8 @@ about ``4 * seq_len * log2(seq_len)`` rows. Ranks are counted per (length, hash
 bucket), so a length that many pieces share is dealt over many tasks.
 
 Defined results: a null text is empty; an empty text is the end id alone (one
-piece of length 1); repeated rows are packed once each; ties in length are
+piece of length 1); an added token of the vocabulary's JSON tokenizer, written out in a
+text, is that token's id; repeated rows are packed once each; ties in length are
 ordered by (doc_id, piece, digest); a null doc_id is kept; an empty table packs
 into nothing. Only ``doc_id`` and ``text`` are read. Texts are tokenised whole:
 a text longer than a sequence is cut into full sequences, its first piece taking
@@ -22,6 +23,8 @@ the remainder.
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 import zlib
 
@@ -46,13 +49,25 @@ _SPACES = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _added_tokens(path: str) -> dict[str, int]:
+    """Added tokens of a JSON tokenizer file (none if there is no such file)."""
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(a[k] for a in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"added tokens of {path} are not matched literally")
+    return {a["content"]: a["id"] for a in added}
+
+
 class ChunkTokenizer:
     """Byte-level BPE ids of whole texts, with the ids of frequent chunks kept.
 
     A blank between two non-space characters always starts a new pre-token, so
     a text is cut there and each chunk (with its leading blank) has its own ids.
     The vocabulary file holds the same merges, as ranks, as the JSON tokenizer
-    of that name; the tests compare the ids of both.
+    of that name; the tests compare the ids of both. ``encode_added`` also takes
+    the added tokens of the JSON file, where ``encode`` knows plain text only.
     """
 
     def __init__(self, vocabulary: str = VOCABULARY, end_id: int = END_ID, keep: int = CACHE_CHUNKS):
@@ -63,6 +78,9 @@ class ChunkTokenizer:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
                                          mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._added = _added_tokens(os.path.splitext(path)[0] + ".json")
+        longest = sorted(self._added, key=len, reverse=True)
+        self._cut_added = re.compile("(" + "|".join(map(re.escape, longest)) + ")")
         self._width = np.zeros(max(ranks.values()) + 1, np.int64)
         self._width[list(ranks.values())] = [len(k) for k in ranks]
         self._keep, self._end = keep, end_id
@@ -151,6 +169,19 @@ class ChunkTokenizer:
         ids = self._flat[np.repeat(start[idx] - to[:-1], n) + np.arange(int(to[-1]))]
         return ids, to[co]
 
+    def encode_added(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, with the ids of added tokens: a text is split at them, and
+        the end id of every part but the last gives way to the token behind it."""
+        if not any(a in t for t in texts if t for a in self._added):
+            return self.encode(texts)
+        parts = [self._cut_added.split(t) if t else [t] for t in texts]
+        ids, to = self.encode([p for row in parts for p in row[::2]])
+        last = np.cumsum([len(row) // 2 + 1 for row in parts])
+        inner = np.ones(len(to) - 1, bool)
+        inner[last - 1] = False
+        ids[to[1:][inner] - 1] = [self._added[p] for row in parts for p in row[1::2]]
+        return ids, to[np.concatenate(([0], last))]
+
 
 _TOKENIZERS: dict = {}
 
@@ -175,7 +206,7 @@ def tokenised_pieces(docs: DataFrame, seq_len: int = SEQ_LEN, vocabulary: str =
             col = b.column(1)
             _, offs = text_buffer(col)
             for i, j in slices(offs):
-                ids, to = tok.encode(col.slice(i, j - i).to_pylist())
+                ids, to = tok.encode_added(col.slice(i, j - i).to_pylist())
                 ids = ids.astype("<u4")
                 n = np.diff(to)
                 first = np.where(n % seq_len == 0, np.minimum(n, seq_len), n % seq_len)

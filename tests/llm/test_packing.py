@@ -65,6 +65,23 @@ def test_ids_equal_the_reference_tokenizer(reference):
             assert ids[a:b].tolist() == reference(t), t
 
 
+def test_added_tokens_have_their_ids(spark):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+    def ids_of(text):
+        return t.encode(text or "", add_special_tokens=False).ids + [0]
+
+    mark = "<|endoftext|>"
+    assert ids_of(f"{mark} x") == [50256, 2124, 0]
+    rnd = random.Random(3)
+    bits = [mark, " ", "  ", "\n", "a", "don't", "<|", "|>", "endoftext", "é"]
+    texts = [None, "", mark, mark * 2, f"{mark} x", f"a  {mark}", f"a {mark} b", mark[:-1], "plain text"]
+    texts += ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12))) for _ in range(600)]
+    rows = list(enumerate(texts))
+    pieces = packing.pack(table(spark, rows), seq_len=16, rank_rows=97).collect()
+    check(rows, pieces, ids_of, 16)
+
+
 def test_plan_equals_best_fit_decreasing():
     rnd = random.Random(2)
     for size in (7, 16, 64):
