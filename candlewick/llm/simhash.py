@@ -255,35 +255,56 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, cell_rows: int = CELL_ROWS)
             .mapInArrow(run, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                    cell_rows: int = CELL_ROWS) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable
-    over links, the document itself included."""
-    fps = fingerprint(docs, shingle).checkpoint()
+def _components_of(fps: DataFrame, max_bits: int, cell_rows: int) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint of (doc_id, fp): root is
+    the component's own key, component_id its smallest doc_id, which components may share."""
     ids = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
     comp = components(links(ids.select("fp"), max_bits, cell_rows))
     rooted = ids.join(comp.withColumnRenamed("node", "fp"), "fp", "left") \
                 .select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = rooted.join(lowest, "root").select("fp", "component_id")
+    return rooted.join(lowest, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                    cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable
+    over links, the document itself included."""
+    fps = fingerprint(docs, shingle).checkpoint()
+    by_fp = _components_of(fps, max_bits, cell_rows).select("fp", "component_id")
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, **params) -> DataFrame:
-    """The documents, one of each component: the one with the smallest doc_id.
-    Rows that repeat that doc_id are copies and leave one row. Of a component in
-    which no document has an id, the smallest text stays."""
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, **params)
-    keep = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")) \
-        .select(F.col("doc_id").alias("__keep"), F.col("n").alias("__rows")).checkpoint()
-    kept = docs.join(keep, docs["doc_id"] == keep["__keep"], "left_semi")
-    if not keep.where(F.col("__rows") > 1).isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    lone = found.where("component_id is null").select(F.col("fp").alias("__fp")).distinct()
-    if lone.isEmpty():
-        return kept
-    without = docs.where("doc_id is null").dropDuplicates(["text"])
-    marked = fingerprint(without.select(F.col("text").alias("doc_id"), "text"), shingle)
-    texts = (marked.join(lone, F.col("fp") == F.col("__fp"), "left_semi")
-             .groupBy("fp").agg(F.min("doc_id").alias("__text")))
-    return kept.unionByName(without.join(texts, without["text"].eqNullSafe(texts["__text"]), "left_semi"))
+def _digest(text):
+    return F.coalesce(F.sha2(text, 256), F.lit(""))
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+             cell_rows: int = CELL_ROWS) -> DataFrame:
+    """The documents, one of each component: the one with the smallest doc_id, or of
+    several texts under that id (or under none, if no document of the component has an
+    id) the smallest text. Rows are told apart by (doc_id, text): a doc_id may stand in
+    several components, and rows that repeat both are copies and leave one row."""
+    key = F.struct("doc_id", _digest("text").alias("digest"))
+    named = fingerprint(docs.select(key.alias("doc_id"), "text"), shingle) \
+        .select("doc_id.doc_id", "doc_id.digest", "fp").checkpoint()
+    by_fp = _components_of(named.select("doc_id", "fp"), max_bits, cell_rows)
+    first = named.join(by_fp, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
+        .groupBy("root", "doc_id", "digest").agg(F.count("*").alias("n")).checkpoint()
+    keyed = docs.withColumn("__digest", _digest("text"))
+
+    def same(keys):
+        return keyed["doc_id"].eqNullSafe(keys["__id"]) & (keyed["__digest"] == keys["__text"])
+
+    keep = first.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__text"),
+                        F.col("n").alias("__rows"), F.col("root").alias("__root"))
+    several = keep.groupBy("__root").agg(F.count("*").alias("__texts")).where("__texts > 1").checkpoint()
+    if not several.isEmpty():
+        tied = keep.join(several, "__root", "left_semi")
+        texts = keyed.join(tied, same(tied)).groupBy("__root").agg(_digest(F.min("text")).alias("__text"))
+        keep = keep.join(several, "__root", "left_anti").unionByName(
+            tied.join(texts, ["__root", "__text"], "left_semi")).checkpoint()
+    kept = keyed.join(keep, same(keep), "left_semi")
+    if not keep.where("__rows > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "__digest"])
+    return kept.drop("__digest")

@@ -51,6 +51,29 @@ def test_keep_one(spark):
     assert Counter(r.doc_id for r in out.collect()) == Counter([2, None, 9])
 
 
+def test_keep_one_with_shared_ids(spark):
+    a, b = ("alpha beta gamma delta epsilon zeta eta theta iota kappa " * 6,
+            "one two three four five six seven eight nine ten eleven twelve " * 6)
+    b2 = b + "tail"
+    assert 0 < (brute_fp(b) ^ brute_fp(b2)).bit_count() <= 4 < (brute_fp(a) ^ brute_fp(b)).bit_count()
+    rows = [(5, a), (5, b), (3, b2)] + [(7, f"text {i} of its own kind {i * i}") for i in range(40)]
+    rows += [(7, rows[9][1]), (7, None), (7, None)]
+    near = "red orange yellow green blue indigo violet black white grey " * 6
+    rows += [(None, near + "tail"), (None, near), (None, near), (8, "lone " * 9), (8, "lone " * 9 + " ")]
+    docs = with_extras(table(spark, rows)).repartition(4)
+    best = {}
+    fps = [brute_fp(t) for _, t in rows]
+    comp = smallest_reachable(list(range(len(rows))), lambda x, y: (fps[x] ^ fps[y]).bit_count() <= 4)
+    for c, (i, t) in zip(comp, rows):
+        k = (i is None, i or 0, t is None, t or "")
+        best[c] = min(best.get(c, (k, i, t)), (k, i, t), key=lambda x: x[0])
+    out = simhash.keep_one(docs)
+    assert out.dtypes == docs.dtypes
+    got_rows = Counter((r.doc_id, r.text) for r in out.collect())
+    assert got_rows == Counter((i, t) for _, i, t in best.values())
+    assert got_rows[5, a] == 1 and got_rows[5, b] == 0 and got_rows[3, b2] == 1
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(table(spark, [])).count() == 0
 
