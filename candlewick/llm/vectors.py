@@ -12,7 +12,10 @@
 3. Each shard then searches the united graph for each of its vectors, all at once: a
    greedy beam search from the shard's medoid, then the range is expanded: the vector
    itself and every one found within ``threshold - slack`` hand on their neighbours
-   until none is new.
+   until none is new. Tight groups of more than ``candidates`` vectors fill all lists
+   with their own, so pairs that no search reaches are found by comparing the shard's
+   vectors in blocks: every pair that shares a shard counts. Pairs without a common
+   shard are still missed.
    Found pairs are verified by their cosine in double precision. A pair is credited
    once, in the first shard that holds both; shards return link counts and a spanning
    set of links, never pairs.
@@ -182,6 +185,20 @@ def search_all(x: np.ndarray, lists: np.ndarray, threshold: float, beam: int, sl
     return q[exact], v[exact]
 
 
+def close_pairs(x: np.ndarray, threshold: float):
+    """Every pair (a, b), a < b, of unit rows with cosine >= threshold, in blocks."""
+    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in range(0, len(x), 512):
+        a, b = np.nonzero(np.triu(x[i:i + 512] @ x[i:].T >= threshold - 1e-9, 1))
+        a, b = a + i, b + i
+        for k in range(0, len(a), 1 << 17):            # verified as the searched ones
+            p, q = a[k:k + (1 << 17)], b[k:k + (1 << 17)]
+            exact = np.einsum("ij,ij->i", x[p], x[q]) >= threshold
+            found_a.append(p[exact])
+            found_b.append(q[exact])
+    return np.concatenate(found_a), np.concatenate(found_b)
+
+
 # ------------------------------------------------------------ shards
 
 def _parts(node: np.ndarray, count: int) -> np.ndarray:
@@ -294,7 +311,8 @@ def _search(shards: DataFrame, graph: DataFrame, threshold, beam, slack) -> Data
         lists[row, slot] = to
         q, v = search_all(x, lists, threshold, beam, slack)
         lo, hi = np.minimum(q, v), np.maximum(q, v)
-        pair = np.unique(lo * len(node) + hi)           # found from either end
+        a, b = close_pairs(x, threshold)                # what the pruned lists do not reach
+        pair = np.unique(np.concatenate((lo * len(node) + hi, a * len(node) + b)))
         q, v = pair // len(node), pair % len(node)
         mine = _credited(q, v, *(_matrix(t.column(c), np.int64) for c in ("cells", "parts", "counts")), shard)
         q, v = q[mine], v[mine]

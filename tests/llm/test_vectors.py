@@ -60,6 +60,21 @@ def test_pruned_lists_are_short_and_reach_their_neighbours():
     assert (sim[q, v] >= 0.6).all() and len(q) >= 0.9 * true
 
 
+def test_links_between_tight_groups(spark):
+    rng = np.random.default_rng(4)
+    n, dim = 800, 64
+    x = rng.normal(size=(n, dim)) * (0.01 / dim) ** 0.5
+    x[:, 0] += 0.93 ** 0.5
+    x[np.arange(n), 1 + np.arange(n) % 4] += 0.07 ** 0.5
+    unit = vectors.unit_rows(x)
+    true = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    out = vectors.near_duplicates(df).collect()
+    assert min(true) > 700
+    assert {r.vec_id: r.n_links for r in out} == dict(enumerate(true.tolist()))
+    assert {r.component_id for r in out} == {0}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<double>")
     assert vectors.near_duplicates(df).count() == 0
