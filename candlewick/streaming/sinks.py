@@ -79,15 +79,37 @@ def upsert_latest(root: str, key: str = "symbol", order: str = "offset",
 
 def append_trim(root: str, n: int = MAX_ALERTS_STORED, columns=ALERT_COLUMNS):
     """foreachBatch function: append alerts and keep only the newest ``n``
-    (arrival = batch, then window end, then symbol); a bounded top-n. An alert
-    that is delivered again (same symbol and window) keeps its first arrival."""
+    (arrival = batch, then window end, then symbol); a bounded top-n.
+
+    Beside the log stands a table of marks (``<root>_marks``, one row per symbol):
+    the latest window end of that symbol that was ever trimmed. An alert that is
+    delivered again is known by its row in the log (same symbol and window; the
+    first arrival stays) or by the mark: at or below it, it was trimmed already, or
+    is older than one that was, so it cannot push out a newer alert."""
+    marks_root = f"{root}_marks"
+    same = ["symbol", "window_start"]
+
     def run(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        new = batch_df.select(*columns, F.lit(batch_id).alias("_b"))
         prev = read_latest_version(spark, root, before=batch_id)
-        new = new.dropDuplicates(["symbol", "window_start"])
-        both = new if prev is None else prev.unionByName(
-            new.join(prev.select("symbol", "window_start"), ["symbol", "window_start"], "left_anti"))
-        kept = both.orderBy(F.col("_b").desc(), F.col("window_end").desc(), F.col("symbol").asc()).limit(n)
-        _commit(spark, kept, root, batch_id)
+        marks = read_latest_version(spark, marks_root, before=batch_id)
+        new = batch_df.select(*columns, F.lit(batch_id).alias("_b")).dropDuplicates(same)
+        if marks is not None:
+            m = marks.select(F.col("symbol").alias("_s"), "trimmed_to")
+            new = (new.join(m, new["symbol"].eqNullSafe(m["_s"]), "left")
+                   .where(F.col("trimmed_to").isNull() | (F.col("window_end") > F.col("trimmed_to")))
+                   .drop("_s", "trimmed_to"))
+        if prev is not None:
+            new = prev.unionByName(new.join(prev.select(*same), same, "left_anti"))
+        new = new.persist()
+        try:
+            kept = new.orderBy(F.col("_b").desc(), F.col("window_end").desc(), F.col("symbol").asc()).limit(n)
+            _commit(spark, kept, root, batch_id)
+            stored = spark.read.parquet(f"{root}/v={batch_id}").select(*same)
+            trimmed = new.join(stored, same, "left_anti").groupBy("symbol").agg(F.max("window_end").alias("trimmed_to"))
+            if marks is not None:
+                trimmed = trimmed.unionByName(marks).groupBy("symbol").agg(F.max("trimmed_to").alias("trimmed_to"))
+            _commit(spark, trimmed, marks_root, batch_id)
+        finally:
+            new.unpersist()
     return run

@@ -142,6 +142,41 @@ def test_sinks_are_idempotent_per_batch(spark, scratch):
     assert kept == ["s2", "s3", "s4"]
 
 
+ALERT_ROWS = ("symbol string, window_start timestamp, window_end timestamp, open_price double, "
+              "close_price double, percent_change double, alert_type string")
+
+
+def alert_row(symbol, minute):
+    t = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minute)
+    return (symbol, t, t + dt.timedelta(minutes=1), 1.0, 2.0, 1.0, "SELL")
+
+
+def test_a_trimmed_alert_that_comes_again_pushes_out_nothing(spark, scratch):
+    """Redelivery after trimming: in the same batch form, in pieces, and mixed with
+    new alerts; a symbol that comes late for the first time is stored."""
+    log = f"{scratch}/log"
+    put = append_trim(log, 4)
+    first = [alert_row(s, m) for m in range(10) for s in ("a", "b")]
+
+    def stored():
+        return sorted((r.symbol, r.window_start.minute) for r in read_latest_version(spark, log).collect())
+
+    put(spark.createDataFrame(first, ALERT_ROWS), 0)
+    newest = [("a", 8), ("a", 9), ("b", 8), ("b", 9)]
+    assert stored() == newest
+    put(spark.createDataFrame(first, ALERT_ROWS), 1)             # all of it again
+    assert stored() == newest
+    for b, piece in enumerate((first[:6], first[6:], first[:6])):  # again, in pieces
+        put(spark.createDataFrame(piece, ALERT_ROWS), 2 + b)
+        assert stored() == newest
+    put(spark.createDataFrame(first[:3] + [alert_row("a", 20)], ALERT_ROWS), 5)
+    assert stored() == [("a", 8), ("a", 9), ("a", 20), ("b", 9)]   # symbol ascending within a window end
+    put(spark.createDataFrame([alert_row("c", 1)], ALERT_ROWS), 6)  # unseen symbol: no mark
+    assert ("c", 1) in stored() and ("a", 20) in stored()
+    put(spark.createDataFrame([alert_row("c", 1)], ALERT_ROWS), 6)  # the same batch again
+    assert ("c", 1) in stored() and len(stored()) == 4
+
+
 def test_alert_json_and_progress_samples(spark):
     from candlewick.operators.alerts import alert_messages
     from candlewick.streaming.listener import progress_frame, progress_samples
