@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.llm import (archives, decontam, packing, preferences, quality, sharding, simhash, substrings,
-                            toxicity, vectors)
+from candlewick.llm import (archives, decontam, divergence, packing, preferences, quality, repair, sharding,
+                            simhash, substrings, toxicity, vectors)
 from candlewick.llm.registry import load, query
 
 
@@ -158,3 +158,111 @@ def op9(spark, sf_dir):
 def op4(spark, sf_dir):
     """Links and components of all ``embeddings`` at cosine 0.9."""
     return vectors.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+c AS (SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n FROM g JOIN kept k ON k.lang = g.lang
+      LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+p AS (SELECT *, 1 + (1000000000 * CAST(n + 5 AS HUGEINT))
+        // (sum(n) OVER (PARTITION BY lang, source) + 5 * count(*) OVER (PARTITION BY lang, source)) AS p FROM c),
+l AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+q AS (SELECT lang, term, 1 + (1000000000 * CAST(n + 5 AS HUGEINT))
+        // (sum(n) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS q FROM l),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+            coalesce((SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+                      WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, p.p - q.q AS value
+          FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op12_divergence", OP12_SQL)
+def op12(spark, sf_dir):
+    """Distances of the sources of each language of ``documents``, and their terms."""
+    return divergence.audit(load(spark, sf_dir, "documents"))
+
+
+def _op11_step() -> tuple[str, str]:
+    """SQL of the cheapest (cost, audit, text) after the inserts before a row, and of
+    the row's own edits, per last role e (none), s, u, a."""
+    def least(*xs):
+        return "list_min([" + ", ".join(xs) + "])"
+
+    def to(x, cost, letter, line, when="true"):
+        text = f"{x}.o || {line}" if line else f"{x}.o"
+        return f"CASE WHEN {x} IS NOT NULL AND {when} THEN {{'c': {x}.c + {cost}, 'w': {x}.w || '{letter}', 'o': {text}}} END"
+
+    user, helper = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    u1 = least("u", *[to(x, 3, "I", user) for x in "esa"])
+    gap = f"SELECT *, {least('a', to('u1', 3, 'I', helper))} AS a1 FROM (SELECT *, {u1} AS u1 FROM x)"
+
+    def take(x, role, said):
+        kept = f"NOT must AND left(role, 1) = '{role}'"
+        return [to(x, "3 + late", "R", f"{said} || text", "NOT must"),
+                to(x, "late", "K", "chr(10) || role || ':' || text", kept)]
+
+    gone = {x: to(x, 4, "D", None) for x in ("e", "s", "u1", "a1")}
+    edits = ", ".join([
+        f"{gone['e']} AS e",
+        least(gone["s"], to("e", "late", "K", "chr(10) || role || ':' || text", "NOT must AND left(role, 1) = 's'")) + " AS s",
+        least(gone["u1"], *[c for x in ("e", "s", "a1") for c in take(x, "u", user)]) + " AS u",
+        least(gone["a1"], *take("u1", "a", helper)) + " AS a"])
+    return gap, edits
+
+
+_GAP, _EDITS = _op11_step()
+_PATH = "STRUCT(c INTEGER, w VARCHAR, o VARCHAR)"
+OP11_SQL = f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))) AS h
+  FROM conversations),
+d AS (SELECT * EXCLUDE h, xor(list_reduce(
+    list_prepend(4294967295, list_transform(regexp_extract_all(h, '..'), lambda x: CAST('0x' || x AS BIGINT))),
+    lambda a, b: xor(a >> 8, {_crc_table()}[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS d FROM k),
+h AS (SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g, conv_id, turn, d,
+    CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN d = 1 THEN '' WHEN d = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE d WHEN 0 THEN [] WHEN 3 THEN [0, 0] ELSE [0] END) AS copy FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS seen FROM h),
+f AS (SELECT *, seen = '' AS blank,
+    row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS again,
+    right(seen, 1) NOT IN ('.', '!', '?') AS cut,
+    left(lag(role) OVER (PARTITION BY g ORDER BY i), 1) || left(role, 1) AS pair FROM o),
+r AS (SELECT *, blank OR again AS must, CASE WHEN NOT blank AND NOT again AND cut THEN 3 ELSE 0 END AS late FROM f),
+n AS (SELECT g, count(*) AS n, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+    count(*) FILTER (late = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM r GROUP BY g),
+p AS (SELECT g, CAST(0 AS BIGINT) AS i, CAST({{'c': 0, 'w': '', 'o': ''}} AS {_PATH}) AS e, CAST(NULL AS {_PATH}) AS s,
+    CAST(NULL AS {_PATH}) AS u, CAST(NULL AS {_PATH}) AS a FROM n
+  UNION ALL
+  SELECT g, i, {_EDITS} FROM (SELECT x.g, r.i, e, s, u1, a1, role, text, must, late
+    FROM (SELECT * FROM ({_GAP.replace("FROM x)", "FROM p)")})) x JOIN r ON r.g = x.g AND r.i = x.i + 1)),
+z AS (SELECT q.*, list_min([e, a1]) AS best, n.* EXCLUDE g FROM ({_GAP.replace("FROM x)", "FROM p)")}) q
+  JOIN n ON n.g = q.g AND n.n = q.i),
+c AS (SELECT DISTINCT conv_id, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g FROM conversations)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.w, '') AS audit,
+  sha256(coalesce(best.o[2:], '')) AS repaired_sha256
+FROM c LEFT JOIN (SELECT cg.conv_id, z.* FROM z JOIN (SELECT DISTINCT g, conv_id FROM h) cg ON cg.g = z.g) y
+  ON y.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query("op11_repair", OP11_SQL)
+def op11(spark, sf_dir):
+    """Damaged ``conversations`` and their cheapest repair."""
+    return repair.repair(repair.damage(load(spark, sf_dir, "conversations")))
