@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.llm import (archives, decontam, divergence, packing, preferences, quality, repair, sharding,
-                            simhash, substrings, toxicity, vectors)
+from candlewick.llm import (archives, decontam, divergence, packing, preferences, quality, repair, runindex,
+                            sharding, simhash, substrings, toxicity, vectors)
 from candlewick.llm.registry import load, query
 
 
@@ -266,3 +266,29 @@ FROM c LEFT JOIN (SELECT cg.conv_id, z.* FROM z JOIN (SELECT DISTINCT g, conv_id
 def op11(spark, sf_dir):
     """Damaged ``conversations`` and their cheapest repair."""
     return repair.repair(repair.damage(load(spark, sf_dir, "conversations")))
+
+
+OP13_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, doc_id, i, md5(h[2 * i + 1:2 * i + 200]) AS w
+      FROM (SELECT *, unnest(range(0, CAST(len(h) // 2 AS BIGINT) - 99)) AS i FROM d)),
+m AS (SELECT r, i FROM (SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY w) AS least,
+        min(i) OVER (PARTITION BY w, r) AS first FROM w) WHERE least < doc_id OR first < i),
+n AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM m),
+s AS (SELECT r, min(i) AS a, max(i) + 100 AS z
+      FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS k FROM n) GROUP BY r, k),
+p AS (SELECT s.r, a, z, h[2 * lag(z, 1, 0) OVER (PARTITION BY s.r ORDER BY a) + 1:2 * a] AS piece
+      FROM s JOIN d ON d.r = s.r),
+c AS (SELECT r, sum(z - a) AS gone, count(*) AS spans, max(z) AS z, string_agg(piece, '' ORDER BY a) AS kept
+      FROM p GROUP BY r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+  coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, '') || h[2 * coalesce(z, 0) + 1:])) AS kept_sha256
+FROM d LEFT JOIN c ON c.r = d.r
+"""
+
+
+@query("op13_run_index", OP13_SQL)
+def op13(spark, sf_dir):
+    """``documents`` without the bytes of repeated 100-byte strings."""
+    found = runindex.remove_repeats(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
