@@ -5,14 +5,15 @@ character a letter). ``CountVectorizer`` with ``minDF`` and the largest integer
 ``vocabSize`` keeps each term of at least ``min_docs`` documents of its language and
 turns every document into an exact sparse vector. The vectorizers of all languages
 are fitted in one pass: tokens are ``lang:term`` and a document has one language, so
-``minDF`` counts within the language, whatever the number of languages. As always
+``minDF`` counts within the language, whatever the number of languages. A document is
+written in layers (the terms that occur once, twice, ...), so each term is handed to
+the vectorizer once per document and its vector is the weighted sum of its layers. As always
 with ``CountVectorizer`` the vocabulary (not the counts) passes through the driver;
 it holds only terms of ``min_docs`` documents or more.
 
-Sums. The vectors are summed per (lang, source) sparsely: exploded to (index,
-count), added up map-side and then per group, so a source with a third of all rows
-shuffles one row per task and term. Sums are whole numbers in doubles, exact below
-2^53, then longs.
+Sums. The vectors are summed per (lang, source) sparsely: exploded to indices, the
+occurrences added up as longs, map-side and then per group, so a source with a third
+of all rows shuffles one row per task and term.
 
 Pairs. With p0 the probability of an absent term, the distance of two groups g, h is
 V * |p0_g - p0_h|, plus for the terms of g the change |p_g - p0_h| - |p0_g - p0_h|
@@ -27,6 +28,8 @@ an empty table gives an empty result; other columns are ignored whatever their n
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,19 +49,31 @@ _MARK = ":"      # never part of a term; also the token that keeps a vocabulary
 _MAX_INT = 2 ** 31 - 1
 
 
-def token_lists(buf, offs, langs: pa.Array) -> pa.ListArray:
-    """The ``lang:term`` tokens of each document of a slice, repeats included."""
+def token_layers(buf, offs, langs: pa.Array):
+    """The ``lang:term`` tokens of a slice in layers: (document, times, tokens), a row
+    for each document and number of occurrences, with the tokens that occur so often."""
     starts, ends, wo = words(buf, offs, LETTER)
     to = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int32)
     data = LOWER[buf[LETTER[buf]]]
-    terms = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(to), pa.py_buffer(data)])
+    terms = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(to), pa.py_buffer(data)]) \
+        .dictionary_encode()
+    k = max(len(terms.dictionary), 1)
     doc = np.repeat(np.arange(len(wo) - 1), np.diff(wo))
-    return pa.ListArray.from_arrays(pa.array(wo.astype(np.int32)),
-                                    pc.binary_join_element_wise(langs.take(pa.array(doc)), terms, _MARK))
-
-
-def tokens(docs: DataFrame) -> DataFrame:
-    """(lang, source, tokens) of every document."""
+    pair, times = np.unique(doc * k + terms.indices.to_numpy(), return_counts=True)
+    doc, term = pair // k, pair % k
+    order = np.lexsort((times, doc))
+    doc, term, times = doc[order], term[order], times[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (times[1:] != times[:-1])
+    new = np.flatnonzero(new)
+    tokens = pc.binary_join_element_wise(langs.take(pa.array(doc)), terms.dictionary.take(pa.array(term)), _MARK)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(doc)).astype(np.int32)), tokens)
+    return doc[new], times[new], lists
+
+
+def layers(docs: DataFrame) -> DataFrame:
+    """(gid, times, tokens): a row for each document (of group ``gid``) and number of
+    occurrences. A document's terms are dealt over its rows, each to exactly one."""
     tune(docs.sparkSession)
 
     def run(batches):
@@ -66,39 +81,36 @@ def tokens(docs: DataFrame) -> DataFrame:
             buf, offs = text_buffer(b.column(2))
             for i, j in slices(offs):
                 part = b.slice(i, j - i)
-                lists = token_lists(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], part.column(0))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists],
-                                                 ["lang", "source", "tokens"])
-
-    flat = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
-                       "text")
-    return flat.mapInArrow(run, "lang string, source string, tokens array<string>")
-
-
-def document_vectors(lists: DataFrame, min_docs: int = MIN_DOCS):
-    """(vocabulary (idx, lang, term), documents (lang, source, vec)): the exact
-    sparse count vectors of all documents. ``min_docs`` rows that hold only the mark
-    keep the fit from failing where no term qualifies; the mark is not a term."""
-    spark = lists.sparkSession
-    padding = spark.range(min_docs).select(F.lit("").alias("lang"), F.lit("").alias("source"),
-                                           F.array(F.lit(_MARK)).alias("tokens"))
+                doc, times, lists = token_layers(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], part.column(1))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(doc)), pa.array(times), lists],
+                                                 ["gid", "times", "tokens"])
+
+    return docs.select("gid", "lang", "text").mapInArrow(run, "gid long, times long, tokens array<string>")
+
+
+def document_vectors(rows: DataFrame, min_docs: int = MIN_DOCS):
+    """(vocabulary (idx, lang, term), rows (gid, times, vec)): the exact sparse vectors
+    of all documents, as the sum of times * vec over a document's rows. A term is in one
+    row of each document that has it, so ``minDF`` counts documents. ``min_docs`` rows
+    that hold only the mark keep the fit from failing where no term qualifies; the mark
+    is not a term."""
+    spark = rows.sparkSession
+    padding = spark.range(min_docs).select(F.array(F.lit(_MARK)).alias("tokens"))
     model = CountVectorizer(inputCol="tokens", outputCol="vec", minDF=float(min_docs), vocabSize=_MAX_INT) \
-        .fit(lists.unionByName(padding))
+        .fit(rows.select("tokens").unionByName(padding))
     token = model.vocabulary
     listed = pa.table({"idx": pa.array(range(len(token)), pa.int32()), "token": pa.array(token, pa.string())})
     term = F.substring_index("token", _MARK, -1)
     vocabulary = spark.createDataFrame(listed).where(F.col("token") != _MARK).select(
         "idx", F.expr(f"left(token, length(token) - length(substring_index(token, '{_MARK}', -1)) - 1)").alias("lang"),
         term.alias("term"))
-    return vocabulary, model.transform(lists).select("lang", "source", "vec")
+    return vocabulary, model.transform(rows).select("gid", "times", "vec")
 
 
 def group_sums(vectors: DataFrame) -> DataFrame:
-    """(lang, source, idx, n): the vectors of each group added up."""
-    v = F.unwrap_udt("vec")
-    each = vectors.select("lang", "source", F.explode(F.arrays_zip(v["indices"].alias("idx"), v["values"].alias("n")))
-                          .alias("e"))
-    return each.groupBy("lang", "source", F.col("e.idx").alias("idx")).agg(F.sum("e.n").cast("long").alias("n"))
+    """(gid, idx, n): the vectors of each group added up."""
+    each = vectors.select("gid", "times", F.explode(F.unwrap_udt("vec")["indices"]).alias("idx"))
+    return each.groupBy("gid", "idx").agg(F.sum("times").alias("n"))
 
 
 def _p(count, total, v):
@@ -113,17 +125,20 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS)
     other sources of its language (``pair``, all) and its most over-represented
     terms against the language (``term``, the first ``top_terms``)."""
     spark = docs.sparkSession
-    checkpoint_root(spark)
-    lists = tokens(docs)
-    vocabulary, vectors = document_vectors(lists, min_docs)
+    folder = f"{checkpoint_root(spark)}/divergence-{uuid.uuid4().hex}"
+    named = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
+                        "text")
+    named.select("lang", "source").distinct().withColumn("gid", F.monotonically_increasing_id()) \
+        .write.parquet(f"{folder}/groups")
+    ids = spark.read.parquet(f"{folder}/groups")
+    layers(named.join(ids, ["lang", "source"])).write.parquet(f"{folder}/layers")   # read by fit and transform
+    vocabulary, vectors = document_vectors(spark.read.parquet(f"{folder}/layers"), min_docs)
     sums = group_sums(vectors).checkpoint()
     sizes = vocabulary.groupBy("lang").agg(F.count("*").alias("v"))
-    groups = (docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"))
-              .distinct()
-              .join(sums.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
+    groups = (ids.join(sums.groupBy("gid").agg(F.sum("n").alias("total")), "gid", "left")
               .join(sizes, "lang", "left").na.fill(0, ["total", "v"])
               .withColumn("p0", _p(F.lit(0), F.col("total"), F.col("v"))).checkpoint())
-    known = sums.join(groups, ["lang", "source"]).select(
+    known = sums.join(groups, "gid").select(
         "lang", "source", "idx", "p0", _p(F.col("n"), F.col("total"), F.col("v")).alias("p"))
 
     # distances
@@ -148,10 +163,11 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS)
              .withColumn("part", F.lit("pair")))
 
     # over-represented terms
-    whole = sums.groupBy("lang", "idx").agg(F.sum("n").alias("n"))
+    whole = sums.groupBy("idx").agg(F.sum("n").alias("n")).join(vocabulary, "idx")
     totals = groups.groupBy("lang", "v").agg(F.sum("total").alias("total"))
-    q = whole.join(totals, "lang").select("idx", _p(F.col("n"), F.col("total"), F.col("v")).alias("q"))
-    more = known.join(q, "idx").where("p > q").join(vocabulary.select("idx", "term"), "idx").select(
+    q = whole.join(totals, "lang").select(
+        "idx", "term", _p(F.col("n"), F.col("total"), F.col("v")).alias("q"))
+    more = known.join(q, "idx").where("p > q").select(
         "lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"), F.lit("term").alias("part"))
 
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
