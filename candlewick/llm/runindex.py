@@ -43,8 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.arrowtext import mix64, slices, text_buffer, tune, word_hashes
-from candlewick.llm.substrings import _first_min
+from candlewick.llm.arrowtext import slices, text_buffer, tune, word_hashes
 from candlewick.session import checkpoint_root
 
 WINDOW = 100
@@ -56,33 +55,71 @@ PART_BYTES = 24 << 20
 PARTITION_PARTS = 4
 INDEX_BYTES = 1 << 20
 SLICE = 4 << 20
+DEAL_BYTES = 16 << 20            # text dealt at once, and bytes hashed at once in cache
+CACHE_BYTES = 256 << 10
 _ALONE = 255                     # lead of a window that was dealt on its own
 _LOWEST = -(1 << 63)
 _U = np.uint64
 
 
-def _grams(buf: np.ndarray) -> np.ndarray:
-    """Hash of the 16 bytes from each position on."""
-    n = len(buf) - GRAM + 1
-    if n <= 0:
-        return np.zeros(0, _U)
-    raw = np.ascontiguousarray(buf)
-    word = np.ndarray((len(buf) - 7,), "<u8", raw.data, 0, (1,)).astype(_U)
-    return mix64(word[:n] ^ mix64(word[8:8 + n] + _U(0x9E3779B97F4A7C15)))
+def _words64(buf: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each position on, as little-endian numbers (a view)."""
+    return np.ndarray((len(buf) - 7,), "<u8", np.ascontiguousarray(buf).data, 0, (1,))
+
+
+def _gram_hash(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Hash of 16 bytes given as two numbers."""
+    x = low * _U(0x9E3779B97F4A7C15)
+    x ^= x >> _U(29)
+    x += high
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(32)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
+
+
+def _least(key: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of the ``width`` values from each position on (width >= 1)."""
+    size, n = 1, len(key) - width + 1
+    while 2 * size <= width:
+        key = np.minimum(key[:-size], key[size:])
+        size *= 2
+    return key[:n] if size == width else np.minimum(key[:n], key[width - size:width - size + n])
 
 
 def anchors(buf, offs, window: int):
     """Segments of a slice: (anchor hash, document, first byte, anchor's place in the
     segment, windows in it)."""
-    g = _grams(buf)
-    at = _first_min(g, window - GRAM + 1)
-    end = np.repeat(offs[1:], np.diff(offs))
-    s = np.flatnonzero(np.arange(len(at)) + window <= end[:len(at)])
-    p = at[s]
-    new = np.flatnonzero((np.diff(p, prepend=-1) != 0) | (np.diff(s, prepend=-2) != 1))
-    first = s[new]
+    out = [_anchors(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], window, i, int(offs[i]))
+           for i, j in slices(offs, CACHE_BYTES)]
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, _U),) + (np.zeros(0, np.int64),) * 4
+
+
+def _anchors(buf, offs, window, doc0, byte0):
+    n, last = len(buf) - GRAM + 1, len(buf) - window + 1
+    if last <= 0:
+        return (np.zeros(0, _U),) + (np.zeros(0, np.int64),) * 4
+    word = _words64(buf)
+    g = _gram_hash(word[:n], word[8:8 + n])
+    # the position stands in the low bits, so of equal hashes the first is least
+    bits = max(n.bit_length(), 1)
+    key = _least((g >> _U(bits) << _U(bits)) | np.arange(n, dtype=np.uint64), window - GRAM + 1)
+    long = np.diff(offs) >= window
+    # windows lie inside one document: +1 where they begin, -1 after the last
+    edge = np.zeros(last + 1, np.int8)
+    edge[offs[:-1][long]] = 1
+    edge[offs[1:][long] - window + 1] -= 1
+    ok = np.cumsum(edge, dtype=np.int8)[:-1] > 0
+    new = ok.copy()
+    new[1:] &= (key[1:] != key[:-1]) | ~ok[:-1]
+    new[offs[:-1][long]] = True
+    first = np.flatnonzero(new)
+    upto = np.concatenate(([0], np.cumsum(ok)))
+    count = upto[np.append(first[1:], last)] - upto[first]
+    at = (key[first] & _U((1 << bits) - 1)).astype(np.int64)
     doc = np.searchsorted(offs, first, side="right") - 1
-    return g[p[new]], doc, first, p[new] - first, np.diff(np.append(new, len(s)))
+    return g[at], doc + doc0, first + byte0, at - first, count
 
 
 def _gather(buf, start, size):
@@ -143,71 +180,106 @@ def _unpack(raw: bytes):
             np.frombuffer(data, np.uint8, -1, at))
 
 
+def _repeated(g: np.ndarray) -> np.ndarray:
+    """Which values occur more than once."""
+    order = np.argsort(g)
+    same = g[order[1:]] == g[order[:-1]]
+    out = np.zeros(len(g), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
+
+
+def _combined(buf, g, first, size, doc, th, at):
+    """Segments to keep and later copies of them. ``first`` is ascending; only the
+    anchors that occur twice need the segments' digests."""
+    twice = np.flatnonzero(_repeated(g))
+    if not len(twice):
+        return np.arange(len(g)), twice
+    f = first[twice]
+    digest = word_hashes(buf, f, f + size[twice], lower=False)
+    keep, later = _settle(g[twice], digest, doc[twice], th[twice], at[twice])
+    alone = np.ones(len(g), bool)
+    alone[twice] = False
+    alone[twice[keep]] = True
+    return np.flatnonzero(alone), twice[later]
+
+
 def _blobs(buf, offs, docs, ths, hot, parts: int, window: int):
     """(part, blob) rows of a slice, and the spans of the copies settled in it."""
     g, doc, first, lead, count = _cut_alone(hot, anchors(buf, offs, window))
     if not len(g):
         return [], None
     size = count + window - 1
-    order = np.argsort(first, kind="stable")
-    g, doc, first, lead, count, size = (x[order] for x in (g, doc, first, lead, count, size))
-    digest = word_hashes(buf, first, first + size, lower=False)
-    g = np.where(lead == _ALONE, digest, g)
+    if len(hot):
+        order = np.argsort(first, kind="stable")
+        g, doc, first, lead, count, size = (x[order] for x in (g, doc, first, lead, count, size))
+        cut = np.flatnonzero(lead == _ALONE)
+        g = g.copy()
+        g[cut] = word_hashes(buf, first[cut], first[cut] + window, lower=False)
     at = first - offs[doc]
-    keep, later = _settle(g, digest, docs[doc], ths[doc], at)
+    keep, later = _combined(buf, g, first, size, docs[doc], ths[doc], at)
     spans = (docs[doc[later]], ths[doc[later]], at[later], at[later] + size[later])
-    part = (g[keep] >> _U(20)) % _U(parts)
-    keep = keep[np.lexsort((keep, part))]
-    part = (g[keep] >> _U(20)) % _U(parts)
-    text, to = _gather(buf, first[keep], size[keep])
-    edges = np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))
+    part = ((g[keep] >> _U(20)) % _U(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    keep, part = keep[order], part[order]
+    edges = np.flatnonzero(np.diff(part, prepend=-1))
     rows = []
     for a, z in zip(edges, np.append(edges[1:], len(keep))):
         k = keep[a:z]
         own, didx = np.unique(doc[k], return_inverse=True)
-        rows.append((int(part[a]), _pack(docs[own], ths[own], didx, at[k], lead[k], count[k], text[to[a]:to[z]])))
+        text, _ = _gather(buf, first[k], size[k])
+        rows.append((int(part[a]), _pack(docs[own], ths[own], didx, at[k], lead[k], count[k], text)))
     return rows, spans
 
 
 def _ranks(t: np.ndarray, rem: np.ndarray, longest: int):
-    """Ranks of all suffixes by their first 7, 14, 28, ... bytes (ends sort first)."""
+    """(bytes, rank) levels: ranks of all suffixes by their first 7, 21, 63, ... bytes;
+    a suffix that ends sooner sorts first. Three ranks make the next key where they fit
+    into 63 bits, else two."""
     n = len(t)
-    key = np.zeros(n, np.int64)
-    for k in range(7):
-        sym = np.zeros(n, np.int64)
-        sym[:n - k] = t[k:].astype(np.int64) + 1
-        key = (key << 9) | np.where(rem > k, sym, 0)
+    padded = np.concatenate((t, np.zeros(8, np.uint8)))
+    seven = _words64(padded)[:n].byteswap() >> _U(8)
+    short = np.minimum(rem, 7).astype(np.uint64)
+    beyond = (_U(7) - short) * _U(8)
+    key = (seven >> beyond << beyond << _U(3) | short).astype(np.int64)
+    width = n.bit_length()
+    times = 3 if 3 * width <= 63 else 2
     levels, h = [], 7
     while True:
         order = np.argsort(key)
         sorted_ = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate(([False], sorted_[1:] != sorted_[:-1])))
-        levels.append((h, rank.astype(np.int32)))
+        levels.append((h, rank))
         if h >= longest:
             return levels
-        ahead = np.zeros(n, np.int64)
-        ahead[:n - h] = rank[h:] + 1
-        key = rank * (n + 1) + np.where(rem > h, ahead, 0)
-        h *= 2
+        key = rank << width * (times - 1)
+        for k in range(1, times):
+            ahead = rank[k * h:] + 1
+            ahead *= rem[:n - k * h] > k * h
+            key[:n - k * h] |= ahead << width * (times - 1 - k)
+        h *= times
+
+
+_LOW = [_U((1 << 8 * k) - 1) for k in range(1, 7)]
 
 
 def _common(levels, t, end, a, b):
     """Common bytes of the suffixes at a and b, up to the ends of their segments."""
     length = np.zeros(len(a), np.int64)
     last = len(t) - 1
-    for h, rank in reversed(levels):
-        x, y = a + length, b + length
-        inside = (x < end[a]) & (y < end[b])
-        x, y = np.minimum(x, last), np.minimum(y, last)
-        same = inside & (rank[x] == rank[y])
-        length += np.where(same, np.minimum(h, end[a] - x), 0)
-    for _ in range(6):
-        x, y = a + length, b + length
-        inside = (x < end[a]) & (y < end[b])
-        same = inside & (t[np.minimum(x, last)] == t[np.minimum(y, last)])
-        length += same
-    return length
+    room = np.minimum(end[a] - a, end[b] - b)
+    for h, rank in reversed(levels[:-1] or levels):
+        for _ in range(2):
+            same = (length < room) & (rank[np.minimum(a + length, last)] == rank[np.minimum(b + length, last)])
+            length = np.minimum(length + h * same, room)
+    word = _words64(np.concatenate((t, np.zeros(8, np.uint8))))
+    unlike = word[np.minimum(a + length, last)] ^ word[np.minimum(b + length, last)]
+    tail = np.zeros(len(a), np.int64)
+    for mask in _LOW:
+        tail += (unlike & mask) == 0
+    return np.minimum(length + tail, room)
 
 
 class RunIndex:
@@ -217,7 +289,7 @@ class RunIndex:
         size = np.diff(to)
         end = np.repeat(to[1:], size)
         levels = _ranks(t, end - np.arange(len(t)), int(size.max()))
-        order = np.argsort(levels[-1][1].astype(np.int64) * len(t) + np.arange(len(t)))
+        order = np.argsort(levels[-1][1] * len(t) + np.arange(len(t)))
         before = np.where(order > 0, t[order - 1], 0).astype(np.int16)
         starts = np.zeros(len(t), bool)
         starts[to[:-1][size > 0]] = True
@@ -274,18 +346,16 @@ def _part_spans(blobs: list, window: int):
     del cols
     size = count + window - 1
     to = np.concatenate(([0], np.cumsum(size)))
-    digest = word_hashes(text, to[:-1], to[1:], lower=False)
-    alone = lead == _ALONE
-    anchor = np.where(alone, 0, lead)
-    raw, _ = _gather(text, to[:-1] + anchor, np.full(len(doc), GRAM))
-    g = np.where(alone, digest, _grams(raw)[::GRAM] if len(raw) else np.zeros(0, _U))
-    keep, later = _settle(g, digest, doc, th, first)
+    alone = np.flatnonzero(lead == _ALONE)
+    word = _words64(text)
+    at = to[:-1] + np.where(lead == _ALONE, 0, lead)
+    g = _gram_hash(word[at], word[at + 8])
+    g[alone] = word_hashes(text, to[alone], to[alone] + window, lower=False)
+    keep, later = _combined(text, g, to[:-1], size, doc, th, first)
     yield doc[later], th[later], first[later], first[later] + size[later]
+    keep = keep[_repeated(g[keep])]
     keep = keep[np.lexsort((first[keep], th[keep], doc[keep], g[keep]))]
     group = g[keep]
-    edge = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
-    many = np.repeat(np.diff(edge) > 1, np.diff(edge))
-    keep, group = keep[many], group[many]
     if not len(keep):
         return
     edge = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
@@ -336,6 +406,19 @@ def _span_batches(found):
                                 ["doc", "th", "start", "stop"]).combine_chunks().to_batches(50_000)
 
 
+def _gathered(batches):
+    """Tables of about DEAL_BYTES of rows."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= DEAL_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def repeats(docs: DataFrame, window: int = WINDOW, hot_rows: int = HOT_ROWS,
             part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc, th, start, stop): byte spans of the texts that repeat earlier ones; doc is
@@ -351,19 +434,17 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot_rows: int = HOT_ROWS,
     hot = spark.sparkContext.broadcast(_hot_anchors(keyed.select("text"), size, window, hot_rows))
 
     def deal(batches):
-        for b in batches:
-            buf, offs = text_buffer(b.column(2))
-            docs_, ths = (b.column(k).to_numpy() for k in (0, 1))
-            for i, j in slices(offs, SLICE):
-                rows, spans = _blobs(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], docs_[i:j], ths[i:j],
-                                     hot.value, parts, window)
-                if spans is not None and len(spans[0]):    # settled here: they go along as they are
-                    raw = zstandard.ZstdCompressor().compress(np.stack(spans).astype("<i8").tobytes())
-                    rows.append((zlib.crc32(raw) % parts, b"s" + raw))
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
-                        ["part", "blob"])
+        for t in _gathered(batches):
+            buf, offs = text_buffer(t.column("text"))
+            rows, spans = _blobs(buf, offs, t.column("doc").to_numpy(), t.column("th").to_numpy(), hot.value,
+                                 parts, window)
+            if spans is not None and len(spans[0]):    # settled here: they go along as they are
+                raw = zstandard.ZstdCompressor().compress(np.stack(spans).astype("<i8").tobytes())
+                rows.append((zlib.crc32(raw) % parts, b"s" + raw))
+            for k in range(0, len(rows), 100):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows[k:k + 100]], pa.int32()),
+                     pa.array([r[1] for r in rows[k:k + 100]], pa.binary())], ["part", "blob"])
 
     def index(batches):
         now, held = None, []
