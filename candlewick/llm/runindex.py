@@ -163,20 +163,20 @@ def _settle(g, digest, doc, th, first):
 def _pack(docs, ths, didx, first, lead, count, text) -> bytes:
     head = struct.pack("<II", len(docs), len(didx))
     body = b"".join(x.tobytes() for x in (
-        docs.astype("<i8"), ths.astype("<i8"), didx.astype("<u4"), first.astype("<u4"), lead.astype(np.uint8),
+        docs.astype("<i8"), ths.astype("<i8"), didx.astype("<u4"), np.diff(first, prepend=0).astype("<i4"), lead.astype(np.uint8),
         count.astype(np.uint8), text))
-    return zstandard.ZstdCompressor(level=3).compress(head + body)
+    return zstandard.ZstdCompressor(level=6).compress(head + body)
 
 
 def _unpack(raw: bytes):
     data = zstandard.ZstdDecompressor().decompress(raw)
     k, n = struct.unpack_from("<II", data)
     at, out = 8, []
-    for kind, m in (("<i8", k), ("<i8", k), ("<u4", n), ("<u4", n), ("u1", n), ("u1", n)):
+    for kind, m in (("<i8", k), ("<i8", k), ("<u4", n), ("<i4", n), ("u1", n), ("u1", n)):
         out.append(np.frombuffer(data, kind, m, at))
         at += out[-1].nbytes
     docs, ths, didx, first, lead, count = out
-    return (docs[didx], ths[didx], first.astype(np.int64), lead.astype(np.int64), count.astype(np.int64),
+    return (docs[didx], ths[didx], np.cumsum(first, dtype=np.int64), lead.astype(np.int64), count.astype(np.int64),
             np.frombuffer(data, np.uint8, -1, at))
 
 
@@ -396,14 +396,14 @@ def _hot_anchors(texts: DataFrame, size: int, window: int, hot_rows: int) -> np.
     return np.sort(np.array([r["g"] for r in rows], np.int64).view(_U))
 
 
-_SPAN = "doc long, th long, start long, stop long"
+_SPAN = "doc long, th long, start int, stop int"
 
 
 def _span_batches(found):
     for doc, th, start, stop in found:
         if len(doc):
-            yield from pa.table([pa.array(x.astype(np.int64)) for x in (doc, th, start, stop)],
-                                ["doc", "th", "start", "stop"]).combine_chunks().to_batches(50_000)
+            yield from pa.table([pa.array(doc), pa.array(th), pa.array(start.astype(np.int32)),
+                                 pa.array(stop.astype(np.int32))], ["doc", "th", "start", "stop"]).combine_chunks().to_batches(50_000)
 
 
 def _gathered(batches):
@@ -473,8 +473,7 @@ def _cut(buf, offs, spans: list):
     size = np.diff(offs)
     for d, s in enumerate(spans):
         if s:
-            a = np.frombuffer(s, "<i8").reshape(-1, 2) if isinstance(s, bytes) else np.array(
-                [(x["start"], x["stop"]) for x in s])
+            a = np.array([(x["start"], x["stop"]) for x in s])
             np.add.at(mark, offs[d] + a[:, 0], 1)
             np.add.at(mark, offs[d] + a[:, 1], -1)
     gone = np.cumsum(mark)[:n] > 0
