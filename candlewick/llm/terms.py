@@ -81,10 +81,17 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """(doc_id, text, label) of at most ``rows`` labelled documents that are not
-    held out, picked by a hash of the id. One row of each id."""
+    """(doc_id, text, label) of at most ``rows`` labelled documents that are not held
+    out, one row of each id, picked by a hash of the id.
+
+    Only ids that ``docs`` holds are counted against ``rows``. An id with several
+    labels has the larger one; an id with several texts has the least of them by bytes
+    (a null text only if there is no other)."""
+    here = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
     pool = (labels.select("doc_id", F.col(label).cast("int").alias("label"))
             .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
             .groupBy("doc_id").agg(F.max("label").alias("label"))
+            .join(here, "doc_id", "left_semi")
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.select("doc_id", "text").join(F.broadcast(pool), "doc_id").dropDuplicates(["doc_id"])
+    return (docs.select("doc_id", "text").join(F.broadcast(pool), "doc_id")      # at most ``rows`` ids
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label")))

@@ -117,3 +117,20 @@ def test_no_labels_and_no_rows(spark):
     for classify in (quality.classify, toxicity.classify):
         assert [r.score for r in classify(docs, labels).collect()] == [0.5, 0.5]
         assert classify(none, labels).count() == 0
+
+
+def test_the_sample_bound_counts_documents_not_labels(spark):
+    """Labels of ids that the table does not hold take no place in the sample; the
+    bound holds, and an id with several texts or labels has a stated one."""
+    from candlewick.llm.terms import labelled_sample
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    docs = table(spark, [(i, f"text {i}") for i in range(0, 200, 4)])
+    eligible = {i for i in range(0, 200, 4) if zlib.crc32(str(i).encode()) % 3 != 1}
+    got = labelled_sample(docs, labels, "quality", 20).collect()
+    assert len(got) == 20 and {r.doc_id for r in got} <= eligible
+    assert {r.doc_id for r in labelled_sample(docs, labels, "quality", 500).collect()} == eligible
+    one = sorted(eligible)[0]
+    many = table(spark, [(one, t) for t in ("b", "a", None, "é", "a", "B")] + [(None, "x")])
+    both = labels.unionByName(spark.createDataFrame([(one, 1), (one, 7), (None, 1)], labels.schema))
+    got = labelled_sample(many.repartition(4), both, "quality", 5).collect()
+    assert [(r.doc_id, r.text, r.label) for r in got] == [(one, "B", 1)]
