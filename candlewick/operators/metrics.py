@@ -1,19 +1,20 @@
 """Catalogue evaluation: every spec from one shared rate pass and one as-of pass.
 
 Plan shape (independent of the number of specs):
-  counter samples -> Exchange(series) -> Window(lag) -> Generate(grid points)
-                  -> HashAggregate(series, t)        [same partitioning, no shuffle]
-  gauge samples   -> Exchange(series) -> Window(lead) -> Generate(grid points)
-  -> BroadcastHashJoin on (family, part, kind) with the fixed plan table
+  counter samples -> Generate(blocks) -> Exchange(series, block) -> Window(lag)
+                  -> Generate(grid points) -> HashAggregate(series, block, t)  [no shuffle]
+  gauge samples   -> Generate(blocks) -> Exchange(series, block) -> Window(lead)
+                  -> Generate(grid points)
+  -> one BroadcastHashJoin on (family, part, kind) with the fixed plan table
      (catalogue x family mapping, resolved once in Python)
-  -> HashAggregate(spec, t, le) -> value per kind (quantiles: windows over le)
+  -> HashAggregate(spec, t, le) -> one array of buckets per (spec, t) -> value per kind
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from candlewick.operators.series import Grid, _div, asof, bucket_quantile, range_rate, series_key
+from candlewick.operators.series import Grid, _div, asof, quantile_of, range_rate, series_key
 from candlewick.plans.catalog import ALL_SPECS, FAMILY_SOURCES, Spec
 from candlewick.session import bounded_broadcast
 
@@ -96,16 +97,18 @@ def evaluate(spark: SparkSession, counters: DataFrame, gauges: DataFrame, grid:
         F.sum("value").alias("v"),
         F.sum(F.when(F.col("part") == "sum", F.col("value"))).alias("s"),
         F.sum(F.when(F.col("part") == "count", F.col("value"))).alias("c"))
-    hist = bucket_quantile(lvl1.where(F.col("kind") == "hist_q").select(*keys, "le", F.col("v").alias("r")),
-                           keys, "q")
-    # Outside histograms ``le`` is NULL, so lvl1 already has one row per key.
-    flat = lvl1.where(F.col("kind") != "hist_q")
+    # One row per key: the buckets of a histogram as an array; outside histograms
+    # ``le`` is NULL, so there is one row per key already.
+    hist = F.col("kind") == "hist_q"
+    g = lvl1.groupBy(*keys).agg(
+        F.collect_list(F.when(hist, F.struct("le", F.col("v").alias("r")))).alias("buckets"),
+        F.max("v").alias("v"), F.max("s").alias("s"), F.max("c").alias("c"))
     s, c = F.col("s"), F.col("c")
-    value = (F.when(F.col("kind") == "rate_mean", F.when(s.isNotNull() & c.isNotNull(), _div(s, c)))
+    value = (F.when(hist, quantile_of(F.col("buckets"), F.col("q")))
+             .when(F.col("kind") == "rate_mean", F.when(s.isNotNull() & c.isNotNull(), _div(s, c)))
              .otherwise(F.col("v")))
-    out = flat.select(F.col("name").alias("metric"), "by_value", "t", value.alias("value")).unionByName(
-        hist.select(F.col("name").alias("metric"), "by_value", "t", "value"))
-    return out.where(F.col("value").isNotNull())
+    return g.select(F.col("name").alias("metric"), "by_value", "t", value.alias("value")) \
+        .where(F.col("value").isNotNull())
 
 
 def panel_frame(spark: SparkSession, panels) -> DataFrame:

@@ -17,6 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SERIES_KEYS = ("family", "part", "series", "le")
+#: Evaluation points of one block of a series. A long series is evaluated in blocks, so
+#: no task holds all of it.
+BLOCK_POINTS = 1024
 NAN = float("nan")
 INF = float("inf")
 
@@ -90,16 +93,32 @@ def scan_samples(samples: DataFrame, start: int, end: int, lookback: int = 0) ->
     return samples.where((F.col("ts") > F.lit(start - lookback)) & (F.col("ts") <= F.lit(end)))
 
 
-def _grid_points(ts: Column, width: Column | int, grid: Grid, upto: Column | None = None) -> Column:
-    """Grid indexes j with ts <= t_j < ts + width (and t_j < upto)."""
-    lo = F.ceil((ts - F.lit(grid.origin)) / F.lit(float(grid.step)))
-    hi_edge = ts + (width if isinstance(width, Column) else F.lit(width))
-    if upto is not None:
-        hi_edge = F.least(hi_edge, upto)
-    hi = F.ceil((hi_edge - F.lit(grid.origin)) / F.lit(float(grid.step))) - F.lit(1)
-    lo = F.greatest(lo, F.lit(grid.first)).cast("long")
-    hi = F.least(hi, F.lit(grid.last)).cast("long")
-    return F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<long>"))
+def _served(ts: Column, width: Column | int, grid: Grid) -> tuple[Column, Column]:
+    """First and last grid index j with ts <= t_j < ts + width, within the grid."""
+    def index(x):
+        return F.ceil((x - F.lit(grid.origin)) / F.lit(float(grid.step)))
+    lo = F.greatest(index(ts), F.lit(grid.first)).cast("long")
+    hi = F.least(index(ts + width) - F.lit(1), F.lit(grid.last)).cast("long")
+    return lo, hi
+
+
+def in_blocks(samples: DataFrame, width_s: int, grid: Grid, block: int) -> DataFrame:
+    """Each sample in every block of ``block`` grid points that it serves (ts <= t_j <
+    ts + width), with ``lo`` and ``hi``, the points it serves there, and ``_sk``, the
+    key of (series, block).
+
+    A sample near the end of a block also stands in the next one, as far as ``width_s``
+    reaches. All samples of any evaluated range so meet in the block of its point, in
+    order, and so does the predecessor or successor that matters at that point: blocks
+    are evaluated apart and give what the whole series would."""
+    lo, hi = _served(F.col("ts"), F.lit(float(width_s)), grid)
+    s = samples.withColumn("_lo", lo).withColumn("_hi", hi).where("_hi >= _lo")
+    number = lambda j: F.floor((F.col(j) - F.lit(grid.first)) / F.lit(block)).cast("long")
+    s = s.withColumn("_b", F.explode(F.sequence(number("_lo"), number("_hi"))))
+    start = F.col("_b") * F.lit(block) + F.lit(grid.first)
+    return (s.withColumn("lo", F.greatest(F.col("_lo"), start))
+            .withColumn("hi", F.least(F.col("_hi"), start + F.lit(block - 1)))
+            .withColumn("_sk", F.concat_ws("\x1e", series_id(*SERIES_KEYS), "_b")).drop("_lo", "_hi", "_b"))
 
 
 def _div(num: Column, den: Column) -> Column:
@@ -110,7 +129,8 @@ def _div(num: Column, den: Column) -> Column:
             .when(num < 0, F.lit(-INF)))
 
 
-def range_rate(samples: DataFrame, range_s: int, grid: Grid, is_rate: bool = True) -> DataFrame:
+def range_rate(samples: DataFrame, range_s: int, grid: Grid, is_rate: bool = True,
+               block: int = BLOCK_POINTS) -> DataFrame:
     """Per-series extrapolated counter rate (or increase) over (t - range, t].
 
     Output: family, part, series, labels, le, t, value. A series needs at
@@ -121,13 +141,11 @@ def range_rate(samples: DataFrame, range_s: int, grid: Grid, is_rate: bool = Tru
     # reset only when its predecessor is in the same range, so samples before
     # the first range never matter. The filter reaches the scan.
     samples = scan_samples(samples, grid.start, grid.end, range_s)
-    s = with_series(samples).select(series_id(*SERIES_KEYS).alias("_sk"), *SERIES_KEYS,
-                                    F.col("ts").cast("double").alias("ts"),
-                                    F.col("value").cast("double").alias("v"))
+    s = in_blocks(with_series(samples).select(*SERIES_KEYS, F.col("ts").cast("double").alias("ts"),
+                                              F.col("value").cast("double").alias("v")), range_s, grid, block)
     w = Window.partitionBy("_sk").orderBy("ts")
     s = s.withColumn("pv", F.lag("v").over(w)).withColumn("pts", F.lag("ts").over(w))
-    pts = _grid_points(F.col("ts"), range_s, grid)
-    e = s.select("*", F.explode(pts).alias("j")).withColumn("t", grid.t(F.col("j")).cast("double"))
+    e = s.select("*", F.explode(F.sequence("lo", "hi")).alias("j")).withColumn("t", grid.t(F.col("j")).cast("double"))
     lower = F.col("t") - F.lit(float(range_s))
     reset = F.when((F.col("pts") > lower) & (F.col("v") < F.col("pv")), F.col("pv")).otherwise(F.lit(0.0))
     g = e.groupBy("_sk", *SERIES_KEYS, "t").agg(
@@ -153,7 +171,7 @@ def range_rate(samples: DataFrame, range_s: int, grid: Grid, is_rate: bool = Tru
                     F.col("t").cast("long").alias("t"), (inc * factor).alias("value"))
 
 
-def asof(samples: DataFrame, lookback_s: int, grid: Grid) -> DataFrame:
+def asof(samples: DataFrame, lookback_s: int, grid: Grid, block: int = BLOCK_POINTS) -> DataFrame:
     """Gauge value at each grid point: the latest sample in (t - lookback, t].
 
     ``lead`` gives each sample's successor, so a sample is exploded only to
@@ -163,12 +181,12 @@ def asof(samples: DataFrame, lookback_s: int, grid: Grid) -> DataFrame:
     # Only samples some grid point can see: (start - lookback, end]; a sample
     # whose successor lies beyond ``end`` still serves at most up to ``end``.
     samples = scan_samples(samples, grid.start, grid.end, lookback_s)
-    s = with_series(samples).withColumn("_sk", series_id(*SERIES_KEYS))
-    w = Window.partitionBy("_sk").orderBy("ts")
-    s = s.withColumn("nts", F.lead("ts").over(w))
-    pts = _grid_points(F.col("ts").cast("double"), lookback_s, grid,
-                       upto=F.col("nts").cast("double"))
-    e = s.select(*SERIES_KEYS, "value", F.explode(pts).alias("j"))
+    s = in_blocks(with_series(samples).select(*SERIES_KEYS, F.col("ts").cast("double").alias("ts"), "value"),
+                  lookback_s, grid, block)
+    nts = F.lead("ts").over(Window.partitionBy("_sk").orderBy("ts"))
+    before = F.ceil((nts - F.lit(grid.origin)) / F.lit(float(grid.step))).cast("long") - F.lit(1)
+    s = s.withColumn("hi", F.least("hi", before)).where("hi >= lo")
+    e = s.select(*SERIES_KEYS, "value", F.explode(F.sequence("lo", "hi")).alias("j"))
     return e.select(*SERIES_KEYS, labels_of(F.col("series")).alias("labels"),
                     grid.t(F.col("j")).cast("long").alias("t"), F.col("value").cast("double").alias("value"))
 
@@ -196,46 +214,40 @@ def rate_mean(rates: DataFrame, keys=("t",)) -> DataFrame:
         *keys, _div(F.col("_n"), F.col("_d")).alias("value"))
 
 
+def quantile_of(buckets: Column, q: Column) -> Column:
+    """histogram_quantile of one array of (le, r), r the cumulative count or rate.
+
+    Buckets are made monotonic (the first r at or above the rank is the first running
+    maximum there, too). NaN when there is no +Inf bucket, fewer than two buckets or no
+    observations; the largest finite bound when the rank falls in +Inf; else linear
+    interpolation inside the bucket (from 0 for the first)."""
+    b = F.array_sort(buckets)
+    le, r = F.transform(b, lambda x: x["le"]), F.transform(b, lambda x: x["r"])
+    n = F.size(b)
+    total = F.array_max(r)
+    rank = q * total
+    pick = F.array_position(F.transform(r, lambda x: x >= rank), True).cast("int")
+    le_b, r_b = F.get(le, pick - 1), F.get(r, pick - 1)
+    lo = F.coalesce(F.get(le, pick - 2), F.lit(0.0))
+    r_lo = F.coalesce(F.array_max(F.slice(r, F.lit(1), F.greatest(pick - 1, F.lit(0)))), F.lit(0.0))
+    finite = F.array_max(F.filter(le, lambda x: x != F.lit(INF)))
+    return (F.when(q < 0, F.lit(-INF)).when(q > 1, F.lit(INF))
+            .when(n < 2, F.lit(NAN))
+            .when(F.get(le, n - 1) != F.lit(INF), F.lit(NAN))
+            .when(total.isNull() | (total == 0) | F.isnan(total), F.lit(NAN))
+            .when(pick == n, finite)
+            .when((pick == 1) & (le_b <= 0), le_b)
+            .otherwise(lo + (le_b - lo) * _div(rank - r_lo, r_b - r_lo)))
+
+
 def bucket_quantile(per_le: DataFrame, keys, q: Column | float | str = "q", r: str = "r") -> DataFrame:
-    """histogram_quantile over cumulative bucket values ``per_le(keys.., le, r)``.
-
-    Buckets of one key are few (the histogram's bounds), so the work is two
-    window passes over tiny partitions and a group-by on the same keys (no
-    further shuffle). Buckets are made monotonic; NaN when there is no +Inf
-    bucket, fewer than two buckets or no observations; the largest finite
-    bound when the rank falls in +Inf; else linear interpolation inside the
-    bucket (from 0 for the first).
-    """
+    """histogram_quantile over cumulative bucket values ``per_le(keys.., le, r)``: the
+    buckets of a key (its histogram's few bounds) become one array, folded in place."""
     keys = list(keys)
-    qc = F.col(q) if isinstance(q, str) else (q if isinstance(q, Column) else F.lit(float(q)))
-    w = Window.partitionBy("_qk").orderBy("le")
-    whole = Window.partitionBy("_qk")
-    b = (per_le.withColumn("_qk", series_id(*keys)).withColumn("_q", qc)
-         .withColumn("rm", F.max(r).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-         .withColumn("idx", F.row_number().over(w))
-         .withColumn("lo", F.coalesce(F.lag("le").over(w), F.lit(0.0)))
-         .withColumn("nb", F.count(F.lit(1)).over(whole))
-         .withColumn("top", F.max("le").over(whole))
-         .withColumn("max_finite", F.max(F.when(F.col("le") != F.lit(INF), F.col("le"))).over(whole)))
-    b = b.withColumn("r_lo", F.coalesce(F.lag("rm").over(w), F.lit(0.0)))
-    b = b.withColumn("total", F.max(F.when(F.col("le") == F.lit(INF), F.col("rm"))).over(whole))
-    cand = F.when(F.col("rm") >= F.col("_q") * F.col("total"), F.col("idx"))
-    g = b.groupBy("_qk", *keys).agg(
-        F.first("_q").alias("_q"), F.first("nb").alias("nb"), F.first("top").alias("top"),
-        F.first("max_finite").alias("max_finite"), F.first("total").alias("total"),
-        F.min(cand).alias("pick"), F.min_by("le", cand).alias("le_b"), F.min_by("rm", cand).alias("r_b"),
-        F.min_by("lo", cand).alias("lo"), F.min_by("r_lo", cand).alias("r_lo"))
-    qq, total, pick = F.col("_q"), F.col("total"), F.col("pick")
-    lo, le_b = F.col("lo"), F.col("le_b")
-    interp = lo + (le_b - lo) * _div(qq * total - F.col("r_lo"), F.col("r_b") - F.col("r_lo"))
-    value = (F.when(qq < 0, F.lit(-INF)).when(qq > 1, F.lit(INF))
-             .when(F.col("nb") < 2, F.lit(NAN))
-             .when(F.col("top") != F.lit(INF), F.lit(NAN))
-             .when(total.isNull() | (total == 0) | F.isnan(total), F.lit(NAN))
-             .when(pick == F.col("nb"), F.col("max_finite"))
-             .when((pick == 1) & (le_b <= 0), le_b)
-             .otherwise(interp))
-    return g.select(*keys, value.alias("value"))
+    qc = F.first(q) if isinstance(q, str) and q not in keys else F.col(q) if isinstance(q, str) \
+        else q if isinstance(q, Column) else F.lit(float(q))
+    g = per_le.groupBy(*keys).agg(F.collect_list(F.struct("le", F.col(r).alias("r"))).alias("_b"), qc.alias("_q"))
+    return g.select(*keys, quantile_of(F.col("_b"), F.col("_q")).alias("value"))
 
 
 def histogram_quantile(q: float, bucket_rates: DataFrame, keys=("t",)) -> DataFrame:

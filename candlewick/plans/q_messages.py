@@ -8,7 +8,8 @@ from candlewick.functions import normalize as N
 from candlewick.operators.counts import counts_by, error_counts
 from candlewick.plans import sql as S
 from candlewick.plans.common import finish, register, ticks
-from candlewick.sources.ticks import consumer_records, price_records, trade_envelopes
+from candlewick.plans.planted import consumer_records, trade_envelopes
+from candlewick.sources.ticks import price_records
 
 # Expected classification, stated on event_id alone (independent of any JSON).
 ENV_CTE = """WITH e AS (

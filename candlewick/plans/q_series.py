@@ -15,7 +15,8 @@ from candlewick.plans import sql_series as Q
 from candlewick.plans.catalog import CATALOG, PANELS
 from candlewick.plans.common import finish, register
 from candlewick.plans.q_candles import _ALERTS_1H, alerts_1h
-from candlewick.sources.samples import scrape_grid, source_samples
+from candlewick.plans.planted import source_samples
+from candlewick.sources.samples import scrape_grid
 from candlewick.sources.tables import load
 
 HEAD = f"WITH t AS ({S.TICKS}), " + Q.samples_ctes(_ALERTS_1H)

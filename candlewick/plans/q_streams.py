@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from candlewick.config import MAX_ALERTS_STORED
 from candlewick.plans import sql as S
 from candlewick.plans.common import finish, register, ticks
+from candlewick.plans.planted import consumer_records
 from candlewick.plans.q_candles import T_CTE
 from candlewick.plans.q_prices import LATEST_SQL
 from candlewick.session import checkpoint_root
 from candlewick.sources.streams import read_topic, replay_in_slices
-from candlewick.sources.ticks import consumer_records, price_records
+from candlewick.sources.ticks import price_records
 from candlewick.streaming.jobs import (decode_alert_records, start_alert_job, start_alert_log_job,
                                        start_latest_price_job)
 from candlewick.streaming.sinks import read_latest_version

@@ -4,31 +4,32 @@ A scrape k (1..K) happens at t_k = origin + k*step and sees every event with
 trade time <= t_k. Counters are cumulative, gauges the last observed value.
 A counter series exists from the first scrape on (zeros before its first
 event); a labelled error counter exists once it has been incremented.
-Scrapes k % 50 in 1..6 are missing for series of symbol/name ``view`` and
-the counters of ``click`` restart from zero at every k divisible by 100.
 
 Work: the events are read once and collapse in ONE aggregation per
 (symbol, k) that yields every counter increment and gauge observation; a
 second, tiny aggregation does the same for alerts. The scrape grid is then
-filled per series by a window (running sum + ``lead``) and an explode that
-repeats each value until the next observation - no grid join, no distinct.
+filled by a two-level prefix scan: windows within (series, block of scrapes),
+and one row per block that carries the running sum and the next observation
+across blocks - so no task holds a whole series, however long it is. An explode
+repeats each value until the next observation; no grid join, no distinct.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from candlewick.config import (BOUNDS_E2E_LATENCY, BOUNDS_NETWORK_LATENCY, BOUNDS_SYSTEM_LATENCY,
                                FIXTURE_STEP)
 from candlewick.functions import latency as L
 from candlewick.functions import normalize as N
-from candlewick.operators.series import Grid, series_key
-from candlewick.sources.ticks import (consumer_key, consumer_value, envelope_json, epoch_micros,
-                                      ticks_from_events)
+from candlewick.operators.series import BLOCK_POINTS, Grid, series_key
+from candlewick.session import checkpoint_root
+from candlewick.sources.ticks import epoch_micros, price_value, ticks_from_events, trade_envelope
 
 INF = float("inf")
-RESET_SYMBOL = "click"
-GAP_SYMBOL = "view"
 FEED_ERRORS = ("json_decode", "processing")
 CONSUMER_ERRORS = ("invalid_message", "missing_timestamp")
 # Families whose series exist only once they were incremented (labelled errors).
@@ -36,11 +37,21 @@ ON_FIRST_USE = ("feed_errors_total", "consumer_rejects_total", "time_request_err
                 "alert_rejects_total")
 GAUGE_FAMILIES = ("memory_working_set_bytes", "clock_skew_seconds", "api_round_trip_seconds",
                   "partition_lag", "alert_lag")
-# Alert records of windows that end at such an hour arrive without a key.
-BAD_ALERT_HOURS = 53
 SERIES_COLS = ("family", "part", "series", "le")
 
 
+@dataclass(frozen=True)
+class Messages:
+    """The messages as they arrive, as columns over ticks (and alerts): the raw feed
+    envelope, the consumer's record key and value, whether the clock request failed,
+    and whether an alert record is invalid. The defaults are well-formed messages."""
+    envelope: Callable[[], Column] = trade_envelope
+    key: Callable[[], Column] = lambda: F.col("symbol")
+    value: Callable[[], Column] = price_value
+    request_failed: Callable[[], Column] = lambda: F.lit(False)
+    alert_invalid: Callable[[], Column] = lambda: F.lit(False)
+
+
 def scrape_of(micros: Column, origin: int = 0, step: int = FIXTURE_STEP) -> Column:
     """First scrape index k whose time t_k is at or after the event."""
     return F.ceil((micros - F.lit(origin * 1_000_000)) / F.lit(float(step) * 1_000_000)).cast("long")
@@ -103,7 +114,7 @@ def _counter_entries():
            F.count_if(F.col("feed_error") == c), 1.0) for c in FEED_ERRORS]
     e += [("consumer_rejects_total", "", _lab(error_type=F.lit(c)), None,
            F.count_if(F.col("consumer_error") == c), 1.0) for c in CONSUMER_ERRORS]
-    e += [("time_request_errors_total", "", _lab(), None, F.count_if(F.col("event_id") % 40 >= 38), 1.0)]
+    e += [("time_request_errors_total", "", _lab(), None, F.count_if("request_failed"), 1.0)]
     return e
 
 
@@ -121,7 +132,7 @@ def _gauge_entries():
     ]
 
 
-def scrape_rows(events: DataFrame, grid: Grid) -> DataFrame:
+def scrape_rows(events: DataFrame, grid: Grid, messages: Messages = Messages()) -> DataFrame:
     """Events -> per-event columns every series needs (one projection)."""
     # k in 1..K  <=>  origin < ts <= origin + K*step: stated on ``ts`` so the
     # range reaches the parquet reader.
@@ -134,8 +145,8 @@ def scrape_rows(events: DataFrame, grid: Grid) -> DataFrame:
     after = before + F.lit(5) + F.col("event_id") % 40
     server = F.floor(before) + (F.col("event_id") * 31) % 20
     # Each message is built and parsed once, in its own projection.
-    t = N.with_envelope_maps(t.withColumn("_env", envelope_json()), F.col("_env"))
-    t = N.with_value_map(t.withColumn("_cval", consumer_value()), F.col("_cval"))
+    t = N.with_envelope_maps(t.withColumn("_env", messages.envelope()), F.col("_env"))
+    t = N.with_value_map(t.withColumn("_cval", messages.value()), F.col("_cval"))
     feed_error = N.envelope_fields(F.col("_env_top"), F.col("_env_data"))[0]
     return t.select(
         "symbol", "k", "event_id", "user_id", "partition", "binance_timestamp",
@@ -145,17 +156,18 @@ def scrape_rows(events: DataFrame, grid: Grid) -> DataFrame:
         L.e2e_latency(sts, bts).alias("e2e"), L.network_latency(rts, bts).alias("net"),
         L.system_latency(sts, rts).alias("sys"),
         L.clock_skew(before, after, server).alias("skew"), L.round_trip(before, after).alias("rtt"),
-        feed_error.alias("feed_error"),
-        N.price_record_error(consumer_key(), F.col("_obj")).alias("consumer_error"),
+        feed_error.alias("feed_error"), messages.request_failed().alias("request_failed"),
+        N.price_record_error(messages.key(), F.col("_obj")).alias("consumer_error"),
     )
 
 
-def increments(events: DataFrame, alerts_df: DataFrame | None, grid: Grid) -> DataFrame:
+def increments(events: DataFrame, alerts_df: DataFrame | None, grid: Grid,
+               messages: Messages = Messages()) -> DataFrame:
     """One aggregation per (symbol, k) -> counter increments and gauge
     observations in one long frame (``kind`` 'c' / 'g'): a single ``inline``
     over the aggregated row, never split into branches, so the events are
     scanned and aggregated once."""
-    rows = scrape_rows(events, grid)
+    rows = scrape_rows(events, grid, messages)
     ce, ge = _counter_entries(), _gauge_entries()
     aggs = [e[4].alias(f"_c{i}") for i, e in enumerate(ce)]
     aggs += [x for i, (_, _, v, ot, _) in enumerate(ge) for x in (v.alias(f"_g{i}"), ot.alias(f"_o{i}"))]
@@ -175,9 +187,8 @@ def increments(events: DataFrame, alerts_df: DataFrame | None, grid: Grid) -> Da
     if alerts_df is not None:
         a = alerts_df.withColumn("k", scrape_of(epoch_micros("window_end"), grid.origin, grid.step)) \
             .where(F.col("k").between(grid.first, grid.last))
-        hour = F.floor(epoch_micros("window_end") / F.lit(3600_000_000))
-        a = a.groupBy("alert_type", "symbol", "k").agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(hour % BAD_ALERT_HOURS == 0).alias("bad"))
+        a = a.withColumn("invalid", messages.alert_invalid()).groupBy("alert_type", "symbol", "k").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if("invalid").alias("bad"))
 
         def counter(family, labels, inc):
             return F.struct(F.lit("c").alias("kind"), F.lit(family).alias("family"), F.lit("").alias("part"),
@@ -193,63 +204,65 @@ def increments(events: DataFrame, alerts_df: DataFrame | None, grid: Grid) -> Da
     return long
 
 
-def _who() -> Column:
-    return F.coalesce(F.col("labels")["symbol"], F.col("labels")["name"])
-
+_FILL_KEYS = ["kind", "family", "part", "series", "le"]
 
-def _not_gap(k: Column) -> Column:
-    who = _who()
-    return who.isNull() | (who != GAP_SYMBOL) | ~(k % 50).between(1, 6)
 
-
-def fill_grid(long: DataFrame, grid: Grid) -> DataFrame:
-    """Counter increments + gauge observations (``increments``) -> samples on
-    the scrape grid.
-
-    Counters: running sum from the first scrape (zeros before the first
-    event), restarts for ``click``. Gauges: the last observation repeated
-    until the next one. Both: the planted gaps of ``view``. An aggregate per
-    (series, k), then two windows over one partitioning by series; each
-    series row is repeated until the series' next row by an
-    explode, so no grid is joined. A partial aggregate per (series, scrape)
-    runs before anything is co-located by series.
-    Output: kind ('c' counter / 'g' gauge), family, part, labels, series, le, ts, value.
-    """
-    from candlewick.operators.series import labels_of, series_id
-    keys = ["kind", "family", "part", "series", "le"]
+def per_scrape(long: DataFrame) -> DataFrame:
+    """One row per (series, scrape) of ``increments``. Combined map-side: a series
+    without a symbol label (clock gauges, error counters) gets a row per (symbol,
+    scrape), which never meet in one task unaggregated."""
+    from candlewick.operators.series import series_id
     u = long.withColumn("additive", F.coalesce((F.col("mode") == "sum").cast("int"), F.lit(0)))
-    u = u.withColumn("series", series_key(F.col("labels")))
-    # Combine map-side first: a series without a symbol label (clock gauges,
-    # error counters) gets one row per (symbol, scrape) and would otherwise
-    # gather them all in one task. After the aggregate, a series holds at most
-    # one row per scrape; only then is it co-located for the windows.
-    u = u.withColumn("_sk", series_id(*keys))
-    per_k = u.groupBy("_sk", *keys, "k").agg(
+    u = u.withColumn("series", series_key(F.col("labels"))).withColumn("_sk", series_id(*_FILL_KEYS))
+    per_k = u.groupBy("_sk", *_FILL_KEYS, "k").agg(
         F.sum("inc").alias("inc"), F.first("scale").alias("scale"),
         F.max_by("value", "obs").alias("last"), F.sum("value").alias("total"),
         F.max("additive").alias("additive"))
-    is_c = F.col("kind") == "c"
     gval = F.when(F.col("additive") == 1, F.col("total")).otherwise(F.col("last"))
-    per_k = per_k.withColumn("gval", gval).where(is_c | F.col("gval").isNotNull())
-    w = Window.partitionBy("_sk").orderBy("k")
+    return per_k.withColumn("gval", gval).where((F.col("kind") == "c") | F.col("gval").isNotNull()) \
+        .select("_sk", *_FILL_KEYS, "k", "inc", "scale", "gval")
+
+
+def cumulative(long: DataFrame, grid: Grid, block: int = BLOCK_POINTS) -> DataFrame:
+    """Counter increments and gauge observations on the scrape grid, exact: kind,
+    family, part, series, le, k, cum (whole units, ``scale`` of them to one), gval.
+
+    Counters: running sum from the first scrape (zeros before the first event).
+    Gauges: the last observation repeated until the next one."""
+    checkpoint_root(long.sparkSession)
+    # read twice below: the small per-scrape table is cut off from the events
+    rows = per_scrape(long).withColumn("_b", F.floor(F.col("k") / F.lit(block)).cast("long")).checkpoint()
+    blocks = rows.groupBy("_sk", "_b").agg(F.sum("inc").alias("inc"), F.min("k").alias("k"), F.max("inc").alias("most"))
+    over = Window.partitionBy("_sk").orderBy("_b")          # one row per block of a series
     whole = Window.partitionBy("_sk")
-    x = (per_k.withColumn("cum", F.sum("inc").over(w))
-         .withColumn("nk", F.lead("k").over(w))
-         .withColumn("k0", F.min("k").over(whole))
-         .withColumn("used", F.max("inc").over(whole)))
+    blocks = blocks.select(
+        "_sk", "_b", F.sum("inc").over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.lead("k").over(over).alias("_next"), F.min("k").over(whole).alias("k0"), F.max("most").over(whole).alias("used"))
+    w = Window.partitionBy("_sk", "_b").orderBy("k")
+    is_c = F.col("kind") == "c"
+    x = (rows.join(blocks, ["_sk", "_b"])
+         .withColumn("cum", F.coalesce("_before", F.lit(0)) + F.sum("inc").over(w))
+         .withColumn("nk", F.coalesce(F.lead("k").over(w), "_next")))
     x = x.where(~(is_c & F.col("family").isin(*ON_FIRST_USE)) | (F.col("used") > 0))
     lo = F.when(is_c & (F.col("k") == F.col("k0")), F.lit(1)).otherwise(F.col("k"))
     hi = F.coalesce(F.col("nk") - 1, F.lit(grid.last))
-    e = x.select("_sk", *keys, "k", "cum", "scale", "gval", F.explode(F.sequence(lo, hi)).alias("kk"))
-    e = e.select("_sk", *keys, "scale", "gval", F.col("kk").alias("k"),
-                 F.when(F.col("kk") < F.col("k"), F.lit(0)).otherwise(F.col("cum")).alias("cum"))
-    e = e.withColumn("labels", labels_of(F.col("series")))
-    base = F.max(F.when(F.col("k") % 100 == 0, F.col("cum"))).over(w)
-    exact = F.when(_who() == RESET_SYMBOL, F.col("cum") - F.coalesce(base, F.lit(0))).otherwise(F.col("cum"))
-    value = F.when(is_c, exact.cast("double") / F.col("scale")).otherwise(F.col("gval"))
-    e = e.withColumn("value", value).where(_not_gap(F.col("k")))
-    ts = grid.t(F.col("k")).alias("ts")
-    return e.select("kind", "family", "part", "labels", "series", "le", ts, "value")
+    e = x.select("_sk", *_FILL_KEYS, "k", "cum", "scale", "gval", F.explode(F.sequence(lo, hi)).alias("kk"))
+    return e.select("_sk", *_FILL_KEYS, "scale", "gval", F.col("kk").alias("k"),
+                    F.when(F.col("kk") < F.col("k"), F.lit(0)).otherwise(F.col("cum")).alias("cum"))
+
+
+def as_samples(exact: DataFrame, grid: Grid) -> DataFrame:
+    """``cumulative`` -> kind ('c' counter / 'g' gauge), family, part, labels, series,
+    le, ts, value."""
+    from candlewick.operators.series import labels_of
+    value = F.when(F.col("kind") == "c", F.col("cum").cast("double") / F.col("scale")).otherwise(F.col("gval"))
+    return exact.select("kind", "family", "part", labels_of(F.col("series")).alias("labels"), "series", "le",
+                        grid.t(F.col("k")).alias("ts"), value.alias("value"))
+
+
+def fill_grid(long: DataFrame, grid: Grid, block: int = BLOCK_POINTS) -> DataFrame:
+    """Counter increments + gauge observations (``increments``) -> samples on the grid."""
+    return as_samples(cumulative(long, grid, block), grid)
 
 
 def source_samples(events: DataFrame, alerts_df: DataFrame | None = None,

@@ -65,13 +65,17 @@ def ticks_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def price_records(ticks: DataFrame, topic: str = "prices") -> DataFrame:
+def price_value() -> Column:
+    """The JSON value of a price message."""
+    return F.to_json(F.struct("price", "binance_timestamp", "received_timestamp"))
+
+
+def price_records(ticks: DataFrame, topic: str = "prices", key: Column | None = None,
+                  value: Column | None = None) -> DataFrame:
     """Encode ticks as Kafka-shaped price records (key = symbol, value = JSON)."""
-    value = F.to_json(F.struct(
-        F.col("price"), F.col("binance_timestamp"), F.col("received_timestamp")))
     return ticks.select(
-        F.col("symbol").cast("binary").alias("key"),
-        value.cast("binary").alias("value"),
+        (F.col("symbol") if key is None else key).cast("binary").alias("key"),
+        (price_value() if value is None else value).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         F.col("partition").cast("int").alias("partition"),
         F.col("offset").cast("long").alias("offset"),
@@ -80,61 +84,17 @@ def price_records(ticks: DataFrame, topic: str = "prices") -> DataFrame:
     )
 
 
-def consumer_key(ticks_eid: str = "event_id") -> Column:
-    """Fixture M key: the symbol, NULL when event_id % 71 = 0."""
-    return F.when(F.col(ticks_eid) % 71 == 0, F.lit(None).cast("string")).otherwise(F.col("symbol"))
-
-
-def consumer_value() -> Column:
-    """Fixture M value: price JSON with binance_timestamp 0 when event_id % 67 = 0
-    and received_timestamp 0 when event_id % 61 = 0."""
-    eid = F.col("event_id")
-    bts = F.when(eid % 67 == 0, F.lit(0).cast("long")).otherwise(F.col("binance_timestamp"))
-    rts = F.when(eid % 61 == 0, F.lit(0).cast("long")).otherwise(F.col("received_timestamp"))
-    return F.to_json(F.struct(F.col("price"), bts.alias("binance_timestamp"),
-                              rts.alias("received_timestamp")))
-
-
-def consumer_records(ticks: DataFrame) -> DataFrame:
-    """Fixture M: price records with planted consumer-side faults.
+def envelope(stream: Column, data: dict[str, Column] | None) -> Column:
+    """Combined-stream envelope text; ``data`` None leaves the key out."""
+    fields = [] if data is None else [F.struct(*[c.alias(k) for k, c in data.items()]).alias("data")]
+    return F.to_json(F.struct(stream.alias("stream"), *fields))
 
-    ``stored_timestamp`` is carried as the time the consumer finished the write.
-    """
-    return ticks.select(
-        consumer_key().cast("binary").alias("key"),
-        consumer_value().cast("binary").alias("value"),
-        F.lit("prices").alias("topic"),
-        F.col("partition").cast("int").alias("partition"),
-        F.col("offset").cast("long").alias("offset"),
-        F.col("stored_timestamp"),
-    )
 
+def trade_fields() -> dict[str, Column]:
+    """s, p and T of a trade."""
+    return {"s": F.upper("symbol"), "p": F.col("price").cast("string"), "T": F.col("binance_timestamp")}
 
-def envelope_json() -> Column:
-    """Fixture E: raw feed envelope text with planted faults (first match wins).
 
-    %97 bad JSON; %89 trade time in ms; %83 no price; %79 no ``data`` key;
-    %73 no symbol; else a well-formed combined-stream envelope.
-    """
-    eid = F.col("event_id")
-    sym = F.col("symbol")
-    stream = F.concat(sym, F.lit("@aggTrade"))
-    s = F.upper(sym)
-    p = F.col("price").cast("string")
-    t = F.col("binance_timestamp")
-
-    def env(**data):
-        return F.to_json(F.struct(stream.alias("stream"),
-                                  F.struct(*[c.alias(k) for k, c in data.items()]).alias("data")))
-
-    return (F.when(eid % 97 == 0, F.lit("{bad"))
-            .when(eid % 89 == 0, env(s=s, p=p, T=F.floor(t / 1000)))
-            .when(eid % 83 == 0, env(s=s, T=t))
-            .when(eid % 79 == 0, F.to_json(F.struct(stream.alias("stream"))))
-            .when(eid % 73 == 0, env(p=p, T=t))
-            .otherwise(env(s=s, p=p, T=t)))
-
-
-def trade_envelopes(ticks: DataFrame) -> DataFrame:
-    """Fixture E as rows: event_id, event_time, value (envelope text)."""
-    return ticks.select(F.col("event_id"), F.col("event_time"), envelope_json().alias("value"))
+def trade_envelope() -> Column:
+    """The raw feed message of a tick."""
+    return envelope(F.concat("symbol", F.lit("@aggTrade")), trade_fields())

@@ -56,11 +56,32 @@ def test_exact_quantiles_never_gather_a_group(static):
 def test_series_are_combined_before_colocation(static):
     """Samples are aggregated per (series, scrape) with a map-side combine
     before any exchange that co-locates a whole series."""
-    from candlewick.plans.q_series import samples
-    p = samples(static, SF001)._jdf.queryExecution().executedPlan().toString()
+    from candlewick.sources.samples import increments, per_scrape, scrape_grid
+    events = static.read.parquet(f"{SF001}/events.parquet")
+    p = per_scrape(increments(events, None, scrape_grid(events)))._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by(value" in p and "partial_sum(inc" in p
 
 
+def test_no_window_holds_a_whole_series(static):
+    """Grid filling and evaluation work on (series, block); only the one-row-per-block
+    table is windowed by series."""
+    from candlewick.plans.q_series import samples
+    import re
+    for df in (samples(static, SF001), E.queries()["rate_by_series"](static, SF001),
+               E.queries()["gauge_asof"](static, SF001)):
+        p = df._jdf.queryExecution().optimizedPlan().toString()
+        specs = re.findall(r"Window \[(.*?)\], \[(.*?)\]", p)
+        assert specs
+        for made, by in specs:
+            assert "_before" in made or "k0" in made or by.count(",") >= 1 or "\x1e" in p
+
+
+def test_catalogue_is_evaluated_in_one_pass(static):
+    p = plan_of(static, "catalog_metrics")
+    assert p.count("BroadcastHashJoin") == 1 and p.count("Generate explode") == 4   # blocks and points, twice
+    assert p.count("Window [") <= 2             # lag and lead; no window over buckets
+
+
 def test_a_range_reaches_the_sample_scan(static):
     p = plan_of(static, "samples_in_range")
     assert "GreaterThan(ts" in p and "LessThanOrEqual(ts" in p

@@ -232,7 +232,8 @@ def test_histogram_same_in_stream_and_batch(spark, scratch):
     from candlewick.functions import latency as L
     from candlewick.functions import normalize as N
     from candlewick.operators.histogram import histogram
-    from candlewick.sources.ticks import consumer_records, ticks_from_events
+    from candlewick.plans.planted import consumer_records
+    from candlewick.sources.ticks import ticks_from_events
     from tests.conftest import SF001
     recs = consumer_records(ticks_from_events(spark.read.parquet(f"{SF001}/events.parquet")))
     recs.repartition(3).write.parquet(f"{scratch}/m")
@@ -269,7 +270,8 @@ def test_live_metric_increments_equal_batch(spark, scratch):
     derivation in batch on every closed scrape interval."""
     from candlewick.operators.series import Grid
     from candlewick.sources.samples import fill_grid
-    from candlewick.sources.ticks import consumer_records, ticks_from_events
+    from candlewick.plans.planted import consumer_records
+    from candlewick.sources.ticks import ticks_from_events
     from candlewick.streaming.metrics import start_metrics_job, tick_increments
     from tests.conftest import SF01
     recs = consumer_records(ticks_from_events(spark.read.parquet(f"{SF01}/events.parquet")))
