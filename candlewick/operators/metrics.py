@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from candlewick.operators.series import Grid, _div, asof, quantile_of, range_rate, series_key
+from candlewick.operators.series import Grid, _div, asof, range_rate, series_key, with_quantile
 from candlewick.plans.catalog import ALL_SPECS, FAMILY_SOURCES, Spec
 from candlewick.session import bounded_broadcast
 
@@ -103,8 +103,9 @@ def evaluate(spark: SparkSession, counters: DataFrame, gauges: DataFrame, grid:
     g = lvl1.groupBy(*keys).agg(
         F.collect_list(F.when(hist, F.struct("le", F.col("v").alias("r")))).alias("buckets"),
         F.max("v").alias("v"), F.max("s").alias("s"), F.max("c").alias("c"))
+    g = with_quantile(g, "buckets", F.col("q"), "quantile")
     s, c = F.col("s"), F.col("c")
-    value = (F.when(hist, quantile_of(F.col("buckets"), F.col("q")))
+    value = (F.when(hist, F.col("quantile"))
              .when(F.col("kind") == "rate_mean", F.when(s.isNotNull() & c.isNotNull(), _div(s, c)))
              .otherwise(F.col("v")))
     return g.select(F.col("name").alias("metric"), "by_value", "t", value.alias("value")) \

@@ -214,30 +214,36 @@ def rate_mean(rates: DataFrame, keys=("t",)) -> DataFrame:
         *keys, _div(F.col("_n"), F.col("_d")).alias("value"))
 
 
-def quantile_of(buckets: Column, q: Column) -> Column:
-    """histogram_quantile of one array of (le, r), r the cumulative count or rate.
+def with_quantile(df: DataFrame, buckets: str, q: Column, name: str) -> DataFrame:
+    """Column ``name``: histogram_quantile of an array column of (le, r), r the
+    cumulative count or rate; null where the array is.
 
     Buckets are made monotonic (the first r at or above the rank is the first running
     maximum there, too). NaN when there is no +Inf bucket, fewer than two buckets or no
     observations; the largest finite bound when the rank falls in +Inf; else linear
-    interpolation inside the bucket (from 0 for the first)."""
-    b = F.array_sort(buckets)
-    le, r = F.transform(b, lambda x: x["le"]), F.transform(b, lambda x: x["r"])
-    n = F.size(b)
-    total = F.array_max(r)
-    rank = q * total
-    pick = F.array_position(F.transform(r, lambda x: x >= rank), True).cast("int")
-    le_b, r_b = F.get(le, pick - 1), F.get(r, pick - 1)
-    lo = F.coalesce(F.get(le, pick - 2), F.lit(0.0))
-    r_lo = F.coalesce(F.array_max(F.slice(r, F.lit(1), F.greatest(pick - 1, F.lit(0)))), F.lit(0.0))
-    finite = F.array_max(F.filter(le, lambda x: x != F.lit(INF)))
-    return (F.when(q < 0, F.lit(-INF)).when(q > 1, F.lit(INF))
-            .when(n < 2, F.lit(NAN))
-            .when(F.get(le, n - 1) != F.lit(INF), F.lit(NAN))
-            .when(total.isNull() | (total == 0) | F.isnan(total), F.lit(NAN))
-            .when(pick == n, finite)
-            .when((pick == 1) & (le_b <= 0), le_b)
-            .otherwise(lo + (le_b - lo) * _div(rank - r_lo, r_b - r_lo)))
+    interpolation inside the bucket (from 0 for the first). Each array is made once, in
+    a projection of its own."""
+    kept = df.columns
+    d = df.withColumn("_a", F.array_sort(F.col(buckets))).withColumn("_q", q)
+    d = d.withColumn("_le", F.col("_a.le")).withColumn("_r", F.col("_a.r"))
+    d = d.withColumn("_total", F.array_max("_r")).withColumn("_n", F.size("_a"))
+    rank = F.col("_q") * F.col("_total")
+    d = d.withColumn("_pick", F.array_position(F.transform("_r", lambda x: x >= rank), True).cast("int"))
+    pick = F.col("_pick")
+    d = (d.withColumn("_le_b", F.get("_le", pick - 1)).withColumn("_r_b", F.get("_r", pick - 1))
+         .withColumn("_lo", F.coalesce(F.get("_le", pick - 2), F.lit(0.0)))
+         .withColumn("_r_lo", F.coalesce(F.array_max(F.slice("_r", F.lit(1), F.greatest(pick - 1, F.lit(0)))),
+                                         F.lit(0.0))))
+    qq, total, n, lo, le_b = (F.col(c) for c in ("_q", "_total", "_n", "_lo", "_le_b"))
+    value = (F.when(F.col("_a").isNull(), F.lit(None).cast("double"))
+             .when(qq < 0, F.lit(-INF)).when(qq > 1, F.lit(INF))
+             .when(n < 2, F.lit(NAN))
+             .when(F.get("_le", n - 1) != F.lit(INF), F.lit(NAN))
+             .when(total.isNull() | (total == 0) | F.isnan(total), F.lit(NAN))
+             .when(pick == n, F.array_max(F.filter("_le", lambda x: x != F.lit(INF))))
+             .when((pick == 1) & (le_b <= 0), le_b)
+             .otherwise(lo + (le_b - lo) * _div(rank - F.col("_r_lo"), F.col("_r_b") - F.col("_r_lo"))))
+    return d.select(*kept, value.alias(name))
 
 
 def bucket_quantile(per_le: DataFrame, keys, q: Column | float | str = "q", r: str = "r") -> DataFrame:
@@ -247,7 +253,7 @@ def bucket_quantile(per_le: DataFrame, keys, q: Column | float | str = "q", r: s
     qc = F.first(q) if isinstance(q, str) and q not in keys else F.col(q) if isinstance(q, str) \
         else q if isinstance(q, Column) else F.lit(float(q))
     g = per_le.groupBy(*keys).agg(F.collect_list(F.struct("le", F.col(r).alias("r"))).alias("_b"), qc.alias("_q"))
-    return g.select(*keys, quantile_of(F.col("_b"), F.col("_q")).alias("value"))
+    return with_quantile(g.withColumnRenamed("_q", "_at"), "_b", F.col("_at"), "value").select(*keys, "value")
 
 
 def histogram_quantile(q: float, bucket_rates: DataFrame, keys=("t",)) -> DataFrame:

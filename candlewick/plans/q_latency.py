@@ -13,7 +13,8 @@ from candlewick.plans import sql as S
 from candlewick.plans.common import finish, register, ticks
 from candlewick.plans.q_messages import MSG_CTE
 from candlewick.plans.q_prices import valid_prices
-from candlewick.sources.streams import since
+from candlewick.sources.streams import retain_bytes, since
+from candlewick.sources.tables import load
 
 LAT_CTE = MSG_CTE + """, lat AS (
   SELECT offs, symbol,
@@ -159,6 +160,22 @@ def q_throughput(spark, sf_dir):
     return finish(throughput(ticks(spark, sf_dir)))
 
 
+# bytes a partition keeps; a record counts its props, its symbol and 24 bytes of numbers
+RETAINED = 65_536
+
+
+@register("replay_bytes", f"""WITH t AS ({S.TICKS}), r AS (
+  SELECT t.*, sum(strlen(coalesce(e.props, '')) + strlen(coalesce(symbol, '')) + 24) OVER (
+    PARTITION BY part ORDER BY offs DESC) AS upto FROM t JOIN events e USING (event_id))
+  SELECT part AS "partition", offs AS "offset", symbol, price FROM r WHERE upto <= {RETAINED}""")
+def replay_bytes(spark, sf_dir):
+    """What a replay sees of partitions that keep a bounded number of bytes."""
+    events = load(spark, sf_dir, "events")
+    t = ticks(spark, sf_dir).join(events.select("event_id", "props"), "event_id")
+    size = F.octet_length(F.coalesce("props", F.lit(""))) + F.octet_length(F.coalesce("symbol", F.lit(""))) + F.lit(24)
+    return finish(retain_bytes(t, RETAINED, size).select("partition", "offset", "symbol", "price"))
+
+
 for _name, _mins in (("replay_15m", 15), ("replay_1d", 1440)):
     def _q(spark, sf_dir, _mins=_mins):
         t = ticks(spark, sf_dir)

@@ -12,17 +12,18 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from candlewick.config import MAX_ALERTS_STORED
+from candlewick.config import FIXTURE_RANGE, FIXTURE_STEP, MAX_ALERTS_STORED
 from candlewick.plans import sql as S
 from candlewick.plans.common import finish, register, ticks
 from candlewick.plans.planted import consumer_records
 from candlewick.plans.q_candles import T_CTE
 from candlewick.plans.q_prices import LATEST_SQL
+from candlewick.schemas import ALERT_SCHEMA
 from candlewick.session import checkpoint_root
 from candlewick.sources.streams import read_topic, replay_in_slices
 from candlewick.sources.ticks import price_records
 from candlewick.streaming.jobs import (decode_alert_records, start_alert_job, start_alert_log_job,
-                                       start_latest_price_job)
+                                       start_distinct_alerts_job, start_latest_price_job)
 from candlewick.streaming.sinks import read_latest_version
 
 SLICE_ROWS = 5_000_000
@@ -143,6 +144,52 @@ def streamed_alert_log(spark, sf_dir):
     return _alert_columns(read_latest_version(spark, f"{root}/log"))
 
 
+@register("streamed_alerts_once", T_CTE + _CLOSED)
+def streamed_alerts_once(spark, sf_dir):
+    """The alerts topic without its repeats, in the stream (I9): each slice of it is
+    delivered twice in one run, and at the end all of it comes once more."""
+    root = replay_alerts(spark, sf_dir)
+    topic = spark.read.schema("key binary, value binary").parquet(f"{root}/alerts")
+    ends = F.from_json(F.col("value").cast("string"), ALERT_SCHEMA)["window_end"]
+    topic = topic.withColumn("offset", F.unix_micros(ends))
+
+    def run():
+        src = spark.readStream.schema("key binary, value binary").parquet(f"{root}/topic")
+        start_distinct_alerts_job(src, f"{root}/once-ckpt", f"{root}/once", delay="1 day", available_now=True,
+                                  state_partitions=_state_partitions(spark)).awaitTermination()
+
+    replay_in_slices(topic.unionAll(topic), f"{root}/topic", run, 4)
+    topic.write.mode("append").parquet(f"{root}/topic")
+    run()
+    recs = spark.read.parquet(f"{root}/once").select(F.col("key").cast("binary"), F.col("value").cast("binary"))
+    return _alert_columns(decode_alert_records(recs))
+
+
+# a tape whose trade times are cut to six hours: most are equal, offsets tell them apart
+_TIED_US = 6 * S.HOUR_US
+_TIED = f"(SELECT symbol, price, (bts // {_TIED_US}) * {_TIED_US} AS bts, offs FROM t)"
+
+
+@register("streamed_alerts_ties", T_CTE + S.alerts_sql(
+    S.candles_sql(S.DAY_US, _TIED, order="CAST(bts AS HUGEINT) * 10000000000000000 + offs"), 0.0025)
+    + f" AND window_end <= (SELECT make_timestamp((max(epoch_us(ts)) // {_TIED_US}) * {_TIED_US}) FROM events)"
+      " - INTERVAL 1 SECOND")
+def streamed_alerts_ties(spark, sf_dir):
+    """Equal trade times on a stream are ordered by offset."""
+    root = _run_dir(spark, "ties")
+    t = ticks(spark, sf_dir)
+    cut = (F.floor(F.col("binance_timestamp") / F.lit(_TIED_US)) * F.lit(_TIED_US)).cast("long")
+    records = price_records(t.withColumn("binance_timestamp", cut))
+
+    def run():
+        src = read_topic(spark, "prices", source="files", path=f"{root}/prices")
+        start_alert_job(src, f"{root}/ckpt", sink="files", path=f"{root}/alerts", window="1 day",
+                        available_now=True, state_partitions=_state_partitions(spark)).awaitTermination()
+
+    replay_in_slices(records, f"{root}/prices", run, _slices(records))
+    return _alert_columns(_alert_rows(spark, root))
+
+
 @register("streamed_progress", """SELECT CAST(count(*) AS BIGINT) AS input_rows,
   CAST(greatest(4, ceil(count(*) / 5000000.0)) AS BIGINT) AS batches_with_data, CAST(0 AS BIGINT) AS dropped_rows
   FROM events""")
@@ -176,6 +223,31 @@ _VALID_M = f"""WITH t AS ({S.TICKS}), m AS (
   WHERE NOT (event_id % 71 = 0 OR symbol IS NULL OR symbol = '') AND NOT (event_id % 67 = 0 OR bts IS NULL))"""
 
 
+_POINTS = f"(SELECT unnest(range(min(bts) // {S.HOUR_US}, max(bts) // {S.HOUR_US} + 14)) * {S.HOUR_US} AS p FROM m)"
+
+
+@register("streamed_rates", _VALID_M + f"""
+  SELECT symbol, make_timestamp(p) AS t, count(*) AS messages, {S.r6(f'count(*) / {FIXTURE_RANGE}.0')} AS per_second
+  FROM {_POINTS} g JOIN m ON bts > p - {FIXTURE_RANGE * 1_000_000} AND bts <= p
+  WHERE make_timestamp(p) <= (SELECT make_timestamp(max(bts)) FROM m) - INTERVAL 1 SECOND
+  GROUP BY symbol, p""")
+def streamed_rates(spark, sf_dir):
+    """Live message rates over a sliding range, at every closed point."""
+    from candlewick.streaming.metrics import start_rates_job
+    root = _run_dir(spark, "rates")
+    records = consumer_records(ticks(spark, sf_dir))
+
+    def run():
+        src = spark.readStream.schema(records.schema).parquet(f"{root}/prices")
+        start_rates_job(src, f"{root}/ckpt", f"{root}/rates", FIXTURE_RANGE, FIXTURE_STEP,
+                        available_now=True).awaitTermination()
+
+    replay_in_slices(records, f"{root}/prices", run, _slices(records))
+    r = spark.read.parquet(f"{root}/rates")
+    return finish(r.select("symbol", F.col("t").cast("timestamp_ntz").alias("t"), F.col("n").alias("messages"),
+                           "per_second"), ("per_second",))
+
+
 @register("streamed_tick_counts", _VALID_M + f"""
   SELECT symbol, make_timestamp((bts // 3600000000 + 1) * 3600000000) AS scrape_end,
          count(*) AS messages, sum(sts - bts) / 1e6 AS e2e_sum_seconds

@@ -7,9 +7,10 @@ offset, timestamp, timestampType), one file per micro-batch if asked.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from candlewick.schemas import KAFKA_SCHEMA
+from candlewick.session import bounded_broadcast, checkpoint_root
 
 
 def read_topic(spark: SparkSession, topic: str, *, source: str = "kafka", path: str | None = None,
@@ -52,8 +53,63 @@ def since(df: DataFrame, minutes: int, time_col: str = "event_time") -> DataFram
     """Rows a retention-bounded replay still holds: time >= max(time) - minutes
     (the topic keeps 15 minutes). The maximum is a scalar subquery (one tiny
     aggregate reading one column), not a join."""
-    top = df.select(F.max(time_col)).scalar()
-    return df.where(F.col(time_col) >= top - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+    # the whole bound stands inside the subquery, so the filter reaches the scan
+    bound = df.select(F.max(time_col) - F.expr(f"INTERVAL {int(minutes)} MINUTES")).scalar()
+    return df.where(F.col(time_col) >= bound)
+
+
+#: Offset ranges that one round of the retention search tells apart in a partition.
+RETENTION_BINS = 1024
+
+
+def retain_bytes(records: DataFrame, max_bytes: int, size: Column, partition: str = "partition",
+                 offset: str = "offset") -> DataFrame:
+    """The newest records of each topic partition whose sizes add up to at most
+    ``max_bytes`` (the topic keeps 2 GB per partition): those at or above the smallest
+    offset from which all newer ones fit.
+
+    No partition is sorted. A round adds up the bytes of RETENTION_BINS equal offset
+    ranges per partition (a hash aggregate with map-side combine) and keeps the one
+    range in which the bound is crossed; ranges shrink 1,024-fold, so an offset is found
+    in at most seven rounds, and later ones read only that range. Between rounds there
+    is one row per partition. A null size counts as 0; records of one offset go
+    together; null partitions and offsets are dropped, as no topic has any."""
+    spark = records.sparkSession
+    checkpoint_root(spark)
+    at = records.where(F.col(partition).isNotNull() & F.col(offset).isNotNull()).withColumn(
+        "_bytes", F.coalesce(size, F.lit(0)).cast("long"))
+    cut = at.groupBy(F.col(partition).alias("_p")).agg(
+        F.min(offset).cast("long").alias("_lo"), F.max(offset).cast("long").alias("_hi"),
+        F.sum("_bytes").alias("_all")).withColumn("_newer", F.lit(0).cast("long")).checkpoint()
+    whole = F.col("_all") <= max_bytes
+    done = cut.where(whole).select("_p", F.col("_lo").alias("_from"))
+    cut = cut.where(~whole).drop("_all")
+    while True:
+        left = cut.agg(F.count("*").alias("n"), F.max(F.col("_hi") - F.col("_lo")).alias("wide"),
+                       F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).first()
+        if not left["n"]:
+            break
+        # the widest span of this round bounds the scan; a partition's own span the join
+        near = at.where(F.col(offset).between(left["lo"], left["hi"]))
+        width = F.greatest(F.lit(1).cast("long"), F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(RETENTION_BINS)).cast("long"))
+        bins = (near.join(bounded_broadcast(cut, left["n"]), F.col(partition) == F.col("_p"))
+                .where(F.col(offset).between(F.col("_lo"), F.col("_hi")))
+                .groupBy("_p", "_lo", "_hi", "_newer", width.alias("_w"),
+                         F.floor((F.col(offset) - F.col("_lo")) / width).cast("long").alias("_bin"))
+                .agg(F.sum("_bytes").alias("_b")))
+        down = Window.partitionBy("_p").orderBy(F.col("_bin").desc())       # at most RETENTION_BINS rows
+        bins = bins.withColumn("_upto", F.col("_newer") + F.sum("_b").over(down))
+        crossed = bins.where(F.col("_upto") > max_bytes).groupBy("_p").agg(
+            F.max(F.struct("_bin", "_lo", "_hi", "_w", "_upto", "_b")).alias("x")).select("_p", "x.*")
+        start = F.col("_lo") + F.col("_bin") * F.col("_w")
+        crossed = crossed.select("_p", start.alias("_lo"), F.least(start + F.col("_w") - 1, "_hi").alias("_hi"),
+                                 (F.col("_upto") - F.col("_b")).alias("_newer"), "_w").checkpoint()
+        # a range of one offset that does not fit: all above it is kept
+        done = done.unionByName(crossed.where("_w = 1").select("_p", (F.col("_lo") + 1).alias("_from")))
+        cut = crossed.where("_w > 1").drop("_w")
+    kept = done.select("_p", "_from").checkpoint()
+    return records.join(bounded_broadcast(kept, kept.count()), F.col(partition) == F.col("_p")) \
+        .where(F.col(offset) >= F.col("_from")).drop("_p", "_from")
 
 
 def write_in_time_order(records: DataFrame, path: str, files: int, order_col: str = "offset") -> None:

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from candlewick.config import ALERT_THRESHOLD, CANDLE_WINDOW, MAX_ALERTS_STORED, WATERMARK_DELAY
 from candlewick.functions import normalize as N
 from candlewick.operators.alerts import ALERT_COLUMNS, alert_messages, alerts
-from candlewick.operators.candles import candles
+from candlewick.operators.candles import candles, tick_order
 from candlewick.schemas import ALERT_SCHEMA
 from candlewick.streaming.sinks import append_trim, upsert_latest
 
@@ -31,13 +31,17 @@ def alert_stream(records: DataFrame, window: str = CANDLE_WINDOW, threshold: flo
     Records without a symbol are rejected before grouping. Event time is the
     trade time (TimestampType, as watermarks require); the watermark is the
     global maximum event time minus ``watermark``. Append mode emits a window
-    once the watermark passes its end; later rows for it are dropped.
+    once the watermark passes its end; later rows for it are dropped. Equal trade
+    times are ordered by offset where the records carry one.
     """
     ticks = N.decode_price_records(records)
+    order = "binance_timestamp"
+    if "offset" in ticks.columns:
+        ticks, order = ticks.withColumn("tick_order", tick_order()), "tick_order"
     ticks = ticks.where(F.coalesce(F.col("symbol"), F.lit("")) != "")
     if records.isStreaming:
         ticks = ticks.withWatermark("event_time", watermark)
-    return alerts(candles(ticks, window), threshold, with_timestamp=True)
+    return alerts(candles(ticks, window, order_col=order), threshold, with_timestamp=True)
 
 
 def _start(writer, spark, state_partitions: int | None, *args):
@@ -101,11 +105,36 @@ def decode_alert_records(records: DataFrame) -> DataFrame:
     return a.select(*[F.col("alert")[c].alias(c) for c in ALERT_SCHEMA.fieldNames()])
 
 
+def distinct_alerts(alert_df: DataFrame, delay: str) -> DataFrame:
+    """Each alert (symbol, window_start) once, however often the topic delivers it.
+
+    On a stream the keys seen are state until the watermark (latest window end minus
+    ``delay``) has passed them, so state holds the alerts of about ``delay``, not of all
+    time; an alert that comes again after that is behind the watermark and dropped as
+    late. A first delivery later than ``delay`` is dropped with them."""
+    keys = ["symbol", "window_start"]
+    if not alert_df.isStreaming:
+        return alert_df.dropDuplicates(keys)
+    return alert_df.withWatermark("window_end", delay).dropDuplicatesWithinWatermark(keys)
+
+
+def start_distinct_alerts_job(records: DataFrame, checkpoint: str, path: str, *, delay: str = "1 hour",
+                              available_now: bool = False, processing_time: str = "0 seconds",
+                              state_partitions: int | None = None) -> StreamingQuery:
+    """The alerts topic without its repeats, as alert records under ``path``."""
+    out = alert_messages(distinct_alerts(decode_alert_records(records).select(*ALERT_COLUMNS), delay))
+    w = out.writeStream.outputMode("append").option("checkpointLocation", checkpoint).format("parquet")
+    return _start(_trigger(w, available_now, processing_time), records.sparkSession, state_partitions, path)
+
+
 def start_alert_log_job(records: DataFrame, checkpoint: str, table: str, n: int = MAX_ALERTS_STORED, *,
                         available_now: bool = False, processing_time: str = "0 seconds",
-                        name: str | None = None) -> StreamingQuery:
-    """The bounded alert log fed by the alerts topic."""
+                        name: str | None = None, distinct_delay: str | None = None) -> StreamingQuery:
+    """The bounded alert log fed by the alerts topic. ``distinct_delay`` drops repeats
+    in the stream already (``distinct_alerts``); the sink drops them in any case."""
     a = decode_alert_records(records).select(*ALERT_COLUMNS)
+    if distinct_delay:
+        a = distinct_alerts(a, distinct_delay)
     w = a.writeStream.option("checkpointLocation", checkpoint).foreachBatch(append_trim(table, n))
     if name:
         w = w.queryName(name)

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.config import BOUNDS_E2E_LATENCY, WATERMARK_DELAY
 from candlewick.functions import normalize as N
+from candlewick.operators.sliding import sliding_rates
 
 INF = float("inf")
 
@@ -59,6 +60,23 @@ def tick_increments(records: DataFrame, step_seconds: int, origin: int = 0,
     return g.select(k.alias("k"), F.inline(F.array(*entries)))
 
 
+def live_rates(records: DataFrame, range_s: int, step_s: int, watermark: str = WATERMARK_DELAY) -> DataFrame:
+    """Valid price records -> (symbol, t, n, per_second) over (t - range, t]: the
+    message rate of the dashboard, live."""
+    ok = N.good(N.classify_price_records(records)).withColumn("event_time", F.timestamp_micros("binance_timestamp"))
+    return sliding_rates(ok.select("symbol", "event_time"), range_s, step_s,
+                         watermark=watermark if records.isStreaming else None)
+
+
+def start_rates_job(records: DataFrame, checkpoint: str, path: str, range_s: int, step_s: int, *,
+                    available_now: bool = False, processing_time: str = "0 seconds") -> StreamingQuery:
+    """Append the rate at every evaluation point that the watermark has closed."""
+    w = (live_rates(records, range_s, step_s).writeStream.outputMode("append")
+         .option("checkpointLocation", checkpoint).format("parquet"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start(path)
+
+
 def start_metrics_job(records: DataFrame, checkpoint: str, path: str, step_seconds: int, *,
                       origin: int = 0, available_now: bool = False,
                       processing_time: str = "0 seconds") -> StreamingQuery:
