@@ -7,6 +7,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from candlewick.operators.metrics import evaluate, spec_plan
+from candlewick.operators.series import Grid
 from candlewick.session import checkpoint_root
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
@@ -85,18 +87,69 @@ def metadata_dict(meta_df: DataFrame) -> dict:
     return json.loads(json.dumps(row.asDict(recursive=True), default=str))
 
 
+def _epoch(t: str) -> int:
+    return int(dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc).timestamp())
+
+
 def run_export(spark: SparkSession, counters: DataFrame, gauges: DataFrame, start: str, end: str,
                step_seconds: int, name: str, path: str, specs, range_s: int, lookback_s: int) -> DataFrame:
     """Evaluate ``specs`` at start, start + step, ... up to end (ISO times, UTC), write
     ``path``/metrics as CSV and ``path``/metadata as JSON; returns the wide frame."""
-    from candlewick.operators.metrics import evaluate, spec_plan
-    from candlewick.operators.series import Grid
-    first, last = (int(dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc).timestamp())
-                   for t in (start, end))
-    grid = Grid(first - step_seconds, step_seconds, 1, (last - first) // step_seconds + 1)
+    grid = Grid(_epoch(start) - step_seconds, step_seconds, 1, (_epoch(end) - _epoch(start)) // step_seconds + 1)
     long = evaluate(spark, counters, gauges, grid, range_s, lookback_s, specs=specs)
     names = sorted({r[0] for r in spec_plan(specs)})
     out = export_metrics(long.select("metric", "t", "value"), f"{path}/metrics", names)
     write_metadata(export_metadata(spark, out, name, start, end, f"{step_seconds}s", [s.name for s in specs]),
                    f"{path}/metadata")
     return out
+
+
+_MANIFEST = "first long, last long, step long, metrics array<string>"
+
+
+def _manifest(spark: SparkSession, path: str) -> list:
+    """Finished pieces of a growing export, in time order (one row per run)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return []
+    return sorted(spark.read.schema(_MANIFEST).json(f"{path}/manifest").collect(), key=lambda r: r["first"])
+
+
+def extend_export(spark: SparkSession, counters: DataFrame, gauges: DataFrame, start: str, end: str,
+                  step_seconds: int, path: str, specs, range_s: int, lookback_s: int) -> int:
+    """Bring a growing export up to ``end``: only the points after the last one written
+    are evaluated (from samples that reach at most a range or lookback further back).
+    Returns the number of points added.
+
+    A run writes ``metrics/<first>-<last>`` and then one manifest entry. Readers take
+    the pieces of the manifest, so a run that died leaves nothing behind that counts,
+    and its repetition overwrites the same piece; a run up to a point already there
+    adds nothing. Samples that arrive for points already written are not taken up."""
+    done = _manifest(spark, path)
+    if done and done[0]["step"] != step_seconds:
+        raise ValueError("the export was begun with another step")
+    first = _epoch(start) if not done else max(r["last"] for r in done) + step_seconds
+    points = (_epoch(end) - first) // step_seconds + 1
+    if points <= 0:
+        return 0
+    last = first + (points - 1) * step_seconds
+    grid = Grid(first - step_seconds, step_seconds, 1, points)
+    long = evaluate(spark, counters, gauges, grid, range_s, lookback_s, specs=specs)
+    names = sorted({r[0] for r in spec_plan(specs)})
+    export_metrics(long.select("metric", "t", "value"), f"{path}/metrics/{first}-{last}", names)
+    spark.createDataFrame([(first, last, step_seconds, names)], _MANIFEST).coalesce(1) \
+        .write.mode("overwrite").json(f"{path}/manifest/run={first}")
+    return points
+
+
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """All finished pieces of a growing export; a metric that a piece does not have is
+    null there."""
+    out = None
+    for r in _manifest(spark, path):
+        piece = read_metrics_csv(spark, f"{path}/metrics/{r['first']}-{r['last']}", r["metrics"])
+        out = piece if out is None else out.unionByName(piece, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no finished export under {path}")
+    return out

@@ -65,7 +65,9 @@ def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), keys=("symb
     from candlewick.session import checkpoint_root
     checkpoint_root(df.sparkSession)
     keys = list(keys)
-    base = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    # keys and value are written once (reliable checkpoint in the shared folder): the
+    # count, the rounds and the final pick read them, never what produced them
+    base = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull()).checkpoint()
     counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     qarr = F.array(*[F.lit(float(q)) for q in qs])
     state = counts.select(*keys, F.posexplode(qarr).alias("_qi", "_q"), "_n")
@@ -79,19 +81,12 @@ def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), keys=("symb
     margin = 2.0 / accuracy
     in_bracket = (F.col("_x") > F.col("_lo")) & (F.col("_x") <= F.col("_hi")) & F.col("_ans").isNull()
     n_groups = None
-    narrowed = False
     for _ in range(max_rounds):
         top = state.agg(F.max(F.when(F.col("_ans").isNull(), F.col("_m"))).alias("m"),
                         F.count(F.lit(1)).alias("g")).first()
         n_groups = top["g"]
         if top["m"] is None or top["m"] <= limit:
             break
-        if not narrowed:
-            # Refinement reads the values two more times per round: write the
-            # two columns it needs once (reliable checkpoint in the shared
-            # folder) instead of re-running whatever produced them each time.
-            base = base.checkpoint(eager=True)
-            narrowed = True
         cand = _join_on_keys(base, bounded_broadcast(state, n_groups), keys).where(in_bracket)
         sketch = cand.groupBy(*keys, "_qi").agg(F.percentile_approx("_x", grid, accuracy).alias("_g"))
         want = F.try_divide((F.col("_r") - F.col("_below")).cast("double"), F.col("_m").cast("double"))

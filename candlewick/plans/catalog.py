@@ -128,6 +128,18 @@ FAMILY_SOURCES: list[tuple[str, str, tuple]] = [
     ("binance_api_round_trip_seconds", "api_round_trip_seconds", ()),
     ("binance_time_request_errors_total", "time_request_errors_total", ()),
 ]
+# A running job's own samples (``streaming.listener``) instead of derived ones: what the
+# progress of its batches reports needs no stand-in.
+PROGRESS_FAMILIES = ("spark_batch_duration_seconds", "spark_input_rows_total", "spark_output_rows_total",
+                     "spark_batches_completed_total", "kafka_consumergroup_lag")
+
+
+def live_sources(mapping=None) -> list[tuple[str, str, tuple]]:
+    """``FAMILY_SOURCES`` with the families of a job's progress fed by themselves."""
+    kept = [m for m in mapping or FAMILY_SOURCES if m[0] not in PROGRESS_FAMILIES]
+    return kept + [(f, f, ()) for f in PROGRESS_FAMILIES]
+
+
 GAUGE_SOURCES = {"memory_working_set_bytes", "clock_skew_seconds", "api_round_trip_seconds",
                  "partition_lag", "alert_lag"}
 
@@ -145,9 +157,9 @@ class PanelSeries:
 
 # --- fixed values: dashboard panels (title, legend, expression) -------------
 PANELS: list[PanelSeries] = [
-    PanelSeries("End-to-End Latency (Binance -> Consumer)", "avg", "ref", ("prices_consumer_e2e_latency_avg",)),
-    PanelSeries("End-to-End Latency (Binance -> Consumer)", "p95", "ref", ("prices_consumer_e2e_latency_p95",)),
-    PanelSeries("End-to-End Latency (Binance -> Consumer)", "p99", "ref", ("prices_consumer_e2e_latency_p99",)),
+    PanelSeries("End-to-End Latency (Binance → Consumer)", "avg", "ref", ("prices_consumer_e2e_latency_avg",)),
+    PanelSeries("End-to-End Latency (Binance → Consumer)", "p95", "ref", ("prices_consumer_e2e_latency_p95",)),
+    PanelSeries("End-to-End Latency (Binance → Consumer)", "p99", "ref", ("prices_consumer_e2e_latency_p99",)),
     PanelSeries("Consumer Throughput", "msg/s", "ref", ("prices_consumer_throughput_msg_per_sec",)),
     PanelSeries("Consumer Lag (Prices Topic)", "lag", "ref", ("prices_consumer_lag_messages",)),
     PanelSeries("Latency Breakdown (Network vs System)", "system", "ref", ("prices_consumer_system_latency_avg",)),
@@ -156,7 +168,7 @@ PANELS: list[PanelSeries] = [
                 ("prices_consumer_errors_per_sec", "binance_producer_errors_per_sec")),
     PanelSeries("System Latency %", "system share", "ratio",
                 ("prices_consumer_system_latency_avg", "prices_consumer_e2e_latency_avg")),
-    PanelSeries("Estimated Clock Skew (Local - Binance)", "skew", "ref", ("clock_monitoring_clock_skew_seconds",)),
+    PanelSeries("Estimated Clock Skew (Local − Binance)", "skew", "ref", ("clock_monitoring_clock_skew_seconds",)),
     PanelSeries("Binance API Round Trip Time", "rtt", "ref", ("clock_monitoring_api_round_trip_seconds",)),
     PanelSeries("Spark Batch Processing Time", "avg", "ref", ("spark_processor_batch_duration_avg",)),
     PanelSeries("Spark Batch Processing Time", "p95", "ref", ("spark_processor_batch_duration_p95",)),

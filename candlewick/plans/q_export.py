@@ -11,6 +11,7 @@ from candlewick.config import FIXTURE_LOOKBACK, FIXTURE_RANGE, FIXTURE_STEP
 from candlewick.functions import latency as L
 from candlewick.functions import normalize as N
 from candlewick.operators import export as X
+from candlewick.operators.alerts import ALERT_COLUMNS
 from candlewick.operators.metrics import evaluate
 from candlewick.plans import q_series as QS
 from candlewick.plans import sql as S
@@ -23,7 +24,7 @@ from candlewick.plans.q_prices import valid_prices
 from candlewick.session import checkpoint_root
 from candlewick.sources.catalog import load_specs, spot_symbol_list
 from candlewick.sources.tables import load
-from candlewick.sources.ticks import price_records
+from candlewick.sources.ticks import epoch_micros, price_records
 from candlewick.streaming.jobs import decode_alert_records, write_alerts, write_ticks
 
 
@@ -58,6 +59,43 @@ def export_csv(spark, sf_dir):
     return finish(back, tuple(QS._WITH_DATA))
 
 
+@register("export_extended", f"""{QS.CATALOG_SQL},
+  longv AS (SELECT metric, {QS._t()} AS "timestamp", value FROM catalog WHERE metric IN ({QS._CAT_NAMES})),
+  wide AS (SELECT * FROM (PIVOT longv ON metric IN ({QS._CAT_WITH_DATA}) USING first(value) GROUP BY "timestamp"))
+  SELECT "timestamp", {_WIDE} FROM wide""")
+def export_extended(spark, sf_dir):
+    """An export that grew in two runs, the second one repeated (A11-A13): the same
+    rows as one long run."""
+    path, grid = _folder(spark, "grown"), QS.grid_of(spark, sf_dir)
+    c, g = QS.stored(spark, sf_dir)
+    middle = grid.origin + (grid.first + grid.last) // 2 * grid.step
+    for upto in (middle, grid.end, grid.end):
+        X.extend_export(spark, c, g, _iso(spark, grid.start), _iso(spark, upto), FIXTURE_STEP, path, CATALOG,
+                        FIXTURE_RANGE, FIXTURE_LOOKBACK)
+    return finish(X.read_export(spark, path), tuple(QS._WITH_DATA))
+
+
+# fixture: alert records whose key is missing, or whose value is no object
+_NO_KEY, _NO_OBJECT = 53, 47
+
+
+@register("alert_rejects", T_CTE + f"""
+  SELECT coalesce(error_type, 'good') AS outcome, count(*) AS alerts FROM (
+    SELECT CASE WHEN epoch_us(window_end) // 3600000000 % {_NO_KEY} = 0
+                  OR epoch_us(window_end) // 3600000000 % {_NO_OBJECT} = 0 THEN 'invalid_message' END AS error_type
+    FROM ({_ALERTS_1H})) GROUP BY 1""")
+def alert_rejects(spark, sf_dir):
+    """The alerts consumer's check of its records."""
+    a = alerts_1h(spark, sf_dir)
+    hour = F.floor(epoch_micros("window_end") / F.lit(3600_000_000))
+    recs = a.select(
+        F.when(hour % _NO_KEY != 0, F.col("symbol")).cast("binary").alias("key"),
+        F.when(hour % _NO_OBJECT != 0, F.to_json(F.struct(*ALERT_COLUMNS))).otherwise(F.lit("[1]"))
+        .cast("binary").alias("value"))
+    return N.classify_alert_records(recs).groupBy(F.coalesce("error_type", F.lit("good")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("alerts"))
+
+
 @register("export_run", f"""WITH {Q.GRID_CTE}
   SELECT 'replay' AS experiment_name, CAST((k - 1) * {FIXTURE_STEP} AS DOUBLE) AS duration_seconds,
          '{FIXTURE_STEP}s' AS step, CAST({len(CATALOG)} AS INTEGER) AS metrics, {len(QS._WITH_DATA)} AS columns,

@@ -7,14 +7,38 @@ and forgets them, so a query without end does not fill the driver.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from candlewick.config import BOUNDS_BATCH_DURATION
 from candlewick.operators.histogram import histogram
 
-PROGRESS_SCHEMA = ("query_id string, batch_id long, ts timestamp, batch_seconds double, "
-                   "input_rows long, output_rows long, dropped_rows long")
+_ROW = ("query_id string, batch_id long, ts string, batch_seconds double, input_rows long, output_rows long, "
+        "dropped_rows long, offsets array<struct<end:string,latest:string>>")
+_OFFSETS = "map<string,map<string,bigint>>"          # topic -> partition -> offset
+
+
+def _offset(x) -> str | None:
+    """A source offset as JSON text (it comes as text or parsed)."""
+    return x if x is None or isinstance(x, str) else json.dumps(x)
+
+
+def progress_row(p) -> tuple:
+    """The fields of one progress report that the metrics need: of a listener event's
+    progress, or of the dict that ``recentProgress`` holds."""
+    if isinstance(p, dict):
+        out = (p.get("sink") or {}).get("numOutputRows", -1)
+        dropped = [o.get("numRowsDroppedByWatermark", 0) for o in p.get("stateOperators") or []]
+        offsets = [(_offset(s.get("endOffset")), _offset(s.get("latestOffset"))) for s in p.get("sources") or []]
+        return (str(p["id"]), int(p["batchId"]), p["timestamp"], p["batchDuration"] / 1000.0, int(p["numInputRows"]),
+                int(-1 if out is None else out), sum(int(d or 0) for d in dropped), offsets)
+    out = p.sink.numOutputRows if p.sink is not None else -1
+    dropped = [getattr(o, "numRowsDroppedByWatermark", 0) for o in p.stateOperators or []]
+    offsets = [(_offset(s.endOffset), _offset(s.latestOffset)) for s in p.sources or []]
+    return (str(p.id), int(p.batchId), p.timestamp, p.batchDuration / 1000.0, int(p.numInputRows), int(out),
+            sum(int(d or 0) for d in dropped), offsets)
 
 
 class ProgressListener(StreamingQueryListener):
@@ -34,11 +58,7 @@ class ProgressListener(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         try:
-            p = event.progress
-            out = p.sink.numOutputRows if p.sink is not None else -1
-            dropped = sum(int(getattr(o, "numRowsDroppedByWatermark", 0) or 0) for o in (p.stateOperators or []))
-            self.progress.append((str(p.id), int(p.batchId), p.timestamp, p.batchDuration / 1000.0,
-                                  int(p.numInputRows), int(out), dropped))
+            self.progress.append(progress_row(event.progress))
             if self._table and len(self.progress) >= self._flush_rows:
                 self.flush()
         except Exception:  # noqa: BLE001 - a listener must never break the query
@@ -56,16 +76,27 @@ def progress_frame(spark: SparkSession, rows) -> DataFrame:
     """Progress rows (from the listener or ``query.recentProgress``)."""
     norm = []
     for r in rows:
-        if isinstance(r, dict):
-            out = (r.get("sink") or {}).get("numOutputRows", -1)
-            dropped = sum(int(o.get("numRowsDroppedByWatermark", 0) or 0) for o in r.get("stateOperators") or [])
-            norm.append((r["id"], r["batchId"], r["timestamp"], r["batchDuration"] / 1000.0,
-                         r["numInputRows"], out, dropped))
-        else:
-            norm.append(tuple(r) + ((0,) if len(r) == 6 else ()))
-    df = spark.createDataFrame(norm, "query_id string, batch_id long, ts string, batch_seconds double, "
-                                     "input_rows long, output_rows long, dropped_rows long")
-    return df.withColumn("ts", F.to_timestamp("ts"))
+        full = progress_row(r) if isinstance(r, dict) else tuple(r) + (0,) * (len(r) == 6)
+        norm.append(full + ([],) * (len(full) == 7))
+    return spark.createDataFrame(norm, _ROW).withColumn("ts", F.to_timestamp("ts"))
+
+
+def progress_lag(progress: DataFrame, group: str) -> DataFrame:
+    """Progress rows -> consumer lag as gauge samples (D15): per topic partition of each
+    batch's sources, the latest offset the topic had less the offset the batch read up
+    to. Labels consumergroup, topic, partition; a source without offsets per partition
+    (files, rate) gives none."""
+    s = progress.select(F.unix_timestamp("ts").cast("double").alias("ts"), F.explode("offsets").alias("o"))
+    s = s.select("ts", F.from_json("o.end", _OFFSETS).alias("read"), F.from_json("o.latest", _OFFSETS).alias("latest"))
+    s = s.select("ts", "read", F.explode("latest").alias("topic", "parts")) \
+        .select("ts", "topic", F.try_element_at("read", F.col("topic")).alias("read"),
+                F.explode("parts").alias("partition", "last"))
+    lag = F.greatest(F.col("last") - F.coalesce(F.try_element_at("read", F.col("partition")), F.lit(0)), F.lit(0))
+    labels = F.create_map(F.lit("consumergroup"), F.lit(group), F.lit("topic"), F.col("topic"),
+                          F.lit("partition"), F.col("partition"))
+    return s.where(F.col("last").isNotNull()).select(
+        F.lit("kafka_consumergroup_lag").alias("family"), F.lit("").alias("part"), labels.alias("labels"),
+        F.lit(None).cast("double").alias("le"), "ts", lag.cast("double").alias("value"))
 
 
 def progress_metrics(progress: DataFrame) -> DataFrame:
