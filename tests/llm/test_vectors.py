@@ -55,7 +55,7 @@ def test_pruned_lists_are_short_and_reach_their_neighbours():
     np.fill_diagonal(sim, -2)
     assert (lists[:, 0] == sim.argmax(axis=1)).all()
     assert (lists < 400).all() and lists.shape == (400, 32)
-    q, v = vectors.search_all(x, lists, 0.6, 16, 0.1)
+    q, v = vectors.search_all(x, np.arange(400), x, lists, 0.6, 16, 0.1)
     true = (sim >= 0.6).sum()
     assert (sim[q, v] >= 0.6).all() and len(q) >= 0.9 * true
 
@@ -78,3 +78,51 @@ def test_links_between_tight_groups(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<double>")
     assert vectors.near_duplicates(df).count() == 0
+
+
+def fresh_pairs(n, dim, cos, seed):
+    """``n`` unit vectors and for each a partner at cosine ``cos``, nothing else near."""
+    rng = np.random.default_rng(seed)
+    a = vectors.unit_rows(rng.normal(size=(n, dim)))
+    o = rng.normal(size=(n, dim))
+    o = vectors.unit_rows(o - np.einsum("ij,ij->i", o, a)[:, None] * a)
+    return a, cos * a + (1 - cos * cos) ** 0.5 * o
+
+
+@pytest.mark.parametrize("params", [{"shard_rows": 64}, {"shard_rows": 64, "overlap": 1, "probes": 6}])
+def test_pairs_that_straddle_shards(spark, params):
+    """Over 200 centres: partners mostly have different nearest centres."""
+    a, b = fresh_pairs(2200, 32, 0.905, 1)
+    rows = [(2 * i, x.tolist()) for i, x in enumerate(a)] + [(2 * i + 1, x.tolist()) for i, x in enumerate(b)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    out = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df, **params).collect()}
+    found = sum(out[2 * i][1] == out[2 * i + 1][1] for i in range(len(a)))
+    assert found >= 0.95 * len(a)
+    unit = np.concatenate((a, b))
+    true = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    got = [out[2 * i][0] for i in range(len(a))] + [out[2 * i + 1][0] for i in range(len(b))]
+    assert (np.array(got) <= true).all() and sum(got) >= 0.95 * true.sum()
+
+
+def test_hot_cluster_and_its_guests(spark):
+    """A cluster far beyond a shard's size, in parts, with outsiders near its edge."""
+    rng = np.random.default_rng(7)
+    hub = rng.normal(size=16)
+    x = np.concatenate((hub + rng.normal(size=(500, 16)) * 0.15, rng.normal(size=(200, 16)),
+                        hub + rng.normal(size=(60, 16)) * 0.45))
+    unit = vectors.unit_rows(x)
+    true = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(5)
+    out = vectors.near_duplicates(df, shard_rows=128)
+    got = np.array([n for _, n in sorted((r.vec_id, r.n_links) for r in out.collect())])
+    assert (got <= true).all() and got.sum() >= 0.97 * true.sum()
+    assert vectors.recall(df, out, every=5) >= 0.97
+
+
+def test_extra_columns_and_no_links(spark):
+    from tests.llm.common import with_extras
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    out = vectors.near_duplicates(with_extras(df).withColumnRenamed("score", "digest").withColumnRenamed("fp", "v")
+                                  .withColumnRenamed("c0", "node"))
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
+    assert vectors.recall(df, out, every=1) is None
