@@ -23,7 +23,32 @@ def op7(spark, sf_dir):
     return packing.pack(load(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query("op1_decontaminate")
+OP1_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, w, CAST(least(13, len(w)) AS BIGINT) AS size FROM (SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+bw AS (SELECT item_id, size, s, array_to_string(w[s:s + size - 1], ' ') AS win
+       FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS s FROM b)),
+dw AS (SELECT r, size, p, array_to_string(w[p:p + size - 1], ' ') AS win FROM (
+       SELECT r, w, size, unnest(range(1, CAST(len(w) AS BIGINT) - size + 2)) AS p
+       FROM d CROSS JOIN (SELECT DISTINCT size FROM b))),
+h AS (SELECT r, p, size, item_id, s FROM dw JOIN bw USING (size, win)),
+hit AS (SELECT r, count(DISTINCT x) AS n FROM (SELECT r, unnest(range(p, p + size)) AS x FROM h) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(i, ',' ORDER BY i) AS ids
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM h) GROUP BY r),
+runs AS (SELECT r, item_id, min(p) AS p, min(s) AS s, max(p + size) - min(p) AS length FROM (
+    SELECT *, p - row_number() OVER (PARTITION BY r, item_id, size, s - p ORDER BY p) AS k FROM h)
+  GROUP BY r, item_id, size, s - p, k),
+best AS (SELECT r, max(length) AS length, arg_min(item_id, [-length, p, item_id, s]) AS item FROM runs GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+  sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(hit.n > 0 AND 20 * hit.n >= len(w), false) AS contaminated,
+  CAST(coalesce(best.length, 0) AS BIGINT) AS longest_match, CAST(best.item AS VARCHAR) AS longest_item
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r) LEFT JOIN best USING (r)
+"""
+
+
+@query("op1_decontaminate", OP1_SQL)
 def op1(spark, sf_dir):
     """Benchmark passages in ``documents``."""
     found = decontam.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
@@ -33,7 +58,25 @@ def op1(spark, sf_dir):
         F.col("longest").cast("long").alias("longest_match"), "longest_item")
 
 
-@query("op10_substrings")
+OP10_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+v AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS win
+      FROM (SELECT *, unnest(range(1, CAST(len(w) AS BIGINT) - 33)) AS i FROM d)),
+m AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY win) AS n FROM v) WHERE n > 1),
+g AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 35 THEN 0 ELSE 1 END AS new FROM m),
+s AS (SELECT r, min(i) AS a, max(i) + 34 AS z
+      FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS k FROM g) GROUP BY r, k),
+x AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+k AS (SELECT x.r, count(*) AS n, string_agg(word, ' ' ORDER BY x.i) AS kept FROM x
+      WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.r = x.r AND x.i BETWEEN s.a AND s.z) GROUP BY x.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+
+@query("op10_substrings", OP10_SQL)
 def op10(spark, sf_dir):
     """``documents`` without the words of repeated 35-word windows."""
     found = substrings.remove_repeats(load(spark, sf_dir, "documents"))
@@ -143,7 +186,21 @@ def op2(spark, sf_dir):
         .withColumn("rejected_mask", _mask_text("rejected_mask"))
 
 
-@query("op9_archives")
+OP9_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+g AS (SELECT page_id, html, first, list_transform(range(8), lambda i: CAST('0x' || h[5 * i + 1:5 * i + 5] AS BIGINT)) AS v
+      FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, array_to_string(flatten(list_transform(v, lambda x:
+    list_transform([15, 10, 5, 0], lambda k: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((x >> CAST(k AS BIGINT)) & 31) + 1]))), '')
+    AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM g
+"""
+
+
+@query("op9_archives", OP9_SQL)
 def op9(spark, sf_dir):
     """``pages`` through legacy archives into WARC files and back."""
     pages = load(spark, sf_dir, "pages")
@@ -154,7 +211,22 @@ def op9(spark, sf_dir):
                        F.col("refers_source").cast(kind).alias("refers_to"))
 
 
-@query("op4_pruned_graph")
+OP4_SQL = r"""
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS u FROM e
+      WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.u) = len(b.u)
+          WHERE list_inner_product(a.u, b.u) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM e UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, low.component_id, low.component_id = e.vec_id AS kept
+FROM e JOIN low ON low.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
+
+@query("op4_pruned_graph", OP4_SQL)
 def op4(spark, sf_dir):
     """Links and components of all ``embeddings`` at cosine 0.9."""
     return vectors.near_duplicates(load(spark, sf_dir, "embeddings"))
