@@ -23,7 +23,7 @@ by digest; a group of copies that is too large for one task is split by the join
 Defined results: a null or empty page has an empty payload; null URLs become ``-``
 and blanks or control characters in a URL become ``%20``, as header lines are split at
 blanks; repeated rows become records each (ties go to the smaller archive offset);
-a null page id sorts after all others; an empty table writes archives without
+a null page id sorts after all others, and an empty text id counts as null; an empty table writes archives without
 records, and reads back as none.
 """
 
@@ -33,6 +33,7 @@ import base64
 import gzip
 import hashlib
 import uuid
+from urllib.parse import unquote_plus
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -43,6 +44,7 @@ from candlewick.llm.arrowtext import tune
 from candlewick.session import checkpoint_root
 
 FILE_BYTES = 8 << 20
+LARGEST_FILE = 512 << 20         # a file is read whole, as one row
 REVISIT_BYTES = 0
 ARC_FIELDS = {1: 5, 2: 10}
 _V1 = b"URL IP-address Archive-date Content-type Archive-length"
@@ -136,11 +138,17 @@ def parse_warc(data: bytes):
         at += 4
 
 
+def _quoted(value):
+    """A value as one word without blanks, line ends or ``#``."""
+    return F.url_encode(value.cast("string"))
+
+
 def arc_archives(pages: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
     """(name, data): ARC files of a page table, of both versions, one file a row.
-    The page id is appended to the URL after a ``#``, as ARC has no field for it."""
+    The page id is appended to the URL after a ``#``, as ARC has no field for it; like
+    a form field, so that an id of any text stays one word (a whole number is as it is)."""
     rows = pages.select(
-        F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("id"),
+        F.coalesce(_quoted(F.col("page_id")), F.lit("")).alias("id"),
         F.regexp_replace(F.coalesce("url", F.lit("-")), r"[\x00-\x20]", "%20").alias("url"),
         F.coalesce("html", F.lit("")).cast("binary").alias("html"))
 
@@ -213,9 +221,9 @@ def warc_text(records: DataFrame) -> DataFrame:
         line("WARC-Target-URI", F.col("url")), line("WARC-IP-Address", F.col("ip")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         line("WARC-Source-Payload-Length", F.col("size").cast("string")),
-        line("WARC-Source-Id", F.coalesce(F.col("source").cast("string"), F.lit(""))),
+        line("WARC-Source-Id", F.coalesce(_quoted(F.col("source")), F.lit(""))),
         F.when(revisit, F.concat(line("WARC-Refers-To", F.col("refers_to")),
-                                 line("WARC-Refers-To-Source", F.coalesce(F.col("refers_source").cast("string"), F.lit(""))),
+                                 line("WARC-Refers-To-Source", F.coalesce(_quoted(F.col("refers_source")), F.lit(""))),
                                  F.lit(f"WARC-Profile: {_REVISIT}\r\n"))).otherwise(F.lit("")),
         line("Content-Type", F.col("kind")), line("Content-Length", F.length(body).cast("string")),
         F.lit("\r\n"))
@@ -251,8 +259,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     if h["WARC-Type"] == "response" and digest(payload) != own:
                         raise ValueError(f"digest of {h['WARC-Record-ID']} does not fit its payload")
                     rows.append((h["WARC-Type"], h["WARC-Record-ID"], h["WARC-Target-URI"], h["WARC-Date"],
-                                 own, h.get("WARC-Source-Id") or None, h.get("WARC-Refers-To"),
-                                 h.get("WARC-Refers-To-Source") or None,
+                                 own, unquote_plus(h.get("WARC-Source-Id", "")) or None, h.get("WARC-Refers-To"),
+                                 unquote_plus(h.get("WARC-Refers-To-Source", "")) or None,
                                  int(h["WARC-Source-Payload-Length"]), payload))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
@@ -269,12 +277,15 @@ def archive_pages(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES,
     spark = pages.sparkSession
     tune(spark)
     root = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
-    size = pages.agg(F.count("*").alias("n"), F.sum(F.octet_length("html")).alias("b")).first()
-    per_file = max(1, int(size["n"] * file_bytes / max(1, (size["b"] or 0) + 500 * size["n"])))
+    size = pages.agg(F.count("*").alias("n"), F.sum(F.octet_length("html")).alias("b"),
+                     F.max(F.octet_length("html")).alias("top")).first()
+    # file_bytes on average, and no run of the largest pages beyond LARGEST_FILE
+    per_file = max(1, min(int(size["n"] * file_bytes / max(1, (size["b"] or 0) + 500 * size["n"])),
+                          LARGEST_FILE // ((size["top"] or 0) + 1000)))
     arc_archives(pages, file_bytes).write.option("compression", "zstd").parquet(f"{root}/arc")
     own = F.regexp_extract("url", r"#([^#]*)$", 1)
     records = convert(spark.read.parquet(f"{root}/arc")) \
-        .withColumn("source", F.when(own != "", own).cast(pages.schema["page_id"].dataType)) \
+        .withColumn("source", F.when(own != "", F.url_decode(own)).cast(pages.schema["page_id"].dataType)) \
         .withColumn("url", F.regexp_replace("url", r"#[^#]*$", ""))
     write_warc(with_revisits(records, revisit_bytes), f"{root}/warc", per_file)
     return read_warc(spark, f"{root}/warc")

@@ -3,10 +3,11 @@
 The documents of a task's slice form a training shard. Its suffix array holds,
 in word order, the suffixes that can start a test window: a position is kept
 when its words run through the test set's word pairs for a whole window, which
-drops no match. Every test suffix is binary-searched in each shard's array (both
-borders of its window, all suffixes at once); the interval found gives every
-verbatim occurrence, and neighbouring occurrences on one diagonal join into the
-longest match and its location. A document is a row, so the whole search is one
+drops no match of a window or more. Every test suffix that can fill a window is
+binary-searched in each shard's array (both borders of its window, all suffixes at
+once); the interval found gives every verbatim occurrence, and neighbouring
+occurrences on one diagonal join into the longest match and its location. Matches
+shorter than a window are not looked for: without a longer one, ``longest`` is 0. A document is a row, so the whole search is one
 narrow pass over the corpus: no shuffle, no key to run hot.
 
 The test set is cut into blocks of at most ``block_bytes`` of text. Each block

@@ -296,10 +296,12 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int):
 
 
 def ranked(pieces: DataFrame, rank_rows: int = RANK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Pieces with their rank among those of the same length; histogram by bucket."""
+    """Pieces with their rank among those of the same length; histogram by bucket. The
+    bucket also takes in the input partition of the (checkpointed) pieces, so copies of
+    one row, however many, are not ranked in one task; equal pieces may swap places."""
     buckets = max(1, -(-pieces.count() // rank_rows))
     pieces = pieces.withColumn(
-        "bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
+        "bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.spark_partition_id()), F.lit(buckets)).cast("int"))
     hist = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = hist.select("length", "bucket", (F.sum("n").over(
         W.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("before"))

@@ -84,9 +84,10 @@ def trained_spans(turns: Column) -> Column:
 
 
 def format_pairs(pairs: DataFrame) -> DataFrame:
-    """Prompt, completions and masks of (chosen, rejected) turn arrays; other
-    columns pass through."""
-    rest = [c for c in pairs.columns if c not in ("chosen", "rejected")]
+    """Prompt, completions and masks of (chosen, rejected) turn arrays; other columns
+    pass through, but for those named like a result, which the result replaces."""
+    made = ("prompt_turns", "prompt", "chosen_completion", "chosen_mask", "rejected_completion", "rejected_mask")
+    rest = [c for c in pairs.columns if c not in ("chosen", "rejected") + made]
     n = pairs.withColumn("prompt_turns", common_turns(F.col("chosen"), F.col("rejected")))
     out = [F.col(f"`{c}`") for c in rest] + ["prompt_turns", rendered(
         F.slice("chosen", F.lit(1), F.col("prompt_turns"))).alias("prompt")]

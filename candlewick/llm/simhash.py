@@ -291,20 +291,21 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_
     by_fp = _components_of(named.select("doc_id", "fp"), max_bits, cell_rows)
     first = named.join(by_fp, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
         .groupBy("root", "doc_id", "digest").agg(F.count("*").alias("n")).checkpoint()
-    keyed = docs.withColumn("__digest", _digest("text"))
+    # the row travels as one struct, so no column of its own can clash with the keys
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        F.col("doc_id").alias("row_id"), _digest("text").alias("row_text"))
 
     def same(keys):
-        return keyed["doc_id"].eqNullSafe(keys["__id"]) & (keyed["__digest"] == keys["__text"])
+        return keyed["row_id"].eqNullSafe(keys["doc_id"]) & (keyed["row_text"] == keys["digest"])
 
-    keep = first.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__text"),
-                        F.col("n").alias("__rows"), F.col("root").alias("__root"))
-    several = keep.groupBy("__root").agg(F.count("*").alias("__texts")).where("__texts > 1").checkpoint()
+    keep = first
+    several = keep.groupBy("root").agg(F.count("*").alias("texts")).where("texts > 1").checkpoint()
     if not several.isEmpty():
-        tied = keep.join(several, "__root", "left_semi")
-        texts = keyed.join(tied, same(tied)).groupBy("__root").agg(_digest(F.min("text")).alias("__text"))
-        keep = keep.join(several, "__root", "left_anti").unionByName(
-            tied.join(texts, ["__root", "__text"], "left_semi")).checkpoint()
+        tied = keep.join(several, "root", "left_semi")
+        texts = keyed.join(tied, same(tied)).groupBy("root").agg(_digest(F.min("row.text")).alias("digest"))
+        keep = keep.join(several, "root", "left_anti").unionByName(
+            tied.join(texts, ["root", "digest"], "left_semi")).checkpoint()
     kept = keyed.join(keep, same(keep), "left_semi")
-    if not keep.where("__rows > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "__digest"])
-    return kept.drop("__digest")
+    if not keep.where("n > 1").isEmpty():
+        kept = kept.dropDuplicates(["row_id", "row_text"])
+    return kept.select("row.*")

@@ -1,4 +1,4 @@
-"""Repeated passages by prefix-partitioned suffix trees.
+"""Repeated passages by prefix-partitioned groups of suffixes.
 
 A word is removed when it lies in a window of ``window`` consecutive words whose
 word sequence also starts anywhere else in the table (same document included).
@@ -8,17 +8,18 @@ by a ``prefix``-word gram inside them: the one with the smallest hash, the first
 of equals. Equal windows hold equal grams, so they always meet. Consecutive
 windows mostly share that gram, so one row carries a whole run of suffixes (about
 12 of them) and the shuffle holds a few bytes per word instead of a row per word.
-A gram with more than ``group_rows`` rows would not fit a subtree in memory: it
-is lengthened to the whole window, where equal suffixes are counted with a
-map-side combine and no group has to be held at all. So the prefix length varies
-from ``prefix`` to ``window`` words, and every task works on memory-sized groups.
-
-Subtree. A task sorts the suffixes of its groups by (gram, place of the gram,
-word sequence). Neighbours that agree on all of it are leaves below one internal
-node at depth ``window``; nodes further down only lengthen the same passages, and
-touching windows are joined into maximal repeats afterwards. Sequences are
-compared by 112 bits: 64 of the gram and 48 of the whole window, both over
-64-bit word hashes.
+A gram with more than ``group_rows`` rows (not counting up to two in each task) is
+lengthened to the whole window, where equal suffixes are counted with a map-side
+combine and no group has to be held at all; beyond HOT_KEYS such grams only the
+larger ones are. So the prefix length varies from ``prefix`` to ``window`` words.
+
+Groups. A task takes whole groups of ``task_bytes`` and finds equal suffixes: a
+sort by a 64-bit mix of gram, place of the gram and a 48-bit hash of the window (for
+lengthened grams all three are compared). Equal neighbours are what the leaves below
+one internal node at depth ``window`` of a suffix tree would be. No tree is built and
+no words are compared: carrying the words themselves would take a shuffle of about
+3.8 times the text, beyond the disk that the operator may use. Deeper nodes only
+lengthen the same passages; touching windows are joined into maximal repeats.
 
 Defined results: a null text has no words; texts shorter than a window are never
 cut; repeated rows are repeats of one another, so every row of theirs of at least
@@ -159,7 +160,7 @@ def _rows(keyed: DataFrame, window: int, prefix: int, hot, want_hot: bool) -> Da
 
 
 def _subtree(g, lead, count, fp) -> np.ndarray:
-    """Which suffixes end below an internal node, i.e. have an equal elsewhere."""
+    """Which suffixes have an equal elsewhere in their group."""
     run = np.repeat(np.arange(len(g)), count)
     place = lead[run] - (np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count))
     key = mix64(g[run] + place.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)) \

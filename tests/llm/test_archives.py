@@ -88,3 +88,27 @@ def test_wrong_lengths_are_refused():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert archives.archive_pages(df, archives.shared_folder(spark)).count() == 0
+
+
+def test_text_ids_of_any_spelling(spark):
+    ids = ["a b", "x#y", "100% +1", "é日", "line\r\nend", "plain"]
+    rows = [(i, "http://x", f"page {k % 3}") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    back = {r.source: r for r in archives.archive_pages(df, archives.shared_folder(spark)).collect()}
+    assert set(back) == set(ids)
+    for k, i in enumerate(ids):
+        least = min(j for n, j in enumerate(ids) if n % 3 == k % 3)
+        assert (back[i].type, back[i].refers_source) == (("response", None) if i == least else ("revisit", least))
+
+
+def test_files_are_bounded_by_bytes(spark, monkeypatch):
+    """A run of large pages does not make a file of the usual number of records."""
+    monkeypatch.setattr(archives, "LARGEST_FILE", 9000)
+    rows = [(i, "u", f"{i} " + "x" * (4000 if i < 8 else 1)) for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    root = archives.shared_folder(spark)
+    back = archives.archive_pages(df, root)
+    assert back.count() == 200
+    files = [f.split(":", 1)[-1] for f in back.inputFiles()]
+    per_file = spark.read.format("binaryFile").load(files).select("content").collect()
+    assert max(len(list(archives.parse_warc(archives.plain(bytes(r.content))))) for r in per_file if r.content) == 1

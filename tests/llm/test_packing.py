@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from candlewick.llm import packing
@@ -17,7 +18,6 @@ from tests.llm.common import AWKWARD, table, with_extras
 @pytest.fixture(scope="module")
 def reference():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [0]
 
 
@@ -55,8 +55,9 @@ def brute_bins(lengths, size):
 
 
 def test_ids_equal_the_reference_tokenizer(reference):
+    """The encoder of the text between added tokens (those: the next test)."""
     rnd = random.Random(1)
-    texts = [t or "" for t in AWKWARD] + [" lead", "trail ", "a \n b", "a b \n", "<|endoftext|> x", "don't  we're"]
+    texts = [t or "" for t in AWKWARD] + [" lead", "trail ", "a \n b", "a b \n", "<|endoftext x", "don't  we're"]
     texts += ["".join(rnd.choice(" \n\tab1.'s é\x1d") for _ in range(rnd.randint(0, 30))) for _ in range(1500)]
     tok = packing.ChunkTokenizer(keep=500)
     for i in range(0, len(texts), 97):
@@ -112,6 +113,7 @@ def test_whole_table(spark, reference):
 
 def test_awkward_rows_small_sequences_and_buckets(spark, reference):
     rows = list(enumerate(AWKWARD)) + [(None, "no id"), (None, None), (4, "a"), (4, "a")]
+    rows += [(50, "<|endoftext|> x"), (51, "a<|endoftext|><|endoftext|>"), (52, "<|endoftext| >")]
     pieces = packing.pack(with_extras(table(spark, rows)), seq_len=16, rank_rows=7, with_ids=True).collect()
     assert check(rows, pieces, reference, 16) == brute_bins([p.length for p in pieces], 16)[0]
     assert all(len(p.ids) == 4 * p.length for p in pieces)
@@ -119,3 +121,15 @@ def test_awkward_rows_small_sequences_and_buckets(spark, reference):
 
 def test_empty_table(spark):
     assert packing.pack(table(spark, [])).count() == 0
+
+
+def test_a_row_repeated_many_times_is_ranked_in_parts(spark):
+    """Copies of one row fall into buckets of their own input partitions."""
+    rows = [(1, "same words here")] * 300 + [(i, f"text {i}") for i in range(2, 60)]
+    pieces = packing.tokenised_pieces(table(spark, rows).repartition(6), 64, packing.VOCABULARY, 0, False).checkpoint()
+    _, hist = packing.ranked(pieces, 20)
+    length = pieces.where("doc_id = 1").first().length
+    of_copies = [r.n for r in hist.where(F.col("length") == length).collect()]
+    assert sum(of_copies) >= 300 and max(of_copies) < 200
+    out = packing.pack_pieces(pieces, 64, 20).collect()
+    assert len(out) == len(rows) and len({(p.sequence_id, p.offset) for p in out}) == len(rows)

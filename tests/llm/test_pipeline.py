@@ -52,7 +52,7 @@ def test_stages_take_awkward_and_empty_tables(spark):
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_queries_with_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     df = registry.QUERIES[name](spark, SF001)
     rel = con.sql(registry.ORACLES[name])
@@ -64,6 +64,6 @@ def test_queries_with_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
     assert decontam and simhash and substrings

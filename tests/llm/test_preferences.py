@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from candlewick.llm import preferences as P
+from tests.llm.common import with_extras
 
 
 def turns(spark, rows):
@@ -51,3 +52,20 @@ def test_pairs_of_a_table(spark):
 
 def test_empty_table(spark):
     assert P.preference_pairs(turns(spark, [])).count() == 0
+
+
+def test_clashing_columns_and_long_texts(spark):
+    long = "word " * 60_000
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", long), (2, 0, "user", "hi"), (2, 1, "assistant", "short"),
+            (3, 0, "user", None), (3, 1, None, "x"), (None, 0, "user", "hi")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    extra = with_extras(turns).withColumn("turns", F.lit(1)).withColumn("chosen", F.lit("c")).withColumn("rank", F.lit(2))
+    want = sorted(map(tuple, P.preference_pairs(turns).collect()), key=str)
+    assert sorted(map(tuple, P.preference_pairs(extra).collect()), key=str) == want and want
+    assert any(long in r[5] for r in want)
+    t = "array<struct<turn:long,role:string,text:string>>"
+    pairs = spark.createDataFrame([("p", "old", [(0, "user", "q"), (1, "assistant", "a")],
+                                    [(0, "user", "q"), (1, "assistant", "b")])],
+                                  f"pair_id string, prompt string, chosen {t}, rejected {t}")
+    out = P.format_pairs(pairs)
+    assert out.columns.count("prompt") == 1 and out.first().prompt == "<|user|>\nq<|end|>\n"

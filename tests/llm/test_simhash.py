@@ -97,3 +97,14 @@ def test_components_of_chains_and_stars(spark):
     out = {r.node: r.root for r in graph.components(df).collect()}
     assert out == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(40)}, 500: 400, 400: 400}
     assert graph.components(df.where(F.lit(False))).count() == 0
+
+
+def test_keep_one_keeps_columns_of_any_name(spark):
+    rows = [(1, "alpha beta gamma " * 5), (2, "alpha beta gamma " * 5), (3, None)]
+    docs = table(spark, rows)
+    for name in ("__digest", "digest", "root", "n", "row", "row_id", "a b", "texts"):
+        docs = docs.withColumn(name, F.lit(name))
+    out = simhash.keep_one(docs)
+    assert out.columns == docs.columns
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3]
+    assert {r["__digest"] for r in out.collect()} == {"__digest"}
