@@ -57,12 +57,21 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of the documents that pass all stages."""
-    docs = load(spark, sf_dir, "documents")
+    """The packed pieces of the documents that pass all stages. A stage's table is
+    removed once the next one is written; the last one stays, as the result reads it."""
+    docs, before = load(spark, sf_dir, "documents"), None
     root = f"{checkpoint_root(spark)}/pipeline/{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{root}/{k}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            _remove(spark, before)
+        before = path
     return docs
