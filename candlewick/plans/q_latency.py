@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from candlewick.config import BOUNDS_E2E_LATENCY
@@ -13,8 +15,10 @@ from candlewick.plans import sql as S
 from candlewick.plans.common import finish, register, ticks
 from candlewick.plans.q_messages import MSG_CTE
 from candlewick.plans.q_prices import valid_prices
+from candlewick.session import checkpoint_root
 from candlewick.sources.streams import retain_bytes, since
 from candlewick.sources.tables import load
+from candlewick.sources.ticks import epoch_micros
 
 LAT_CTE = MSG_CTE + """, lat AS (
   SELECT offs, symbol,
@@ -82,6 +86,31 @@ def latency_quantiles_bracketed(spark, sf_dir):
     return finish(exact_quantiles(latency_table(spark, sf_dir), "e2e_seconds", limit=500))
 
 
+# days 3 to 20 of the tape, in whole hours
+_FROM_H, _TO_H = 3 * 24, 20 * 24
+
+
+@register("sketched_quantiles", MSG_CTE + f"""
+  SELECT symbol, CAST(q AS DECIMAL(3, 2)) AS q, count(*) AS n, true AS within_bound
+  FROM m, (SELECT min(epoch_us(ts)) // 3600000000 AS h FROM events), (VALUES (0.5), (0.95), (0.99)) v(q)
+  WHERE error_type IS NULL AND sts IS NOT NULL AND bts // 3600000000 BETWEEN h + {_FROM_H} AND h + {_TO_H} GROUP BY symbol, q""")
+def sketched_quantiles(spark, sf_dir):
+    """Quantiles over a range from stored hourly sketches, held against the rows: the
+    rank of each is within the stated error (D11)."""
+    from candlewick.operators import sketches as K
+    t = valid_prices(spark, sf_dir).select("symbol", "binance_timestamp", L.e2e_latency(
+        "stored_timestamp", "binance_timestamp").alias("e2e_seconds"))
+    hour = F.floor(F.col("binance_timestamp") / F.lit(3600_000_000))
+    path = f"{checkpoint_root(spark)}/sketches-{uuid.uuid4().hex[:12]}"
+    K.interval_sketches(t, "e2e_seconds", F.col("binance_timestamp"), 3600).write.parquet(path)
+    first = load(spark, sf_dir, "events").agg(F.min(epoch_micros("ts"))).first()[0]
+    a, z = (first // 3600_000_000 + h if first is not None else 0 for h in (_FROM_H, _TO_H))
+    est = K.range_quantiles(spark.read.parquet(path), a, z)
+    err = K.rank_error(t.where(hour.between(a, z)), "e2e_seconds", est)
+    return err.select("symbol", F.col("q").cast("decimal(3,2)").alias("q"), "n",
+                      (F.col("error") <= K.RANK_ERROR).alias("within_bound"))
+
+
 @register("latency_share", LAT_CTE + f"""
   SELECT symbol, {S.r6('avg(system_seconds) / avg(e2e_seconds)')} AS system_share,
          {S.r6('avg(network_seconds) / avg(e2e_seconds)')} AS network_share
