@@ -91,7 +91,7 @@ _FROM_H, _TO_H = 3 * 24, 20 * 24
 
 
 @register("sketched_quantiles", MSG_CTE + f"""
-  SELECT symbol, CAST(q AS DECIMAL(3, 2)) AS q, count(*) AS n, true AS within_bound
+  SELECT symbol, CAST(q * 100 AS INTEGER) AS percent, count(*) AS n, true AS within_bound
   FROM m, (SELECT min(epoch_us(ts)) // 3600000000 AS h FROM events), (VALUES (0.5), (0.95), (0.99)) v(q)
   WHERE error_type IS NULL AND sts IS NOT NULL AND bts // 3600000000 BETWEEN h + {_FROM_H} AND h + {_TO_H} GROUP BY symbol, q""")
 def sketched_quantiles(spark, sf_dir):
@@ -107,7 +107,7 @@ def sketched_quantiles(spark, sf_dir):
     a, z = (first // 3600_000_000 + h if first is not None else 0 for h in (_FROM_H, _TO_H))
     est = K.range_quantiles(spark.read.parquet(path), a, z)
     err = K.rank_error(t.where(hour.between(a, z)), "e2e_seconds", est)
-    return err.select("symbol", F.col("q").cast("decimal(3,2)").alias("q"), "n",
+    return err.select("symbol", F.round(F.col("q") * 100).cast("int").alias("percent"), "n",
                       (F.col("error") <= K.RANK_ERROR).alias("within_bound"))
 
 
