@@ -139,28 +139,29 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS)
               .join(sizes, "lang", "left").na.fill(0, ["total", "v"])
               .withColumn("p0", _p(F.lit(0), F.col("total"), F.col("v"))).checkpoint())
     known = sums.join(groups, "gid").select(
-        "lang", "source", "idx", "p0", _p(F.col("n"), F.col("total"), F.col("v")).alias("p"))
-
-    # distances
-    a = groups.select("lang", "v", F.col("source").alias("sa"), F.col("p0").alias("a0"))
-    b = groups.select("lang", F.col("source").alias("sb"), F.col("p0").alias("b0"))
-    base = a.join(b, "lang").where("sa <> sb").select(
-        "lang", "sa", "sb", F.coalesce(F.col("v") * F.abs(F.col("a0") - F.col("b0")), F.lit(0)).alias("f"))
-    spread = known.groupBy("lang", F.col("source").alias("sa"), F.col("p0").alias("a0"), "p").agg(F.count("*").alias("k"))
-    own = spread.join(b, "lang").where("sa <> sb").select(
-        "lang", "sa", "sb",
-        (F.col("k") * (F.abs(F.col("p") - F.col("b0")) - F.abs(F.col("a0") - F.col("b0")))).alias("f"))
-    own = own.groupBy("lang", "sa", "sb").agg(F.sum("f").alias("f"))
-    x = known.select("idx", "lang", F.col("source").alias("sa"), F.col("p").alias("pa"), F.col("p0").alias("a0"))
-    y = known.select("idx", F.col("source").alias("sb"), F.col("p").alias("pb"), F.col("p0").alias("b0"))
-    both = x.join(y, "idx").where("sa < sb").select(
-        "lang", "sa", "sb", (F.abs(F.col("pa") - F.col("pb")) - F.abs(F.col("pa") - F.col("b0"))
-                             - F.abs(F.col("a0") - F.col("pb")) + F.abs(F.col("a0") - F.col("b0"))).alias("f"))
-    both = both.groupBy("lang", "sa", "sb").agg(F.sum("f").alias("f"))
-    turn = lambda d: d.select("lang", F.col("sb").alias("sa"), F.col("sa").alias("sb"), "f")
+        "gid", "lang", "source", "idx", "p0", _p(F.col("n"), F.col("total"), F.col("v")).alias("p"))
+
+    # distances, by the groups' numbers
+    a = groups.select("lang", "v", F.col("gid").alias("ga"), F.col("p0").alias("a0"))
+    b = groups.select("lang", F.col("gid").alias("gb"), F.col("p0").alias("b0"))
+    base = a.join(b, "lang").where("ga <> gb").select(
+        "ga", "gb", F.coalesce(F.col("v") * F.abs(F.col("a0") - F.col("b0")), F.lit(0)).alias("f"))
+    spread = known.groupBy("lang", F.col("gid").alias("ga"), F.col("p0").alias("a0"), "p").agg(F.count("*").alias("k"))
+    own = spread.join(b, "lang").where("ga <> gb").select(
+        "ga", "gb", (F.col("k") * (F.abs(F.col("p") - F.col("b0")) - F.abs(F.col("a0") - F.col("b0")))).alias("f"))
+    own = own.groupBy("ga", "gb").agg(F.sum("f").alias("f"))
+    x = known.select("idx", F.col("gid").alias("ga"), F.col("p").alias("pa"), F.col("p0").alias("a0"))
+    y = known.select("idx", F.col("gid").alias("gb"), F.col("p").alias("pb"), F.col("p0").alias("b0"))
+    both = x.join(y, "idx").where("ga < gb").select(
+        "ga", "gb", (F.abs(F.col("pa") - F.col("pb")) - F.abs(F.col("pa") - F.col("b0"))
+                     - F.abs(F.col("a0") - F.col("pb")) + F.abs(F.col("a0") - F.col("b0"))).alias("f"))
+    both = both.groupBy("ga", "gb").agg(F.sum("f").alias("f"))
+    turn = lambda d: d.select(F.col("gb").alias("ga"), F.col("ga").alias("gb"), "f")
     pairs = (base.unionByName(own).unionByName(turn(own)).unionByName(both).unionByName(turn(both))
-             .groupBy("lang", F.col("sa").alias("source"), F.col("sb").alias("item")).agg(F.sum("f").alias("value"))
-             .withColumn("part", F.lit("pair")))
+             .groupBy("ga", "gb").agg(F.sum("f").alias("value"))
+             .join(groups.select(F.col("gid").alias("ga"), "lang", "source"), "ga")
+             .join(groups.select(F.col("gid").alias("gb"), F.col("source").alias("item")), "gb")
+             .select("lang", "source", "item", "value", F.lit("pair").alias("part")))
 
     # over-represented terms
     whole = sums.groupBy("idx").agg(F.sum("n").alias("n")).join(vocabulary, "idx")
