@@ -96,15 +96,15 @@ BY_NAME: list[Spec] = [
 
 # Catalogue base series -> series derived from the driver tables (+ labels).
 FAMILY_SOURCES: list[tuple[str, str, tuple]] = [
-    ("producer_latency_seconds", "system_latency_seconds", ()),
+    ("producer_latency_seconds", "producer_latency_seconds", ()),
     ("binance_network_latency_seconds", "network_latency_seconds", ()),
     ("producer_messages_received_total", "ticks_total", ()),
     ("producer_messages_sent_total", "ticks_total", ()),
     ("producer_errors_total", "feed_errors_total", ()),
     ("consumer_e2e_latency_seconds", "e2e_latency_seconds", (("consumer", "prices"),)),
     ("consumer_system_latency_seconds", "system_latency_seconds", (("consumer", "prices"),)),
-    ("consumer_processing_latency_seconds", "network_latency_seconds", (("consumer", "prices"),)),
-    ("consumer_processing_latency_seconds", "e2e_latency_seconds", (("consumer", "alerts"),)),
+    ("consumer_processing_latency_seconds", "processing_latency_seconds", (("consumer", "prices"),)),
+    ("consumer_processing_latency_seconds", "alert_processing_seconds", (("consumer", "alerts"),)),
     ("consumer_messages_processed_total", "ticks_total", (("consumer", "prices"),)),
     ("consumer_errors_total", "consumer_rejects_total", (("consumer", "prices"),)),
     ("consumer_errors_total", "alert_rejects_total", (("consumer", "alerts"),)),

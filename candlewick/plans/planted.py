@@ -32,13 +32,13 @@ def consumer_value() -> Column:
     return F.to_json(F.struct(F.col("price"), bts.alias("binance_timestamp"), rts.alias("received_timestamp")))
 
 
-def consumer_records(ticks: DataFrame) -> DataFrame:
+def consumer_records(ticks: DataFrame, *more: str) -> DataFrame:
     """Fixture M: price records with consumer-side faults. ``stored_timestamp`` is the
-    time the consumer finished the write."""
+    time the consumer finished the write; ``more`` columns of the ticks are added."""
     return ticks.select(
         consumer_key().cast("binary").alias("key"), consumer_value().cast("binary").alias("value"),
         F.lit("prices").alias("topic"), F.col("partition").cast("int").alias("partition"),
-        F.col("offset").cast("long").alias("offset"), F.col("stored_timestamp"))
+        F.col("offset").cast("long").alias("offset"), F.col("stored_timestamp"), *more)
 
 
 def envelope_json() -> Column:
@@ -68,8 +68,28 @@ def _hour():
     return F.floor(epoch_micros("window_end") / F.lit(3600_000_000))
 
 
+def _share(percent: Column) -> Column:
+    """A percentage of the time between the producer's receipt and the consumer's write, µs."""
+    return F.call_function("div", (F.col("stored_timestamp") - F.col("received_timestamp")) * percent, F.lit(100))
+
+
+def sent_us() -> Column:
+    """Fixture T: the producer has sent a message after 10 to 49 % of its way."""
+    return F.col("received_timestamp") + _share(F.lit(10) + F.col("event_id") * 7 % 40)
+
+
+def started_us() -> Column:
+    """Fixture T: the consumer works on a message for the last 5 to 34 % of its way."""
+    return F.col("stored_timestamp") - _share(F.lit(5) + F.col("event_id") * 11 % 30)
+
+
+def alert_us() -> Column:
+    """Fixture T: an alert takes 40 µs to 60 ms, by the hour of its window's end."""
+    return F.lit(40) + _hour() * 7919 % 60000
+
+
 MESSAGES = SA.Messages(envelope_json, consumer_key, consumer_value, lambda: F.col("event_id") % 40 >= 38,
-                       lambda: _hour() % BAD_ALERT_HOURS == 0)
+                       lambda: _hour() % BAD_ALERT_HOURS == 0, sent_us, started_us, alert_us)
 
 
 def spoiled(exact: DataFrame) -> DataFrame:

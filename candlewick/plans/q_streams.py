@@ -12,10 +12,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from candlewick.config import FIXTURE_RANGE, FIXTURE_STEP, MAX_ALERTS_STORED
+from candlewick.config import (BOUNDS_E2E_LATENCY, BOUNDS_NETWORK_LATENCY, BOUNDS_PRICE_PROCESSING,
+                               BOUNDS_SYSTEM_LATENCY, FIXTURE_RANGE, FIXTURE_STEP, MAX_ALERTS_STORED)
 from candlewick.plans import sql as S
 from candlewick.plans.common import finish, register, ticks
-from candlewick.plans.planted import consumer_records
+from candlewick.plans.planted import consumer_records, started_us
 from candlewick.plans.q_candles import T_CTE
 from candlewick.plans.q_prices import LATEST_SQL
 from candlewick.schemas import ALERT_SCHEMA
@@ -274,3 +275,48 @@ def streamed_tick_counts(spark, sf_dir):
     end = F.timestamp_seconds(F.col("k") * F.lit(3600)).cast("timestamp_ntz")
     return finish(g.select("symbol", end.alias("scrape_end"), F.col("messages").cast("long").alias("messages"),
                            (F.col("_us") / F.lit(1e6)).alias("e2e_sum_seconds")))
+
+
+_LIVE = {"e2e_latency_seconds": ("sts - bts", BOUNDS_E2E_LATENCY),
+         "network_latency_seconds": ("rts - bts", BOUNDS_NETWORK_LATENCY),
+         "system_latency_seconds": ("sts - rts", BOUNDS_SYSTEM_LATENCY),
+         "processing_latency_seconds": ("took", BOUNDS_PRICE_PROCESSING)}
+_LIVE_LES = ", ".join(f"('{f}', {b!r})" for f, (_, bounds) in _LIVE.items() for b in bounds)
+_LIVE_US = ", ".join(f"('{f}', {us})" for f, (us, _) in _LIVE.items())
+
+
+@register("streamed_latencies", f"""WITH t AS ({S.TICKS}), m AS (
+  SELECT symbol, bts, sts, CASE WHEN event_id % 61 <> 0 THEN rts END AS rts,
+         (sts - rts) * (5 + event_id * 11 % 30) // 100 AS took FROM t
+  WHERE NOT (event_id % 71 = 0 OR symbol IS NULL OR symbol = '') AND NOT (event_id % 67 = 0 OR bts IS NULL)),
+closed AS (SELECT * FROM m WHERE make_timestamp((bts // {S.HOUR_US} + 1) * {S.HOUR_US})
+             <= (SELECT make_timestamp(max(bts)) FROM m) - INTERVAL 1 SECOND),
+seen AS (SELECT symbol, CAST(make_timestamp(bts // {S.HOUR_US} * {S.HOUR_US}) AS DATE) AS "day", v.family, v.us
+         FROM closed, LATERAL (VALUES {_LIVE_US}) v(family, us)),
+les AS (SELECT * FROM (VALUES {_LIVE_LES}) l(family, le)
+        UNION ALL SELECT DISTINCT family, 'inf'::DOUBLE FROM seen),
+totals AS (SELECT symbol, "day", family, coalesce(sum(us), 0) / 1e6 AS sum_seconds FROM seen GROUP BY ALL)
+  SELECT s.symbol, s."day", s.family, le, count(us) FILTER (WHERE us / 1e6 <= le) AS observations,
+         any_value(sum_seconds) AS sum_seconds
+  FROM seen s JOIN les USING (family) JOIN totals USING (symbol, "day", family)
+  GROUP BY s.symbol, s."day", s.family, le""")
+def streamed_latencies(spark, sf_dir):
+    """The live metrics job over the consumer tape: the histograms of all four
+    latencies, added up per symbol and day over the closed scrape hours."""
+    from candlewick.streaming.metrics import start_metrics_job
+    root = _run_dir(spark, "latencies")
+    timed = ticks(spark, sf_dir).withColumn("processing_start", started_us())
+    records = consumer_records(timed, "processing_start")
+
+    def run():
+        src = spark.readStream.schema(records.schema).parquet(f"{root}/prices")
+        start_metrics_job(src, f"{root}/ckpt", f"{root}/inc", 3600, available_now=True).awaitTermination()
+
+    replay_in_slices(records, f"{root}/prices", run, _slices(records))
+    start = F.timestamp_seconds((F.col("k") - 1) * F.lit(3600)).cast("timestamp_ntz")
+    inc = spark.read.parquet(f"{root}/inc").where("family <> 'ticks_total'").select(
+        F.col("labels")["symbol"].alias("symbol"), start.cast("date").alias("day"), "family", "part", "le", "inc")
+    keys = ["symbol", "day", "family"]
+    buckets = inc.where("part = 'bucket'").groupBy(*keys, "le").agg(F.sum("inc").alias("observations"))
+    sums = inc.where("part = 'sum'").groupBy(*keys).agg((F.sum("inc") / F.lit(1e6)).alias("sum_seconds"))
+    return finish(buckets.join(sums, keys))

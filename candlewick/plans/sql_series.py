@@ -7,7 +7,8 @@ lookup with a band join + arg_max, and quantiles with window functions.
 
 from __future__ import annotations
 
-from candlewick.config import (BOUNDS_E2E_LATENCY, BOUNDS_NETWORK_LATENCY, BOUNDS_SYSTEM_LATENCY,
+from candlewick.config import (BOUNDS_ALERT_PROCESSING, BOUNDS_E2E_LATENCY, BOUNDS_NETWORK_LATENCY,
+                               BOUNDS_PRICE_PROCESSING, BOUNDS_PRODUCER_LATENCY, BOUNDS_SYSTEM_LATENCY,
                                FIXTURE_LOOKBACK, FIXTURE_RANGE, FIXTURE_STEP)
 from candlewick.plans import sql as S
 from candlewick.plans.catalog import ALL_SPECS, FAMILY_SOURCES, GAUGE_SOURCES
@@ -35,14 +36,14 @@ def _sel(family, part, le, inc, group, src="s_tk", scale=1.0, **labels):
             f"FROM {src} GROUP BY {group}")
 
 
-def _hist(family, col, bounds):
+def _hist(family, col, bounds, src="s_tk"):
     les = ", ".join(f"({b!r})" for b in bounds) + ", ('inf'::DOUBLE)"
     sym = dict(symbol="symbol", who="symbol")
     return [
         _sel(family, "bucket", "b.le", f"count({col}) FILTER (WHERE {col} <= b.le)", "symbol, k, b.le",
-             src=f"s_tk CROSS JOIN (VALUES {les}) b(le)", **sym),
-        _sel(family, "sum", "NULL", f"coalesce(sum({col}_us), 0)", "symbol, k", scale=1e6, **sym),
-        _sel(family, "count", "NULL", f"count({col})", "symbol, k", **sym),
+             src=f"{src} CROSS JOIN (VALUES {les}) b(le)", **sym),
+        _sel(family, "sum", "NULL", f"coalesce(sum({col}_us), 0)", "symbol, k", src=src, scale=1e6, **sym),
+        _sel(family, "count", "NULL", f"count({col})", "symbol, k", src=src, **sym),
     ]
 
 
@@ -52,6 +53,9 @@ def samples_ctes(alerts_sql: str) -> str:
     incs += _hist("e2e_latency_seconds", "e2e", BOUNDS_E2E_LATENCY)
     incs += _hist("network_latency_seconds", "net", BOUNDS_NETWORK_LATENCY)
     incs += _hist("system_latency_seconds", "sys", BOUNDS_SYSTEM_LATENCY)
+    incs += _hist("producer_latency_seconds", "prod", BOUNDS_PRODUCER_LATENCY)
+    incs += _hist("processing_latency_seconds", "proc", BOUNDS_PRICE_PROCESSING)
+    incs += _hist("alert_processing_seconds", "took", BOUNDS_ALERT_PROCESSING, src="s_alerts")
     nm = dict(name="symbol", who="symbol")
     incs += [
         _sel("cpu_seconds_total", "", "NULL", "coalesce(sum(cents), 0)", "symbol, k", scale=100000.0, **nm),
@@ -82,7 +86,9 @@ s_t2 AS (SELECT *, sts - bts AS e2e_us, rts - bts AS net_us, CASE WHEN rts <> 0
            (sts - bts) / 1e6 AS e2e, (rts - bts) / 1e6 AS net,
            CASE WHEN rts <> 0 THEN (sts - rts) / 1e6 END AS sys,
            CAST(round(price * 100.0) AS BIGINT) AS cents, {_kexpr('bts')} AS k FROM s_t),
-s_tk AS (SELECT * FROM s_t2 WHERE k BETWEEN 1 AND {K}),
+s_tk AS (SELECT *, (sts - rts) * (10 + event_id * 7 % 40) // 100 AS prod_us, prod_us / 1e6 AS prod,
+           (sts - rts) * (5 + event_id * 11 % 30) // 100 AS proc_us, proc_us / 1e6 AS proc
+         FROM s_t2 WHERE k BETWEEN 1 AND {K}),
 s_feed AS (SELECT * FROM (
     SELECT {_kexpr('epoch_us(ts)')} AS k,
       CASE WHEN event_id % 97 = 0 THEN 'json_decode' WHEN event_id % 89 = 0 THEN 'processing'
@@ -96,7 +102,7 @@ s_cons AS (SELECT * FROM (
     FROM s_t) WHERE error_type IS NOT NULL AND k BETWEEN 1 AND {K}),
 s_probe_fail AS (SELECT * FROM s_tk WHERE event_id % 40 >= 38),
 s_alerts AS (SELECT * FROM (SELECT alert_type, symbol, {_kexpr('epoch_us(window_end)')} AS k,
-           epoch_us(window_end) // 3600000000 AS hr
+           epoch_us(window_end) // 3600000000 AS hr, 40 + hr * 7919 % 60000 AS took_us, took_us / 1e6 AS took
     FROM ({alerts_sql})) WHERE k BETWEEN 1 AND {K}),
 s_inc AS (
     {inc_sql}),

@@ -21,7 +21,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from candlewick.config import (BOUNDS_E2E_LATENCY, BOUNDS_NETWORK_LATENCY, BOUNDS_SYSTEM_LATENCY,
+from candlewick.config import (BOUNDS_ALERT_PROCESSING, BOUNDS_E2E_LATENCY, BOUNDS_NETWORK_LATENCY,
+                               BOUNDS_PRICE_PROCESSING, BOUNDS_PRODUCER_LATENCY, BOUNDS_SYSTEM_LATENCY,
                                FIXTURE_STEP)
 from candlewick.functions import latency as L
 from candlewick.functions import normalize as N
@@ -44,12 +45,17 @@ SERIES_COLS = ("family", "part", "series", "le")
 class Messages:
     """The messages as they arrive, as columns over ticks (and alerts): the raw feed
     envelope, the consumer's record key and value, whether the clock request failed,
-    and whether an alert record is invalid. The defaults are well-formed messages."""
+    and whether an alert record is invalid; and the times of its steps in µs: when the
+    producer had sent it, when the consumer began with it, how long an alert took. The
+    defaults are well-formed messages whose steps were not timed."""
     envelope: Callable[[], Column] = trade_envelope
     key: Callable[[], Column] = lambda: F.col("symbol")
     value: Callable[[], Column] = price_value
     request_failed: Callable[[], Column] = lambda: F.lit(False)
     alert_invalid: Callable[[], Column] = lambda: F.lit(False)
+    sent: Callable[[], Column] = lambda: F.lit(None).cast("long")
+    started: Callable[[], Column] = lambda: F.lit(None).cast("long")
+    alert_us: Callable[[], Column] = lambda: F.lit(None).cast("long")
 
 
 def scrape_of(micros: Column, origin: int = 0, step: int = FIXTURE_STEP) -> Column:
@@ -103,6 +109,8 @@ def _counter_entries():
     e += _hist("e2e_latency_seconds", F.col("e2e"), F.col("e2e_us"), sym, BOUNDS_E2E_LATENCY)
     e += _hist("network_latency_seconds", F.col("net"), F.col("net_us"), sym, BOUNDS_NETWORK_LATENCY)
     e += _hist("system_latency_seconds", F.col("sys"), F.col("sys_us"), sym, BOUNDS_SYSTEM_LATENCY)
+    e += _hist("producer_latency_seconds", F.col("prod"), F.col("prod_us"), sym, BOUNDS_PRODUCER_LATENCY)
+    e += _hist("processing_latency_seconds", F.col("proc"), F.col("proc_us"), sym, BOUNDS_PRICE_PROCESSING)
     e += [
         ("cpu_seconds_total", "", name, None, F.coalesce(F.sum("cents"), F.lit(0)), 100000.0),
         ("network_receive_bytes_total", "", name, None, F.coalesce(F.sum("user_id"), F.lit(0)), 1.0),
@@ -147,6 +155,7 @@ def scrape_rows(events: DataFrame, grid: Grid, messages: Messages = Messages())
     # Each message is built and parsed once, in its own projection.
     t = N.with_envelope_maps(t.withColumn("_env", messages.envelope()), F.col("_env"))
     t = N.with_value_map(t.withColumn("_cval", messages.value()), F.col("_cval"))
+    t = t.withColumn("prod_us", messages.sent() - rts).withColumn("proc_us", sts - messages.started())
     feed_error = N.envelope_fields(F.col("_env_top"), F.col("_env_data"))[0]
     return t.select(
         "symbol", "k", "event_id", "user_id", "partition", "binance_timestamp",
@@ -154,7 +163,8 @@ def scrape_rows(events: DataFrame, grid: Grid, messages: Messages = Messages())
         (sts - bts).alias("e2e_us"), (rts - bts).alias("net_us"),
         F.when(F.coalesce(rts, F.lit(0)) != 0, sts - rts).alias("sys_us"),
         L.e2e_latency(sts, bts).alias("e2e"), L.network_latency(rts, bts).alias("net"),
-        L.system_latency(sts, rts).alias("sys"),
+        L.system_latency(sts, rts).alias("sys"), "prod_us", "proc_us",
+        (F.col("prod_us") / F.lit(L.MICROS)).alias("prod"), (F.col("proc_us") / F.lit(L.MICROS)).alias("proc"),
         L.clock_skew(before, after, server).alias("skew"), L.round_trip(before, after).alias("rtt"),
         feed_error.alias("feed_error"), messages.request_failed().alias("request_failed"),
         N.price_record_error(messages.key(), F.col("_obj")).alias("consumer_error"),
@@ -187,12 +197,17 @@ def increments(events: DataFrame, alerts_df: DataFrame | None, grid: Grid,
     if alerts_df is not None:
         a = alerts_df.withColumn("k", scrape_of(epoch_micros("window_end"), grid.origin, grid.step)) \
             .where(F.col("k").between(grid.first, grid.last))
-        a = a.withColumn("invalid", messages.alert_invalid()).groupBy("alert_type", "symbol", "k").agg(
-            F.count(F.lit(1)).alias("n"), F.count_if("invalid").alias("bad"))
-
-        def counter(family, labels, inc):
-            return F.struct(F.lit("c").alias("kind"), F.lit(family).alias("family"), F.lit("").alias("part"),
-                            labels.alias("labels"), none_d.alias("le"), inc.alias("inc"), F.lit(1.0).alias("scale"),
+        a = a.withColumn("invalid", messages.alert_invalid()).withColumn("us", messages.alert_us())
+        steps = _hist("alert_processing_seconds", F.col("us") / F.lit(L.MICROS), F.col("us"), _lab(symbol=F.col("symbol")),
+                      BOUNDS_ALERT_PROCESSING)
+        a = a.groupBy("alert_type", "symbol", "k").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if("invalid").alias("bad"),
+            *[e[4].alias(f"_s{i}") for i, e in enumerate(steps)])
+
+        def counter(family, labels, inc, part="", le=None, scale=1.0):
+            return F.struct(F.lit("c").alias("kind"), F.lit(family).alias("family"), F.lit(part).alias("part"),
+                            labels.alias("labels"), F.lit(le).cast("double").alias("le"), inc.cast("long").alias("inc"),
+                            F.lit(float(scale)).alias("scale"),
                             none_d.alias("value"), none_l.alias("obs"), F.lit(None).cast("string").alias("mode"))
 
         lag = F.struct(F.lit("g").alias("kind"), F.lit("alert_lag").alias("family"), F.lit("").alias("part"),
@@ -200,7 +215,8 @@ def increments(events: DataFrame, alerts_df: DataFrame | None, grid: Grid,
                        F.col("n").cast("double").alias("value"), F.col("k").alias("obs"), F.lit("sum").alias("mode"))
         long = long.unionByName(a.select("k", F.inline(F.array(
             counter("alerts_total", _lab(alert_type=F.col("alert_type"), symbol=F.col("symbol")), F.col("n")),
-            counter("alert_rejects_total", _lab(error_type=F.lit("invalid_message")), F.col("bad")), lag))))
+            counter("alert_rejects_total", _lab(error_type=F.lit("invalid_message")), F.col("bad")), lag,
+            *[counter(f, lab, F.col(f"_s{i}"), p, le, sc) for i, (f, p, lab, le, _, sc) in enumerate(steps)]))))
     return long
 
 

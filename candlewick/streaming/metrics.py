@@ -1,12 +1,13 @@
 """Live metric increments from the price feed (D2 D5 in streaming).
 
-The consumer counts valid messages and observes their end-to-end latency as
-they arrive. Here that is one windowed aggregation per (scrape interval,
-symbol) under the event-time watermark: each closed scrape interval appends
-its increments (message counter, latency buckets, latency sum in integer µs,
-count) in the long form ``sources.samples.fill_grid`` turns into cumulative
-samples. The same function runs on a static frame, which is how the stream is
-checked against batch.
+The consumer counts valid messages and observes their latencies as they arrive:
+end to end, on the network, in the system, and in its own processing where the
+records say when that began. Here that is one windowed aggregation per (scrape
+interval, symbol) under the event-time watermark, with fixed-width state: each
+closed scrape interval appends its increments (message counter, and per latency
+buckets, sum in integer µs, count) in the long form that
+``sources.samples.fill_grid`` turns into cumulative samples. The same function
+runs on a static frame, which is how the stream is checked against batch.
 """
 
 from __future__ import annotations
@@ -14,34 +15,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from candlewick.config import BOUNDS_E2E_LATENCY, WATERMARK_DELAY
+from candlewick.config import (BOUNDS_E2E_LATENCY, BOUNDS_NETWORK_LATENCY, BOUNDS_PRICE_PROCESSING,
+                               BOUNDS_SYSTEM_LATENCY, WATERMARK_DELAY)
 from candlewick.functions import normalize as N
 from candlewick.operators.sliding import sliding_rates
 
 INF = float("inf")
+#: Histogram family, the two times (µs) between which it observes, its bounds.
+LATENCIES = (
+    ("e2e_latency_seconds", "binance_timestamp", "stored_timestamp", BOUNDS_E2E_LATENCY),
+    ("network_latency_seconds", "binance_timestamp", "received_timestamp", BOUNDS_NETWORK_LATENCY),
+    ("system_latency_seconds", "received_timestamp", "stored_timestamp", BOUNDS_SYSTEM_LATENCY),
+    ("processing_latency_seconds", "processing_start", "stored_timestamp", BOUNDS_PRICE_PROCESSING),
+)
 
 
-def tick_increments(records: DataFrame, step_seconds: int, origin: int = 0,
-                    bounds=BOUNDS_E2E_LATENCY, watermark: str = WATERMARK_DELAY,
-                    stored_col: str = "stored_timestamp") -> DataFrame:
+def tick_increments(records: DataFrame, step_seconds: int, origin: int = 0, latencies=LATENCIES,
+                    watermark: str = WATERMARK_DELAY) -> DataFrame:
     """Valid price records -> increments per closed scrape interval.
 
     Scrape k covers event times in [t_(k-1), t_k), t_k = origin + k*step
-    (tumbling windows aligned to ``origin``). Output columns match
-    ``sources.samples.increments`` (kind 'c')."""
+    (tumbling windows aligned to ``origin``). A latency is observed where both its
+    times are there and not zero; one whose columns the records lack is left out.
+    Output columns match ``sources.samples.increments`` (kind 'c')."""
     ok = N.good(N.classify_price_records(records))
     ok = ok.withColumn("event_time", F.timestamp_micros("binance_timestamp"))
     if records.isStreaming:
         ok = ok.withWatermark("event_time", watermark)
-    e2e_us = F.col(stored_col) - F.col("binance_timestamp")
-    ok = ok.select("symbol", "event_time", e2e_us.alias("e2e_us"), (e2e_us / F.lit(1e6)).alias("e2e"))
+    latencies = [x for x in latencies if {x[1], x[2]} <= set(ok.columns)]
+    us = [(F.nullif(F.col(b), F.lit(0)) - F.nullif(F.col(a), F.lit(0))).alias(f"_us{j}")
+          for j, (_, a, b, _) in enumerate(latencies)]
+    ok = ok.select("symbol", "event_time", *us)
     offset = f"{origin % step_seconds} seconds"
     w = F.window("event_time", f"{step_seconds} seconds", startTime=offset)
-    v = F.col("e2e")
     aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.count_if(v <= F.lit(float(b))).alias(f"_b{i}") for i, b in enumerate(bounds)]
-    aggs += [F.count(v).alias("_binf"), F.coalesce(F.sum("e2e_us"), F.lit(0)).alias("_sum"),
-             F.count(v).alias("_cnt")]
+    for j, (_, _, _, bounds) in enumerate(latencies):
+        v = F.col(f"_us{j}") / F.lit(1e6)
+        aggs += [F.count_if(v <= F.lit(float(b))).alias(f"_b{j}_{i}") for i, b in enumerate(bounds)]
+        aggs += [F.coalesce(F.sum(f"_us{j}"), F.lit(0)).alias(f"_sum{j}"), F.count(f"_us{j}").alias(f"_cnt{j}")]
     g = ok.groupBy(w.alias("w"), "symbol").agg(*aggs)
     k = ((F.unix_micros(F.col("w.end")) - F.lit(origin * 1_000_000)) / F.lit(step_seconds * 1_000_000)).cast("long")
     lab = F.create_map(F.lit("symbol"), F.col("symbol")).cast("map<string,string>")
@@ -52,11 +63,11 @@ def tick_increments(records: DataFrame, step_seconds: int, origin: int = 0,
                         lab.alias("labels"), F.lit(le).cast("double").alias("le"),
                         F.col(col).cast("long").alias("inc"), F.lit(float(scale)).alias("scale"),
                         none_d.alias("value"), none_l.alias("obs"), F.lit(None).cast("string").alias("mode"))
-    fam = "e2e_latency_seconds"
     entries = [entry("ticks_total", "", None, "_n")]
-    entries += [entry(fam, "bucket", float(b), f"_b{i}") for i, b in enumerate(bounds)]
-    entries += [entry(fam, "bucket", INF, "_binf"), entry(fam, "sum", None, "_sum", 1e6),
-                entry(fam, "count", None, "_cnt")]
+    for j, (fam, _, _, bounds) in enumerate(latencies):
+        entries += [entry(fam, "bucket", float(b), f"_b{j}_{i}") for i, b in enumerate(bounds)]
+        entries += [entry(fam, "bucket", INF, f"_cnt{j}"), entry(fam, "sum", None, f"_sum{j}", 1e6),
+                    entry(fam, "count", None, f"_cnt{j}")]
     return g.select(k.alias("k"), F.inline(F.array(*entries)))
 
 

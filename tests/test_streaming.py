@@ -270,11 +270,12 @@ def test_live_metric_increments_equal_batch(spark, scratch):
     derivation in batch on every closed scrape interval."""
     from candlewick.operators.series import Grid
     from candlewick.sources.samples import fill_grid
-    from candlewick.plans.planted import consumer_records
+    from candlewick.plans.planted import consumer_records, started_us
     from candlewick.sources.ticks import ticks_from_events
-    from candlewick.streaming.metrics import start_metrics_job, tick_increments
+    from candlewick.streaming.metrics import LATENCIES, start_metrics_job, tick_increments
     from tests.conftest import SF01
-    recs = consumer_records(ticks_from_events(spark.read.parquet(f"{SF01}/events.parquet")))
+    timed = ticks_from_events(spark.read.parquet(f"{SF01}/events.parquet")).withColumn("processing_start", started_us())
+    recs = consumer_records(timed, "processing_start")
     # One file per quarter of the tape, written in time order: the file
     # source replays files by modification time, one per micro-batch.
     from candlewick.sources.streams import write_in_time_order
@@ -295,3 +296,25 @@ def test_live_metric_increments_equal_batch(spark, scratch):
     s = sorted(map(key, streamed.where(F.col("ts") <= cut).collect()))
     b = sorted(map(key, batch.where(F.col("ts") <= cut).collect()))
     assert len(s) > 1000 and s == b
+    assert {r[0] for r in s} == {"ticks_total"} | {x[0] for x in LATENCIES}
+
+
+def test_latencies_without_one_of_their_times_are_not_observed(spark):
+    from candlewick.streaming.metrics import tick_increments
+    rows = [("a", '{"price": 1.0, "binance_timestamp": 1704067200000000, "received_timestamp": %s}' % r, s, p)
+            for r, s, p in [("1704067200020000", 1704067200100000, 1704067200099000), ("0", 1704067200200000, None),
+                            ("null", None, 0)]]
+    recs = spark.createDataFrame(rows, "key string, value string, stored_timestamp long, processing_start long")
+
+    def seen(df):
+        got = tick_increments(df, 3600).where("part in ('count', 'sum')").select("family", "part", "inc").collect()
+        return {(r.family, r.part): r.inc for r in got}
+
+    short = {("e2e_latency_seconds", "count"): 2, ("e2e_latency_seconds", "sum"): 300_000,
+             ("network_latency_seconds", "count"): 1, ("network_latency_seconds", "sum"): 20_000,
+             ("system_latency_seconds", "count"): 1, ("system_latency_seconds", "sum"): 80_000}
+    assert seen(recs.drop("processing_start")) == short
+    assert seen(recs) == short | {("processing_latency_seconds", "count"): 1,
+                                  ("processing_latency_seconds", "sum"): 1_000}
+    low = tick_increments(recs, 3600).where("family = 'network_latency_seconds' and part = 'bucket'")
+    assert {r.le: r.inc for r in low.collect()}[0.01] == 0 and {r.le: r.inc for r in low.collect()}[0.025] == 1

@@ -109,7 +109,9 @@ def test_histograms_use_their_own_bounds(spark):
     for r in counters.where("part = 'bucket'").select("family", "le").distinct().collect():
         got.setdefault(r.family, []).append(r.le)
     want = {"e2e_latency_seconds": C.BOUNDS_E2E_LATENCY, "network_latency_seconds": C.BOUNDS_NETWORK_LATENCY,
-            "system_latency_seconds": C.BOUNDS_SYSTEM_LATENCY}
+            "system_latency_seconds": C.BOUNDS_SYSTEM_LATENCY, "producer_latency_seconds": C.BOUNDS_PRODUCER_LATENCY,
+            "processing_latency_seconds": C.BOUNDS_PRICE_PROCESSING,
+            "alert_processing_seconds": C.BOUNDS_ALERT_PROCESSING}
     assert {k: sorted(v) for k, v in got.items()} == {k: [*v, float("inf")] for k, v in want.items()}
 
 
