@@ -62,6 +62,25 @@ def test_series_are_combined_before_colocation(static):
     assert "partial_max_by(value" in p and "partial_sum(inc" in p
 
 
+def test_labels_are_not_encoded_or_parsed_per_sample(static):
+    """JSON texts of label sets are made below the generator of the increments, and read
+    back below the join with the blocks of series: never per sample."""
+    from candlewick.plans import planted
+    from candlewick.sources import samples as SA
+
+    def above(df, node):
+        lines = df._jdf.queryExecution().optimizedPlan().toString().lower().split("\n")
+        at = next(i for i, x in enumerate(lines) if node in x)
+        return "\n".join(lines[:at])
+    events = static.read.parquet(f"{SF001}/events.parquet")
+    grid = SA.scrape_grid(events)
+    made = above(SA.per_scrape(SA.increments(events, None, grid)), "generate inline")
+    assert "to_json" not in made and "structstojson" not in made
+    filled = SA.cumulative(SA.increments(events, None, grid), grid)
+    stored = SA.as_samples(planted.spoiled(filled), grid)
+    assert "from_json" not in above(stored, "join ") and "from_json" in stored._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_no_window_holds_a_whole_series(static):
     """Grid filling and evaluation work on (series, block); only the one-row-per-block
     table is windowed by series."""
