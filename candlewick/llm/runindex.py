@@ -13,8 +13,10 @@ one by one by their own hash. Equal segments are combined first in the task that
 found them and again in their part: the earliest stays, later ones are settled.
 
 Index. A part builds a run-compressed Burrows-Wheeler transform over the unlike
-segments of its groups (suffixes by prefix doubling, every segment with a terminator
-of its own). Of the suffix order only the run heads are kept: the text position at
+segments of its groups that can share a window: each window of 100 bytes holds its anchor
+and 42 bytes to the left of it or to the right, so segments whose neighbourhoods occur
+once are left out (suffixes by prefix doubling, every segment with a terminator of its
+own). Of the suffix order only the run heads are kept: the text position at
 each head, the position just before it in the order, and their common prefix. That is
 enough, as inside a run both positions only move on by one byte with their texts
 (phi(i) = phi(s) + i - s and PLCP(i) = PLCP(s) - (i - s) for the sampled s before i).
@@ -53,10 +55,10 @@ HOT_ROWS = 200_000
 HOT_KEYS = 1 << 20
 PART_BYTES = 24 << 20
 PARTITION_PARTS = 4
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 256 << 10           # indexed at once, in cache; never less than a group
 SLICE = 4 << 20
-DEAL_BYTES = 16 << 20            # text dealt at once, and bytes hashed at once in cache
-CACHE_BYTES = 256 << 10
+DEAL_BYTES = 32 << 20            # text dealt at once, and bytes hashed at once in cache
+CACHE_BYTES = 128 << 10
 _ALONE = 255                     # lead of a window that was dealt on its own
 _LOWEST = -(1 << 63)
 _U = np.uint64
@@ -125,7 +127,21 @@ def _anchors(buf, offs, window, doc0, byte0):
 def _gather(buf, start, size):
     """The byte ranges end to end, and their offsets."""
     to = np.concatenate(([0], np.cumsum(size)))
-    return buf[np.repeat(start - to[:-1], size) + np.arange(to[-1])], to
+    out = np.empty(to[-1], np.uint8)
+    for i, j in slices(to, CACHE_BYTES):
+        widest = int(size[i:j].max())
+        if widest > len(buf) or widest * (j - i) > 4 * (to[j] - to[i]):
+            at = np.repeat(start[i:j] - to[i:j], size[i:j]) + np.arange(to[i], to[j])
+            out[to[i]:to[j]] = buf[at]
+        elif widest:                               # items of one width, and of each its own part
+            skip = np.maximum(start[i:j] + widest - len(buf), 0)
+            items = np.ndarray((len(buf) - widest + 1,), f"V{widest}", buf.data, 0, (1,))[start[i:j] - skip]
+            col = np.arange(widest)
+            own = col < (skip + size[i:j])[:, None]
+            if skip.any():
+                own &= col >= skip[:, None]
+            out[to[i]:to[j]] = items.view(np.uint8).reshape(j - i, widest)[own]
+    return out, to
 
 
 def _cut_alone(hot, cols):
@@ -205,6 +221,27 @@ def _combined(buf, g, first, size, doc, th, at):
     return np.flatnonzero(alone), twice[later]
 
 
+def _may_share(text, to, lead, count, rows, window: int) -> np.ndarray:
+    """Those of ``rows`` (segments with repeated anchors, ascending) that can have a window
+    in common with another. A window that reaches ``lo`` to ``hi`` bytes to the left of its
+    anchor holds all bytes from ``lo`` before the anchor to ``window - hi`` after its start;
+    a segment stays if such a neighbourhood of one of its windows occurs in another. Equal
+    windows have it alike, so none is lost. Segments that share little more than an anchor
+    with others, the more of them the larger the table, need not be indexed."""
+    for pieces in (2, 4):                          # the second pass sees what the first left
+        own = rows[lead[rows] != _ALONE]
+        buf, start = _gather(text, to[own], count[own] + window - 1)
+        p, n = lead[own], count[own]
+        start = start[:-1] + p
+        stay = np.zeros(len(own), bool)
+        edges = [(window - GRAM) * k // pieces for k in range(pieces + 1)]
+        for lo, hi in zip(edges, edges[1:]):
+            has = np.flatnonzero((p >= lo) & (p - n + 1 <= hi))
+            stay[has[_repeated(word_hashes(buf, start[has] - lo, start[has] + window - hi, lower=False))]] = True
+        rows = np.sort(np.concatenate((own[stay], rows[lead[rows] == _ALONE])))
+    return rows
+
+
 def _blobs(buf, offs, docs, ths, hot, parts: int, window: int):
     """(part, blob) rows of a slice, and the spans of the copies settled in it."""
     g, doc, first, lead, count = _cut_alone(hot, anchors(buf, offs, window))
@@ -233,33 +270,66 @@ def _blobs(buf, offs, docs, ths, hot, parts: int, window: int):
     return rows, spans
 
 
+def _ordered(high: np.ndarray, low: np.ndarray, width: int):
+    """Positions by (high, low, position), and where (high, low) is new in that order.
+    Numbers and positions have ``width`` bits; positions ride in the low bits of what is
+    sorted, so nothing is sorted by reference."""
+    at, mask = np.arange(len(high), dtype=np.uint64), _U((1 << width) - 1)
+    new = np.ones(len(high), bool)
+    if 3 * width <= 64:
+        key = (high << _U(width) | low) << _U(width) | at
+        key.sort()
+        order = (key & mask).astype(np.int64)
+        key >>= _U(width)
+        new[1:] = key[1:] != key[:-1]
+        return order, new
+    key = low << _U(width) | at
+    key.sort()
+    by_low = (key & mask).astype(np.int64)
+    key = high[by_low].astype(np.uint64) << _U(width) | at
+    key.sort()
+    order = by_low[(key & mask).astype(np.int64)]
+    key >>= _U(width)
+    low = low[order]
+    new[1:] = (key[1:] != key[:-1]) | (low[1:] != low[:-1])
+    return order, new
+
+
 def _ranks(t: np.ndarray, rem: np.ndarray, longest: int):
-    """(bytes, rank) levels: ranks of all suffixes by their first 7, 21, 63, ... bytes;
-    a suffix that ends sooner sorts first. Three ranks make the next key where they fit
-    into 63 bits, else two."""
+    """(bytes, rank) levels: ranks of all suffixes by their first h, 2h, 4h, ... bytes, h
+    at most 7, until all differ or the longest is ranked; a suffix that ends sooner sorts
+    first. Also the order of the suffixes, equal ones by position."""
     n = len(t)
-    padded = np.concatenate((t, np.zeros(8, np.uint8)))
-    seven = _words64(padded)[:n].byteswap() >> _U(8)
-    short = np.minimum(rem, 7).astype(np.uint64)
-    beyond = (_U(7) - short) * _U(8)
-    key = (seven >> beyond << beyond << _U(3) | short).astype(np.int64)
     width = n.bit_length()
-    times = 3 if 3 * width <= 63 else 2
-    levels, h = [], 7
+    used = np.zeros(256, bool)
+    used[t] = True
+    letter = np.cumsum(used).astype(np.uint64)[t]  # 0 stands for the end
+    bits = int(used.sum()).bit_length()
+    h = max(1, min(7, (64 - width) // bits))
+    key = np.zeros(n, np.uint64)
+    for k in range(min(h, n)):
+        key <<= _U(bits)
+        key[:n - k] |= letter[k:] * (rem[:n - k] > k)
+    key <<= _U(max(h - n, 0) * bits)
+    key = key << _U(width) | np.arange(n, dtype=np.uint64)
+    key.sort()
+    order = (key & _U((1 << width) - 1)).astype(np.int64)
+    key >>= _U(width)
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    del key, letter
+    levels = []
     while True:
-        order = np.argsort(key)
-        sorted_ = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate(([False], sorted_[1:] != sorted_[:-1])))
+        rank = np.empty(n, np.uint32)
+        rank[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
         levels.append((h, rank))
-        if h >= longest:
-            return levels
-        key = rank << width * (times - 1)
-        for k in range(1, times):
-            ahead = rank[k * h:] + 1
-            ahead *= rem[:n - k * h] > k * h
-            key[:n - k * h] |= ahead << width * (times - 1 - k)
-        h *= times
+        if h >= longest or new.all():
+            return levels, order
+        low = np.zeros(n, np.uint64)
+        low[:n - h] = rank[h:]
+        low[:n - h] += _U(1)
+        low[:n - h] *= rem[:n - h] > h
+        order, new = _ordered(rank.astype(np.uint64), low, width)
+        h *= 2
 
 
 _LOW = [_U((1 << 8 * k) - 1) for k in range(1, 7)]
@@ -270,10 +340,9 @@ def _common(levels, t, end, a, b):
     length = np.zeros(len(a), np.int64)
     last = len(t) - 1
     room = np.minimum(end[a] - a, end[b] - b)
-    for h, rank in reversed(levels[:-1] or levels):
-        for _ in range(2):
-            same = (length < room) & (rank[np.minimum(a + length, last)] == rank[np.minimum(b + length, last)])
-            length = np.minimum(length + h * same, room)
+    for h, rank in reversed(levels):               # at most h more bytes agree here
+        same = (length < room) & (rank[np.minimum(a + length, last)] == rank[np.minimum(b + length, last)])
+        length = np.minimum(length + h * same, room)
     word = _words64(np.concatenate((t, np.zeros(8, np.uint8))))
     unlike = word[np.minimum(a + length, last)] ^ word[np.minimum(b + length, last)]
     tail = np.zeros(len(a), np.int64)
@@ -288,8 +357,7 @@ class RunIndex:
     def __init__(self, t: np.ndarray, to: np.ndarray):
         size = np.diff(to)
         end = np.repeat(to[1:], size)
-        levels = _ranks(t, end - np.arange(len(t)), int(size.max()))
-        order = np.argsort(levels[-1][1] * len(t) + np.arange(len(t)))
+        levels, order = _ranks(t, end - np.arange(len(t)), int(size.max()))
         before = np.where(order > 0, t[order - 1], 0).astype(np.int16)
         starts = np.zeros(len(t), bool)
         starts[to[:-1][size > 0]] = True
@@ -353,7 +421,7 @@ def _part_spans(blobs: list, window: int):
     g[alone] = word_hashes(text, to[alone], to[alone] + window, lower=False)
     keep, later = _combined(text, g, to[:-1], size, doc, th, first)
     yield doc[later], th[later], first[later], first[later] + size[later]
-    keep = keep[_repeated(g[keep])]
+    keep = _may_share(text, to[:-1], lead, count, keep[_repeated(g[keep])], window)
     keep = keep[np.lexsort((first[keep], th[keep], doc[keep], g[keep]))]
     group = g[keep]
     if not len(keep):
@@ -466,26 +534,25 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot_rows: int = HOT_ROWS,
         .sortWithinPartitions("part").mapInArrow(index, _SPAN)
 
 
-def _cut(buf, offs, spans: list):
-    """(bytes, removed, runs, kept bytes) of each text."""
-    n = len(buf)
-    mark = np.zeros(n + 1, np.int64)
-    size = np.diff(offs)
-    for d, s in enumerate(spans):
-        if s:
-            a = np.array([(x["start"], x["stop"]) for x in s])
-            np.add.at(mark, offs[d] + a[:, 0], 1)
-            np.add.at(mark, offs[d] + a[:, 1], -1)
-    gone = np.cumsum(mark)[:n] > 0
-    opens = gone.copy()
-    opens[1:] &= ~gone[:-1]
-    inner = offs[(offs > 0) & (offs < n)]
-    opens[inner] = gone[inner]
-    total = lambda m: np.concatenate(([0], np.cumsum(m)))[offs]
-    g, o = np.diff(total(gone)), np.diff(total(opens))
-    to = np.concatenate(([0], np.cumsum(size - g))).astype(np.int32)
-    kept = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(to), pa.py_buffer(buf[~gone])])
-    return size, g, o, kept
+def _cut(buf, offs, spans):
+    """(bytes, removed, runs, kept bytes) of each text; ``spans`` is a column of lists."""
+    n, docs = len(buf), len(offs) - 1
+    many = spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    doc = np.repeat(np.arange(docs), many)
+    start, stop = (spans.flatten().field(k).to_numpy(zero_copy_only=False) + offs[doc] for k in (0, 1))
+    order = np.argsort(start, kind="stable")       # documents stay in order
+    start, stop = start[order], np.maximum.accumulate(stop[order])
+    opens = np.ones(len(doc), bool)
+    opens[1:] = (start[1:] > stop[:-1]) | (doc[1:] != doc[:-1])
+    a, doc = start[opens], doc[opens]
+    z = stop[np.append(np.flatnonzero(opens)[1:], len(stop)) - 1] if len(a) else a
+    size, gone = np.diff(offs), np.zeros(docs, np.int64)
+    np.add.at(gone, doc, z - a)
+    edge = np.concatenate(([0], np.stack((a, z), axis=1).ravel(), [n]))
+    stays = np.repeat(np.arange(len(edge) - 1) % 2 == 0, np.diff(edge))
+    to = np.concatenate(([0], np.cumsum(size - gone))).astype(np.int32)
+    kept = pa.Array.from_buffers(pa.binary(), docs, [None, pa.py_buffer(to), pa.py_buffer(buf[stays])])
+    return size, gone, np.bincount(doc, minlength=docs), kept
 
 
 def remove_repeats(docs: DataFrame, **params) -> DataFrame:
@@ -503,7 +570,7 @@ def remove_repeats(docs: DataFrame, **params) -> DataFrame:
             buf, offs = text_buffer(b.column(2))
             for i, j in slices(offs, SLICE):
                 part = b.slice(i, j - i)
-                n, gone, runs, kept = _cut(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], part.column(1).to_pylist())
+                n, gone, runs, kept = _cut(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(gone), pa.array(runs), kept],
                                                  ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 

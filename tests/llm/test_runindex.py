@@ -110,3 +110,56 @@ def test_matching_statistics_of_the_index():
         while same < min(len(x), len(y)) and x[same] == y[same]:
             same += 1
         assert (length[j], source[j]) == (same, i)
+
+
+def test_only_segments_that_may_share_a_window_are_indexed(monkeypatch):
+    """Unlike texts around the same few words share anchors, but no window."""
+    rnd = random.Random(5)
+    some = lambda: "".join(rnd.choice("abcdefghij ") for _ in range(90))
+    least = lambda x: int(runindex._gram_hash(*np.frombuffer(x.encode(), "<u8").reshape(-1, 1))[0])
+    phrase = min((some()[:16] for _ in range(3000)), key=least)   # the anchor of most windows around it
+    rows = [(i, some() + phrase + some()) for i in range(300)]
+    rows += [(1000 + i, "z" + t[15:150 + i] + "z") for i, t in rows[:5]]
+    raw = [t.encode() for _, t in rows]
+    buf, offs = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in raw])))
+    ids, indexed = np.array([d for d, _ in rows]), []
+
+    class Counted(runindex.RunIndex):
+        def __init__(self, t, to):
+            indexed.append(len(to) - 1)
+            super().__init__(t, to)
+
+    monkeypatch.setattr(runindex, "RunIndex", Counted)
+    none = np.zeros(0, np.uint64)
+    blobs, settled = runindex._blobs(buf, offs, ids, ids, none, 1, 100)
+    gone = {d: set() for d in ids.tolist()}
+    for found in [settled, *runindex._part_spans([b for _, b in blobs], 100)]:
+        for d, _, a, z in zip(*(x.tolist() for x in found)):
+            gone[d] |= set(range(a, z))
+    assert sorted((d, len(x)) for d, x in gone.items()) == sorted((r[0], r[2]) for r in brute(rows, 100))
+    assert sum(map(len, gone.values())) > 500
+    assert 10 <= sum(indexed) < 60
+    g = runindex.anchors(buf, offs, 100)[0]
+    assert runindex._repeated(g).sum() > 250       # so many share an anchor
+
+
+def test_neighbourhoods_keep_all_equal_windows():
+    """Whatever windows two segments share, both stay; any window, alone or not."""
+    rnd = random.Random(8)
+    for window in (17, 20, 100):
+        for _ in range(60):
+            anchor = bytes(rnd.choices(b"ab", k=runindex.GRAM))
+            around = [bytes(rnd.choices(b"xy", k=window)) for _ in range(2)]
+            lead, count, segments = [], [], []
+            for _ in range(2):                     # an own piece of the same text, then noise
+                reach = rnd.randint(0, window - runindex.GRAM), rnd.randint(0, window - runindex.GRAM)
+                few = max(0, window - runindex.GRAM - sum(reach))
+                left, right = reach[0] + few, reach[1]
+                segments.append((around[0][window - left:] if left else b"") + anchor + around[1][:right])
+                lead.append(left)
+                count.append(len(segments[-1]) - window + 1)
+            share = min(lead) + min(n + window - 1 - p - runindex.GRAM for n, p in zip(count, lead)) >= window - runindex.GRAM
+            text = np.frombuffer(b"".join(segments), np.uint8)
+            to = np.concatenate(([0], np.cumsum([len(x) for x in segments])[:-1]))
+            kept = runindex._may_share(text, to, np.array(lead), np.array(count), np.arange(2), window)
+            assert len(kept) == 2 or not share
