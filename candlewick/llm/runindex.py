@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.arrowtext import slices, text_buffer, tune, word_hashes
+from candlewick.llm.arrowtext import mix64, slices, text_buffer, tune, word_hashes
 from candlewick.session import checkpoint_root
 
 WINDOW = 100
@@ -57,7 +57,11 @@ PART_BYTES = 24 << 20
 PARTITION_PARTS = 4
 INDEX_BYTES = 256 << 10           # indexed at once, in cache; never less than a group
 SLICE = 4 << 20
-DEAL_BYTES = 32 << 20            # text dealt at once, and bytes hashed at once in cache
+LOT_BYTES = 64 << 20             # text whose spans are held at a time, if the table is large
+LEAST_LOTS = 256
+SPANS = 1 << 18                  # spans packed at a time
+LEVEL = 3                        # of zstandard: half the time of 6 and a twentieth more bytes
+DEAL_BYTES = 16 << 20            # text dealt at once, and bytes hashed at once in cache
 CACHE_BYTES = 128 << 10
 _ALONE = 255                     # lead of a window that was dealt on its own
 _LOWEST = -(1 << 63)
@@ -176,24 +180,40 @@ def _settle(g, digest, doc, th, first):
     return order[~later], order[later & ~twice]
 
 
+_HEAD = struct.Struct("<cII7I")
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next, and so on."""
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _whole(raw: bytes, kind: str, n: int) -> np.ndarray:
+    x = np.dtype(kind)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(x.itemsize, n).T).view(x).reshape(n)
+
+
 def _pack(docs, ths, didx, first, lead, count, text) -> bytes:
-    head = struct.pack("<II", len(docs), len(didx))
-    body = b"".join(x.tobytes() for x in (
-        docs.astype("<i8"), ths.astype("<i8"), didx.astype("<u4"), np.diff(first, prepend=0).astype("<i4"), lead.astype(np.uint8),
-        count.astype(np.uint8), text))
-    return zstandard.ZstdCompressor(level=6).compress(head + body)
+    """A blob of segments whose documents' numbers rise by one at most. Each column is
+    compressed on its own: together they took a tenth more."""
+    to = zstandard.ZstdCompressor(level=LEVEL)
+    cols = [to.compress(x) for x in (
+        _planes(np.diff(docs, prepend=0).astype("<i8")), ths.astype("<i8").tobytes(),
+        np.diff(didx, prepend=0).astype(np.uint8).tobytes(), _planes(first.astype("<u4")),
+        lead.astype(np.uint8).tobytes(), count.astype(np.uint8).tobytes(), text.tobytes())]
+    return _HEAD.pack(b"p", len(docs), len(didx), *map(len, cols)) + b"".join(cols)
 
 
 def _unpack(raw: bytes):
-    data = zstandard.ZstdDecompressor().decompress(raw)
-    k, n = struct.unpack_from("<II", data)
-    at, out = 8, []
-    for kind, m in (("<i8", k), ("<i8", k), ("<u4", n), ("<i4", n), ("u1", n), ("u1", n)):
-        out.append(np.frombuffer(data, kind, m, at))
-        at += out[-1].nbytes
-    docs, ths, didx, first, lead, count = out
-    return (docs[didx], ths[didx], np.cumsum(first, dtype=np.int64), lead.astype(np.int64), count.astype(np.int64),
-            np.frombuffer(data, np.uint8, -1, at))
+    _, k, n, *sizes = _HEAD.unpack_from(raw)
+    at, out, by = _HEAD.size, [], zstandard.ZstdDecompressor()
+    for size in sizes:
+        out.append(by.decompress(raw[at:at + size]))
+        at += size
+    docs, ths = np.cumsum(_whole(out[0], "<i8", k)), np.frombuffer(out[1], "<i8")
+    didx, first = np.cumsum(np.frombuffer(out[2], np.uint8), dtype=np.int64), _whole(out[3], "<u4", n).astype(np.int64)
+    lead, count, text = (np.frombuffer(x, np.uint8) for x in out[4:])
+    return docs[didx], ths[didx], first, lead.astype(np.int64), count.astype(np.int64), text
 
 
 def _repeated(g: np.ndarray) -> np.ndarray:
@@ -464,16 +484,6 @@ def _hot_anchors(texts: DataFrame, size: int, window: int, hot_rows: int) -> np.
     return np.sort(np.array([r["g"] for r in rows], np.int64).view(_U))
 
 
-_SPAN = "doc long, th long, start int, stop int"
-
-
-def _span_batches(found):
-    for doc, th, start, stop in found:
-        if len(doc):
-            yield from pa.table([pa.array(doc), pa.array(th), pa.array(start.astype(np.int32)),
-                                 pa.array(stop.astype(np.int32))], ["doc", "th", "start", "stop"]).combine_chunks().to_batches(50_000)
-
-
 def _gathered(batches):
     """Tables of about DEAL_BYTES of rows."""
     held, size = [], 0
@@ -487,10 +497,60 @@ def _gathered(batches):
         yield pa.Table.from_batches(held)
 
 
+def _row_keys(doc, th) -> np.ndarray:
+    return mix64(doc.view(_U) * _U(0x9E3779B97F4A7C15) + th.view(_U))
+
+
+def _lots(doc, th, lots: int):
+    """(lot, its rows) by the rows' ids and hashes."""
+    lot = (_row_keys(doc, th) % _U(lots)).astype(np.int32)
+    order = np.argsort(lot, kind="stable")
+    lot = lot[order]
+    edges = np.append(np.flatnonzero(np.diff(lot, prepend=-1)), len(lot))
+    for a, z in zip(edges, edges[1:]):
+        yield int(lot[a]), order[a:z]
+
+
+_LOT = pa.schema([("lot", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
+_LOT_COLUMNS = "lot int, kind int, blob binary"
+
+
+def _lot_batches(rows):
+    held = []
+    for r in rows:
+        held.append(r)
+        if len(held) == 100:
+            yield pa.record_batch(list(zip(*held)), schema=_LOT)
+            held = []
+    if held:
+        yield pa.record_batch(list(zip(*held)), schema=_LOT)
+
+
+def _packed_spans(found, lots: int):
+    """(lot, 0, blob) of spans, some at a time."""
+    def packed():
+        spans = np.concatenate([np.stack(x).astype("<i8") for x in held], axis=1)
+        to = zstandard.ZstdCompressor(level=LEVEL)
+        for lot, rows in _lots(spans[0], spans[1], lots):
+            yield lot, 0, to.compress(spans[:, rows].tobytes())
+
+    held, size = [], 0
+    for x in found:
+        if len(x[0]):
+            held.append(x)
+            size += len(x[0])
+        if size >= SPANS:
+            yield from packed()
+            held, size = [], 0
+    if held:
+        yield from packed()
+
+
 def repeats(docs: DataFrame, window: int = WINDOW, hot_rows: int = HOT_ROWS,
-            part_bytes: int = PART_BYTES) -> DataFrame:
-    """(doc, th, start, stop): byte spans of the texts that repeat earlier ones; doc is
-    the id (the lowest long for null), th the hash of the text."""
+            part_bytes: int = PART_BYTES) -> tuple[DataFrame, int]:
+    """(lot, 0, blob): byte spans (doc, th, start, stop) of the texts that repeat earlier
+    ones; doc is the id (the lowest long for null), th the hash of the text. Also the
+    number of lots."""
     spark = docs.sparkSession
     tune(spark)
     checkpoint_root(spark)
@@ -498,7 +558,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot_rows: int = HOT_ROWS,
                         F.xxhash64("text").alias("th"), "text").where(F.octet_length("text") >= window)
     size = int(keyed.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0)
     parts = max(8, -(-size * 7 // 2 // part_bytes))
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-parts // PARTITION_PARTS))
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions, lots = max(shuffles, -(-parts // PARTITION_PARTS)), max(min(shuffles, LEAST_LOTS), -(-size // LOT_BYTES))
     hot = spark.sparkContext.broadcast(_hot_anchors(keyed.select("text"), size, window, hot_rows))
 
     def deal(batches):
@@ -520,27 +581,27 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot_rows: int = HOT_ROWS,
             for part, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if blob[:1] == b"s":
                     flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), "<i8")
-                    yield from _span_batches([tuple(flat.reshape(4, -1))])
+                    yield tuple(flat.reshape(4, -1))
                     continue
                 if part != now and held:
-                    yield from _span_batches(_part_spans(held, window))
+                    yield from _part_spans(held, window)
                     held = []
                 now = part
                 held.append(blob)
         if held:
-            yield from _span_batches(_part_spans(held, window))
+            yield from _part_spans(held, window)
 
-    return keyed.mapInArrow(deal, "part int, blob binary").repartition(partitions, "part") \
-        .sortWithinPartitions("part").mapInArrow(index, _SPAN)
+    found = keyed.mapInArrow(deal, "part int, blob binary").repartition(partitions, "part") \
+        .sortWithinPartitions("part")
+    return found.mapInArrow(lambda b: _lot_batches(_packed_spans(index(b), lots)), _LOT_COLUMNS), lots
 
 
-def _cut(buf, offs, spans):
-    """(bytes, removed, runs, kept bytes) of each text; ``spans`` is a column of lists."""
+def _cut(buf, offs, doc, start, stop):
+    """(bytes, removed, runs, kept bytes) of each text, less the spans given by the
+    text's number (ascending) and their bytes in it."""
     n, docs = len(buf), len(offs) - 1
-    many = spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    doc = np.repeat(np.arange(docs), many)
-    start, stop = (spans.flatten().field(k).to_numpy(zero_copy_only=False) + offs[doc] for k in (0, 1))
-    order = np.argsort(start, kind="stable")       # documents stay in order
+    start, stop = start + offs[doc], stop + offs[doc]
+    order = np.argsort(start, kind="stable")       # texts stay in order
     start, stop = start[order], np.maximum.accumulate(stop[order])
     opens = np.ones(len(doc), bool)
     opens[1:] = (start[1:] > stop[:-1]) | (doc[1:] != doc[:-1])
@@ -555,23 +616,82 @@ def _cut(buf, offs, spans):
     return size, gone, np.bincount(doc, minlength=docs), kept
 
 
+class _Spans:
+    """Spans of a lot, found by their rows."""
+
+    def __init__(self, blobs: list):
+        cols = [np.frombuffer(zstandard.ZstdDecompressor().decompress(b), "<i8").reshape(4, -1) for b in blobs]
+        doc, th, start, stop = np.concatenate(cols, axis=1) if cols else np.zeros((4, 0), np.int64)
+        key = _row_keys(doc, th)
+        order = np.lexsort((th, doc, key))
+        doc, th, key, self.start, self.stop = (x[order] for x in (doc, th, key, start, stop))
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (th[1:] != th[:-1])
+        self.edge = np.append(np.flatnonzero(new), len(new))
+        self.doc, self.th, self.key = doc[new], th[new], key[new]
+
+    def of(self, doc, th):
+        """(row, start, stop) of the spans of rows given by id and hash."""
+        key, m = _row_keys(doc, th), len(self.key)
+        at = np.searchsorted(self.key, key)
+        row = np.arange(len(key))
+        while True:                                # keys are hardly ever equal by chance
+            row = row[(at[row] < m) & (self.key[np.minimum(at[row], m - 1)] == key[row])] if m else row[:0]
+            other = row[(self.doc[at[row]] != doc[row]) | (self.th[at[row]] != th[row])]
+            if not len(other):
+                break
+            at[other] += 1
+        first, many = self.edge[at[row]], np.diff(self.edge)[at[row]]
+        k = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.repeat(row, many), self.start[k], self.stop[k]
+
+
 def remove_repeats(docs: DataFrame, **params) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans (maximal removed runs)
-    and kept (the remaining bytes)."""
-    found = repeats(docs.select("doc_id", "text"), **params).groupBy("doc", "th").agg(
-        F.collect_list(F.struct("start", "stop")).alias("spans"))
+    and kept (the remaining bytes). Texts and spans meet packed in lots, as Spark's own
+    rows of all the texts take nearly twice the disk."""
+    found, lots = repeats(docs.select("doc_id", "text"), **params)
+    shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)).alias("doc"),
                        F.xxhash64("text").alias("th"), "text")
-    joined = rows.join(found, ["doc", "th"], "left").select("doc_id", "spans", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches):
+    def texts(batches):
+        codec = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
+
+        def packed():
+            for t in _gathered(batches):
+                dealt, at = list(_lots(t.column("doc").to_numpy(), t.column("th").to_numpy(), lots)), 0
+                t = t.take(np.concatenate([k for _, k in dealt])).combine_chunks()
+                for lot, k in dealt:
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, t.schema, options=codec) as to:
+                        to.write_table(t.slice(at, len(k)))
+                    at += len(k)
+                    yield lot, 1, sink.getvalue().to_pybytes()
+        yield from _lot_batches(packed())
+
+    def cut(batches):
+        now, held, found = None, [], None
         for b in batches:
-            buf, offs = text_buffer(b.column(2))
-            for i, j in slices(offs, SLICE):
-                part = b.slice(i, j - i)
-                n, gone, runs, kept = _cut(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], part.column(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(gone), pa.array(runs), kept],
-                                                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+            for lot, is_text, blob in zip(*(c.to_pylist() for c in b.columns)):
+                if lot != now:
+                    now, held, found = lot, [], None
+                if not is_text:                    # a lot's spans come before its texts
+                    held.append(blob)
+                    continue
+                found = found or _Spans(held)
+                for part in pa.ipc.open_stream(blob).read_all().combine_chunks().to_batches():
+                    buf, offs = text_buffer(part.column(3))
+                    row, start, stop = found.of(part.column(1).to_numpy(), part.column(2).to_numpy())
+                    for i, j in slices(offs, SLICE):
+                        a, z = np.searchsorted(row, (i, j))
+                        n, gone, runs, kept = _cut(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], row[a:z] - i,
+                                                   start[a:z], stop[a:z])
+                        yield pa.RecordBatch.from_arrays(
+                            [part.column(0).slice(i, j - i), pa.array(n), pa.array(gone), pa.array(runs), kept],
+                            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+
+    return rows.mapInArrow(texts, _LOT_COLUMNS).union(found) \
+        .repartition(max(shuffles, lots), "lot").sortWithinPartitions("lot", "kind") \
+        .mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")

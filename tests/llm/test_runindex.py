@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import zstandard
 
 from candlewick.llm import runindex
 from tests.llm.common import AWKWARD, texts, with_extras
@@ -163,3 +164,36 @@ def test_neighbourhoods_keep_all_equal_windows():
             to = np.concatenate(([0], np.cumsum([len(x) for x in segments])[:-1]))
             kept = runindex._may_share(text, to, np.array(lead), np.array(count), np.arange(2), window)
             assert len(kept) == 2 or not share
+
+
+def test_segments_travel_unchanged():
+    rnd = np.random.default_rng(3)
+    for n in (1, 2, 40):
+        didx = np.concatenate(([0], np.cumsum(rnd.integers(0, 2, n))))
+        docs, ths = (rnd.integers(-1 << 63, (1 << 63) - 1, didx[-1] + 1) for _ in range(2))
+        first, lead, count = rnd.integers(0, 1 << 31, n + 1), rnd.integers(0, 256, n + 1), rnd.integers(1, 86, n + 1)
+        text = rnd.integers(0, 256, 500).astype(np.uint8)
+        got = runindex._unpack(runindex._pack(docs, ths, didx, first, lead, count, text))
+        for x, y in zip(got, (docs[didx], ths[didx], first, lead, count, text)):
+            assert x.dtype == y.dtype and (x == y).all()
+
+
+def test_spans_find_their_rows_by_id_and_hash(monkeypatch):
+    """Also where the keys of different rows are equal; an id may stand for several texts."""
+    spans = np.array([[1, 7, 0, 5], [1, 8, 2, 3], [2, 7, 4, 9], [1, 7, 6, 8], [-5, 0, 1, 2]]).T
+    blob = zstandard.ZstdCompressor().compress(spans.astype("<i8").tobytes())
+    doc, th = np.array([2, 1, 1, 3, 1, -5, 1]), np.array([7, 8, 9, 7, 7, 0, 7])
+    want = [(0, 4, 9), (1, 2, 3), (4, 0, 5), (4, 6, 8), (5, 1, 2), (6, 0, 5), (6, 6, 8)]
+    keys = runindex._row_keys
+    for few in (keys, lambda d, t: keys(d, t) % np.uint64(2), lambda d, t: keys(d, t) * np.uint64(0)):
+        monkeypatch.setattr(runindex, "_row_keys", few)
+        assert sorted(zip(*(x.tolist() for x in runindex._Spans([blob]).of(doc, th)))) == want
+        assert not len(runindex._Spans([]).of(doc, th)[0])
+
+
+def test_ids_keep_their_type(spark):
+    rows = [(i, f"{i % 3} " * 90) for i in range(12)] + [(None, "1 " * 80), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    out = runindex.remove_repeats(df)
+    assert dict(out.dtypes)["doc_id"] == "int"
+    assert rows_of(out) == brute(rows, 100)
