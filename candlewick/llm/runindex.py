@@ -16,7 +16,8 @@ Index. A part builds a run-compressed Burrows-Wheeler transform over the unlike
 segments of its groups that can share a window: each window of 100 bytes holds its anchor
 and 42 bytes to the left of it or to the right, so segments whose neighbourhoods occur
 once are left out (suffixes by prefix doubling, every segment with a terminator of its
-own). Of the suffix order only the run heads are kept: the text position at
+own). Groups of more than ``GROUP_BYTES`` are lengthened in their part, in two steps: to
+pieces of 12 windows, and to single windows where the pieces' groups are still as large. Of the suffix order only the run heads are kept: the text position at
 each head, the position just before it in the order, and their common prefix. That is
 enough, as inside a run both positions only move on by one byte with their texts
 (phi(i) = phi(s) + i - s and PLCP(i) = PLCP(s) - (i - s) for the sampled s before i).
@@ -38,6 +39,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -56,12 +58,14 @@ HOT_KEYS = 1 << 20
 PART_BYTES = 24 << 20
 PARTITION_PARTS = 4
 INDEX_BYTES = 256 << 10           # indexed at once, in cache; never less than a group
+GROUP_BYTES = 2 << 20            # larger groups are lengthened in their part
+NARROWER = (12, 1)               # windows a piece, at first and then
 SLICE = 4 << 20
 LOT_BYTES = 64 << 20             # text whose spans are held at a time, if the table is large
 LEAST_LOTS = 256
 SPANS = 1 << 18                  # spans packed at a time
 LEVEL = 3                        # of zstandard: half the time of 6 and a twentieth more bytes
-DEAL_BYTES = 16 << 20            # text dealt at once, and bytes hashed at once in cache
+DEAL_BYTES = 32 << 20            # text dealt at once, and bytes hashed at once in cache
 CACHE_BYTES = 128 << 10
 _ALONE = 255                     # lead of a window that was dealt on its own
 _LOWEST = -(1 << 63)
@@ -263,10 +267,11 @@ def _may_share(text, to, lead, count, rows, window: int) -> np.ndarray:
 
 
 def _blobs(buf, offs, docs, ths, hot, parts: int, window: int):
-    """(part, blob) rows of a slice, and the spans of the copies settled in it."""
+    """(part, blob) rows of a slice, one after the other, and the spans of the copies
+    settled in it."""
     g, doc, first, lead, count = _cut_alone(hot, anchors(buf, offs, window))
     if not len(g):
-        return [], None
+        return iter(()), None
     size = count + window - 1
     if len(hot):
         order = np.argsort(first, kind="stable")
@@ -281,13 +286,14 @@ def _blobs(buf, offs, docs, ths, hot, parts: int, window: int):
     order = np.argsort(part, kind="stable")
     keep, part = keep[order], part[order]
     edges = np.flatnonzero(np.diff(part, prepend=-1))
-    rows = []
-    for a, z in zip(edges, np.append(edges[1:], len(keep))):
-        k = keep[a:z]
-        own, didx = np.unique(doc[k], return_inverse=True)
-        text, _ = _gather(buf, first[k], size[k])
-        rows.append((int(part[a]), _pack(docs[own], ths[own], didx, at[k], lead[k], count[k], text)))
-    return rows, spans
+
+    def rows():
+        for a, z in zip(edges, np.append(edges[1:], len(keep))):
+            k = keep[a:z]
+            own, didx = np.unique(doc[k], return_inverse=True)
+            text, _ = _gather(buf, first[k], size[k])
+            yield int(part[a]), _pack(docs[own], ths[own], didx, at[k], lead[k], count[k], text)
+    return rows(), spans
 
 
 def _ordered(high: np.ndarray, low: np.ndarray, width: int):
@@ -442,24 +448,60 @@ def _part_spans(blobs: list, window: int):
     keep, later = _combined(text, g, to[:-1], size, doc, th, first)
     yield doc[later], th[later], first[later], first[later] + size[later]
     keep = _may_share(text, to[:-1], lead, count, keep[_repeated(g[keep])], window)
-    keep = keep[np.lexsort((first[keep], th[keep], doc[keep], g[keep]))]
-    group = g[keep]
-    if not len(keep):
+    yield from _group_spans(text, [x[keep] for x in (to[:-1], lead, count, doc, th, first, g)], window, NARROWER)
+
+
+def _pieces(text, segments, width: int, window: int):
+    """The segments (of one anchor, ascending) cut into the windows that reach ``lo`` to
+    ``lo + width - 1`` bytes to the left of the anchor, for each ``lo``; pieces form a
+    group if the bytes that all these windows hold are equal, too."""
+    at, lead, count, doc, th, first, _ = segments
+    out = []
+    for lo in range(0, window - GRAM + 1, width):
+        hi = min(lo + width - 1, window - GRAM)
+        most, least = np.minimum(lead, hi), np.maximum(lead - count + 1, lo)
+        k = np.flatnonzero(most >= least)
+        skip, anchor = (lead - most)[k], (at + lead)[k]
+        g = mix64(word_hashes(text, anchor - lo, anchor + window - hi, lower=False) + _U(lo))
+        out.append((at[k] + skip, most[k], (most - least)[k] + 1, doc[k], th[k], first[k] + skip, g))
+    cols = [np.concatenate(x) for x in zip(*out)]
+    order = np.argsort(cols[0], kind="stable")
+    return [x[order] for x in cols]
+
+
+def _group_spans(text, segments, window: int, narrower: tuple):
+    """Spans of the repeats in groups of unlike segments. As a hot anchor's, the windows of
+    a large group are lengthened, step by step: its pieces that are equal are settled, the
+    others are smaller groups."""
+    order = np.lexsort([segments[k] for k in (5, 4, 3, 6)])
+    at, lead, count, doc, th, first, group = (x[order] for x in segments)
+    if not len(order):
         return
+    size = count + window - 1
     edge = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
-    upto = np.concatenate(([0], np.cumsum(size[keep])))
+    upto = np.concatenate(([0], np.cumsum(size)))
     a = 0
     while a < len(edge) - 1:                       # whole groups, about INDEX_BYTES of them
         z = max(int(np.searchsorted(upto[edge], upto[edge[a]] + INDEX_BYTES, side="right")) - 1, a + 1)
-        k = keep[edge[a]:edge[z]]
-        t, own = _gather(text, to[k], size[k])
+        k = slice(edge[a], edge[z])
+        a = z
+        if upto[k.stop] - upto[k.start] > GROUP_BYTES and narrower and lead[k].max() != _ALONE:
+            by = np.argsort(at[k])
+            part = _pieces(text, [x[k][by] for x in (at, lead, count, doc, th, first, group)], narrower[0], window)
+            size_ = part[2] + window - 1
+            keep, later = _combined(text, part[6], part[0], size_, part[3], part[4], part[5])
+            yield part[3][later], part[4][later], part[5][later], part[5][later] + size_[later]
+            if narrower[0] > 1:                    # else all equal windows have met
+                keep = keep[_repeated(part[6][keep])]
+                yield from _group_spans(text, [x[keep] for x in part], window, narrower[1:])
+            continue
+        t, own = _gather(text, at[k], size[k])
         row = np.concatenate(([0], np.cumsum((doc[k][1:] != doc[k][:-1]) | (th[k][1:] != th[k][:-1]))))
         seg, off = _long_matches(t, own, count[k], doc[k], row, window)
         if len(seg):
             new = np.concatenate(([True], (seg[1:] != seg[:-1]) | (off[1:] != off[:-1] + 1)))
             b, e = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(seg)) - 1
             yield doc[k][seg[b]], th[k][seg[b]], first[k][seg[b]] + off[b], first[k][seg[b]] + off[e] + window
-        a = z
 
 
 def _hot_anchors(texts: DataFrame, size: int, window: int, hot_rows: int) -> np.ndarray:
@@ -511,19 +553,15 @@ def _lots(doc, th, lots: int):
         yield int(lot[a]), order[a:z]
 
 
+_PART = pa.schema([("part", pa.int32()), ("blob", pa.binary())])
 _LOT = pa.schema([("lot", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 _LOT_COLUMNS = "lot int, kind int, blob binary"
 
 
-def _lot_batches(rows):
-    held = []
-    for r in rows:
-        held.append(r)
-        if len(held) == 100:
-            yield pa.record_batch(list(zip(*held)), schema=_LOT)
-            held = []
-    if held:
-        yield pa.record_batch(list(zip(*held)), schema=_LOT)
+def _batches(rows, schema):
+    rows = iter(rows)
+    while held := list(islice(rows, 50)):
+        yield pa.record_batch(list(zip(*held)), schema=schema)
 
 
 def _packed_spans(found, lots: int):
@@ -569,11 +607,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot_rows: int = HOT_ROWS,
                                  parts, window)
             if spans is not None and len(spans[0]):    # settled here: they go along as they are
                 raw = zstandard.ZstdCompressor().compress(np.stack(spans).astype("<i8").tobytes())
-                rows.append((zlib.crc32(raw) % parts, b"s" + raw))
-            for k in range(0, len(rows), 100):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows[k:k + 100]], pa.int32()),
-                     pa.array([r[1] for r in rows[k:k + 100]], pa.binary())], ["part", "blob"])
+                rows = chain([(zlib.crc32(raw) % parts, b"s" + raw)], rows)
+            yield from _batches(rows, _PART)
 
     def index(batches):
         now, held = None, []
@@ -593,7 +628,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot_rows: int = HOT_ROWS,
 
     found = keyed.mapInArrow(deal, "part int, blob binary").repartition(partitions, "part") \
         .sortWithinPartitions("part")
-    return found.mapInArrow(lambda b: _lot_batches(_packed_spans(index(b), lots)), _LOT_COLUMNS), lots
+    return found.mapInArrow(lambda b: _batches(_packed_spans(index(b), lots), _LOT), _LOT_COLUMNS), lots
 
 
 def _cut(buf, offs, doc, start, stop):
@@ -669,7 +704,7 @@ def remove_repeats(docs: DataFrame, **params) -> DataFrame:
                         to.write_table(t.slice(at, len(k)))
                     at += len(k)
                     yield lot, 1, sink.getvalue().to_pybytes()
-        yield from _lot_batches(packed())
+        yield from _batches(packed(), _LOT)
 
     def cut(batches):
         now, held, found = None, [], None

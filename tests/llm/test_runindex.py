@@ -197,3 +197,45 @@ def test_ids_keep_their_type(spark):
     out = runindex.remove_repeats(df)
     assert dict(out.dtypes)["doc_id"] == "int"
     assert rows_of(out) == brute(rows, 100)
+
+
+def test_large_groups_are_lengthened_in_their_part(monkeypatch):
+    """Groups of any size give the same bytes, and no large text is indexed at once."""
+    rnd = random.Random(12)
+    line = "this passage stands in all documents of the table amid unlike contexts, word for word, and is quite long indeed"
+    rows = [(i // 2, f"{rnd.random()}{line[rnd.randint(0, 9):]}{rnd.random()}{rnd.choice(['', line])}") for i in range(300)]
+    rows += [(1000, rows[7][1]), (None, rows[8][1]), (None, rows[9][1])] + [(1001, rows[10][1])] * 2
+    rows += [(d if d is None else 2000 + d, t) for d, t in corpus(3) if t]
+    want = sorted(((r[0], r[1], r[2]) for r in brute(rows, 100)), key=str)
+    raw = [t.encode() for _, t in rows]
+    buf, offs = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in raw])))
+    ids = np.array([runindex._LOWEST if d is None else d for d, _ in rows])
+    ths = np.array([int.from_bytes(hashlib.sha256(t).digest()[:7]) for t in raw])
+    longest = []
+
+    class Counted(runindex.RunIndex):
+        def __init__(self, t, to):
+            longest.append(len(t))
+            super().__init__(t, to)
+
+    monkeypatch.setattr(runindex, "RunIndex", Counted)
+    for limit in (1 << 30, 3000, 0):
+        for narrower in (runindex.NARROWER, (30, 7, 1), (1,)):
+            monkeypatch.setattr(runindex, "GROUP_BYTES", limit)
+            monkeypatch.setattr(runindex, "NARROWER", narrower)
+            monkeypatch.setattr(runindex, "INDEX_BYTES", 2000)
+            longest.clear()
+            gone = {}
+            for i in range(0, len(rows), 100):     # blobs of several slices meet
+                j = min(i + 100, len(rows))
+                blobs, settled = runindex._blobs(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], ids[i:j], ths[i:j],
+                                                 np.zeros(0, np.uint64), 1, 100)
+                gone.setdefault("blobs", []).extend(b for _, b in blobs)
+                gone.setdefault("found", []).append(settled)
+            marks = {}
+            for found in [*gone["found"], *runindex._part_spans(gone["blobs"], 100)]:
+                for d, h, a, z in zip(*(x.tolist() for x in found)):
+                    marks.setdefault((d, h), set()).update(range(a, z))
+            got = [(d, len(t), len(marks.get((int(i), int(h)), ()))) for (d, _), t, i, h in zip(rows, raw, ids, ths)]
+            assert sorted(got, key=str) == want
+            assert max(longest, default=0) <= 3000 or limit > 3000 and max(longest) > 9000
